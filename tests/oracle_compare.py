@@ -1,0 +1,79 @@
+"""Run registered queries in Spark and their oracle SQL in DuckDB; compare.
+
+Usage: python tests/oracle_compare.py SF_DIR [name ...]
+"""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+
+import duckdb
+
+sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return None
+        return round(v, 6)
+    if hasattr(v, "item"):
+        return norm(v.item())
+    return v
+
+
+def rows_of(records):
+    return sorted((tuple(norm(x) for x in r) for r in records), key=lambda r: tuple((x is None, str(x)) for x in r))
+
+
+def compare(spark, con, name, fn, sql, sf_dir):
+    t0 = time.time()
+    sdf = fn(spark, sf_dir)
+    cols = sorted(sdf.columns)
+    s_rows = [tuple(r[c] for c in cols) for r in sdf.collect()]
+    ts = time.time() - t0
+    if sql is None:
+        return f"{name}: spark {len(s_rows)} rows {ts:.1f}s (no oracle)"
+    t0 = time.time()
+    rel = con.sql(sql)
+    dcols = rel.columns
+    if sorted(dcols) != cols:
+        return f"{name}: COLUMN MISMATCH spark={cols} duck={sorted(dcols)}"
+    d_rows = [tuple(r[dcols.index(c)] for c in cols) for r in rel.fetchall()]
+    td = time.time() - t0
+    a, b = rows_of(s_rows), rows_of(d_rows)
+    ok = a == b
+    msg = f"{name}: {'OK' if ok else 'MISMATCH'} spark={len(a)} duck={len(b)} ({ts:.1f}s / {td:.1f}s)"
+    if not ok:
+        sa, sb = set(a), set(b)
+        msg += f"\n  only spark: {list(sa - sb)[:3]}\n  only duck: {list(sb - sa)[:3]}"
+    return msg
+
+
+def main():
+    sf_dir = sys.argv[1]
+    names = sys.argv[2:]
+    from gamecast.plans.queries import ORACLE, QUERIES
+    from gamecast.session import local_session
+    spark = local_session(8)
+    con = duck(sf_dir)
+    for name in names or list(QUERIES):
+        try:
+            print(compare(spark, con, name, QUERIES[name], ORACLE.get(name), sf_dir), flush=True)
+        except Exception as e:  # report and continue
+            print(f"{name}: ERROR {type(e).__name__}: {str(e)[:1500]}", flush=True)
+
+
+if __name__ == "__main__":
+    main()
