@@ -24,7 +24,7 @@ def parse_ymd(text, zero_based_month: bool = False) -> Column:
     y = F.get(parts, 0).try_cast("int")
     m = F.get(parts, 1).try_cast("int") + F.lit(1 if zero_based_month else 0)
     d = F.get(parts, 2).try_cast("int")
-    return F.try_to_date(F.format_string("%04d-%02d-%02d", y, m, d), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.format_string("%04d-%02d-%02d", y, m, d), "yyyy-MM-dd")
 
 
 def date_label(d) -> Column:

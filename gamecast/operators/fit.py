@@ -72,22 +72,24 @@ def model_columns(reg: float = 0.0) -> list[Column]:
     ]
 
 
-def _finish(df: DataFrame, keys: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
+def _finish(df: DataFrame, keys: Sequence[str], extra: Sequence[str] = (),
+            digits: int | None = DIGITS) -> DataFrame:
     """Round outputs and add the forecast for the next game (x = number of points)."""
-    r = lambda c: F.round(F.col(c), DIGITS).alias(c)
+    rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+    r = lambda c: rnd(F.col(c)).alias(c)
     pred = F.col("intercept") + F.col("slope") * F.col("n_all").cast("double")
     return df.select(*keys, *extra, F.col("n_all").alias("n"), F.col("n_fit"),
                      r("slope"), r("intercept"), r("rmse"), r("r2"),
-                     F.round(pred, DIGITS).alias("prediction"))
+                     rnd(pred).alias("prediction"))
 
 
 def fit_full(points: DataFrame, keys: Sequence[str], x: str = "idx", y: str = "pts",
-             reg: float = 0.0) -> DataFrame:
+             reg: float = 0.0, digits: int | None = DIGITS) -> DataFrame:
     """M2 (and G4 with reg > 0): one fit per key on all of its points."""
     keys = list(keys)
     s = points.groupBy(*keys).agg(*sums(x, y))
     m = s.select(*keys, F.col("n").alias("n_all"), F.col("n").alias("n_fit"), *model_columns(reg))
-    return _finish(m, keys)
+    return _finish(m, keys, digits=digits)
 
 
 def split(points: DataFrame, keys: Sequence[str], frac: float = 0.7, rep: int = 0,

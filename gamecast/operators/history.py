@@ -92,19 +92,23 @@ def opponent_history(rows: DataFrame, rp: DataFrame, as_of: bool = False) -> Dat
     return _as_of(j, as_of)
 
 
+def _dated_join(rp: DataFrame, rows: DataFrame, cond) -> DataFrame:
+    r, p = rp.alias("r"), _points(rows).alias("p")
+    j = r.join(p, (F.col("r.player") == F.col("p.player")) & cond)
+    return j.select("r.request_id", "r.side", "r.player", "r.rdate", *[f"p.{c}" for c in POINT_COLS])
+
+
 def month_to_date(rows: DataFrame, rp: DataFrame, as_of: bool = False) -> DataFrame:
     """E5: games in the request's year and month, before the request's day."""
-    p = _points(rows)
-    j = rp.join(p, (rp.player == p.player) & (rp.ry == p.y) & (rp.rm == p.m) & (p.d < rp.rd))
-    j = j.select(rp.request_id, rp.side, rp.player, rp.rdate, *[p[c] for c in POINT_COLS])
+    r, p = lambda c: F.col(f"r.{c}"), lambda c: F.col(f"p.{c}")
+    j = _dated_join(rp, rows, (r("ry") == p("y")) & (r("rm") == p("m")) & (p("d") < r("rd")))
     return _as_of(j, as_of)
 
 
 def same_month_history(rows: DataFrame, rp: DataFrame, as_of: bool = False) -> DataFrame:
     """Games in the request's month of earlier years, up to the request's day."""
-    p = _points(rows)
-    j = rp.join(p, (rp.player == p.player) & (rp.rm == p.m) & (p.y < rp.ry) & (p.d <= rp.rd))
-    j = j.select(rp.request_id, rp.side, rp.player, rp.rdate, *[p[c] for c in POINT_COLS])
+    r, p = lambda c: F.col(f"r.{c}"), lambda c: F.col(f"p.{c}")
+    j = _dated_join(rp, rows, (r("rm") == p("m")) & (p("y") < r("ry")) & (p("d") <= r("rd")))
     return _as_of(j, as_of)
 
 

@@ -44,9 +44,14 @@ def match_teams(home: str | Column, away: str | Column) -> Column:
 
 
 def search_games(games: DataFrame, home: str, away: str, start=None, end=None,
-                 season: str | None = None, limit: int = 20) -> DataFrame:
+                 season: str | None = None, limit: int = 20, project=None) -> DataFrame:
     """Games of `home` at home against `away`, start <= date < end, first
-    `limit` by date (the cap is the feature: a result list)."""
+    `limit` by date (the cap is the feature: a result list).
+
+    `project` (DataFrame -> DataFrame, keeping date and game_id) is applied
+    before the sort and limit; projecting nested fields after a sort+limit
+    trips a nested-pruning bug in Spark 4.1's TakeOrderedAndProject.
+    """
     cond = match_teams(home, away)
     if season is not None:
         start, end = season_window(season)
@@ -54,7 +59,10 @@ def search_games(games: DataFrame, home: str, away: str, start=None, end=None,
         cond = cond & (F.col("date") >= _ts(start))
     if end is not None:
         cond = cond & (F.col("date") < _ts(end))
-    return games.where(cond).orderBy("date", "game_id").limit(limit)
+    found = games.where(cond)
+    if project is not None:
+        found = project(found)
+    return found.orderBy("date", "game_id").limit(limit)
 
 
 def season_of(date: str | Column = "date") -> Column:

@@ -11,7 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import functions as SF
 from ..operators import fit as fit_ops
+from ..operators import history as H
+from ..operators import search as S
 from ..operators import rows as rows_ops
 from ..operators.sequence import with_sequence_index
 from ..sources import testbed
@@ -32,7 +35,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testbed.games(spark, sf_dir)
+    return testbed.stored_games(spark, sf_dir)
 
 
 PLAYER_ROW_COLS = "game_id, date, bpos, ppos, side, home, team, opponent, home_abbr, away_abbr, won, player, pts"
@@ -85,3 +88,291 @@ def sequence_index(spark, sf_dir):
 def fit_full(spark, sf_dir):
     """Least squares per player on all points."""
     return fit_ops.fit_full(PL.player_series(_games(spark, sf_dir)), ["player"])
+
+
+def _fit_split(spark, sf_dir):
+    return fit_ops.fit_split(PL.player_series(_games(spark, sf_dir)), ["player"])
+
+
+@query("split_70", O.with_base(
+    f"SELECT player, idx, {O.in_sample(O.row_hash(['player']), '0')} AS in_sample FROM ps"))
+def split_70(spark, sf_dir):
+    """M1: membership of every point in the 70 % sample (rep 0)."""
+    s = PL.player_series(_games(spark, sf_dir))
+    return s.select("player", "idx", fit_ops.in_sample(fit_ops.row_hash(["player"]), F.lit(0)).alias("in_sample"))
+
+
+@query("fit_split_ridge", O.with_base(O.fit_split_sql("ps", ["player"], reg=0.001)))
+def fit_split_ridge(spark, sf_dir):
+    """L2 (0.001) fit on one 70 % sample per player."""
+    return _fit_split(spark, sf_dir)
+
+
+@query("fit_best_of", O.with_base(
+    f"SELECT * REPLACE (CAST(rep AS INTEGER) AS rep) FROM ({O.fit_best_sql('ps', ['player'])}) b"))
+def fit_best_of(spark, sf_dir):
+    """Best of the full fit and 99 samples per player (by training RMSE)."""
+    return fit_ops.fit_best_of(PL.player_series(_games(spark, sf_dir)), ["player"])
+
+
+@query("fitted_values", O.with_base(
+    "SELECT ps.player, ps.idx, ps.pts, round(m.intercept + m.slope * CAST(ps.idx AS DOUBLE), 6) AS fitted "
+    f"FROM ps JOIN ({O.fit_full_sql('ps', ['player']).replace('round(slope, 6) AS slope, round(intercept, 6) AS intercept', 'slope, intercept')}) m "
+    "ON m.player = ps.player"))
+def fitted_values(spark, sf_dir):
+    """M6: fitted value of every point under its player's full fit."""
+    s = PL.player_series(_games(spark, sf_dir))
+    m = fit_ops.fit_full(s, ["player"], digits=None)
+    return fit_ops.fitted_values(m, s, ["player"])
+
+
+# -- requests and histories ---------------------------------------------------
+
+def _requests(spark, sf_dir):
+    games = _games(spark, sf_dir)
+    requests, roster, actual = rows_ops.rosters_from_games(games)
+    return games, requests, roster, actual
+
+
+@query("rosters", O.with_base(
+    "SELECT r.request_id, r.side, r.player, r.pts, q.rdate, q.home_abbr, q.away_abbr "
+    "FROM ros r JOIN req q ON q.request_id = r.request_id"))
+def rosters(spark, sf_dir):
+    """Every game as a request: roster per side with the points scored."""
+    _, requests, _, actual = _requests(spark, sf_dir)
+    return actual.join(requests, "request_id")
+
+
+@query("player_history", O.with_base(
+    "SELECT r.request_id, r.side, r.player, h.games, h.pts_sum, h.first_date, h.last_date FROM ros r JOIN "
+    "(SELECT player, COUNT(*) AS games, CAST(SUM(pts) AS BIGINT) AS pts_sum, MIN(date) AS first_date, "
+    "MAX(date) AS last_date FROM pr GROUP BY player) h ON h.player = r.player"))
+def player_history(spark, sf_dir):
+    """history summary of every rostered player of every request."""
+    games, _, roster, _ = _requests(spark, sf_dir)
+    return H.player_history_summary(rows_ops.player_rows(games), roster)
+
+
+@query("team_history", O.with_base(
+    "SELECT abbreviation, game_id, date, tpos, side, score, idx FROM ts"))
+def team_history(spark, sf_dir):
+    """Every team's scores in game order with the game number."""
+    s = PL.team_series(_games(spark, sf_dir))
+    return s.select("abbreviation", "game_id", "date", "tpos", "side", "score", "idx")
+
+
+_PH = ("ph AS (SELECT player, game_id, date, bpos, ppos, pts, home_abbr, away_abbr, "
+       "year(date) AS y, month(date) AS m, day(date) AS d FROM pr)")
+_SEG_SQL = {
+    0: "FROM rp JOIN ph ON ph.player = rp.player AND ph.m = rp.rm AND ph.y < rp.ry AND ph.d <= rp.rd",
+    1: ("FROM rp JOIN ph ON ph.player = rp.player AND ((rp.side = 'home' AND ph.away_abbr = rp.opp) "
+        "OR (rp.side = 'away' AND ph.home_abbr = rp.opp))"),
+    2: "FROM rp JOIN ph ON ph.player = rp.player AND ph.y = rp.ry AND ph.m = rp.rm AND ph.d < rp.rd",
+    3: ("FROM rp JOIN (SELECT *, row_number() OVER (PARTITION BY player ORDER BY date DESC, game_id DESC, "
+        "bpos DESC, ppos DESC) AS rk FROM ph) ph ON ph.player = rp.player AND rp.rd < 7 AND ph.rk <= 23 + rp.rd"),
+}
+_SEG_COLS = "rp.request_id, rp.side, rp.player, ph.game_id, ph.date, ph.bpos, ph.ppos, ph.pts"
+
+
+def _seg_summary_sql(seg: int) -> str:
+    return O.with_base(
+        f"SELECT request_id, side, player, COUNT(*) AS n, CAST(SUM(pts) AS BIGINT) AS pts_sum, "
+        f"MIN(date) AS first_date, MAX(date) AS last_date FROM (SELECT {_SEG_COLS} {_SEG_SQL[seg]}) x "
+        f"GROUP BY request_id, side, player", _PH)
+
+
+def _summary(df: DataFrame, keys=("request_id", "side", "player")) -> DataFrame:
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("pts").cast("bigint").alias("pts_sum"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+
+
+def _context_inputs(spark, sf_dir):
+    games, requests, roster, _ = _requests(spark, sf_dir)
+    return rows_ops.player_rows(games), H.request_players(requests, roster)
+
+
+@query("same_month_history", _seg_summary_sql(0))
+def same_month_history(spark, sf_dir):
+    """Same month of earlier years, up to the request's day."""
+    return _summary(H.same_month_history(*_context_inputs(spark, sf_dir)))
+
+
+@query("opponent_history", _seg_summary_sql(1))
+def opponent_history(spark, sf_dir):
+    """Games against the requested opponent on the other side."""
+    return _summary(H.opponent_history(*_context_inputs(spark, sf_dir)))
+
+
+@query("month_to_date", _seg_summary_sql(2))
+def month_to_date(spark, sf_dir):
+    """Same year and month, before the request's day."""
+    return _summary(H.month_to_date(*_context_inputs(spark, sf_dir)))
+
+
+@query("recent_games", _seg_summary_sql(3))
+def recent_games(spark, sf_dir):
+    """Newest 23 + day games when the request's day is below 7."""
+    return _summary(H.recent_games(*_context_inputs(spark, sf_dir)))
+
+
+_CTX = ",\n".join([_PH, "ctx AS (" + "\nUNION ALL\n".join(
+    f"SELECT {_SEG_COLS}, {s} AS seg {_SEG_SQL[s]}" for s in range(4)) + ")",
+    "cs AS (SELECT *, row_number() OVER (PARTITION BY request_id, side, player ORDER BY seg, "
+    "CASE WHEN seg = 3 THEN -epoch_us(date) ELSE epoch_us(date) END, "
+    "CASE WHEN seg = 3 THEN -game_id ELSE game_id END, CASE WHEN seg = 3 THEN -bpos ELSE bpos END, "
+    "CASE WHEN seg = 3 THEN -ppos ELSE ppos END) - 1 AS idx FROM ctx)"])
+
+
+@query("contextual_history", O.with_base(
+    "SELECT request_id, side, player, seg, COUNT(*) AS n, CAST(SUM(pts) AS BIGINT) AS pts_sum, "
+    "CAST(SUM(idx) AS BIGINT) AS idx_sum, CAST(SUM(idx * pts) AS BIGINT) AS idx_pts "
+    "FROM cs GROUP BY request_id, side, player, seg", _CTX))
+def contextual_history(spark, sf_dir):
+    """The four context segments per request, indexed in series order."""
+    games, requests, roster, _ = _requests(spark, sf_dir)
+    s = PL.context_series(games, requests, roster)
+    return s.groupBy("request_id", "side", "player", "seg").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("pts").cast("bigint").alias("pts_sum"),
+        F.sum("idx").cast("bigint").alias("idx_sum"),
+        F.sum(F.col("idx") * F.col("pts")).cast("bigint").alias("idx_pts"))
+
+
+# -- pipelines ------------------------------------------------------------------
+
+_PRED = "request_id, side, player, n, n_fit, CAST(rep AS INTEGER) AS rep, slope, intercept, rmse, r2, prediction"
+_QUICK_SQL = (f"SELECT r.request_id, r.side, m.*, 0 AS rep FROM ros r JOIN "
+              f"({O.fit_split_sql('ps', ['player'], reg=0.001)}) m ON m.player = r.player")
+_QUICK = O.with_base(f"SELECT {_PRED} FROM ({_QUICK_SQL}) q")
+
+
+def _quick(spark, sf_dir):
+    games, _, roster, _ = _requests(spark, sf_dir)
+    return PL.predict_players(games, roster)
+
+
+@query("predict_quick", _QUICK)
+def predict_quick(spark, sf_dir):
+    """70 % sample + L2 fit per player, forecast for every request."""
+    return _quick(spark, sf_dir)
+
+
+@query("predict_best", O.with_base(
+    f"SELECT {_PRED} FROM (SELECT r.request_id, r.side, m.* FROM ros r JOIN "
+    f"({O.fit_best_sql('ps', ['player'])}) m ON m.player = r.player) q"))
+def predict_best(spark, sf_dir):
+    """Best-of-100 fit per player, forecast for every request."""
+    games, _, roster, _ = _requests(spark, sf_dir)
+    return PL.predict_players_best(games, roster)
+
+
+@query("predict_context", O.with_base(
+    f"SELECT {_PRED} FROM ({O.fit_best_sql('cs', ['request_id', 'side', 'player'])}) q", _CTX))
+def predict_context(spark, sf_dir):
+    """Contextual history per request, best-of-100 fit, forecast."""
+    games, requests, roster, _ = _requests(spark, sf_dir)
+    return PL.predict_players_context(games, requests, roster)
+
+
+_SIDES = ("sd AS (SELECT request_id, 'home' AS side, home_abbr AS abbreviation FROM req "
+          "UNION ALL SELECT request_id, 'away', away_abbr FROM req), "
+          "tsp AS (SELECT abbreviation, idx, score AS pts FROM ts WHERE abbreviation IN (SELECT abbreviation FROM sd))")
+
+
+@query("team_predict", O.with_base(
+    "SELECT request_id, side, abbreviation, n, n_fit, CAST(rep AS INTEGER) AS rep, slope, intercept, rmse, r2, "
+    f"prediction FROM sd JOIN ({O.fit_best_sql('tsp', ['abbreviation'])}) m USING (abbreviation)", _SIDES))
+def team_predict(spark, sf_dir):
+    """Best-of-100 fit of each requested team's scores, forecast."""
+    _, requests, _, _ = _requests(spark, sf_dir)
+    return PL.predict_teams(_games(spark, sf_dir), requests)
+
+
+@query("team_totals", O.with_base(
+    f"SELECT request_id, side, CAST(SUM(floor(prediction + 0.5)) AS BIGINT) AS total, COUNT(*) AS players "
+    f"FROM ({_QUICK_SQL}) q GROUP BY request_id, side"))
+def team_totals(spark, sf_dir):
+    """Predicted team score = sum of rounded player forecasts."""
+    return PL.team_totals(_quick(spark, sf_dir))
+
+
+@query("top20_per_side", O.with_base(
+    f"SELECT {_PRED}, line FROM (SELECT *, row_number() OVER (PARTITION BY request_id, side ORDER BY player) AS line "
+    f"FROM ({_QUICK_SQL}) q) t WHERE line <= 20"))
+def top20_per_side(spark, sf_dir):
+    """At most 20 forecasts per request side, by player name."""
+    return PL.top_per_side(_quick(spark, sf_dir))
+
+
+@query("actual_vs_predicted", O.with_base(
+    "SELECT r.request_id, r.side, r.player, r.pts AS actual, q.prediction, "
+    "CAST(floor(q.prediction + 0.5) AS BIGINT) AS predicted "
+    f"FROM ros r LEFT JOIN ({_QUICK_SQL}) q ON q.request_id = r.request_id AND q.side = r.side AND q.player = r.player"))
+def actual_vs_predicted(spark, sf_dir):
+    """Actual points of each request's game next to the forecast."""
+    games, _, roster, actual = _requests(spark, sf_dir)
+    return PL.actual_vs_predicted(actual, PL.predict_players(games, roster))
+
+
+@query("validate_requests", O.with_base(
+    "SELECT request_id, home_abbr, away_abbr, home_abbr IN (SELECT n_name FROM nation) AS home_ok, "
+    "away_abbr IN (SELECT n_name FROM nation) AS away_ok, "
+    "home_abbr IN (SELECT n_name FROM nation) AND away_abbr IN (SELECT n_name FROM nation) AS valid FROM req"))
+def validate_requests(spark, sf_dir):
+    """Known-team check of every request (nations stand in for teams)."""
+    _, requests, _, _ = _requests(spark, sf_dir)
+    dim = testbed.table(spark, sf_dir, "nation").select(F.col("n_name").alias("abbr"))
+    return PL.validate_requests(requests, dim)
+
+
+# -- search -------------------------------------------------------------------
+
+_SUMMARY_SQL = (
+    "SELECT game_id, date, home_pos, home_abbr, away_abbr, home_score, away_score, "
+    "CAST(home_score > away_score AS INTEGER) AS home_won, CAST(away_score > home_score AS INTEGER) AS away_won, "
+    "CAST((SELECT COUNT(*) FROM lineitem l WHERE l.l_orderkey = g.game_id AND l.l_linestatus = 'F') AS INTEGER) AS home_lines, "
+    "CAST((SELECT COUNT(*) FROM lineitem l WHERE l.l_orderkey = g.game_id AND l.l_linestatus = 'O') AS INTEGER) AS away_lines "
+    "FROM g")
+
+
+@query("search_games", O.with_base(
+    f"SELECT * FROM ({_SUMMARY_SQL}) s WHERE home_abbr = 'NATION_7' AND away_abbr = 'NATION_3' "
+    "AND date >= TIMESTAMP '1995-01-01' AND date < TIMESTAMP '2002-01-01' ORDER BY date, game_id LIMIT 20"))
+def search_games(spark, sf_dir):
+    """First 20 games of a home team against an away team in a date range."""
+    return S.search_games(_games(spark, sf_dir), "NATION_7", "NATION_3", "1995-01-01", "2002-01-01",
+                          project=rows_ops.game_summary)
+
+
+@query("season_games", O.with_base(
+    "SELECT CAST(s.season AS INTEGER) AS season, "
+    "'Temporada ' || lpad(CAST(s.season % 100 AS VARCHAR), 2, '0') || '/' || lpad(CAST((s.season + 1) % 100 AS VARCHAR), 2, '0') AS label, "
+    "CAST(s.season AS VARCHAR) || '-' || CAST(s.season + 1 AS VARCHAR) AS value, "
+    "x.games, x.first_date, x.last_date FROM range(1984, 2013) s(season) JOIN ("
+    "SELECT CASE WHEN month(date) >= 10 THEN year(date) "
+    "WHEN month(date) < 4 OR (month(date) = 4 AND day(date) < 30) THEN year(date) - 1 END AS season, "
+    "COUNT(*) AS games, MIN(date) AS first_date, MAX(date) AS last_date FROM g GROUP BY 1) x "
+    "ON x.season = s.season"))
+def season_games(spark, sf_dir):
+    """Games per season window [1 Oct, 30 Apr)."""
+    return S.season_games(_games(spark, sf_dir))
+
+
+@query("scalar_functions", O.with_base(
+    "SELECT game_id, strftime(date, '%A %-d %B %Y') AS label, "
+    "CAST(date AS DATE) AS day, "
+    "CAST(year(date) AS VARCHAR) || '-' || CAST(month(date) - 1 AS VARCHAR) || '-' || CAST(day(date) AS VARCHAR) AS form_date, "
+    "CAST(floor((home_score - away_score) / 2.0 + 0.5) AS BIGINT) AS half_margin, "
+    "CAST(home_score AS DOUBLE) AS home_score_d, "
+    "home_abbr || '/' || CAST(home_score AS VARCHAR) AS home_line FROM g"))
+def scalar_functions(spark, sf_dir):
+    """Date label, 0-based form date and its parse, half-up rounding, casts, concatenation."""
+    s = rows_ops.game_summary(_games(spark, sf_dir))
+    form = F.concat_ws("-", F.year("date").cast("string"), (F.month("date") - 1).cast("string"),
+                       F.dayofmonth("date").cast("string"))
+    return s.select(
+        "game_id", SF.date_label("date").alias("label"),
+        SF.parse_ymd(form, zero_based_month=True).alias("day"), form.alias("form_date"),
+        SF.round_half_up((F.col("home_score") - F.col("away_score")) / F.lit(2.0)).alias("half_margin"),
+        F.col("home_score").cast("double").alias("home_score_d"),
+        F.concat_ws("/", "home_abbr", F.col("home_score").cast("string")).alias("home_line"))
