@@ -20,6 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 # Sampling constants: a row is in sample `rep` when
 #   (h * A(rep) + B(rep)) mod P < T
@@ -123,25 +124,85 @@ def fit_split(points: DataFrame, keys: Sequence[str], frac: float = 0.7, reg: fl
     return _finish(m, keys)
 
 
+CHUNK = 1 << 14   # points per (series, chunk) group handed to one pre-aggregation run
+
+
+def _rep_partials(keys: list[str], reps: int, threshold: int):
+    """Per-batch pre-aggregation for `rep_sums` (runs inside mapInPandas).
+
+    Rows arrive sorted by (keys, chunk); each run of equal keys is summed for
+    every rep at once: mask (rows x reps) times the six point terms, reduced
+    per run. Integer-valued terms keep every partial sum exact.
+    """
+    import numpy as np
+    import pandas as pd
+
+    r = np.arange(reps, dtype=np.int64)
+    a = 1 + (r * A_MUL) % (P - 1)
+    b = (r * B_MUL) % P
+
+    def run(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            h = pdf["_h"].to_numpy(dtype=np.int64)
+            mask = ((h[:, None] * a[None, :] + b[None, :]) % P) < threshold
+            mask[:, 0] = True
+            k = pdf[keys + ["_chunk"]]
+            change = np.ones(len(pdf), dtype=bool)
+            if len(pdf) > 1:
+                change[1:] = (k.iloc[1:].to_numpy() != k.iloc[:-1].to_numpy()).any(axis=1)
+            starts = np.flatnonzero(change)
+            x = pdf["_x"].to_numpy(dtype=np.float64)[:, None]
+            y = pdf["_y"].to_numpy(dtype=np.float64)[:, None]
+            mf = mask.astype(np.float64)
+            red = lambda v: np.add.reduceat(v, starts, axis=0).ravel()
+            mx, my = mf * x, mf * y
+            n = np.add.reduceat(mask.astype(np.int64), starts, axis=0).ravel()
+            out = {c: np.repeat(pdf[c].to_numpy()[starts], reps) for c in keys}
+            out.update(rep=np.tile(r.astype(np.int32), len(starts)), n=n, sx=red(mx), sy=red(my),
+                       sxx=red(mx * x), sxy=red(mx * y), syy=red(my * y))
+            df = pd.DataFrame(out)
+            yield df[df["n"] > 0]
+    return run
+
+
 def rep_sums(points: DataFrame, keys: Sequence[str], reps: int = 100, frac: float = 0.7,
-             x: str = "idx", y: str = "pts") -> DataFrame:
+             x: str = "idx", y: str = "pts", engine: str = "arrow") -> DataFrame:
     """Sums per (key, rep): rep 0 is the whole series, reps 1..reps-1 are samples.
 
-    Each point is expanded to the reps it belongs to and pre-aggregated in the
-    same stage; the shuffle carries one row per (key, rep) per task. Hashing on
-    (key, rep) also spreads one long series over `reps` reducers.
+    engine="arrow": points are shuffled by (key, idx // CHUNK) and sorted, so
+    every chunk of a series is contiguous and bounded; each Arrow batch is
+    pre-aggregated for all reps at once (numpy), and Spark sums the partials
+    per (key, rep). A long series is split over many chunks and tasks.
+
+    engine="sql": each point is expanded to the reps it belongs to
+    (explode + filter) and pre-aggregated by Spark's partial hash aggregate.
+    Same sums, several times slower; kept as the reference formulation.
     """
     keys = list(keys)
     h = row_hash(keys, x)
-    rep = F.col("rep")
-    ex = (points.select(*keys, x, y, h.alias("_h"),
-                        F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"))
-          .where((rep == 0) | in_sample(F.col("_h"), rep, frac)))
-    return ex.groupBy(*keys, "rep").agg(*sums(x, y))
+    if engine == "sql":
+        rep = F.col("rep")
+        ex = (points.select(*keys, x, y, h.alias("_h"),
+                            F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"))
+              .where((rep == 0) | in_sample(F.col("_h"), rep, frac)))
+        return ex.groupBy(*keys, "rep").agg(*sums(x, y))
+    threshold = int(-(-frac * P // 1))
+    pts = points.select(*keys, F.col(x).cast("bigint").alias("_x"), F.col(y).cast("bigint").alias("_y"),
+                        h.alias("_h"), (F.col(x) / F.lit(CHUNK)).cast("bigint").alias("_chunk"))
+    pts = pts.repartition(*[F.col(k) for k in keys], F.col("_chunk")).sortWithinPartitions(*keys, "_chunk")
+    key_fields = [f for f in pts.schema.fields if f.name in keys]
+    schema = ST.StructType(key_fields + [
+        ST.StructField("rep", ST.IntegerType()), ST.StructField("n", ST.LongType())] + [
+        ST.StructField(c, ST.DoubleType()) for c in ("sx", "sy", "sxx", "sxy", "syy")])
+    partial = pts.mapInPandas(_rep_partials(keys, reps, threshold), schema)
+    return partial.groupBy(*keys, "rep").agg(
+        F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in ("sx", "sy", "sxx", "sxy", "syy")])
 
 
 def fit_best_of(points: DataFrame, keys: Sequence[str], reps: int = 100, frac: float = 0.7,
-                x: str = "idx", y: str = "pts") -> DataFrame:
+                x: str = "idx", y: str = "pts", engine: str = "arrow") -> DataFrame:
     """Start from the full fit, keep a sample fit only if its training
     RMSE is strictly smaller; earliest wins ties (compared at 6 digits).
 
@@ -149,7 +210,7 @@ def fit_best_of(points: DataFrame, keys: Sequence[str], reps: int = 100, frac: f
     rmse, r2, prediction.
     """
     keys = list(keys)
-    s = rep_sums(points, keys, reps, frac, x, y)
+    s = rep_sums(points, keys, reps, frac, x, y, engine)
     m = s.select(*keys, "rep", "n", *model_columns())
     best = m.groupBy(*keys).agg(
         F.max(F.when(F.col("rep") == 0, F.col("n"))).alias("n_all"),

@@ -134,11 +134,38 @@ def recent_games(rows: DataFrame, rp: DataFrame, as_of: bool = False) -> DataFra
 
 def contextual_history(rows: DataFrame, rp: DataFrame, as_of: bool = False) -> DataFrame:
     """Same-month history (seg 0), versus opponent (1), month to date (2)
-    and recent games (3), concatenated; a game in two segments counts twice."""
-    return (_out(same_month_history(rows, rp, as_of), SEG_SAME_MONTH)
-            .unionByName(_out(opponent_history(rows, rp, as_of), SEG_OPPONENT))
-            .unionByName(_out(month_to_date(rows, rp, as_of), SEG_MONTH_TO_DATE))
-            .unionByName(_out(recent_games(rows, rp, as_of), SEG_RECENT)))
+    and recent games (3), concatenated; a game in two segments counts twice.
+
+    Segments 0-2 come from ONE equi-join: every point is keyed once per
+    context it can serve (its month; its home and away team; its year and
+    month), every request player once per segment, and the join runs on
+    (player, seg, key); only the day/year comparisons remain as a filter.
+    Segment 3 joins the per-player top-29 (see `recent_games`).
+    """
+    def key(seg, kside, kint, kstr):
+        return F.struct(F.lit(seg).alias("seg"), kside.alias("kside"),
+                        kint.cast("bigint").alias("kint"), kstr.alias("kstr"))
+
+    star, zero, blank = F.lit("*"), F.lit(0), F.lit("")
+    p = _points(rows)
+    pk = p.select("*", F.explode(F.array(
+        key(SEG_SAME_MONTH, star, F.col("m"), blank),
+        key(SEG_OPPONENT, F.lit("home"), zero, F.col("away_abbr")),
+        key(SEG_OPPONENT, F.lit("away"), zero, F.col("home_abbr")),
+        key(SEG_MONTH_TO_DATE, star, F.col("y") * 100 + F.col("m"), blank))).alias("k"))
+    pk = pk.select("player", *POINT_COLS, "y", "d", "k.*")
+    rk = rp.select("request_id", "side", "player", "rdate", "ry", "rd", F.explode(F.array(
+        key(SEG_SAME_MONTH, star, F.col("rm"), blank),
+        key(SEG_OPPONENT, F.col("side"), zero, F.col("opp")),
+        key(SEG_MONTH_TO_DATE, star, F.col("ry") * 100 + F.col("rm"), blank))).alias("k"))
+    rk = rk.select("request_id", "side", "player", "rdate", "ry", "rd", "k.*")
+    j = rk.join(pk, ["player", "seg", "kside", "kint", "kstr"])
+    seg = F.col("seg")
+    keep = (F.when(seg == SEG_SAME_MONTH, (F.col("y") < F.col("ry")) & (F.col("d") <= F.col("rd")))
+            .when(seg == SEG_MONTH_TO_DATE, F.col("d") < F.col("rd"))
+            .otherwise(F.lit(True)))
+    first = _as_of(j.where(keep), as_of).select("request_id", "side", "player", "seg", *POINT_COLS)
+    return first.unionByName(_out(recent_games(rows, rp, as_of), SEG_RECENT))
 
 
 def context_order() -> list[Column]:

@@ -4,15 +4,15 @@ A plain `row_number() over (partition by key order by ...)` sorts a whole
 series inside one task, so one hot player or team would land on a single
 executor. Instead the index is built in two levels:
 
-  1. rows are hash-partitioned by (key, bucket), where the bucket is a
-     leading part of the order (the game date): a row's rank inside its
-     bucket comes from a window over (key, bucket), spread over many tasks;
-  2. per (key, bucket) counts (one row per bucket, tiny) get a running
-     sum over the buckets of the key, which is the offset of the bucket;
+  1. a bucket is a coarse, order-preserving function of the leading order
+     column (the game date cut into ~monthly steps); a row's rank inside
+     its (key, bucket) comes from a window hash-partitioned by (key, bucket),
+     so a long series is spread over many tasks;
+  2. per (key, bucket) counts (partial + final aggregate, one row per
+     bucket) get a running sum over the buckets of the key: the offset;
   3. index = offset + rank inside the bucket.
 
-The big shuffle happens once (the counts reuse its partitioning); only the
-count table, one row per (key, date), is windowed per key.
+Only the count table, one row per (key, month), is windowed per key.
 """
 
 from __future__ import annotations
@@ -22,33 +22,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+MONTH_MICROS = 30 * 24 * 3600 * 1_000_000
+
 
 def _cols(xs: Sequence[str | Column]) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def time_bucket(col: str | Column, micros: int = MONTH_MICROS) -> Column:
+    """Order-preserving coarse step of a timestamp (or of signed microseconds)."""
+    c = date_micros(col) if isinstance(col, str) else col
+    return F.floor(c / F.lit(micros)).cast("bigint")
+
+
+def date_micros(col: str = "date") -> Column:
+    return F.unix_micros(F.col(col).cast("timestamp"))
+
+
 def with_sequence_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                        n_bucket: int = 1, name: str = "idx") -> DataFrame:
+                        bucket: Sequence[Column] | None = None, name: str = "idx") -> DataFrame:
     """Add `name` = position (0, 1, 2, ...) of each row within `keys` by `order`.
 
-    The first `n_bucket` order expressions form the bucket; they must be plain
-    column names. The order must be unique within a key for a deterministic index.
+    `bucket` expressions must be non-decreasing along `order` (e.g. the month
+    of the leading date); by default the first order column is the bucket.
+    The order must be unique within a key for a deterministic index.
     """
     keys = list(keys)
-    order = list(order)
-    bucket = [o for o in order[:n_bucket]]
-    if not all(isinstance(b, str) for b in bucket):
-        raise ValueError("bucket order columns must be column names")
-    rest = _cols(order[n_bucket:])
-    part = keys + bucket
-    if rest:
-        local = df.withColumn("_r", F.row_number().over(
-            Window.partitionBy(*part).orderBy(*rest)) - 1)
-    else:
-        local = df.withColumn("_r", F.lit(0))
-    counts = local.groupBy(*part).agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(*keys).orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
+    order = _cols(order)
+    if bucket is None:
+        bucket = order[:1]
+    bnames = [f"_b{i}" for i in range(len(bucket))]
+    df = df.select("*", *[b.alias(n) for b, n in zip(bucket, bnames)])
+    part = keys + bnames
+    local = df.withColumn("_r", F.row_number().over(Window.partitionBy(*part).orderBy(*order)) - 1)
+    counts = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*keys).orderBy(*bnames).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*part, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
     return (local.join(offsets, part)
             .withColumn(name, (F.col("_off") + F.col("_r")).cast("bigint"))
-            .drop("_off", "_r"))
+            .drop("_off", "_r", *bnames))

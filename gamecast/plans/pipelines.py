@@ -14,7 +14,8 @@ from ..functions import round_half_up
 from ..operators.fit import fit_best_of, fit_full, fit_split
 from ..operators.history import (contextual_history, context_order, request_players)
 from ..operators.rows import PLAYER_ORDER, TEAM_ORDER, player_rows, team_rows
-from ..operators.sequence import with_sequence_index
+from ..operators.sequence import time_bucket, with_sequence_index
+from ..session import materialize
 
 PLAYER_KEYS = ["request_id", "side", "player"]
 PRED_COLS = ["n", "n_fit", "rep", "slope", "intercept", "rmse", "r2", "prediction"]
@@ -30,7 +31,7 @@ def player_series(games: DataFrame, players: DataFrame | None = None) -> DataFra
     rows = player_rows(games)
     if players is not None:
         rows = rows.join(players.select("player").distinct(), "player", "left_semi")
-    return with_sequence_index(rows, ["player"], PLAYER_ORDER)
+    return with_sequence_index(rows, ["player"], PLAYER_ORDER, bucket=[time_bucket("date")])
 
 
 def team_series(games: DataFrame, abbrs: DataFrame | None = None) -> DataFrame:
@@ -38,7 +39,7 @@ def team_series(games: DataFrame, abbrs: DataFrame | None = None) -> DataFrame:
     rows = team_rows(games)
     if abbrs is not None:
         rows = rows.join(abbrs.select("abbreviation").distinct(), "abbreviation", "left_semi")
-    return with_sequence_index(rows, ["abbreviation"], TEAM_ORDER)
+    return with_sequence_index(rows, ["abbreviation"], TEAM_ORDER, bucket=[time_bucket("date")])
 
 
 def _attach(models: DataFrame, roster: DataFrame) -> DataFrame:
@@ -67,13 +68,16 @@ def predict_players_best(games: DataFrame, roster: DataFrame, reps: int = 100,
 
 
 def context_series(games: DataFrame, requests: DataFrame, roster: DataFrame,
-                   as_of: bool = False) -> DataFrame:
+                   as_of: bool = False, checkpoint: bool = True) -> DataFrame:
     """J1 indexed per (request_id, side, player), ordered by segment."""
     rows = player_rows(games).join(roster.select("player").distinct(), "player", "left_semi")
     rp = request_players(requests, roster)
     hist = contextual_history(rows, rp, as_of).select("*", *context_order())
+    # The history feeds both levels of the index: write it once (reliable
+    # checkpoint in spark.checkpoint.dir), which also cuts the lineage.
+    hist = materialize(hist) if checkpoint else hist
     return with_sequence_index(hist, PLAYER_KEYS, ["seg", "o_date", "o_game", "o_b", "o_p"],
-                               n_bucket=2)
+                               bucket=[F.col("seg"), time_bucket(F.col("o_date"))])
 
 
 def predict_players_context(games: DataFrame, requests: DataFrame, roster: DataFrame,

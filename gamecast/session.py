@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on: UTC wall clock for NTZ arithmetic, AQE for
 # runtime re-planning (broadcast of small shuffled sides, partition coalescing,
@@ -46,3 +46,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     return spark
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write `df` once to the checkpoint folder and continue from there.
+
+    A reliable checkpoint: it survives the loss of executors (unlike a local
+    checkpoint) and cuts the lineage of long plans that are read twice.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
