@@ -17,6 +17,8 @@ from ..operators import history as H
 from ..operators import search as S
 from ..operators import rows as rows_ops
 from ..operators.sequence import with_sequence_index
+from ..sources import requests as RQ
+from ..sources import sinks as SK
 from ..sources import testbed
 from . import oracle as O
 from . import pipelines as PL
@@ -376,3 +378,55 @@ def scalar_functions(spark, sf_dir):
         SF.round_half_up((F.col("home_score") - F.col("away_score")) / F.lit(2.0)).alias("half_margin"),
         F.col("home_score").cast("double").alias("home_score_d"),
         F.concat_ws("/", "home_abbr", F.col("home_score").cast("string")).alias("home_line"))
+
+
+# -- files and streams ------------------------------------------------------------
+
+_ROUNDTRIP = O.with_base(
+    "SELECT request_id, side, line, player, prediction, CAST(floor(prediction + 0.5) AS BIGINT) AS pts FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY request_id, side ORDER BY player) AS line "
+    f"FROM ({_QUICK_SQL}) q) t WHERE line <= 20")
+
+
+def _scratch(spark, sf_dir, what):
+    import uuid
+    from ..session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/{what}/{testbed._fingerprint(sf_dir)}-{uuid.uuid4().hex[:8]}"
+
+
+@query("requests_parse", O.with_base(
+    "SELECT r.request_id, r.side, r.player, CAST(CAST(q.rdate AS DATE) AS TIMESTAMP) AS rdate, q.home_abbr, q.away_abbr "
+    "FROM ros r JOIN req q ON q.request_id = r.request_id"))
+def requests_parse(spark, sf_dir):
+    """A4, K1, K3, K5, K7: every request written as a five-line file and parsed back."""
+    _, requests, roster, _ = _requests(spark, sf_dir)
+    path = _scratch(spark, sf_dir, "requests")
+    RQ.write_requests(RQ.render_requests(requests, roster), path)
+    parsed = RQ.read_requests(spark, path)
+    return RQ.roster_table(parsed).join(RQ.requests_table(parsed), "request_id")
+
+
+@query("predictions_roundtrip", _ROUNDTRIP)
+def predictions_roundtrip(spark, sf_dir):
+    """Forecasts written as prediction files and read back."""
+    path = _scratch(spark, sf_dir, "predictions")
+    SK.write_predictions(_quick(spark, sf_dir), path)
+    return RQ.read_predictions(spark, path)
+
+
+@query("predictions_json")
+def predictions_json(spark, sf_dir):
+    """The JSON response of every request."""
+    return SK.to_response(PL.top_per_side(_quick(spark, sf_dir)))
+
+
+@query("stream_scoring", _ROUNDTRIP)
+def stream_scoring(spark, sf_dir):
+    """L1: request files scored by a Structured Streaming job (availableNow)."""
+    from ..streaming import score_request_stream
+    games, requests, roster, _ = _requests(spark, sf_dir)
+    base = _scratch(spark, sf_dir, "stream")
+    RQ.write_requests(RQ.render_requests(requests, roster), f"{base}/in")
+    q = score_request_stream(spark, f"{base}/in", games, f"{base}/out", checkpoint=f"{base}/checkpoint")
+    q.awaitTermination()
+    return RQ.read_predictions(spark, f"{base}/out")
