@@ -54,10 +54,14 @@ def player_rows(games: DataFrame, players: Iterable[str] | None = None,
                              lambda p: p["player"].isin(names)))
     team = F.get(F.col("teams"), F.col("bpos"))
     other = F.get(F.col("teams"), 1 - F.col("bpos"))
+    # Game-level fields are projected before the second explode, so generated
+    # player rows carry only flat columns (not the box or the teams array).
     g = g.select("game_id", "date", "bpos", "home_abbr", "away_abbr",
                  team["home"].alias("home"), team["abbreviation"].alias("team"),
                  other["abbreviation"].alias("opponent"), F.col("b.won").alias("won"),
-                 F.posexplode("b.players").alias("ppos", "p"))
+                 F.col("b.players").alias("players"))
+    g = g.select("game_id", "date", "bpos", "home_abbr", "away_abbr", "home", "team", "opponent", "won",
+                 F.posexplode("players").alias("ppos", "p"))
     if names is not None:
         g = g.where(F.col("p.player").isin(names))
     extra = [F.col(f"p.{f.name}").alias(f.name) for f in LINE_FIELDS if f.name != "pts"] if stats else []

@@ -31,7 +31,10 @@ def _records(raw: DataFrame) -> DataFrame:
     path = F.col("_metadata.file_path")
     bundle = value.startswith("#")
     recs = F.when(bundle, F.split(F.substring(value, 2, 1 << 30), "\n#")).otherwise(F.array(value))
-    x = raw.select(path.alias("source"), bundle.alias("_bundle"), F.explode(recs).alias("_rec"))
+    # The array is built before the explode so that generated rows do not
+    # carry the whole file text along.
+    y = raw.select(path.alias("source"), bundle.alias("_bundle"), recs.alias("_recs"))
+    x = y.select("source", "_bundle", F.explode("_recs").alias("_rec"))
     head = F.substring_index("_rec", "\n", 1)
     return x.select(
         F.when(F.col("_bundle"), F.trim(head).cast("bigint"))
