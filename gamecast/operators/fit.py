@@ -130,9 +130,11 @@ CHUNK = 1 << 14   # points per (series, chunk) group handed to one pre-aggregati
 def _rep_partials(keys: list[str], reps: int, threshold: int):
     """Per-batch pre-aggregation for `rep_sums` (runs inside mapInPandas).
 
-    Rows arrive sorted by (keys, chunk); each run of equal keys is summed for
-    every rep at once: mask (rows x reps) times the six point terms, reduced
-    per run. Integer-valued terms keep every partial sum exact.
+    Rows arrive sorted by (keys, chunk). For every run of equal keys the sums
+    of all reps come from one product: mask(reps x rows) @ terms(rows x 6),
+    with terms (1, x, y, x^2, xy, y^2). Terms are whole numbers, so every sum
+    is exact; the mask uses exact integer arithmetic modulo the Mersenne
+    prime P (x mod P = (x & P) + (x >> 31), folded).
     """
     import numpy as np
     import pandas as pd
@@ -140,28 +142,43 @@ def _rep_partials(keys: list[str], reps: int, threshold: int):
     r = np.arange(reps, dtype=np.int64)
     a = 1 + (r * A_MUL) % (P - 1)
     b = (r * B_MUL) % P
+    rep_col = r.astype(np.int32)
+
+    def mask_of(h):
+        t = np.multiply(h[:, None], a[None, :])             # < 2^62
+        t += b[None, :]
+        lo = np.bitwise_and(t, P)
+        t >>= 31
+        t += lo                                              # < 2^32 + 1
+        np.bitwise_and(t, P, out=lo)
+        t >>= 31
+        t += lo                                              # <= P + 2
+        m = (t < threshold) | (t >= P)                       # t >= P: t - P in {0, 1, 2}
+        m[:, 0] = True
+        return m
 
     def run(batches):
         for pdf in batches:
             if pdf.empty:
                 continue
             h = pdf["_h"].to_numpy(dtype=np.int64)
-            mask = ((h[:, None] * a[None, :] + b[None, :]) % P) < threshold
-            mask[:, 0] = True
             k = pdf[keys + ["_chunk"]]
             change = np.ones(len(pdf), dtype=bool)
             if len(pdf) > 1:
                 change[1:] = (k.iloc[1:].to_numpy() != k.iloc[:-1].to_numpy()).any(axis=1)
             starts = np.flatnonzero(change)
-            x = pdf["_x"].to_numpy(dtype=np.float64)[:, None]
-            y = pdf["_y"].to_numpy(dtype=np.float64)[:, None]
-            mf = mask.astype(np.float64)
-            red = lambda v: np.add.reduceat(v, starts, axis=0).ravel()
-            mx, my = mf * x, mf * y
-            n = np.add.reduceat(mask.astype(np.int64), starts, axis=0).ravel()
+            ends = np.append(starts[1:], len(pdf))
+            x = pdf["_x"].to_numpy(dtype=np.float64)
+            y = pdf["_y"].to_numpy(dtype=np.float64)
+            terms = np.column_stack([np.ones_like(x), x, y, x * x, x * y, y * y])
+            mt = mask_of(h).T.astype(np.float64)             # reps x rows
+            sums = np.empty((len(starts), reps, 6))
+            for g, (s0, s1) in enumerate(zip(starts, ends)):
+                sums[g] = mt[:, s0:s1] @ terms[s0:s1]
+            sums = sums.reshape(-1, 6)
             out = {c: np.repeat(pdf[c].to_numpy()[starts], reps) for c in keys}
-            out.update(rep=np.tile(r.astype(np.int32), len(starts)), n=n, sx=red(mx), sy=red(my),
-                       sxx=red(mx * x), sxy=red(mx * y), syy=red(my * y))
+            out.update(rep=np.tile(rep_col, len(starts)), n=sums[:, 0].astype(np.int64),
+                       sx=sums[:, 1], sy=sums[:, 2], sxx=sums[:, 3], sxy=sums[:, 4], syy=sums[:, 5])
             df = pd.DataFrame(out)
             yield df[df["n"] > 0]
     return run
