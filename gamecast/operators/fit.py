@@ -127,14 +127,38 @@ def fit_split(points: DataFrame, keys: Sequence[str], frac: float = 0.7, reg: fl
 CHUNK = 1 << 14   # points per (series, chunk) group handed to one pre-aggregation run
 
 
-def _rep_partials(keys: list[str], reps: int, threshold: int):
-    """Per-batch pre-aggregation for `rep_sums` (runs inside mapInPandas).
-
-    Rows arrive sorted by (keys, chunk). For every run of equal keys the sums
-    of all reps come from one product: mask(reps x rows) @ terms(rows x 6),
-    with terms (1, x, y, x^2, xy, y^2). Terms are whole numbers, so every sum
-    is exact; the mask uses exact integer arithmetic modulo the Mersenne
-    prime P (x mod P = (x & P) + (x >> 31), folded).
+def _round6_keys(v):
+    """Exact round(v, 6) half up as an integer (v * 10^6), like Spark's round on
+    a double (decimal expansion); a decimal fallback settles near-halves."""
+    import decimal
+
+    import numpy as np
+    r = v * 1e6
+    k = np.floor(r)
+    frac = r - k
+    out = (k + (frac > 0.5)).astype(np.int64)
+    near = np.flatnonzero(np.abs(frac - 0.5) < 1e-6)
+    for i in near:
+        d = decimal.Decimal(float(v.flat[i])).quantize(decimal.Decimal("1e-6"), rounding=decimal.ROUND_HALF_UP)
+        out.flat[i] = int(d.scaleb(6))
+    return out
+
+
+def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_size: int = CHUNK):
+    """Per-partition kernel for `rep_sums` (runs inside mapInPandas).
+
+    Rows arrive sorted by (keys, chunk, x); a run of equal (keys, chunk) may
+    span Arrow batches and is carried over until it ends. For each run the
+    sums of all reps come from one product: mask(reps x rows) @ terms(rows x 6),
+    with terms (1, x, y, x^2, xy, y^2); terms are whole numbers, so every sum
+    is exact. The mask uses exact integer arithmetic modulo the Mersenne prime
+    P (x mod P = (x & P) + (x >> 31), folded).
+
+    With `dense` (x is the 0..n-1 position of the series), a chunk-0 run
+    shorter than CHUNK is the whole series: the best rep is chosen here with
+    the same floating-point formula and exact 6-digit rounding as the Spark
+    path, and one row is emitted (kind 0). Other runs emit their partial sums
+    for every rep (kind 1), summed by Spark.
     """
     import numpy as np
     import pandas as pd
@@ -157,84 +181,149 @@ def _rep_partials(keys: list[str], reps: int, threshold: int):
         m[:, 0] = True
         return m
 
+    def best(sums):
+        """(G, reps, 6) sums -> index of the kept rep per run."""
+        n, sx, sy, sxx, sxy, syy = (sums[..., i] for i in range(6))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            dxx = n * sxx - sx * sx
+            dxy = n * sxy - sx * sy
+            dyy = n * syy - sy * sy
+            slope = np.where((dxx > 0) & (dyy > 0), dxy / dxx, 0.0)
+            sse = np.maximum((dyy - 2.0 * slope * dxy + slope * slope * dxx) / n, 0.0)
+            rmse = np.sqrt(sse / n)
+        key = np.where(n > 0, _round6_keys(np.where(n > 0, rmse, 0.0)), np.iinfo(np.int64).max)
+        return np.argmin(key, axis=1)          # first minimum = smallest rep among ties
+
+    def emit(pdf, starts, ends):
+        h = pdf["_h"].to_numpy(dtype=np.int64)
+        x = pdf["_x"].to_numpy(dtype=np.float64)
+        y = pdf["_y"].to_numpy(dtype=np.float64)
+        terms = np.column_stack([np.ones_like(x), x, y, x * x, x * y, y * y])
+        mt = mask_of(h).T.astype(np.float64)                 # reps x rows
+        sums = np.empty((len(starts), reps, 6))
+        for g, (s0, s1) in enumerate(zip(starts, ends)):
+            sums[g] = mt[:, s0:s1] @ terms[s0:s1]
+        length = ends - starts
+        chunk = pdf["_chunk"].to_numpy()[starts]
+        whole = np.zeros(len(starts), dtype=bool)
+        if dense:
+            whole = (chunk == 0) & (length < chunk_size) & (x[ends - 1] == length - 1)
+        parts = []
+        if whole.any():
+            g = np.flatnonzero(whole)
+            pick = best(sums[g])
+            sel = sums[g, pick]
+            d = {c: pdf[c].to_numpy()[starts[g]] for c in keys}
+            d.update(kind=np.zeros(len(g), np.int32), rep=rep_col[pick], n_all=length[g].astype(np.int64),
+                     n=sel[:, 0].astype(np.int64), sx=sel[:, 1], sy=sel[:, 2], sxx=sel[:, 3],
+                     sxy=sel[:, 4], syy=sel[:, 5])
+            parts.append(pd.DataFrame(d))
+        if (~whole).any():
+            g = np.flatnonzero(~whole)
+            sel = sums[g].reshape(-1, 6)
+            d = {c: np.repeat(pdf[c].to_numpy()[starts[g]], reps) for c in keys}
+            d.update(kind=np.ones(len(sel), np.int32), rep=np.tile(rep_col, len(g)),
+                     n_all=np.zeros(len(sel), np.int64), n=sel[:, 0].astype(np.int64),
+                     sx=sel[:, 1], sy=sel[:, 2], sxx=sel[:, 3], sxy=sel[:, 4], syy=sel[:, 5])
+            df = pd.DataFrame(d)
+            parts.append(df[df["n"] > 0])
+        return pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
+
     def run(batches):
+        pending = None
         for pdf in batches:
+            if pending is not None:
+                pdf = pd.concat([pending, pdf], ignore_index=True)
             if pdf.empty:
                 continue
-            h = pdf["_h"].to_numpy(dtype=np.int64)
             k = pdf[keys + ["_chunk"]]
             change = np.ones(len(pdf), dtype=bool)
             if len(pdf) > 1:
                 change[1:] = (k.iloc[1:].to_numpy() != k.iloc[:-1].to_numpy()).any(axis=1)
             starts = np.flatnonzero(change)
             ends = np.append(starts[1:], len(pdf))
-            x = pdf["_x"].to_numpy(dtype=np.float64)
-            y = pdf["_y"].to_numpy(dtype=np.float64)
-            terms = np.column_stack([np.ones_like(x), x, y, x * x, x * y, y * y])
-            mt = mask_of(h).T.astype(np.float64)             # reps x rows
-            sums = np.empty((len(starts), reps, 6))
-            for g, (s0, s1) in enumerate(zip(starts, ends)):
-                sums[g] = mt[:, s0:s1] @ terms[s0:s1]
-            sums = sums.reshape(-1, 6)
-            out = {c: np.repeat(pdf[c].to_numpy()[starts], reps) for c in keys}
-            out.update(rep=np.tile(rep_col, len(starts)), n=sums[:, 0].astype(np.int64),
-                       sx=sums[:, 1], sy=sums[:, 2], sxx=sums[:, 3], sxy=sums[:, 4], syy=sums[:, 5])
-            df = pd.DataFrame(out)
-            yield df[df["n"] > 0]
+            # the last run may continue in the next batch: hold it back
+            pending = pdf.iloc[starts[-1]:].reset_index(drop=True)
+            if len(starts) > 1:
+                yield emit(pdf, starts[:-1], ends[:-1])
+        if pending is not None and not pending.empty:
+            yield emit(pending, np.array([0]), np.array([len(pending)]))
     return run
 
 
 def rep_sums(points: DataFrame, keys: Sequence[str], reps: int = 100, frac: float = 0.7,
-             x: str = "idx", y: str = "pts", engine: str = "arrow") -> DataFrame:
+             x: str = "idx", y: str = "pts", engine: str = "arrow",
+             dense_index: bool = False) -> DataFrame:
     """Sums per (key, rep): rep 0 is the whole series, reps 1..reps-1 are samples.
 
-    engine="arrow": points are shuffled by (key, idx // CHUNK) and sorted, so
-    every chunk of a series is contiguous and bounded; each Arrow batch is
-    pre-aggregated for all reps at once (numpy), and Spark sums the partials
-    per (key, rep). A long series is split over many chunks and tasks.
-
     engine="sql": each point is expanded to the reps it belongs to
     (explode + filter) and pre-aggregated by Spark's partial hash aggregate.
-    Same sums, several times slower; kept as the reference formulation.
+
+    engine="arrow": points are shuffled by (key, x // CHUNK) and sorted, so
+    every chunk of a series is contiguous and bounded; each chunk is summed
+    for all reps at once in an Arrow batch kernel, and Spark sums the chunk
+    partials per (key, rep). A long series is split over many chunks/tasks.
+    Same sums as the SQL formulation, several times faster.
     """
     keys = list(keys)
-    h = row_hash(keys, x)
     if engine == "sql":
+        h = row_hash(keys, x)
         rep = F.col("rep")
         ex = (points.select(*keys, x, y, h.alias("_h"),
                             F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"))
               .where((rep == 0) | in_sample(F.col("_h"), rep, frac)))
         return ex.groupBy(*keys, "rep").agg(*sums(x, y))
+    part = _arrow_partials(points, keys, reps, frac, x, y, dense=False)
+    return part.groupBy(*keys, "rep").agg(
+        F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in ("sx", "sy", "sxx", "sxy", "syy")])
+
+
+def _arrow_partials(points: DataFrame, keys: list[str], reps: int, frac: float, x: str, y: str,
+                    dense: bool, chunk: int = CHUNK) -> DataFrame:
     threshold = int(-(-frac * P // 1))
+    h = row_hash(keys, x)
     pts = points.select(*keys, F.col(x).cast("bigint").alias("_x"), F.col(y).cast("bigint").alias("_y"),
-                        h.alias("_h"), (F.col(x) / F.lit(CHUNK)).cast("bigint").alias("_chunk"))
-    pts = pts.repartition(*[F.col(k) for k in keys], F.col("_chunk")).sortWithinPartitions(*keys, "_chunk")
+                        h.alias("_h"), (F.col(x) / F.lit(chunk)).cast("bigint").alias("_chunk"))
+    pts = (pts.repartition(*[F.col(k) for k in keys], F.col("_chunk"))
+           .sortWithinPartitions(*keys, "_chunk", "_x"))
     key_fields = [f for f in pts.schema.fields if f.name in keys]
     schema = ST.StructType(key_fields + [
-        ST.StructField("rep", ST.IntegerType()), ST.StructField("n", ST.LongType())] + [
+        ST.StructField("kind", ST.IntegerType()), ST.StructField("rep", ST.IntegerType()),
+        ST.StructField("n_all", ST.LongType()), ST.StructField("n", ST.LongType())] + [
         ST.StructField(c, ST.DoubleType()) for c in ("sx", "sy", "sxx", "sxy", "syy")])
-    partial = pts.mapInPandas(_rep_partials(keys, reps, threshold), schema)
-    return partial.groupBy(*keys, "rep").agg(
-        F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in ("sx", "sy", "sxx", "sxy", "syy")])
+    return pts.mapInPandas(_rep_kernel(keys, reps, threshold, dense, chunk), schema)
 
 
 def fit_best_of(points: DataFrame, keys: Sequence[str], reps: int = 100, frac: float = 0.7,
-                x: str = "idx", y: str = "pts", engine: str = "arrow") -> DataFrame:
+                x: str = "idx", y: str = "pts", engine: str = "arrow",
+                dense_index: bool = True, chunk: int = CHUNK) -> DataFrame:
     """Start from the full fit, keep a sample fit only if its training
     RMSE is strictly smaller; earliest wins ties (compared at 6 digits).
 
+    `dense_index`: x is the 0..n-1 position of each series (as made by
+    `with_sequence_index`); lets the Arrow kernel finish whole series itself.
     Output: keys, rep (0 = full fit), n (all points), n_fit, slope, intercept,
     rmse, r2, prediction.
     """
     keys = list(keys)
-    s = rep_sums(points, keys, reps, frac, x, y, engine)
-    m = s.select(*keys, "rep", "n", *model_columns())
-    best = m.groupBy(*keys).agg(
+    pick = lambda m: m.groupBy(*keys).agg(
         F.max(F.when(F.col("rep") == 0, F.col("n"))).alias("n_all"),
         F.min(F.struct(F.round("rmse", DIGITS).alias("k"), "rep", F.col("n").alias("n_fit"),
-                       "slope", "intercept", "rmse", "r2")).alias("b"))
-    best = best.select(*keys, "n_all", "b.rep", "b.n_fit", "b.slope", "b.intercept", "b.rmse", "b.r2")
-    return _finish(best, keys, extra=["rep"])
+                       "slope", "intercept", "rmse", "r2")).alias("b")
+    ).select(*keys, "n_all", "b.rep", "b.n_fit", "b.slope", "b.intercept", "b.rmse", "b.r2")
+    if engine == "sql":
+        s = rep_sums(points, keys, reps, frac, x, y, engine)
+        best = pick(s.select(*keys, "rep", "n", *model_columns()))
+        return _finish(best, keys, extra=["rep"])
+    part = _arrow_partials(points, keys, reps, frac, x, y, dense=dense_index, chunk=chunk)
+    whole = (part.where(F.col("kind") == 0)
+             .select(*keys, "rep", "n_all", F.col("n").alias("n_fit"), "n", *model_columns())
+             .drop("n"))
+    long = (part.where(F.col("kind") == 1).groupBy(*keys, "rep").agg(
+        F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in ("sx", "sy", "sxx", "sxy", "syy")]))
+    best = pick(long.select(*keys, "rep", "n", *model_columns()))
+    cols = [*keys, "rep", "n_all", "n_fit", "slope", "intercept", "rmse", "r2"]
+    return _finish(whole.select(*cols).unionByName(best.select(*cols)), keys, extra=["rep"])
 
 
 def fitted_values(models: DataFrame, points: DataFrame, keys: Sequence[str],

@@ -82,6 +82,18 @@ def test_best_of_engines_agree_and_rule(spark):
     assert best["b"].n == 14
 
 
+def test_best_of_chunked_series_agree(spark):
+    import random
+    rnd = random.Random(7)
+    series = {f"s{i}": [rnd.randint(0, 40) for _ in range(rnd.randint(1, 30))] for i in range(12)}
+    pts = _points(spark, series)
+    ref = FT.fit_best_of(pts, ["player"], engine="sql")
+    for chunk in (4, 7, 1 << 14):
+        for dense in (True, False):
+            got = FT.fit_best_of(pts, ["player"], chunk=chunk, dense_index=dense)
+            assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
 def test_sequence_index_matches_row_number(spark):
     import datetime as dt
     base = dt.datetime(2010, 1, 1)
