@@ -157,8 +157,9 @@ def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_s
     With `dense` (x is the 0..n-1 position of the series), a chunk-0 run
     shorter than CHUNK is the whole series: the best rep is chosen here with
     the same floating-point formula and exact 6-digit rounding as the Spark
-    path, and one row is emitted (kind 0). Other runs emit their partial sums
-    for every rep (kind 1), summed by Spark.
+    path, and one row is emitted (that rep, n_all = series length). Other
+    runs emit their partial sums for every rep (n_all = count on rep 0),
+    summed by Spark.
     """
     import numpy as np
     import pandas as pd
@@ -168,16 +169,29 @@ def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_s
     b = (r * B_MUL) % P
     rep_col = r.astype(np.int32)
 
+    bufs: dict = {}
+
+    def buf(name, rows, dtype):
+        arr = bufs.get(name)
+        if arr is None or arr.shape[0] < rows:
+            arr = bufs[name] = np.empty((max(rows, 1 << 14), reps), dtype)
+        return arr[:rows]
+
     def mask_of(h):
-        t = np.multiply(h[:, None], a[None, :])             # < 2^62
+        """rows x reps membership; buffers are reused across batches."""
+        t, lo = buf("t", len(h), np.int64), buf("lo", len(h), np.int64)
+        np.multiply(h[:, None], a[None, :], out=t)           # < 2^62
         t += b[None, :]
-        lo = np.bitwise_and(t, P)
+        np.bitwise_and(t, P, out=lo)
         t >>= 31
         t += lo                                              # < 2^32 + 1
         np.bitwise_and(t, P, out=lo)
         t >>= 31
         t += lo                                              # <= P + 2
-        m = (t < threshold) | (t >= P)                       # t >= P: t - P in {0, 1, 2}
+        m, m2 = buf("m", len(h), np.bool_), buf("m2", len(h), np.bool_)
+        np.less(t, threshold, out=m)
+        np.greater_equal(t, P, out=m2)                       # t >= P: t - P in {0, 1, 2}
+        m |= m2
         m[:, 0] = True
         return m
 
@@ -214,7 +228,7 @@ def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_s
             pick = best(sums[g])
             sel = sums[g, pick]
             d = {c: pdf[c].to_numpy()[starts[g]] for c in keys}
-            d.update(kind=np.zeros(len(g), np.int32), rep=rep_col[pick], n_all=length[g].astype(np.int64),
+            d.update(rep=rep_col[pick], n_all=length[g].astype(np.int64),
                      n=sel[:, 0].astype(np.int64), sx=sel[:, 1], sy=sel[:, 2], sxx=sel[:, 3],
                      sxy=sel[:, 4], syy=sel[:, 5])
             parts.append(pd.DataFrame(d))
@@ -222,8 +236,9 @@ def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_s
             g = np.flatnonzero(~whole)
             sel = sums[g].reshape(-1, 6)
             d = {c: np.repeat(pdf[c].to_numpy()[starts[g]], reps) for c in keys}
-            d.update(kind=np.ones(len(sel), np.int32), rep=np.tile(rep_col, len(g)),
-                     n_all=np.zeros(len(sel), np.int64), n=sel[:, 0].astype(np.int64),
+            reps_of = np.tile(rep_col, len(g))
+            d.update(rep=reps_of, n_all=np.where(reps_of == 0, sel[:, 0], 0).astype(np.int64),
+                     n=sel[:, 0].astype(np.int64),
                      sx=sel[:, 1], sy=sel[:, 2], sxx=sel[:, 3], sxy=sel[:, 4], syy=sel[:, 5])
             df = pd.DataFrame(d)
             parts.append(df[df["n"] > 0])
@@ -288,7 +303,7 @@ def _arrow_partials(points: DataFrame, keys: list[str], reps: int, frac: float,
            .sortWithinPartitions(*keys, "_chunk", "_x"))
     key_fields = [f for f in pts.schema.fields if f.name in keys]
     schema = ST.StructType(key_fields + [
-        ST.StructField("kind", ST.IntegerType()), ST.StructField("rep", ST.IntegerType()),
+        ST.StructField("rep", ST.IntegerType()),
         ST.StructField("n_all", ST.LongType()), ST.StructField("n", ST.LongType())] + [
         ST.StructField(c, ST.DoubleType()) for c in ("sx", "sy", "sxx", "sxy", "syy")])
     return pts.mapInPandas(_rep_kernel(keys, reps, threshold, dense, chunk), schema)
@@ -306,24 +321,25 @@ def fit_best_of(points: DataFrame, keys: Sequence[str], reps: int = 100, frac: f
     rmse, r2, prediction.
     """
     keys = list(keys)
-    pick = lambda m: m.groupBy(*keys).agg(
-        F.max(F.when(F.col("rep") == 0, F.col("n"))).alias("n_all"),
+    pick = lambda m, n_all: m.groupBy(*keys).agg(
+        n_all.alias("n_all"),
         F.min(F.struct(F.round("rmse", DIGITS).alias("k"), "rep", F.col("n").alias("n_fit"),
                        "slope", "intercept", "rmse", "r2")).alias("b")
     ).select(*keys, "n_all", "b.rep", "b.n_fit", "b.slope", "b.intercept", "b.rmse", "b.r2")
     if engine == "sql":
         s = rep_sums(points, keys, reps, frac, x, y, engine)
-        best = pick(s.select(*keys, "rep", "n", *model_columns()))
+        best = pick(s.select(*keys, "rep", "n", *model_columns()),
+                    F.max(F.when(F.col("rep") == 0, F.col("n"))))
         return _finish(best, keys, extra=["rep"])
+    # One aggregation serves both kernel outputs: a whole series arrives as
+    # one (key, best rep) row with its length in n_all; a long series as
+    # per-chunk partial rows for every rep (n_all = count on rep 0).
     part = _arrow_partials(points, keys, reps, frac, x, y, dense=dense_index, chunk=chunk)
-    whole = (part.where(F.col("kind") == 0)
-             .select(*keys, "rep", "n_all", F.col("n").alias("n_fit"), "n", *model_columns())
-             .drop("n"))
-    long = (part.where(F.col("kind") == 1).groupBy(*keys, "rep").agg(
-        F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in ("sx", "sy", "sxx", "sxy", "syy")]))
-    best = pick(long.select(*keys, "rep", "n", *model_columns()))
-    cols = [*keys, "rep", "n_all", "n_fit", "slope", "intercept", "rmse", "r2"]
-    return _finish(whole.select(*cols).unionByName(best.select(*cols)), keys, extra=["rep"])
+    s = part.groupBy(*keys, "rep").agg(
+        F.sum("n_all").alias("n_all"), F.sum("n").alias("n"),
+        *[F.sum(c).alias(c) for c in ("sx", "sy", "sxx", "sxy", "syy")])
+    best = pick(s.select(*keys, "rep", "n", "n_all", *model_columns()), F.max("n_all"))
+    return _finish(best, keys, extra=["rep"])
 
 
 def fitted_values(models: DataFrame, points: DataFrame, keys: Sequence[str],
