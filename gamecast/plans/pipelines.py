@@ -72,7 +72,9 @@ def context_series(games: DataFrame, requests: DataFrame, roster: DataFrame,
     """J1 indexed per (request_id, side, player), ordered by segment."""
     rows = player_rows(games).join(roster.select("player").distinct(), "player", "left_semi")
     rp = request_players(requests, roster)
-    hist = contextual_history(rows, rp, as_of).select("*", *context_order())
+    # date, bpos and ppos are encoded in the order columns: keep the rows narrow.
+    hist = (contextual_history(rows, rp, as_of)
+            .select(*PLAYER_KEYS, "seg", "game_id", "pts", *context_order()))
     # The history feeds both levels of the index: write it once (reliable
     # checkpoint in spark.checkpoint.dir), which also cuts the lineage.
     hist = materialize(hist) if checkpoint else hist
