@@ -27,7 +27,7 @@ def main() -> None:
     from gamecast.plans.queries import QUERIES
     from gamecast.session import local_session
     from gamecast.sources import testbed
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
                           app="gamecast-bench", driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
     times = {}
     t0 = time.time()

@@ -82,9 +82,11 @@ def season_games(games: DataFrame, seasons: DataFrame | None = None) -> DataFram
     the (fixed-size, broadcast) season table is joined; no range join.
     """
     spark = games.sparkSession
-    seasons = seasons if seasons is not None else seasons_dim(spark)
+    # The built-in dimension has 29 rows: broadcast. A caller's table is left
+    # to AQE, which broadcasts on measured size.
+    seasons = F.broadcast(seasons_dim(spark)) if seasons is None else seasons
     per = (games.select(season_of("date").alias("season"), "date")
            .where(F.col("season").isNotNull())
            .groupBy("season").agg(F.count(F.lit(1)).alias("games"),
                                  F.min("date").alias("first_date"), F.max("date").alias("last_date")))
-    return F.broadcast(seasons.select("season", "label", "value")).join(per, "season")
+    return seasons.select("season", "label", "value").join(per, "season")

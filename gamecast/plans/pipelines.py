@@ -128,9 +128,11 @@ def actual_vs_predicted(actual: DataFrame, preds: DataFrame) -> DataFrame:
 
 
 def validate_requests(requests: DataFrame, teams: DataFrame) -> DataFrame:
-    """Known-team flags per request, by exact membership in `teams(abbr)`
-    (a dimension of fixed, small size: broadcast)."""
-    dim = F.broadcast(teams.select(F.col("abbr")).distinct())
+    """Known-team flags per request, by exact membership in `teams(abbr)`.
+
+    No broadcast hint: the dimension is the caller's table. AQE broadcasts it
+    at runtime when its measured size is small (30 teams)."""
+    dim = teams.select(F.col("abbr")).distinct()
     h = dim.select(F.col("abbr").alias("home_abbr"), F.lit(True).alias("home_ok"))
     a = dim.select(F.col("abbr").alias("away_abbr"), F.lit(True).alias("away_ok"))
     r = requests.join(h, "home_abbr", "left").join(a, "away_abbr", "left")
