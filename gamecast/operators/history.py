@@ -21,6 +21,11 @@ SEG_SAME_MONTH, SEG_OPPONENT, SEG_MONTH_TO_DATE, SEG_RECENT = 0, 1, 2, 3
 POINT_COLS = ["game_id", "date", "bpos", "ppos", "pts"]
 
 
+def _pcols(df: DataFrame) -> list[str]:
+    """Point columns, plus the player's own series index `pidx` when present."""
+    return POINT_COLS + (["pidx"] if "pidx" in df.columns else [])
+
+
 def request_players(requests: DataFrame, roster: DataFrame, as_of: bool = False) -> DataFrame:
     """(request_id, side, player) with the request's date parts and opponent.
 
@@ -37,7 +42,7 @@ def request_players(requests: DataFrame, roster: DataFrame, as_of: bool = False)
 
 
 def _points(rows: DataFrame) -> DataFrame:
-    return rows.select("player", *POINT_COLS, "home_abbr", "away_abbr",
+    return rows.select("player", *_pcols(rows), "home_abbr", "away_abbr",
                        F.year("date").alias("y"), F.month("date").alias("m"),
                        F.dayofmonth("date").alias("d"))
 
@@ -46,7 +51,7 @@ def _out(df: DataFrame, seg: int | None = None) -> DataFrame:
     cols = ["request_id", "side", "player"]
     if seg is not None:
         cols.append(F.lit(seg).alias("seg"))
-    return df.select(*cols, *POINT_COLS)
+    return df.select(*cols, *_pcols(df))
 
 
 def _as_of(df: DataFrame, as_of: bool) -> DataFrame:
@@ -95,7 +100,7 @@ def opponent_history(rows: DataFrame, rp: DataFrame, as_of: bool = False) -> Dat
 def _dated_join(rp: DataFrame, rows: DataFrame, cond) -> DataFrame:
     r, p = rp.alias("r"), _points(rows).alias("p")
     j = r.join(p, (F.col("r.player") == F.col("p.player")) & cond)
-    return j.select("r.request_id", "r.side", "r.player", "r.rdate", *[f"p.{c}" for c in POINT_COLS])
+    return j.select("r.request_id", "r.side", "r.player", "r.rdate", *[f"p.{c}" for c in _pcols(rows)])
 
 
 def month_to_date(rows: DataFrame, rp: DataFrame, as_of: bool = False) -> DataFrame:
@@ -119,7 +124,7 @@ def newest_games(rows: DataFrame, k: int = RECENT_MAX) -> DataFrame:
     the shuffle (partial window group limit), so a long history never moves.
     """
     w = Window.partitionBy("player").orderBy(*[F.desc(c) for c in ("date", "game_id", "bpos", "ppos")])
-    return (rows.select("player", *POINT_COLS).withColumn("rk", F.row_number().over(w))
+    return (rows.select("player", *_pcols(rows)).withColumn("rk", F.row_number().over(w))
             .where(F.col("rk") <= k))
 
 
@@ -153,7 +158,7 @@ def contextual_history(rows: DataFrame, rp: DataFrame, as_of: bool = False) -> D
         key(SEG_OPPONENT, F.lit("home"), zero, F.col("away_abbr")),
         key(SEG_OPPONENT, F.lit("away"), zero, F.col("home_abbr")),
         key(SEG_MONTH_TO_DATE, star, F.col("y") * 100 + F.col("m"), blank))).alias("k"))
-    pk = pk.select("player", *POINT_COLS, "y", "d", "k.*")
+    pk = pk.select("player", *_pcols(rows), "y", "d", "k.*")
     rk = rp.select("request_id", "side", "player", "rdate", "ry", "rd", F.explode(F.array(
         key(SEG_SAME_MONTH, star, F.col("rm"), blank),
         key(SEG_OPPONENT, F.col("side"), zero, F.col("opp")),
@@ -164,15 +169,5 @@ def contextual_history(rows: DataFrame, rp: DataFrame, as_of: bool = False) -> D
     keep = (F.when(seg == SEG_SAME_MONTH, (F.col("y") < F.col("ry")) & (F.col("d") <= F.col("rd")))
             .when(seg == SEG_MONTH_TO_DATE, F.col("d") < F.col("rd"))
             .otherwise(F.lit(True)))
-    first = _as_of(j.where(keep), as_of).select("request_id", "side", "player", "seg", *POINT_COLS)
+    first = _as_of(j.where(keep), as_of).select("request_id", "side", "player", "seg", *_pcols(rows))
     return first.unionByName(_out(recent_games(rows, rp, as_of), SEG_RECENT))
-
-
-def context_order() -> list[Column]:
-    """Series order of a contextual history: by segment, ascending in time,
-    except recent games (seg 3), which come newest first."""
-    newest_first = F.col("seg") == SEG_RECENT
-    flip = lambda c: F.when(newest_first, -c).otherwise(c)
-    return [flip(F.unix_micros(F.col("date").cast("timestamp"))).alias("o_date"),
-            flip(F.col("game_id")).alias("o_game"), flip(F.col("bpos")).alias("o_b"),
-            flip(F.col("ppos")).alias("o_p")]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import round_half_up
 from ..operators.fit import fit_best_of, fit_full, fit_split
-from ..operators.history import (contextual_history, context_order, request_players)
+from ..operators.history import SEG_RECENT, contextual_history, request_players
 from ..operators.rows import PLAYER_ORDER, TEAM_ORDER, player_rows, team_rows
 from ..operators.sequence import time_bucket, with_sequence_index
 from ..session import materialize
@@ -67,19 +67,29 @@ def predict_players_best(games: DataFrame, roster: DataFrame, reps: int = 100,
     return _attach(fit_best_of(series, ["player"], reps=reps, frac=frac), roster)
 
 
+CONTEXT_BUCKET = 4096   # points of one segment per index bucket
+
+
 def context_series(games: DataFrame, requests: DataFrame, roster: DataFrame,
                    as_of: bool = False, checkpoint: bool = True) -> DataFrame:
-    """J1 indexed per (request_id, side, player), ordered by segment."""
-    rows = player_rows(games).join(roster.select("player").distinct(), "player", "left_semi")
+    """J1 indexed per (request_id, side, player), ordered by segment.
+
+    Within a segment points follow the player's own game order (newest first
+    for recent games). That order is the player's series index `pidx`,
+    computed once per player, so the context index sorts one bigint and its
+    buckets are (segment, pidx // CONTEXT_BUCKET): a few per series, and a
+    long segment is still split every CONTEXT_BUCKET points.
+    """
+    rows = player_series(games, roster).withColumnRenamed("idx", "pidx")
     rp = request_players(requests, roster)
-    # date, bpos and ppos are encoded in the order columns: keep the rows narrow.
+    o = F.when(F.col("seg") == SEG_RECENT, -F.col("pidx")).otherwise(F.col("pidx"))
     hist = (contextual_history(rows, rp, as_of)
-            .select(*PLAYER_KEYS, "seg", "game_id", "pts", *context_order()))
-    # The history feeds both levels of the index: write it once (reliable
-    # checkpoint in spark.checkpoint.dir), which also cuts the lineage.
+            .select(*PLAYER_KEYS, "seg", "game_id", "pts", o.alias("o")))
+    # The history feeds both levels of the index: write it once (Parquet in
+    # spark.checkpoint.dir), which also cuts the lineage.
     hist = materialize(hist) if checkpoint else hist
-    return with_sequence_index(hist, PLAYER_KEYS, ["seg", "o_date", "o_game", "o_b", "o_p"],
-                               bucket=[F.col("seg"), time_bucket(F.col("o_date"))])
+    return with_sequence_index(hist, PLAYER_KEYS, ["seg", "o"],
+                               bucket=[F.col("seg"), F.floor(F.col("o") / F.lit(CONTEXT_BUCKET))])
 
 
 def predict_players_context(games: DataFrame, requests: DataFrame, roster: DataFrame,
