@@ -105,3 +105,14 @@ def test_top_per_side_caps_at_twenty(spark):
                                    F.col("id").cast("double").alias("prediction"))
     got = PL.top_per_side(preds).groupBy("side").count().collect()
     assert {r.side: r["count"] for r in got} == {"home": 20, "away": 20}
+
+
+def test_as_of_cuts_history_at_request_date(spark, small_games):
+    requests, roster = _req(spark, 1, "2013-01-05", "BOS", "NYK", [("home", "Ann")])
+    plain = PL.context_series(small_games, requests, roster, checkpoint=False)
+    cut = PL.context_series(small_games, requests, roster, as_of=True, checkpoint=False)
+    assert plain.where("seg = 3").count() == 9                    # recent games include later ones
+    got = sorted((r.seg, r.game_id) for r in cut.collect())
+    assert all(g <= 6 for _, g in got)                             # games 7-9 are after 5 Jan 2013
+    assert [g for s_, g in got if s_ == 1] == [1, 5, 6]
+    assert sorted(r.idx for r in cut.collect()) == list(range(len(got)))
