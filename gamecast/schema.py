@@ -38,6 +38,20 @@ GAME_SCHEMA = T.StructType([
     T.StructField("box", T.ArrayType(BOX)),
 ])
 
+# The leaves the forecasting pipelines use. Passed as the read schema, Parquet
+# reads only these (nested pruning cannot reach fields of structs inside an
+# array inside an array, so a narrower read schema is how the scan stays narrow).
+CORE_LINE = T.StructType([T.StructField("player", T.StringType()), T.StructField("pts", T.IntegerType())])
+GAME_SCHEMA_CORE = T.StructType([
+    T.StructField("game_id", T.LongType()),
+    T.StructField("date", T.TimestampNTZType()),
+    T.StructField("teams", T.ArrayType(TEAM)),
+    T.StructField("box", T.ArrayType(T.StructType([
+        T.StructField("players", T.ArrayType(CORE_LINE)),
+        T.StructField("won", T.IntegerType()),
+    ]))),
+])
+
 # The 30 teams (abbreviation, name) accepted in requests.
 TEAMS = [
     ("BOS", "Boston Celtics"),

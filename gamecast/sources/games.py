@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schema import GAME_SCHEMA
+from ..schema import GAME_SCHEMA, GAME_SCHEMA_CORE
 
 
-def read_games(spark: SparkSession, path: str, format: str = "parquet", **options) -> DataFrame:
+def read_games(spark: SparkSession, path: str, format: str = "parquet", core: bool = False,
+               **options) -> DataFrame:
     """Load games as a DataFrame with `GAME_SCHEMA`.
 
     Works for any reader format (parquet, json, orc, or a document-store
-    connector the user has installed). Only the leaves a query uses are read:
-    nested column pruning happens in the scan.
+    connector the user has installed). With `core=True` the read schema is
+    `GAME_SCHEMA_CORE` (player lines reduced to player and pts): the scan then
+    reads only those leaves of the player lines, which nested pruning alone
+    cannot achieve for arrays of structs inside arrays. `player_rows(...,
+    stats=True)` needs the full schema.
     """
-    return spark.read.schema(GAME_SCHEMA).format(format).options(**options).load(path)
+    schema = GAME_SCHEMA_CORE if core else GAME_SCHEMA
+    return spark.read.schema(schema).format(format).options(**options).load(path)
 
 
 def write_games(games: DataFrame, path: str, mode: str = "overwrite") -> None:

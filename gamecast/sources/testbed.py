@@ -101,12 +101,13 @@ def _fingerprint(sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
-def stored_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_games(spark: SparkSession, sf_dir: str, core: bool = True) -> DataFrame:
     """The testbed games written once as a Parquet table under the session's
     checkpoint folder (`spark.checkpoint.dir`) and read back with GAME_SCHEMA.
 
     Later queries read the nested table with column pruning instead of
-    re-running the build; the written table also cuts the lineage.
+    re-running the build; the written table also cuts the lineage. `core`
+    reads it with the narrow read schema (see `read_games`).
     """
     from pyspark.errors import AnalysisException
 
@@ -117,4 +118,4 @@ def stored_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.read.text(f"{path}/_SUCCESS").schema  # exists once a write completed
     except AnalysisException:
         games(spark, sf_dir).write.mode("overwrite").parquet(path)
-    return read_games(spark, path)
+    return read_games(spark, path, core=core)
