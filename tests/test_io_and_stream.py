@@ -98,3 +98,15 @@ def test_request_stream_is_idempotent_on_restart(spark, small_games):
     q = score_request_stream(spark, f"{base}/in", small_games, f"{base}/out", checkpoint=f"{base}/ck")
     q.awaitTermination()
     assert RQ.read_predictions(spark, f"{base}/out").count() == 4
+
+
+def test_team_prediction_file_lines(spark):
+    preds = spark.createDataFrame(
+        [(3, "away", "NYK", 101.5, 9.25, 0.5), (3, "home", "BOS", 99.0, 8.0, None)],
+        "request_id bigint, side string, abbreviation string, prediction double, rmse double, r2 double")
+    d = tempfile.mkdtemp(prefix="gc-team-")
+    SK.write_team_predictions(preds, d + "/t", layout="single")
+    files = [os.path.join(dp, f) for dp, _, fs in os.walk(d + "/t") for f in fs
+             if f.startswith("part-") and not f.endswith(".crc")]
+    text = "".join(open(f).read() for f in files)
+    assert text.strip().split("\n") == ["BOS/99.0/8.0/NaN", "NYK/101.5/9.25/0.5"]
