@@ -299,7 +299,7 @@ def team_totals(spark, sf_dir):
 
 
 @query("top20_per_side", O.with_base(
-    f"SELECT {_PRED}, line FROM (SELECT *, row_number() OVER (PARTITION BY request_id, side ORDER BY player) AS line "
+    f"SELECT {_PRED}, line FROM (SELECT *, CAST(row_number() OVER (PARTITION BY request_id, side ORDER BY player) AS INTEGER) AS line "
     f"FROM ({_QUICK_SQL}) q) t WHERE line <= 20"))
 def top20_per_side(spark, sf_dir):
     """At most 20 forecasts per request side, by player name."""
@@ -384,7 +384,7 @@ def scalar_functions(spark, sf_dir):
 
 _ROUNDTRIP = O.with_base(
     "SELECT request_id, side, line, player, prediction, CAST(floor(prediction + 0.5) AS BIGINT) AS pts FROM ("
-    "SELECT *, row_number() OVER (PARTITION BY request_id, side ORDER BY player) AS line "
+    "SELECT *, CAST(row_number() OVER (PARTITION BY request_id, side ORDER BY player) AS INTEGER) AS line "
     f"FROM ({_QUICK_SQL}) q) t WHERE line <= 20")
 
 

@@ -15,6 +15,10 @@ sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
+SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE",
+                 "StringType": "VARCHAR", "BooleanType": "BOOLEAN", "TimestampNTZType": "TIMESTAMP",
+                 "DateType": "DATE"}
+
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -50,6 +54,11 @@ def compare(spark, con, name, fn, sql, sf_dir):
     dcols = rel.columns
     if sorted(dcols) != cols:
         return f"{name}: COLUMN MISMATCH spark={cols} duck={sorted(dcols)}"
+    dtypes = dict(zip(dcols, [str(t) for t in rel.types]))
+    bad = [(f.name, type(f.dataType).__name__, dtypes[f.name]) for f in sdf.schema.fields
+           if SPARK_TO_DUCK.get(type(f.dataType).__name__) != dtypes[f.name]]
+    if bad:
+        return f"{name}: TYPE MISMATCH {bad}"
     d_rows = [tuple(r[dcols.index(c)] for c in cols) for r in rel.fetchall()]
     td = time.time() - t0
     a, b = rows_of(s_rows), rows_of(d_rows)
