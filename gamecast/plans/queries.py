@@ -414,7 +414,19 @@ def predictions_roundtrip(spark, sf_dir):
     return RQ.read_predictions(spark, path)
 
 
-@query("predictions_json")
+_ITEMS = "CAST([] AS STRUCT(player VARCHAR, pts BIGINT)[])"
+
+
+def _side_list(side: str) -> str:
+    return (f"COALESCE(list({{'player': player, 'pts': CAST(floor(prediction + 0.5) AS BIGINT)}} "
+            f"ORDER BY player) FILTER (WHERE side = '{side}'), {_ITEMS})")
+
+
+@query("predictions_json", O.with_base(
+    "SELECT request_id, CAST(to_json({'success': true, 'msg': '', "
+    f"'local': {_side_list('home')}, 'visit': {_side_list('away')}}}) AS VARCHAR) AS response FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY request_id, side ORDER BY player) AS line "
+    f"FROM ({_QUICK_SQL}) q) t WHERE line <= 20 GROUP BY request_id"))
 def predictions_json(spark, sf_dir):
     """The JSON response of every request."""
     return SK.to_response(PL.top_per_side(_quick(spark, sf_dir)))
