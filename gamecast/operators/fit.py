@@ -127,23 +127,6 @@ def fit_split(points: DataFrame, keys: Sequence[str], frac: float = 0.7, reg: fl
 CHUNK = 1 << 14   # points per (series, chunk) group handed to one pre-aggregation run
 
 
-def _round6_keys(v):
-    """Exact round(v, 6) half up as an integer (v * 10^6), like Spark's round on
-    a double (decimal expansion); a decimal fallback settles near-halves."""
-    import decimal
-
-    import numpy as np
-    r = v * 1e6
-    k = np.floor(r)
-    frac = r - k
-    out = (k + (frac > 0.5)).astype(np.int64)
-    near = np.flatnonzero(np.abs(frac - 0.5) < 1e-6)
-    for i in near:
-        d = decimal.Decimal(float(v.flat[i])).quantize(decimal.Decimal("1e-6"), rounding=decimal.ROUND_HALF_UP)
-        out.flat[i] = int(d.scaleb(6))
-    return out
-
-
 def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_size: int = CHUNK):
     """Per-partition kernel for `rep_sums` (runs inside mapInPandas).
 
@@ -169,6 +152,24 @@ def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_s
     b = (r * B_MUL) % P
     rep_col = r.astype(np.int32)
 
+    # Everything the kernel calls is defined in this closure, so Python workers
+    # receive it by value and need not import this package.
+    def _round6_keys(v):
+        """Exact round(v, 6) half up as an integer (v * 10^6), like Spark's round on
+        a double (decimal expansion); a decimal fallback settles near-halves."""
+        import decimal
+
+        import numpy as np
+        r = v * 1e6
+        k = np.floor(r)
+        frac = r - k
+        out = (k + (frac > 0.5)).astype(np.int64)
+        near = np.flatnonzero(np.abs(frac - 0.5) < 1e-6)
+        for i in near:
+            d = decimal.Decimal(float(v.flat[i])).quantize(decimal.Decimal("1e-6"), rounding=decimal.ROUND_HALF_UP)
+            out.flat[i] = int(d.scaleb(6))
+        return out
+
     bufs: dict = {}
 
     def buf(name, rows, dtype):
