@@ -21,7 +21,7 @@ def _write(d, name, text):
 
 def test_parse_single_request_file(spark):
     d = tempfile.mkdtemp(prefix="gc-req-")
-    _write(os.path.join(d, "request_id=42"), "predict.txt", SAMPLE)
+    _write(os.path.join(d, "request_id=42"), "request.txt", SAMPLE)
     p = RQ.read_requests(spark, d).first()
     assert (p.request_id, p.home_abbr, p.away_abbr) == (42, "BOS", "NYK")
     assert str(p.rdate) == "2013-01-24 00:00:00"
