@@ -20,7 +20,8 @@ def _ts(v) -> Column:
         v = dt.datetime.fromisoformat(v)
     if isinstance(v, dt.date) and not isinstance(v, dt.datetime):
         v = dt.datetime(v.year, v.month, v.day)
-    return F.lit(v).cast("timestamp_ntz")
+    # from text: a wall-clock literal, independent of any time zone
+    return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def season_window(label: str | Column) -> tuple[Column, Column]:
