@@ -6,6 +6,7 @@ Usage: python tests/oracle_compare.py SF_DIR [name ...]
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -76,6 +77,8 @@ def main():
     from gamecast.plans.queries import ORACLE, QUERIES
     from gamecast.session import local_session
     spark = local_session(8)
+    if os.environ.get("GC_TZ"):      # check independence from the session time zone
+        spark.conf.set("spark.sql.session.timeZone", os.environ["GC_TZ"])
     con = duck(sf_dir)
     for name in names or list(QUERIES):
         try:
