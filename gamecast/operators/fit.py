@@ -312,12 +312,13 @@ def _arrow_partials(points: DataFrame, keys: list[str], reps: int, frac: float,
 
 def fit_best_of(points: DataFrame, keys: Sequence[str], reps: int = 100, frac: float = 0.7,
                 x: str = "idx", y: str = "pts", engine: str = "arrow",
-                dense_index: bool = True, chunk: int = CHUNK) -> DataFrame:
+                dense_index: bool = False, chunk: int = CHUNK) -> DataFrame:
     """Start from the full fit, keep a sample fit only if its training
     RMSE is strictly smaller; earliest wins ties (compared at 6 digits).
 
-    `dense_index`: x is the 0..n-1 position of each series (as made by
-    `with_sequence_index`); lets the Arrow kernel finish whole series itself.
+    `dense_index=True` promises that x is the 0..n-1 position of each series
+    (as `with_sequence_index` makes it); the Arrow kernel then finishes whole
+    series itself instead of handing per-rep partial sums to Spark.
     Output: keys, rep (0 = full fit), n (all points), n_fit, slope, intercept,
     rmse, r2, prediction.
     """

@@ -64,7 +64,7 @@ def predict_players_best(games: DataFrame, roster: DataFrame, reps: int = 100,
                          frac: float = 0.7) -> DataFrame:
     """Best of the full fit and reps-1 samples per player."""
     series = player_series(games, roster)
-    return _attach(fit_best_of(series, ["player"], reps=reps, frac=frac), roster)
+    return _attach(fit_best_of(series, ["player"], reps=reps, frac=frac, dense_index=True), roster)
 
 
 CONTEXT_BUCKET = 4096   # points of one segment per index bucket
@@ -96,7 +96,7 @@ def predict_players_context(games: DataFrame, requests: DataFrame, roster: DataF
                             reps: int = 100, frac: float = 0.7, as_of: bool = False) -> DataFrame:
     """Contextual history per request, best of reps fits, forecast."""
     series = context_series(games, requests, roster, as_of)
-    return fit_best_of(series, PLAYER_KEYS, reps=reps, frac=frac).select(*PLAYER_KEYS, *PRED_COLS)
+    return fit_best_of(series, PLAYER_KEYS, reps=reps, frac=frac, dense_index=True).select(*PLAYER_KEYS, *PRED_COLS)
 
 
 def request_sides(requests: DataFrame) -> DataFrame:
@@ -112,7 +112,7 @@ def predict_teams(games: DataFrame, requests: DataFrame, reps: int = 100,
     """Best-of fit of each requested team's scores, forecast next game."""
     sides = request_sides(requests)
     series = team_series(games, sides).withColumnRenamed("score", "pts")
-    models = fit_best_of(series, ["abbreviation"], reps=reps, frac=frac)
+    models = fit_best_of(series, ["abbreviation"], reps=reps, frac=frac, dense_index=True)
     return sides.join(models, "abbreviation").select("request_id", "side", "abbreviation", *PRED_COLS)
 
 

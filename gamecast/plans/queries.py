@@ -114,7 +114,7 @@ def fit_split_ridge(spark, sf_dir):
     f"SELECT * REPLACE (CAST(rep AS INTEGER) AS rep) FROM ({O.fit_best_sql('ps', ['player'])}) b"))
 def fit_best_of(spark, sf_dir):
     """Best of the full fit and 99 samples per player (by training RMSE)."""
-    return fit_ops.fit_best_of(PL.player_series(_games(spark, sf_dir)), ["player"])
+    return fit_ops.fit_best_of(PL.player_series(_games(spark, sf_dir)), ["player"], dense_index=True)
 
 
 @query("fitted_values", O.with_base(
