@@ -16,7 +16,6 @@ from ..operators import fit as fit_ops
 from ..operators import history as H
 from ..operators import search as S
 from ..operators import rows as rows_ops
-from ..operators.sequence import with_sequence_index
 from ..sources import requests as RQ
 from ..sources import sinks as SK
 from ..sources import testbed
