@@ -59,7 +59,13 @@ def _as_of(df: DataFrame, as_of: bool) -> DataFrame:
 
 
 def player_history(rows: DataFrame, roster: DataFrame) -> DataFrame:
-    """every history row of every rostered player, per request."""
+    """every history row of every rostered player, per request.
+
+    Its size is (requests of a player) x (that player's history), so no
+    pipeline builds it: histories that do not depend on the request are
+    aggregated or fitted once per player and joined to the roster
+    (`player_history_summary`, P1, P2); this is for inspecting a few requests.
+    """
     return rows.join(roster.select("request_id", "side", "player").distinct(), "player")
 
 
