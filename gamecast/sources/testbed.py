@@ -107,15 +107,25 @@ def stored_games(spark: SparkSession, sf_dir: str, core: bool = True) -> DataFra
 
     Later queries read the nested table with column pruning instead of
     re-running the build; the written table also cuts the lineage. `core`
-    reads it with the narrow read schema (see `read_games`).
+    reads it with the narrow read schema (see `read_games`). Every build
+    writes its own folder and any completed one (with `_SUCCESS`) is reused,
+    so concurrent sessions never overwrite a table another one reads.
     """
+    import uuid
+
     from pyspark.errors import AnalysisException
 
     from ..session import checkpoint_dir
     from .games import read_games
-    path = f"{checkpoint_dir(spark).rstrip('/')}/testbed_games/{_fingerprint(sf_dir)}"
+    base = f"{checkpoint_dir(spark).rstrip('/')}/testbed_games/{_fingerprint(sf_dir)}"
     try:
-        spark.read.text(f"{path}/_SUCCESS").schema  # exists once a write completed
+        done = (spark.read.format("binaryFile").load(f"{base}/*/_SUCCESS")
+                .select("path").orderBy("path").limit(1).collect())
     except AnalysisException:
-        games(spark, sf_dir).write.mode("overwrite").parquet(path)
+        done = []
+    if done:
+        path = done[0]["path"].rsplit("/", 1)[0]
+    else:
+        path = f"{base}/{uuid.uuid4().hex}"
+        games(spark, sf_dir).write.mode("errorifexists").parquet(path)
     return read_games(spark, path, core=core)
