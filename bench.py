@@ -27,8 +27,11 @@ def main() -> None:
     from gamecast.plans.queries import QUERIES
     from gamecast.session import local_session
     from gamecast.sources import testbed
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")   # stage/task times without the UI
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir} if log_dir else None
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
-                          app="gamecast-bench", driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
+                          app="gamecast-bench", driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                          extra_conf=extra)
     times = {}
     t0 = time.time()
     testbed.stored_games(spark, sf_dir).count()

@@ -33,14 +33,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "gamecast", driver_memory: str = "8g") -> SparkSession:
+                  app: str = "gamecast", driver_memory: str = "8g",
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and the bench (not for library code)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", driver_memory)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
-    for k, v in RECOMMENDED_CONF.items():
+    for k, v in {**RECOMMENDED_CONF, **(extra_conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
