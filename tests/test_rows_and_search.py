@@ -64,3 +64,17 @@ def test_seasons_dim(spark):
     assert (rows[0].label, rows[0].value) == ("Temporada 12/13", "2012-2013")
     assert (rows[-1].label, rows[-1].value) == ("Temporada 84/85", "1984-1985")
     assert any(r.label == "Temporada 99/00" for r in rows)
+
+
+def test_read_games_json_and_core_schema(spark, small_games):
+    import tempfile
+
+    from gamecast.sources.games import read_games
+    d = tempfile.mkdtemp(prefix="gc-json-") + "/g"
+    small_games.write.json(d)
+    full = read_games(spark, d, format="json")
+    assert sorted(full.collect()) == sorted(small_games.collect())
+    core = read_games(spark, d, format="json", core=True)
+    got = sorted(tuple(r) for r in R.player_rows(core).collect())
+    ref = sorted(tuple(r) for r in R.player_rows(small_games).collect())
+    assert got == ref
