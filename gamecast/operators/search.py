@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import seasons_dim
@@ -91,3 +91,23 @@ def season_games(games: DataFrame, seasons: DataFrame | None = None) -> DataFram
            .groupBy("season").agg(F.count(F.lit(1)).alias("games"),
                                  F.min("date").alias("first_date"), F.max("date").alias("last_date")))
     return seasons.select("season", "label", "value").join(per, "season")
+
+
+def search_games_batch(games: DataFrame, searches: DataFrame, keys: list[str] | None = None,
+                       limit: int = 20) -> DataFrame:
+    """E7 for a table of searches `(keys..., home, away, start, end)`: the first
+    `limit` games by date of each search, with their rank.
+
+    Games are matched on the (home, away) equi-key, then the half-open date
+    range; the per-search cap is a constant-bounded row_number, which Spark
+    trims per task before the shuffle.
+    """
+    from .rows import game_summary
+
+    keys = keys or ["search_id"]
+    g = game_summary(games)
+    j = searches.join(g, (g.home_abbr == searches.home) & (g.away_abbr == searches.away)
+                      & (g.date >= searches.start) & (g.date < searches.end))
+    w = Window.partitionBy(*keys).orderBy("date", "game_id")
+    return (j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+            .drop("start", "end"))

@@ -441,3 +441,24 @@ def stream_scoring(spark, sf_dir):
     q = score_request_stream(spark, f"{base}/in", games, f"{base}/out", checkpoint=f"{base}/checkpoint")
     q.awaitTermination()
     return RQ.read_predictions(spark, f"{base}/out")
+
+
+@query("season_search", O.with_base(
+    "SELECT home, away, season, CAST(rank AS INTEGER) AS rank, game_id, date, home_score, away_score FROM ("
+    "SELECT home_abbr AS home, away_abbr AS away, season, game_id, date, home_score, away_score, "
+    "row_number() OVER (PARTITION BY home_abbr, away_abbr, season ORDER BY date, game_id) AS rank FROM ("
+    "SELECT *, CAST(CASE WHEN month(date) >= 10 THEN year(date) "
+    "WHEN month(date) < 4 OR (month(date) = 4 AND day(date) < 30) THEN year(date) - 1 END AS INTEGER) AS season "
+    "FROM g) x WHERE season IS NOT NULL) r WHERE rank <= 20"))
+def season_search(spark, sf_dir):
+    """E7, E8, I3 for a table of searches: the first 20 games of every (home, away,
+    season) pairing that occurs in the games."""
+    games = _games(spark, sf_dir)
+    s = rows_ops.game_summary(games).select(
+        F.col("home_abbr").alias("home"), F.col("away_abbr").alias("away"), S.season_of("date").alias("season"))
+    s = s.where(F.col("season").isNotNull()).distinct()
+    label = F.concat_ws("-", F.col("season").cast("string"), (F.col("season") + 1).cast("string"))
+    start, end = S.season_window(label)
+    searches = s.select("home", "away", "season", start.alias("start"), end.alias("end"))
+    found = S.search_games_batch(games, searches, keys=["home", "away", "season"])
+    return found.select("home", "away", "season", "rank", "game_id", "date", "home_score", "away_score")

@@ -36,7 +36,7 @@ def test_recent_games_are_trimmed_before_the_shuffle(spark):
 
 
 @pytest.mark.parametrize("name", ["predict_quick", "predict_best", "team_predict", "season_games",
-                                  "contextual_history", "search_games"])
+                                  "contextual_history", "search_games", "season_search"])
 def test_no_cartesian_or_nested_loop_joins(spark, name):
     from gamecast.plans.queries import QUERIES
     p = plan(QUERIES[name](spark, SF))

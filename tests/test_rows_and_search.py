@@ -78,3 +78,19 @@ def test_read_games_json_and_core_schema(spark, small_games):
     got = sorted(tuple(r) for r in R.player_rows(core).collect())
     ref = sorted(tuple(r) for r in R.player_rows(small_games).collect())
     assert got == ref
+
+
+def test_search_games_batch(spark, small_games):
+    searches = spark.createDataFrame(
+        [(1, "BOS", "NYK", "2012-01-01", "2013-01-24"), (2, "BOS", "NYK", "2000-01-01", "2030-01-01"),
+         (3, "MIA", "BOS", "2011-10-01", "2012-04-30")],
+        "search_id int, home string, away string, start string, end string")
+    searches = searches.select("search_id", "home", "away", F.col("start").cast("timestamp_ntz").alias("start"),
+                               F.col("end").cast("timestamp_ntz").alias("end"))
+    got = S.search_games_batch(small_games, searches, limit=3).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.search_id, []).append((r.rank, r.game_id))
+    assert sorted(by[1]) == [(1, 1), (2, 5), (3, 6)]
+    assert sorted(by[2]) == [(1, 1), (2, 5), (3, 6)]      # capped at 3; game 8 is fourth
+    assert 3 not in by                                      # 30 April is outside the window
