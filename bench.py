@@ -16,7 +16,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
     "fit_full", "predict_quick", "predict_best", "team_predict", "contextual_history",
-    "predict_context", "search_games", "season_games", "actual_vs_predicted", "stream_scoring",
+    "predict_context", "search_games", "season_games", "season_search", "actual_vs_predicted",
+    "stream_scoring",
 ]
 
 
