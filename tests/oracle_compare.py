@@ -14,7 +14,8 @@ import duckdb
 
 sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+          "pages", "benchmark", "labels", "conversations"]
 
 SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE",
                  "StringType": "VARCHAR", "BooleanType": "BOOLEAN", "TimestampNTZType": "TIMESTAMP",
