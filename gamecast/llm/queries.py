@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gamecast.llm import chat, tokencount
+from gamecast.llm import arrowseq, chat, packing, spm, tokencount
 from gamecast.llm.common import table
 
 CONTROL_REPLY = "<|im_end|><|im_start|>assistant ok"
@@ -19,12 +19,30 @@ def op1_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.expand_prefix_targets(rows))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in as few sequences of 2048 tokens as can be."""
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(pieces)
+
+
 def op5_word_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-piece length of every document."""
     return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_prefix_targets, op5_word_piece_counts)}
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of what they decode to."""
+    return spm.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+
+
+def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as Arrow sequence files, and read back."""
+    return arrowseq.read_documents(arrowseq.write_sequences(table(spark, sf_dir, "documents"),
+                                                            public_tokenizers.path("byte_bpe_50k.json")))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_chat_prefix_targets, op3_best_fit_packing, op5_word_piece_counts, op6_sentencepiece, op9_arrow_sequences)}
 
 ORACLE = {
     "op1_chat_prefix_targets": r"""
