@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gamecast.llm import arrowseq, chat, packing, spm, tokencount
+from gamecast.llm import arrowseq, chat, packing, pairwise, rules, spm, tokencount
 from gamecast.llm.common import table
 
 CONTROL_REPLY = "<|im_end|><|im_start|>assistant ok"
@@ -19,12 +19,22 @@ def op1_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.expand_prefix_targets(rows))
 
 
+def op2_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score, learned from pairs of labelled ones."""
+    return pairwise.quality_ranking(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in as few sequences of 2048 tokens as can be."""
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack(pieces)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the calibrated verdict for every document."""
+    return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_word_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-piece length of every document."""
     return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -42,7 +52,8 @@ def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_prefix_targets, op3_best_fit_packing, op5_word_piece_counts, op6_sentencepiece, op9_arrow_sequences)}
+    op1_chat_prefix_targets, op2_quality_ranking, op3_best_fit_packing, op4_quality_rules, op5_word_piece_counts,
+    op6_sentencepiece, op9_arrow_sequences)}
 
 ORACLE = {
     "op1_chat_prefix_targets": r"""
