@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gamecast.llm import arrowseq, chat, packing, pairwise, rules, spm, tokencount
+from gamecast.llm import ann, arrowseq, chat, packing, pairwise, rules, simhash, spm, tokencount
 from gamecast.llm.common import table
 
 CONTROL_REPLY = "<|im_end|><|im_start|>assistant ok"
@@ -45,6 +45,16 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), digest=True)
 
 
+def op7_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and near-duplicate class."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_adaptive_dimension_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every vector whose id is divisible by 50."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as Arrow sequence files, and read back."""
     return arrowseq.read_documents(arrowseq.write_sequences(table(spark, sf_dir, "documents"),
@@ -53,7 +63,7 @@ def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_prefix_targets, op2_quality_ranking, op3_best_fit_packing, op4_quality_rules, op5_word_piece_counts,
-    op6_sentencepiece, op9_arrow_sequences)}
+    op6_sentencepiece, op7_simhash_near_duplicates, op8_adaptive_dimension_ann, op9_arrow_sequences)}
 
 ORACLE = {
     "op1_chat_prefix_targets": r"""
