@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gamecast.llm import ann, arrowseq, chat, packing, pairwise, rules, simhash, spm, tokencount
+from gamecast.llm import ann, arrowseq, chat, linededup, packing, pairwise, rules, simhash, spm, tokencount
 from gamecast.llm.common import table
 
 CONTROL_REPLY = "<|im_end|><|im_start|>assistant ok"
@@ -61,9 +61,16 @@ def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                             public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op10_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document's text."""
+    documents = table(spark, sf_dir, "documents")
+    return linededup.digest(linededup.dedup_lines(documents))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_prefix_targets, op2_quality_ranking, op3_best_fit_packing, op4_quality_rules, op5_word_piece_counts,
-    op6_sentencepiece, op7_simhash_near_duplicates, op8_adaptive_dimension_ann, op9_arrow_sequences)}
+    op6_sentencepiece, op7_simhash_near_duplicates, op8_adaptive_dimension_ann, op9_arrow_sequences,
+    op10_fuzzy_line_dedup)}
 
 ORACLE = {
     "op1_chat_prefix_targets": r"""
