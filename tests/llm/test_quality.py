@@ -1,0 +1,110 @@
+"""Quality rules and ranking: base counts against plain Python, learned verdicts against held-out labels."""
+
+import os
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from gamecast.llm import pairwise, rules, textfeat
+
+SF = "/root/testdata/sf0.01"
+needs_data = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
+
+
+def base(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(zip(words, words[1:], words[2:]))
+    inside = set()
+    for k, w in enumerate(zip(words, words[1:], words[2:])):
+        if windows[w] > 1:
+            inside |= {k, k + 1, k + 2}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    failed = len(words) < 50 or 100 * len(inside) > 50 * len(words)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(inside), failed
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("ab#|é \n\t\x1c\x85\xa0", max_size=60))
+def test_base_counts(text):
+    assert rules.judge(text, rules.Model())[:6] == base(text)
+
+
+def test_repeated_windows_of_a_huge_vocabulary(monkeypatch):
+    text = "a b c d a b c x y a b"
+    want = textfeat.Text(text).repeat_words()
+    t = textfeat.Text(text)
+    t.distinct = dict.fromkeys(range(1 << 21))     # as if so many words were different
+    assert t.repeat_words() == want == 6
+
+
+def test_linear_score_is_weights_times_features():
+    rng = np.random.default_rng(0)
+    weights = rng.standard_normal(textfeat.DIM)
+    for text in ("", "a", "ab", "abc", "some words | and ### symbols, A B\nA B", "é" * 50):
+        at, value = textfeat.sparse_row(text)
+        t = textfeat.Text(text)
+        dense = t.dense(t.repeat_words(), *t.dup_lines(), t.symbols())
+        assert abs(textfeat.linear_score(t, dense, weights) - float(value @ weights[at])) < 1e-3
+
+
+def test_odd_documents(spark, odd_documents, no_documents):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, 1, 0), (5, None, 0), (9, 7, 0)],
+                                   "doc_id long, quality int, toxic int")
+    rows = odd_documents.collect()
+    for df in (rules.quality_rules(odd_documents, labels), rules.quality_rules(odd_documents, labels.limit(0))):
+        got = df.collect()
+        assert sorted(str((r.doc_id, *tuple(r)[1:7])) for r in got) == sorted(str((r.doc_id, *base(r.text or ""))) for r in rows)
+    got = pairwise.quality_ranking(odd_documents, labels).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got)
+    assert {r.doc_id: r.held_out for r in got if r.doc_id} == {
+        r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in rows if r.doc_id}
+    nothing = pairwise.quality_ranking(odd_documents, labels.limit(0)).collect()
+    assert {(r.score, r.predicted) for r in nothing} == {(0.7, 1)}
+    kept = rules.keep_documents(odd_documents, rules.Model())
+    assert kept.columns == odd_documents.columns
+    assert sorted(map(str, kept.collect())) == sorted(str(r) for r in rows if not base(r.text or "")[-1])
+    assert pairwise.keep_documents(odd_documents, pairwise.Ranker()).count() == len(rows)
+    assert rules.quality_rules(no_documents, labels).count() == pairwise.quality_ranking(no_documents, labels).count() == 0
+
+
+@needs_data
+def test_held_out_labels(spark):
+    documents, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    held = lambda d: zlib.crc32(str(d).encode()) % 4 == 2 and d in quality
+    ranked = [r for r in pairwise.quality_ranking(documents, labels).collect() if held(r.doc_id)]
+    assert all(r.held_out for r in ranked) and len(ranked) > 60
+    assert np.mean([r.predicted == quality[r.doc_id] for r in ranked]) >= 0.95
+    judged = [r for r in rules.quality_rules(documents, labels).collect() if held(r.doc_id)]
+    assert np.mean([(r.probability >= rules.KEEP_AT) == quality[r.doc_id] for r in judged]) >= 0.95
+    assert not any(r.kept for r in judged if r.base_failed)
+
+
+@needs_data
+def test_held_out_labels_are_never_read(spark):
+    """Turning the labels of the held-out fold around changes no score."""
+    from pyspark.sql import functions as F
+    documents, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    few = documents.where("doc_id < 60")
+    turned = labels.withColumn("quality", F.when(textfeat.fold_of() == 2, 1 - F.col("quality")).otherwise(F.col("quality")))
+    scores = [sorted(pairwise.scored(few, pairwise.fit(textfeat.labelled_sample(documents, x), steps=15)).collect())
+              for x in (labels, turned)]
+    assert scores[0] == scores[1]
+
+
+def test_quantile_cut_and_sample_bound(spark):
+    scores = np.array([0.0, 1.0, 5.0, 6.0])
+    assert pairwise.quantile_cut(scores, np.ones(4), 0.5) == 3.0
+    documents = spark.createDataFrame([(k, f"text {k}") for k in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    sample = textfeat.labelled_sample(documents, labels, per_class=5)
+    assert len(sample.label) <= 10 and set(sample.label.tolist()) == {0, 1} and 2 not in set(sample.fold.tolist())
+    assert abs(sample.weight.sum() - sum(zlib.crc32(str(k).encode()) % 4 != 2 for k in range(60))) < 1e-6
