@@ -3,8 +3,10 @@
 Every fit is one least-squares line `pts ~ idx` per key. Nothing is collected:
 a series contributes six sums (n, Sx, Sy, Sxx, Sxy, Syy) through a partial +
 final aggregation, so a series of any length costs one hash-aggregate row per
-task. x and y are whole numbers, so every partial sum is exact in a double and
-the result does not depend on the order of summation.
+task. Points without x or y (a null: the player did not play) take no part in
+any sum. With whole x and y every partial sum is exact in a double while it is
+below 2^53 (some 300,000 points of a series), and then the result does not
+depend on the order of summation; beyond, and with fractions, it is rounded.
 
 Closed forms (n points, D.. = n*S.. - S.*S.):
   slope     = Dxy / Dxx                           (0 when x or y has no spread)
@@ -18,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
@@ -46,15 +48,21 @@ def in_sample(h: Column, rep: Column, frac: float = 0.7) -> Column:
     return ((h * a + b) % P) < threshold
 
 
+def _xy(x: str, y: str) -> tuple[Column, Column]:
+    """x and y as doubles, both null where either is."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    return F.when(both, F.col(x).cast("double")), F.when(both, F.col(y).cast("double"))
+
+
 def sums(x: str = "idx", y: str = "pts") -> list[Column]:
-    xd, yd = F.col(x).cast("double"), F.col(y).cast("double")
-    return [F.count(F.lit(1)).alias("n"), F.sum(xd).alias("sx"), F.sum(yd).alias("sy"),
+    xd, yd = _xy(x, y)
+    return [F.count(yd).alias("n"), F.sum(xd).alias("sx"), F.sum(yd).alias("sy"),
             F.sum(xd * xd).alias("sxx"), F.sum(xd * yd).alias("sxy"), F.sum(yd * yd).alias("syy")]
 
 
 def model_columns(reg: float = 0.0) -> list[Column]:
     """slope, intercept, rmse, r2 from the sums columns (n, sx, sy, sxx, sxy, syy)."""
-    n = F.col("n").cast("double")
+    n = F.nullif(F.col("n"), F.lit(0)).cast("double")      # a series may have no points at all
     dxx = n * F.col("sxx") - F.col("sx") * F.col("sx")
     dxy = n * F.col("sxy") - F.col("sx") * F.col("sy")
     dyy = n * F.col("syy") - F.col("sy") * F.col("sy")
@@ -107,11 +115,11 @@ def fit_split(points: DataFrame, keys: Sequence[str], frac: float = 0.7, reg: fl
     """
     keys = list(keys)
     flag = in_sample(row_hash(keys, x), F.lit(rep), frac)
-    xd, yd = F.col(x).cast("double"), F.col(y).cast("double")
+    xd, yd = _xy(x, y)
     inn = lambda c: F.when(flag, c)
     s = points.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_all"),
-        F.count(inn(F.lit(1))).alias("n_s"),
+        F.count(yd).alias("n_all"),
+        F.count(inn(yd)).alias("n_s"),
         F.sum(xd).alias("sx_a"), F.sum(yd).alias("sy_a"), F.sum(xd * xd).alias("sxx_a"),
         F.sum(xd * yd).alias("sxy_a"), F.sum(yd * yd).alias("syy_a"),
         F.sum(inn(xd)).alias("sx_s"), F.sum(inn(yd)).alias("sy_s"), F.sum(inn(xd * xd)).alias("sxx_s"),
@@ -124,6 +132,41 @@ def fit_split(points: DataFrame, keys: Sequence[str], frac: float = 0.7, reg: fl
     return _finish(m, keys)
 
 
+PREFIX_BUCKET = 1 << 12   # places of a series whose running sums one window group holds
+
+
+def fit_split_as_of(points: DataFrame, keys: Sequence[str], wanted: DataFrame, frac: float = 0.7,
+                    reg: float = 0.001, rep: int = 0, x: str = "idx", y: str = "pts") -> DataFrame:
+    """M4 as of a place in the series: the fit on the first `before` points of it.
+
+    `points` has the 0..n-1 position x; `wanted` has the keys, `before` and any
+    further columns, which stay. Every point carries the sums of all points up
+    to it (in two levels, so a long series is spread over tasks), and a wanted
+    fit is the one row at x = before - 1: no join of requests with histories.
+    """
+    keys = list(keys)
+    flag = in_sample(row_hash(keys, x), F.lit(rep), frac)
+    xd, yd = _xy(x, y)
+    terms = {"n": F.lit(1), "sx": xd, "sy": yd, "sxx": xd * xd, "sxy": xd * yd, "syy": yd * yd}
+    cols = {f"{c}_a": t for c, t in terms.items()}
+    cols |= {f"{c}_s": F.when(flag, t).otherwise(F.lit(0)) for c, t in terms.items()}
+    p = points.select(*keys, x, F.floor(F.col(x) / PREFIX_BUCKET).alias("_b"), *[t.alias(c) for c, t in cols.items()])
+    inside = Window.partitionBy(*keys, "_b").orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    totals = p.groupBy(*keys, "_b").agg(*[F.sum(c).alias(c) for c in cols])
+    totals = totals.select(*keys, "_b", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_0") for c in cols])
+    running = p.select(*keys, x, "_b", *[F.sum(c).over(inside).alias(c) for c in cols])
+    at = running.join(totals, [*keys, "_b"]).select(
+        *keys, (F.col(x) + 1).alias("before"), *[(F.col(c) + F.col(f"{c}_0")).alias(c) for c in cols])
+    s = wanted.join(at, [*keys, "before"])
+    use = F.col("n_s") > 0
+    extra = [c for c in wanted.columns if c not in keys and c != "before"]
+    s = s.select(*keys, *extra, F.col("n_a").cast("bigint").alias("n_all"),
+                 *[F.when(use, F.col(f"{c}_s")).otherwise(F.col(f"{c}_a")).alias(c) for c in terms])
+    m = s.select(*keys, *extra, "n_all", F.col("n").cast("bigint").alias("n_fit"), *model_columns(reg))
+    return _finish(m, keys, extra)
+
+
 CHUNK = 1 << 14   # points per (series, chunk) group handed to one pre-aggregation run
 
 
@@ -138,11 +181,11 @@ def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_s
     P (x mod P = (x & P) + (x >> 31), folded).
 
     With `dense` (x is the 0..n-1 position of the series), a chunk-0 run
-    shorter than CHUNK is the whole series: the best rep is chosen here with
-    the same floating-point formula and exact 6-digit rounding as the Spark
-    path, and one row is emitted (that rep, n_all = series length). Other
-    runs emit their partial sums for every rep (n_all = count on rep 0),
-    summed by Spark.
+    shorter than CHUNK is the whole series, and only the reps that can still
+    win are emitted (with n_all = series length): those below every earlier
+    rep's RMSE and within a few rounding steps of the least. Other runs emit
+    their partial sums for every rep (n_all = count on rep 0), summed by Spark.
+    The winner is chosen by the same Spark expression for either.
     """
     import numpy as np
     import pandas as pd
@@ -154,22 +197,6 @@ def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_s
 
     # Everything the kernel calls is defined in this closure, so Python workers
     # receive it by value and need not import this package.
-    def _round6_keys(v):
-        """Exact round(v, 6) half up as an integer (v * 10^6), like Spark's round on
-        a double (decimal expansion); a decimal fallback settles near-halves."""
-        import decimal
-
-        import numpy as np
-        r = v * 1e6
-        k = np.floor(r)
-        frac = r - k
-        out = (k + (frac > 0.5)).astype(np.int64)
-        near = np.flatnonzero(np.abs(frac - 0.5) < 1e-6)
-        for i in near:
-            d = decimal.Decimal(float(v.flat[i])).quantize(decimal.Decimal("1e-6"), rounding=decimal.ROUND_HALF_UP)
-            out.flat[i] = int(d.scaleb(6))
-        return out
-
     bufs: dict = {}
 
     def buf(name, rows, dtype):
@@ -196,8 +223,8 @@ def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_s
         m[:, 0] = True
         return m
 
-    def best(sums):
-        """(G, reps, 6) sums -> index of the kept rep per run."""
+    def can_win(sums):
+        """(G, reps, 6) sums -> the reps of each run that the final choice may keep."""
         n, sx, sy, sxx, sxy, syy = (sums[..., i] for i in range(6))
         with np.errstate(divide="ignore", invalid="ignore"):
             dxx = n * sxx - sx * sx
@@ -205,9 +232,11 @@ def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_s
             dyy = n * syy - sy * sy
             slope = np.where((dxx > 0) & (dyy > 0), dxy / dxx, 0.0)
             sse = np.maximum((dyy - 2.0 * slope * dxy + slope * slope * dxx) / n, 0.0)
-            rmse = np.sqrt(sse / n)
-        key = np.where(n > 0, _round6_keys(np.where(n > 0, rmse, 0.0)), np.iinfo(np.int64).max)
-        return np.argmin(key, axis=1)          # first minimum = smallest rep among ties
+            rmse = np.where(n > 0, np.sqrt(sse / n), np.inf)
+        earlier = np.minimum.accumulate(rmse, axis=1)
+        first = np.ones_like(n, dtype=bool)
+        first[:, 1:] = rmse[:, 1:] < earlier[:, :-1]
+        return first & (rmse <= earlier[:, -1:] + 2 * 10.0 ** -DIGITS)
 
     def emit(pdf, starts, ends):
         h = pdf["_h"].to_numpy(dtype=np.int64)
@@ -225,8 +254,8 @@ def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_s
             whole = (chunk == 0) & (length < chunk_size) & (x[ends - 1] == length - 1)
         parts = []
         if whole.any():
-            g = np.flatnonzero(whole)
-            pick = best(sums[g])
+            at, pick = np.nonzero(can_win(sums[whole]))
+            g = np.flatnonzero(whole)[at]
             sel = sums[g, pick]
             d = {c: pdf[c].to_numpy()[starts[g]] for c in keys}
             d.update(rep=rep_col[pick], n_all=length[g].astype(np.int64),
@@ -252,10 +281,11 @@ def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_s
                 pdf = pd.concat([pending, pdf], ignore_index=True)
             if pdf.empty:
                 continue
-            k = pdf[keys + ["_chunk"]]
             change = np.ones(len(pdf), dtype=bool)
-            if len(pdf) > 1:
-                change[1:] = (k.iloc[1:].to_numpy() != k.iloc[:-1].to_numpy()).any(axis=1)
+            change[1:] = False
+            for c in keys + ["_chunk"]:
+                v = pdf[c].to_numpy()
+                change[1:] |= v[1:] != v[:-1]
             starts = np.flatnonzero(change)
             ends = np.append(starts[1:], len(pdf))
             # the last run may continue in the next batch: hold it back
@@ -298,8 +328,9 @@ def _arrow_partials(points: DataFrame, keys: list[str], reps: int, frac: float,
                     dense: bool, chunk: int = CHUNK) -> DataFrame:
     threshold = int(-(-frac * P // 1))
     h = row_hash(keys, x)
-    pts = points.select(*keys, F.col(x).cast("bigint").alias("_x"), F.col(y).cast("bigint").alias("_y"),
-                        h.alias("_h"), (F.col(x) / F.lit(chunk)).cast("bigint").alias("_chunk"))
+    pts = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
+        *keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"),
+        h.alias("_h"), F.floor(F.col(x) / F.lit(chunk)).cast("bigint").alias("_chunk"))
     pts = (pts.repartition(*[F.col(k) for k in keys], F.col("_chunk"))
            .sortWithinPartitions(*keys, "_chunk", "_x"))
     key_fields = [f for f in pts.schema.fields if f.name in keys]
@@ -333,9 +364,9 @@ def fit_best_of(points: DataFrame, keys: Sequence[str], reps: int = 100, frac: f
         best = pick(s.select(*keys, "rep", "n", *model_columns()),
                     F.max(F.when(F.col("rep") == 0, F.col("n"))))
         return _finish(best, keys, extra=["rep"])
-    # One aggregation serves both kernel outputs: a whole series arrives as
-    # one (key, best rep) row with its length in n_all; a long series as
-    # per-chunk partial rows for every rep (n_all = count on rep 0).
+    # One aggregation and one choice serve both kernel outputs: a whole series
+    # arrives as the few reps that can win, with its length in n_all; a long
+    # series as per-chunk partial rows for every rep (n_all = count on rep 0).
     part = _arrow_partials(points, keys, reps, frac, x, y, dense=dense_index, chunk=chunk)
     s = part.groupBy(*keys, "rep").agg(
         F.sum("n_all").alias("n_all"), F.sum("n").alias("n"),

@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .rows import PLAYER_ORDER
+from .sequence import time_bucket, with_sequence_index
+
 RECENT_BASE = 23      # fixed value: recent games taken = 30 - (7 - day) = 23 + day
 RECENT_DAY_LIMIT = 7  # fixed value: recent games only when day of month < 7
 RECENT_MAX = RECENT_BASE + RECENT_DAY_LIMIT - 1   # 29, the largest rank ever kept
@@ -26,7 +29,7 @@ def _pcols(df: DataFrame) -> list[str]:
     return POINT_COLS + (["pidx"] if "pidx" in df.columns else [])
 
 
-def request_players(requests: DataFrame, roster: DataFrame, as_of: bool = False) -> DataFrame:
+def request_players(requests: DataFrame, roster: DataFrame) -> DataFrame:
     """(request_id, side, player) with the request's date parts and opponent.
 
     opp is the team the player's side faces: the away team for a home-side
@@ -81,15 +84,6 @@ def player_history_summary(rows: DataFrame, roster: DataFrame) -> DataFrame:
     return roster.select("request_id", "side", "player").distinct().join(per_player, "player")
 
 
-def team_history(trows: DataFrame, requests: DataFrame) -> DataFrame:
-    """team rows of both requested teams, keyed by (request_id, side)."""
-    sides = requests.select("request_id", F.explode(F.array(
-        F.struct(F.lit("home").alias("side"), F.col("home_abbr").alias("abbreviation")),
-        F.struct(F.lit("away").alias("side"), F.col("away_abbr").alias("abbreviation")))).alias("s"))
-    sides = sides.select("request_id", "s.side", "s.abbreviation")
-    return sides.join(trows.drop("side"), "abbreviation")
-
-
 def opponent_history(rows: DataFrame, rp: DataFrame, as_of: bool = False) -> DataFrame:
     """Games of the player in which the requested opponent played on the
     other side (a home-side player: games whose away team is the requested away
@@ -136,11 +130,45 @@ def newest_games(rows: DataFrame, k: int = RECENT_MAX) -> DataFrame:
 
 def recent_games(rows: DataFrame, rp: DataFrame, as_of: bool = False) -> DataFrame:
     """H3: when the request's day of month is below 7, the newest 23 + day games
-    of the player over all dates (later ones too), with their rank."""
-    top = newest_games(rows)
+    of the player over all dates (later ones too), with their rank. With
+    `as_of`, the newest 23 + day games before the request's date."""
     early = rp.where(F.col("rd") < RECENT_DAY_LIMIT)
-    j = early.join(top, "player").where(F.col("rk") <= F.lit(RECENT_BASE) + F.col("rd"))
-    return _as_of(j, as_of)
+    if as_of:
+        return _recent_before(rows, early)
+    return early.join(newest_games(rows), "player").where(F.col("rk") <= F.lit(RECENT_BASE) + F.col("rd"))
+
+
+def games_before(rows: DataFrame, rp: DataFrame) -> DataFrame:
+    """(request_id, side, player, before): the player's games before the request's date.
+
+    Games of earlier months come from a running sum over one row per player and
+    month; only the request's own month is joined game by game.
+    """
+    month = lambda c: F.year(c) * 12 + F.month(c)
+    points = rows.select("player", "date", month("date").alias("ym"))
+    wanted = rp.select("request_id", "side", "player", "rdate", month("rdate").alias("ym"))
+    per_month = (points.groupBy("player", "ym").agg(F.count(F.lit(1)).alias("c"))
+                 .unionByName(wanted.select("player", "ym").distinct().withColumn("c", F.lit(0).cast("bigint")))
+                 .groupBy("player", "ym").agg(F.sum("c").alias("c")))
+    earlier = Window.partitionBy("player").orderBy("ym").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_month.select("player", "ym", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("off"))
+    keys = ["request_id", "side", "player"]
+    inside = (wanted.join(points, ["player", "ym"]).where(F.col("date") < F.col("rdate"))
+              .groupBy(*keys).agg(F.count(F.lit(1)).alias("c")))
+    return (wanted.join(offsets, ["player", "ym"]).join(inside, keys, "left")
+            .select(*keys, (F.col("off") + F.coalesce("c", F.lit(0))).alias("before")))
+
+
+def _recent_before(rows: DataFrame, early: DataFrame) -> DataFrame:
+    """The newest games before each request: its last few places in the player's
+    series (at most RECENT_MAX rows a request), found by (player, index)."""
+    if "pidx" not in rows.columns:
+        rows = with_sequence_index(rows, ["player"], PLAYER_ORDER, bucket=[time_bucket("date")], name="pidx")
+    places = F.explode(F.expr(f"sequence(1, {RECENT_BASE} + rd)"))
+    wanted = (early.join(games_before(rows, early), ["request_id", "side", "player"])
+              .select("*", places.alias("rk")).withColumn("pidx", F.col("before") - F.col("rk"))
+              .where("pidx >= 0").drop("before"))
+    return wanted.join(rows.select("player", *_pcols(rows)), ["player", "pidx"])
 
 
 def contextual_history(rows: DataFrame, rp: DataFrame, as_of: bool = False) -> DataFrame:

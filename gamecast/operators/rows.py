@@ -109,6 +109,11 @@ def game_summary(games: DataFrame) -> DataFrame:
         F.size(F.coalesce(ab["players"], F.array())).alias("away_lines"))
 
 
+def scores_from_games(games: DataFrame) -> DataFrame:
+    """(request_id, side, abbreviation, score): what each team really scored."""
+    return team_rows(games).select(F.col("game_id").alias("request_id"), "side", "abbreviation", "score")
+
+
 def rosters_from_games(games: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Every game as a prediction request.
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import seasons_dim
+from ..schema import season_label, season_value
 
 SEASON_START_MONTH, SEASON_START_DAY = 10, 1   # fixed value: seasons open on 1 October
 SEASON_END_MONTH, SEASON_END_DAY = 4, 30       # fixed value: and close before 30 April
@@ -76,20 +76,20 @@ def season_of(date: str | Column = "date") -> Column:
 
 
 def season_games(games: DataFrame, seasons: DataFrame | None = None) -> DataFrame:
-    """Games per season of `seasons_dim`.
+    """Games per season: of every season that occurs in the games, or of those
+    in `seasons` (such as `seasons_dim`, the list of the select box).
 
     The range condition [1 Oct Y1, 30 Apr Y2) is turned into an equi-key (the
     season's start year) computed per game, so the games are aggregated before
-    the (fixed-size, broadcast) season table is joined; no range join.
+    the season table is joined; no range join.
     """
-    spark = games.sparkSession
-    # The built-in dimension has 29 rows: broadcast. A caller's table is left
-    # to AQE, which broadcasts on measured size.
-    seasons = F.broadcast(seasons_dim(spark)) if seasons is None else seasons
     per = (games.select(season_of("date").alias("season"), "date")
            .where(F.col("season").isNotNull())
            .groupBy("season").agg(F.count(F.lit(1)).alias("games"),
                                  F.min("date").alias("first_date"), F.max("date").alias("last_date")))
+    if seasons is None:
+        return per.select("season", season_label("season").alias("label"), season_value("season").alias("value"),
+                          "games", "first_date", "last_date")
     return seasons.select("season", "label", "value").join(per, "season")
 
 
@@ -98,16 +98,18 @@ def search_games_batch(games: DataFrame, searches: DataFrame, keys: list[str] |
     """E7 for a table of searches `(keys..., home, away, start, end)`: the first
     `limit` games by date of each search, with their rank.
 
-    Games are matched on the (home, away) equi-key, then the half-open date
-    range; the per-search cap is a constant-bounded row_number, which Spark
+    Games are matched on the (home, away, calendar year) equi-key (a search has
+    a row for each year it touches), then the half-open date range; the per-search cap is a constant-bounded row_number, which Spark
     trims per task before the shuffle.
     """
     from .rows import game_summary
 
     keys = keys or ["search_id"]
     g = game_summary(games)
-    j = searches.join(g, (g.home_abbr == searches.home) & (g.away_abbr == searches.away)
-                      & (g.date >= searches.start) & (g.date < searches.end))
+    years = F.explode(F.sequence(F.year("start"), F.greatest(F.year("start"), F.year("end"))))
+    s = searches.withColumn("_year", years)
+    j = s.join(g, (g.home_abbr == s.home) & (g.away_abbr == s.away) & (F.year(g.date) == s["_year"])
+               & (g.date >= s.start) & (g.date < s.end)).drop("_year")
     w = Window.partitionBy(*keys).orderBy("date", "game_id")
     return (j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
             .drop("start", "end"))

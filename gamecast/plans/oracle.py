@@ -132,9 +132,10 @@ def fit_full_sql(src: str, keys: list[str], x: str = "idx", y: str = "pts") -> s
     return f"SELECT {finish(k)} FROM (SELECT *, n AS n_all, n AS n_fit FROM ({m}) m0) m1"
 
 
-def fit_split_sql(src: str, keys: list[str], reg: float = 0.001, x: str = "idx", y: str = "pts") -> str:
+def fit_split_sql(src: str, keys: list[str], reg: float = 0.001, x: str = "idx", y: str = "pts",
+                  hash_keys: list[str] | None = None) -> str:
     k = ", ".join(keys)
-    flag = in_sample(row_hash(keys, x), "0")
+    flag = in_sample(row_hash(hash_keys or keys, x), "0")
     xs, ys = f"CAST({x} AS DOUBLE)", f"CAST({y} AS DOUBLE)"
     agg = (f"SELECT {k}, COUNT(*) AS n_all, COUNT(*) FILTER (WHERE {flag}) AS n_s, "
            f"SUM({xs}) AS sx_a, SUM({ys}) AS sy_a, SUM({xs}*{xs}) AS sxx_a, SUM({xs}*{ys}) AS sxy_a, SUM({ys}*{ys}) AS syy_a, "

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import round_half_up
-from ..operators.fit import fit_best_of, fit_full, fit_split
-from ..operators.history import SEG_RECENT, contextual_history, request_players
+from ..operators.fit import fit_best_of, fit_split, fit_split_as_of
+from ..operators.history import SEG_RECENT, contextual_history, games_before, request_players
 from ..operators.rows import PLAYER_ORDER, TEAM_ORDER, player_rows, team_rows
 from ..operators.sequence import time_bucket, with_sequence_index
 from ..session import materialize
@@ -24,11 +24,12 @@ PRED_COLS = ["n", "n_fit", "rep", "slope", "intercept", "rmse", "r2", "predictio
 def player_series(games: DataFrame, players: DataFrame | None = None) -> DataFrame:
     """Each player's points in game order with idx = 0, 1, 2, ...
 
+    Lines without points (the player did not play) are no points of the series.
     With `players` (a column `player`), only those players' rows are kept
     before indexing (left-semi join; Spark picks broadcast at runtime when the
     list is small).
     """
-    rows = player_rows(games)
+    rows = player_rows(games).where(F.col("pts").isNotNull())
     if players is not None:
         rows = rows.join(players.select("player").distinct(), "player", "left_semi")
     return with_sequence_index(rows, ["player"], PLAYER_ORDER, bucket=[time_bucket("date")])
@@ -36,35 +37,48 @@ def player_series(games: DataFrame, players: DataFrame | None = None) -> DataFra
 
 def team_series(games: DataFrame, abbrs: DataFrame | None = None) -> DataFrame:
     """H2: each team's scores in game order with idx."""
-    rows = team_rows(games)
+    rows = team_rows(games).where(F.col("score").isNotNull())
     if abbrs is not None:
         rows = rows.join(abbrs.select("abbreviation").distinct(), "abbreviation", "left_semi")
     return with_sequence_index(rows, ["abbreviation"], TEAM_ORDER, bucket=[time_bucket("date")])
 
 
-def _attach(models: DataFrame, roster: DataFrame) -> DataFrame:
+def quick_models(games: DataFrame, players: DataFrame | None = None, reg: float = 0.001,
+                 frac: float = 0.7) -> DataFrame:
+    """P1's model of every player (of `players`): they do not depend on a request."""
+    return fit_split(player_series(games, players), ["player"], frac=frac, reg=reg)
+
+
+def best_models(games: DataFrame, players: DataFrame | None = None, reps: int = 100, frac: float = 0.7) -> DataFrame:
+    """P2's model of every player (of `players`)."""
+    return fit_best_of(player_series(games, players), ["player"], reps=reps, frac=frac, dense_index=True)
+
+
+def attach_models(models: DataFrame, roster: DataFrame) -> DataFrame:
+    """Forecasts of rostered players from their models."""
     m = models if "rep" in models.columns else models.withColumn("rep", F.lit(0))
     return roster.select(*PLAYER_KEYS).join(m, "player").select(*PLAYER_KEYS, *PRED_COLS)
 
 
-def predict_players(games: DataFrame, roster: DataFrame, reg: float = 0.001,
-                    frac: float = 0.7) -> DataFrame:
-    """P1 (quick): one `frac` sample per player, L2 penalty `reg`, forecast next game."""
-    series = player_series(games, roster)
-    models = fit_split(series, ["player"], frac=frac, reg=reg).withColumn("rep", F.lit(0))
-    return _attach(models, roster)
-
+def predict_players(games: DataFrame, roster: DataFrame, reg: float = 0.001, frac: float = 0.7,
+                    requests: DataFrame | None = None, as_of: bool = False) -> DataFrame:
+    """P1 (quick): one `frac` sample per player, L2 penalty `reg`, forecast next game.
 
-def predict_players_full(games: DataFrame, roster: DataFrame) -> DataFrame:
-    """M2 + M5 per rostered player: plain least squares on all points."""
-    return _attach(fit_full(player_series(games, roster), ["player"]), roster)
+    With `as_of`, the model of a request (`requests` gives its date) is fitted
+    on the games before that date only; players without one vanish.
+    """
+    if not as_of:
+        return attach_models(quick_models(games, roster, reg, frac), roster)
+    series = player_series(games, roster)
+    wanted = games_before(series, request_players(requests, roster)).where("before > 0")
+    models = fit_split_as_of(series, ["player"], wanted, frac=frac, reg=reg)
+    return models.withColumn("rep", F.lit(0)).select(*PLAYER_KEYS, *PRED_COLS)
 
 
 def predict_players_best(games: DataFrame, roster: DataFrame, reps: int = 100,
                          frac: float = 0.7) -> DataFrame:
     """Best of the full fit and reps-1 samples per player."""
-    series = player_series(games, roster)
-    return _attach(fit_best_of(series, ["player"], reps=reps, frac=frac, dense_index=True), roster)
+    return attach_models(best_models(games, roster, reps, frac), roster)
 
 
 CONTEXT_BUCKET = 4096   # points of one segment per index bucket
@@ -81,6 +95,9 @@ def context_series(games: DataFrame, requests: DataFrame, roster: DataFrame,
     long segment is still split every CONTEXT_BUCKET points.
     """
     rows = player_series(games, roster).withColumnRenamed("idx", "pidx")
+    # Every segment reads the indexed series: it is made once from one scan.
+    if checkpoint:
+        rows = materialize(rows, "player-series")
     rp = request_players(requests, roster)
     o = F.when(F.col("seg") == SEG_RECENT, -F.col("pidx")).otherwise(F.col("pidx"))
     hist = (contextual_history(rows, rp, as_of)
@@ -137,6 +154,20 @@ def actual_vs_predicted(actual: DataFrame, preds: DataFrame) -> DataFrame:
     return actual.select(*PLAYER_KEYS, F.col("pts").alias("actual")).join(p, PLAYER_KEYS, "left")
 
 
+def score_vs_predicted(scores: DataFrame, preds: DataFrame) -> DataFrame:
+    """each side's real score next to its predicted total (none without forecasts)."""
+    return scores.join(team_totals(preds), ["request_id", "side"], "left")
+
+
+def comparison_lists(compared: DataFrame) -> DataFrame:
+    """I4: `actual_vs_predicted` as shown: one list per request and side, by player.
+
+    One group per request side, bounded by its roster.
+    """
+    line = F.struct("player", "actual", "predicted")
+    return compared.groupBy("request_id", "side").agg(F.array_sort(F.collect_list(line)).alias("players"))
+
+
 def validate_requests(requests: DataFrame, teams: DataFrame) -> DataFrame:
     """Known-team flags per request, by exact membership in `teams(abbr)`.
 

@@ -16,6 +16,7 @@ from ..operators import fit as fit_ops
 from ..operators import history as H
 from ..operators import search as S
 from ..operators import rows as rows_ops
+from ..operators.sequence import time_bucket, with_sequence_index
 from ..sources import requests as RQ
 from ..sources import sinks as SK
 from ..sources import testbed
@@ -55,6 +56,14 @@ def games_scan(spark, sf_dir):
     return rows_ops.game_summary(_games(spark, sf_dir))
 
 
+@query("team_match", O.with_base(
+    "SELECT game_id, date, tpos, side, home, abbreviation, name, score, won, opponent FROM tr "
+    "WHERE abbreviation IN ('NATION_3', 'NATION_7')"))
+def team_match(spark, sf_dir):
+    """Team rows of named teams, games filtered before the unnest."""
+    return rows_ops.team_rows(_games(spark, sf_dir), abbrs=["NATION_3", "NATION_7"])
+
+
 @query("player_rows", O.with_base(f"SELECT {PLAYER_ROW_COLS} FROM pr"))
 def player_rows(spark, sf_dir):
     """One row per player line."""
@@ -91,6 +100,23 @@ def fit_full(spark, sf_dir):
     return fit_ops.fit_full(PL.player_series(_games(spark, sf_dir)), ["player"])
 
 
+_SPARSE = ("sparse AS (SELECT player, pts / 2.0 AS y, CAST(row_number() OVER (PARTITION BY player "
+           "ORDER BY date, game_id, bpos, ppos) - 1 AS DOUBLE) AS x FROM pr WHERE ppos % 5 <> 4)")
+
+
+@query("fit_full_sparse", O.with_base(
+    "SELECT player, n, n AS n_fit, round(slope, 6) AS slope, round(intercept, 6) AS intercept, "
+    "round(sqrt(greatest(rss, 0) / n), 6) AS rmse, round(r2, 6) AS r2, round(intercept + slope * n, 6) AS prediction FROM ("
+    "SELECT player, count(y) AS n, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, regr_r2(y, x) AS r2, "
+    "regr_syy(y, x) - regr_sxy(y, x) * regr_sxy(y, x) / regr_sxx(y, x) AS rss FROM sparse GROUP BY player) m", _SPARSE))
+def fit_full_sparse(spark, sf_dir):
+    """M2 with players who did not play (no points: every fifth line of a box) and fractional points."""
+    rows = rows_ops.player_rows(_games(spark, sf_dir)).withColumn(
+        "pts", F.when(F.col("ppos") % 5 != 4, F.col("pts") / F.lit(2.0))).where("pts is not null")
+    series = with_sequence_index(rows, ["player"], rows_ops.PLAYER_ORDER, bucket=[time_bucket("date")])
+    return fit_ops.fit_full(series, ["player"])
+
+
 def _fit_split(spark, sf_dir):
     return fit_ops.fit_split(PL.player_series(_games(spark, sf_dir)), ["player"])
 
@@ -217,6 +243,17 @@ def recent_games(spark, sf_dir):
     return _summary(H.recent_games(*_context_inputs(spark, sf_dir)))
 
 
+@query("recent_games_as_of", O.with_base(
+    "SELECT request_id, side, player, COUNT(*) AS n, CAST(SUM(pts) AS BIGINT) AS pts_sum, MIN(date) AS first_date, "
+    "MAX(date) AS last_date FROM (SELECT rp.request_id, rp.side, rp.player, rp.rd, ph.date, ph.pts, row_number() OVER ("
+    "PARTITION BY rp.request_id, rp.side, rp.player ORDER BY ph.date DESC, ph.game_id DESC, ph.bpos DESC, ph.ppos DESC) AS rk "
+    "FROM rp JOIN ph ON ph.player = rp.player AND rp.rd < 7 AND ph.date < rp.rdate) x WHERE rk <= 23 + rd "
+    "GROUP BY request_id, side, player", _PH))
+def recent_games_as_of(spark, sf_dir):
+    """H3 as of the request: the newest 23 + day games before its date."""
+    return _summary(H.recent_games(*_context_inputs(spark, sf_dir), as_of=True))
+
+
 _CTX = ",\n".join([_PH, "ctx AS (" + "\nUNION ALL\n".join(
     f"SELECT {_SEG_COLS}, {s} AS seg {_SEG_SQL[s]}" for s in range(4)) + ")",
     "cs AS (SELECT *, row_number() OVER (PARTITION BY request_id, side, player ORDER BY seg, "
@@ -258,6 +295,17 @@ def predict_quick(spark, sf_dir):
     return _quick(spark, sf_dir)
 
 
+@query("predict_quick_as_of", O.with_base(
+    f"SELECT {_PRED} FROM (SELECT *, 0 AS rep FROM ("
+    + O.fit_split_sql("aof", ["request_id", "side", "player"], reg=0.001, hash_keys=["player"]) + ") m) q",
+    "aof AS (SELECT rp.request_id, rp.side, rp.player, ps.idx, ps.pts FROM rp "
+    "JOIN ps ON ps.player = rp.player AND ps.date < rp.rdate)"))
+def predict_quick_as_of(spark, sf_dir):
+    """P1 as of the request: fitted on the games before its date only."""
+    games, requests, roster, _ = _requests(spark, sf_dir)
+    return PL.predict_players(games, roster, requests=requests, as_of=True)
+
+
 @query("predict_best", O.with_base(
     f"SELECT {_PRED} FROM (SELECT r.request_id, r.side, m.* FROM ros r JOIN "
     f"({O.fit_best_sql('ps', ['player'])}) m ON m.player = r.player) q"))
@@ -305,6 +353,24 @@ def top20_per_side(spark, sf_dir):
     return PL.top_per_side(_quick(spark, sf_dir))
 
 
+@query("top2_per_side", O.with_base(
+    f"SELECT {_PRED}, line FROM (SELECT *, CAST(row_number() OVER (PARTITION BY request_id, side ORDER BY player) AS INTEGER) AS line "
+    f"FROM ({_QUICK_SQL}) q) t WHERE line <= 2"))
+def top2_per_side(spark, sf_dir):
+    """I2 with a cap that binds: at most 2 forecasts per request side."""
+    return PL.top_per_side(_quick(spark, sf_dir), 2)
+
+
+@query("score_vs_predicted", O.with_base(
+    "SELECT t.game_id AS request_id, t.side, t.abbreviation, t.score, p.total, p.players FROM tr t LEFT JOIN ("
+    "SELECT request_id, side, CAST(SUM(floor(prediction + 0.5)) AS BIGINT) AS total, COUNT(*) AS players "
+    f"FROM ({_QUICK_SQL}) q GROUP BY request_id, side) p ON p.request_id = t.game_id AND p.side = t.side"))
+def score_vs_predicted(spark, sf_dir):
+    """Each side's real score next to its predicted total."""
+    games, _, roster, _ = _requests(spark, sf_dir)
+    return PL.score_vs_predicted(rows_ops.scores_from_games(games), PL.predict_players(games, roster))
+
+
 @query("actual_vs_predicted", O.with_base(
     "SELECT r.request_id, r.side, r.player, r.pts AS actual, q.prediction, "
     "CAST(floor(q.prediction + 0.5) AS BIGINT) AS predicted "
@@ -326,6 +392,19 @@ def validate_requests(spark, sf_dir):
     return PL.validate_requests(requests, dim)
 
 
+_REGION = "(SELECT n_name FROM nation WHERE n_regionkey = 1)"
+
+
+@query("validate_requests_region", O.with_base(
+    f"SELECT request_id, home_abbr, away_abbr, home_abbr IN {_REGION} AS home_ok, away_abbr IN {_REGION} AS away_ok, "
+    f"home_abbr IN {_REGION} AND away_abbr IN {_REGION} AS valid FROM req"))
+def validate_requests_region(spark, sf_dir):
+    """E10 where some teams are unknown: only the nations of one region are teams."""
+    _, requests, _, _ = _requests(spark, sf_dir)
+    dim = testbed.table(spark, sf_dir, "nation").where("n_regionkey = 1").select(F.col("n_name").alias("abbr"))
+    return PL.validate_requests(requests, dim)
+
+
 # -- search -------------------------------------------------------------------
 
 _SUMMARY_SQL = (
@@ -349,13 +428,13 @@ def search_games(spark, sf_dir):
     "SELECT CAST(s.season AS INTEGER) AS season, "
     "'Temporada ' || lpad(CAST(s.season % 100 AS VARCHAR), 2, '0') || '/' || lpad(CAST((s.season + 1) % 100 AS VARCHAR), 2, '0') AS label, "
     "CAST(s.season AS VARCHAR) || '-' || CAST(s.season + 1 AS VARCHAR) AS value, "
-    "x.games, x.first_date, x.last_date FROM range(1984, 2013) s(season) JOIN ("
+    "x.games, x.first_date, x.last_date FROM range(1900, 2200) s(season) JOIN ("
     "SELECT CASE WHEN month(date) >= 10 THEN year(date) "
     "WHEN month(date) < 4 OR (month(date) = 4 AND day(date) < 30) THEN year(date) - 1 END AS season, "
     "COUNT(*) AS games, MIN(date) AS first_date, MAX(date) AS last_date FROM g GROUP BY 1) x "
     "ON x.season = s.season"))
 def season_games(spark, sf_dir):
-    """Games per season window [1 Oct, 30 Apr)."""
+    """Games per season window [1 Oct, 30 Apr), of every season in the games."""
     return S.season_games(_games(spark, sf_dir))
 
 
@@ -390,7 +469,7 @@ _ROUNDTRIP = O.with_base(
 def _scratch(spark, sf_dir, what):
     import uuid
     from ..session import checkpoint_dir
-    return f"{checkpoint_dir(spark).rstrip('/')}/{what}/{testbed._fingerprint(sf_dir)}-{uuid.uuid4().hex[:8]}"
+    return f"{checkpoint_dir(spark).rstrip('/')}/{what}/{uuid.uuid4().hex}"
 
 
 @query("requests_parse", O.with_base(
@@ -405,11 +484,55 @@ def requests_parse(spark, sf_dir):
     return RQ.roster_table(parsed).join(RQ.requests_table(parsed), "request_id")
 
 
+@query("requests_parse_escaped", O.with_base(
+    "SELECT r.request_id, r.side, 'O' || chr(39) || r.player AS player, CAST(CAST(q.rdate AS DATE) AS TIMESTAMP) AS rdate, "
+    "q.home_abbr, q.away_abbr FROM ros r JOIN req q ON q.request_id = r.request_id"))
+def requests_parse_escaped(spark, sf_dir):
+    """A4, K5: every request written and parsed back, with an apostrophe in every name."""
+    _, requests, roster, _ = _requests(spark, sf_dir)
+    path = _scratch(spark, sf_dir, "requests")
+    roster = roster.withColumn("player", F.concat(F.lit("O'"), "player"))
+    RQ.write_requests(RQ.render_requests(requests, roster), path)
+    parsed = RQ.read_requests(spark, path)
+    return RQ.roster_table(parsed).join(RQ.requests_table(parsed), "request_id")
+
+
+@query("predictions_roundtrip_plain", O.with_base(
+    "SELECT request_id, side, CAST(row_number() OVER (PARTITION BY request_id, side ORDER BY player) AS INTEGER) AS line, "
+    f"player, prediction, CAST(floor(prediction + 0.5) AS BIGINT) AS pts FROM ({_QUICK_SQL}) q"))
+def predictions_roundtrip_plain(spark, sf_dir):
+    """B1, A5 without a blank line between sides: a reader tells them apart by the roster."""
+    games, _, roster, _ = _requests(spark, sf_dir)
+    path = _scratch(spark, sf_dir, "predictions")
+    SK.write_predictions(PL.predict_players(games, roster), path, blank_line=False)
+    return RQ.read_predictions(spark, path, roster)
+
+
+@query("team_predictions_roundtrip", O.with_base(
+    "SELECT request_id, side, abbreviation, prediction, rmse, r2 "
+    f"FROM sd JOIN ({O.fit_best_sql('tsp', ['abbreviation'])}) m USING (abbreviation)", _SIDES))
+def team_predictions_roundtrip(spark, sf_dir):
+    """B2: team forecasts written as files and read back."""
+    _, requests, _, _ = _requests(spark, sf_dir)
+    path = _scratch(spark, sf_dir, "team_predictions")
+    SK.write_team_predictions(PL.predict_teams(_games(spark, sf_dir), requests), path)
+    return RQ.read_team_predictions(spark, path)
+
+
+@query("series_dump", O.with_base(
+    "SELECT side, CAST(game_id AS VARCHAR) AS game_id, abbreviation, idx, CAST(score AS DOUBLE) AS score FROM ts"))
+def series_dump(spark, sf_dir):
+    """Every team's series dumped under its side, with game, team and game number, and read back."""
+    path, keys = _scratch(spark, sf_dir, "series"), ("game_id", "abbreviation")
+    SK.write_series(PL.team_series(_games(spark, sf_dir)), path, keys=keys, value="score")
+    return SK.read_series(spark, path, keys=keys, value="score")
+
+
 @query("predictions_roundtrip", _ROUNDTRIP)
 def predictions_roundtrip(spark, sf_dir):
     """Forecasts written as prediction files and read back."""
     path = _scratch(spark, sf_dir, "predictions")
-    SK.write_predictions(_quick(spark, sf_dir), path)
+    SK.write_predictions(_quick(spark, sf_dir), path, per_side=20)
     return RQ.read_predictions(spark, path)
 
 
@@ -438,7 +561,7 @@ def stream_scoring(spark, sf_dir):
     games, requests, roster, _ = _requests(spark, sf_dir)
     base = _scratch(spark, sf_dir, "stream")
     RQ.write_requests(RQ.render_requests(requests, roster), f"{base}/in")
-    q = score_request_stream(spark, f"{base}/in", games, f"{base}/out", checkpoint=f"{base}/checkpoint")
+    q = score_request_stream(spark, f"{base}/in", games, f"{base}/out", checkpoint=f"{base}/checkpoint", per_side=20)
     q.awaitTermination()
     return RQ.read_predictions(spark, f"{base}/out")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,16 +98,26 @@ def teams_dim(spark: SparkSession, teams: list[tuple[str, str]] | None = None) -
     return df.select("abbr", F.trim("name").alias("name"))
 
 
+def season_label(season: str | Column) -> Column:
+    """"Temporada YY/YY" of a season's start year."""
+    y = F.col(season) if isinstance(season, str) else season
+    two = lambda c: F.lpad((c % 100).cast("string"), 2, "0")
+    return F.concat(F.lit("Temporada "), two(y), F.lit("/"), two(y + 1))
+
+
+def season_value(season: str | Column) -> Column:
+    """"Y1-Y2" of a season's start year."""
+    y = F.col(season) if isinstance(season, str) else season
+    return F.concat_ws("-", y.cast("string"), (y + 1).cast("string"))
+
+
 def seasons_dim(spark: SparkSession, first: int = FIRST_SEASON, last: int = LAST_SEASON) -> DataFrame:
     """`(season, label, value)` for seasons first..last, newest first.
 
     label is "Temporada YY/YY", value is "Y1-Y2"; season is the start year.
     """
     y = F.col("id")
-    yy1 = F.lpad((y % 100).cast("string"), 2, "0")
-    yy2 = F.lpad(((y + 1) % 100).cast("string"), 2, "0")
     return (spark.range(first, last + 1)
             .select(y.cast("int").alias("season"),
-                    F.concat(F.lit("Temporada "), yy1, F.lit("/"), yy2).alias("label"),
-                    F.concat_ws("-", y.cast("string"), (y + 1).cast("string")).alias("value"))
+                    season_label(y).alias("label"), season_value(y).alias("value"))
             .orderBy(F.desc("season")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +21,15 @@ RECOMMENDED_CONF = {
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`.
 
-    On a cluster this must be set by the deployment (a shared file system).
-    Only when it is unset, as in local tests, a scratch folder is created.
+    On a cluster this must be set by the deployment (a shared file system); a
+    session without it gets an error. Only a local session, where the driver
+    and the executor are one process, gets a scratch folder when it is unset.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="gamecast-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
@@ -49,9 +53,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write `df` once as a Parquet table in the shared checkpoint folder and
-    continue from the written table.
+def release(spark: SparkSession, path: str) -> None:
+    """Remove a written copy (`materialize(..., path=...)`) that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def materialize(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:
+    """Write `df` once as a Parquet table in the shared checkpoint folder (or at
+    `path`, which `release` can remove) and continue from the written table.
 
     Cuts the lineage of long plans that are read more than once and survives
     the loss of executors (unlike a local checkpoint); columnar, so later
@@ -60,6 +71,6 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     import uuid
 
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    path = path or f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

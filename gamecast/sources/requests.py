@@ -8,7 +8,7 @@ such files is a table of requests; one file per request.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import escape_name, parse_ymd, round_half_up, split_roster, unescape_name
@@ -20,21 +20,22 @@ def _request_id_from_path(path: Column) -> Column:
     return F.when(found != "", found.cast("bigint")).otherwise(F.xxhash64(path))
 
 
+RECORD_MARK = "\n#"   # a bundle's records begin with "#<request_id>" on a line of its own
+
+
 def _records(raw: DataFrame) -> DataFrame:
-    """Whole-file rows -> (request_id, source, body), one row per request.
+    """Text rows split at `RECORD_MARK` -> (request_id, source, body), one row per request.
 
     Two layouts: a single request per file (the web form's file; the id comes
     from a `request_id=<n>` folder or a hash of the path), or a bundle: records
-    `#<request_id>` followed by the request's lines, many per file.
+    `#<request_id>` followed by the request's lines, many per file. A file is a
+    bundle if its first record shows the mark; the others of it have lost it.
     """
-    value = F.regexp_replace("value", "\r", "")
-    path = F.col("_metadata.file_path")
-    bundle = value.startswith("#")
-    recs = F.when(bundle, F.split(F.substring(value, 2, 1 << 30), "\n#")).otherwise(F.array(value))
-    # The array is built before the explode so that generated rows do not
-    # carry the whole file text along.
-    y = raw.select(path.alias("source"), bundle.alias("_bundle"), recs.alias("_recs"))
-    x = y.select("source", "_bundle", F.explode("_recs").alias("_rec"))
+    rows = raw.select(F.regexp_replace("value", "\r", "").alias("value"), F.col("_metadata.file_path").alias("source"))
+    bundles = rows.where(F.col("value").startswith("#")).select("source").distinct().withColumn("_bundle", F.lit(True))
+    x = rows.join(bundles, "source", "left")
+    rec = F.when(F.col("_bundle"), F.regexp_replace("value", "^#", "")).otherwise(F.col("value"))
+    x = x.select("source", "_bundle", rec.alias("_rec"))
     head = F.substring_index("_rec", "\n", 1)
     return x.select(
         F.when(F.col("_bundle"), F.trim(head).cast("bigint"))
@@ -45,12 +46,13 @@ def _records(raw: DataFrame) -> DataFrame:
 
 
 def _read_text(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    """Records, not files: Spark splits a large bundle over many tasks."""
+    return (spark.read.option("recursiveFileLookup", "true").option("lineSep", RECORD_MARK).text(path)
             .select("value", "_metadata"))
 
 
 def parse_requests(raw: DataFrame, zero_based_month: bool = True) -> DataFrame:
-    """Parse whole-file text rows (`value`, `_metadata`) into (request_id,
+    """Parse text rows split at `RECORD_MARK` (`value`, `_metadata`) into (request_id,
     source, home_abbr, away_abbr, rdate, home_roster, away_roster)."""
     r = _records(raw)
     lines = F.split("body", "\n")
@@ -109,23 +111,59 @@ def write_requests(rendered: DataFrame, path: str, mode: str = "overwrite",
      .option("maxRecordsPerFile", str(max_per_file)).text(path))
 
 
-def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """A5: prediction files (single or bundled; per request: home lines, a
-    blank line, away lines; each line `player/prediction`) ->
+NO_SIDES = "a prediction record has no blank line between sides: pass the roster that tells them apart"
+
+
+def _file_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(request_id, pos, text, block, cut): lines of prediction records; block 0 is before the first blank line."""
+    r = _records(_read_text(spark, path)).select("request_id", F.split("body", "\n").alias("ls"),
+                                                 F.col("body").contains("\n\n").alias("cut"))
+    r = r.select("request_id", "cut", F.array_position("ls", "").alias("blank"), F.posexplode("ls").alias("pos", "text"))
+    return r.where(F.col("text") != "").select(
+        "request_id", "cut", "pos", "text",
+        F.when(F.col("cut") & (F.col("blank") <= F.col("pos")), 1).otherwise(0).alias("block"))
+
+
+def _sided(lines: DataFrame, roster: DataFrame) -> DataFrame:
+    """`side` of each line by the roster. A name on both rosters is home where it comes first and away where it
+    comes again; a name on neither is left out."""
+    home, away = (F.max(F.col("side") == s).alias(s) for s in ("home", "away"))
+    sides = roster.groupBy("request_id", "player").agg(home, away)
+    again = Window.partitionBy("request_id", "player").orderBy("pos")
+    j = lines.withColumn("again", F.row_number().over(again) > 1).join(sides, ["request_id", "player"])
+    return j.withColumn("side", F.when(F.col("home") & ~(F.col("away") & F.col("again")), "home").otherwise("away"))
+
+
+def read_predictions(spark: SparkSession, path: str, roster: DataFrame | None = None) -> DataFrame:
+    """A5: prediction files (single or bundled; per request home lines, then
+    away lines; each line `player/prediction`) ->
     (request_id, side, line, player, prediction, pts).
 
+    Sides are told apart by `roster` (request_id, side, player) if given, else
+    by the blank line between them; a record without one is refused then.
     pts is the prediction rounded half up, as the web response shows it.
     """
-    r = _records(_read_text(spark, path))
-    parts = F.split("body", "\n\n")
-    sides = r.select("request_id", F.explode(F.array(
-        F.struct(F.lit("home").alias("side"), F.coalesce(F.get(parts, 0), F.lit("")).alias("block")),
-        F.struct(F.lit("away").alias("side"), F.coalesce(F.get(parts, 1), F.lit("")).alias("block")))).alias("s"))
-    lines = sides.select("request_id", "s.side",
-                         F.posexplode(F.split(F.trim(F.col("s.block"), F.lit("\n")), "\n")).alias("pos", "text"))
-    lines = lines.where(F.col("text") != "")
     pred = F.regexp_extract("text", r"/([^/]*)$", 1).try_cast("double")
-    return lines.select(
-        "request_id", "side", (F.col("pos") + 1).alias("line"),
-        unescape_name(F.regexp_extract("text", r"^(.*)/[^/]*$", 1)).alias("player"),
-        pred.alias("prediction"), round_half_up(pred).alias("pts"))
+    lines = _file_lines(spark, path).withColumn(
+        "player", unescape_name(F.regexp_extract("text", r"^(.*)/[^/]*$", 1)))
+    if roster is None:
+        side = (F.when(~F.col("cut"), F.raise_error(F.lit(NO_SIDES)))
+                .when(F.col("block") == 0, "home").otherwise("away"))
+        lines = lines.withColumn("side", side)
+    else:
+        lines = _sided(lines, roster)
+    order = Window.partitionBy("request_id", "side").orderBy("pos")   # bounded by the lines of one side
+    return lines.select("request_id", "side", F.row_number().over(order).alias("line"), "player",
+                        pred.alias("prediction"), round_half_up(pred).alias("pts"))
+
+
+def read_team_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """Team prediction files (B2: `abbr/prediction/RMSE/R2`, home then away) ->
+    (request_id, side, abbreviation, prediction, rmse, r2); NaN is read as null."""
+    parts = F.split("text", "/")
+    number = lambda i: F.nanvl(F.get(parts, i).try_cast("double"), F.lit(None).cast("double"))
+    order = Window.partitionBy("request_id").orderBy("pos")           # two lines
+    lines = _file_lines(spark, path).withColumn("n", F.row_number().over(order))
+    return lines.select("request_id", F.when(F.col("n") == 1, "home").otherwise("away").alias("side"),
+                        F.get(parts, 0).alias("abbreviation"), number(1).alias("prediction"),
+                        number(2).alias("rmse"), number(3).alias("r2"))

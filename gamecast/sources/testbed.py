@@ -87,17 +87,19 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in GAME_SCHEMA.fields])
 
 
-def _fingerprint(sf_dir: str) -> str:
+BUILD = 2   # raised whenever the build of the nested table changes
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Key of the tables as they are now: path, length and modification time of
+    every file as Spark lists them (whatever the file system), and the build."""
     import hashlib
-    import os
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    h = hashlib.sha1(f"{BUILD}:{sf_dir.rstrip('/')}".encode())
     for name in ("orders", "lineitem", "customer", "supplier", "nation"):
-        p = f"{sf_dir}/{name}.parquet"
-        try:
-            st = os.stat(p)
-            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
-            h.update(name.encode())
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf_dir}/{name}.parquet")
+        row = files.agg(F.count("*"), F.sum("length"),
+                        F.bit_xor(F.xxhash64("path", "length", F.unix_micros("modificationTime")))).first()
+        h.update(f"{name}:{tuple(row)}".encode())
     return h.hexdigest()[:16]
 
 
@@ -117,7 +119,7 @@ def stored_games(spark: SparkSession, sf_dir: str, core: bool = True) -> DataFra
 
     from ..session import checkpoint_dir
     from .games import read_games
-    base = f"{checkpoint_dir(spark).rstrip('/')}/testbed_games/{_fingerprint(sf_dir)}"
+    base = f"{checkpoint_dir(spark).rstrip('/')}/testbed_games/{_fingerprint(spark, sf_dir)}"
     try:
         done = (spark.read.format("binaryFile").load(f"{base}/*/_SUCCESS")
                 .select("path").orderBy("path").limit(1).collect())

@@ -1,51 +1,61 @@
 """L1: score request files as they arrive.
 
 Request files land in a directory; each micro-batch is parsed (A4), scored
-with a pipeline against the games table, and written as prediction files
-(B1) under `out_dir/batch_id=<n>/`. The writer overwrites its own batch
-folder, so a batch replayed after a failure produces the same files
-(exactly-once at the file level, with the checkpoint tracking inputs).
+and written as prediction files (B1) under `out_dir/batch_id=<n>/`. The writer
+overwrites its own batch folder, so a batch replayed after a failure produces
+the same files (exactly-once at the file level, with the checkpoint tracking
+inputs). P1 and P2 models do not depend on a request: they are fitted before
+the stream starts, written once, and a micro-batch only joins them. P3 is
+fitted per request and reads the games in every batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans import pipelines as PL
-from ..session import checkpoint_dir
-from ..sources.requests import parse_requests, requests_table, roster_table
+from ..session import materialize
+from ..sources.requests import RECORD_MARK, parse_requests, requests_table, roster_table
 from ..sources.sinks import write_predictions
 
-PIPELINES: dict[str, Callable[..., DataFrame]] = {
-    "quick": lambda games, requests, roster: PL.predict_players(games, roster),
-    "best": lambda games, requests, roster: PL.predict_players_best(games, roster),
-    "context": lambda games, requests, roster: PL.predict_players_context(games, requests, roster),
-}
+MODELS = {"quick": PL.quick_models, "best": PL.best_models}
 
 
-def score_request_stream(spark: SparkSession, in_dir: str, games: DataFrame, out_dir: str,
-                         checkpoint: str | None = None, pipeline: str = "quick",
+def score_request_stream(spark: SparkSession, in_dir: str, games: DataFrame | None, out_dir: str, checkpoint: str,
+                         pipeline: str = "quick", models: DataFrame | None = None,
                          zero_based_month: bool = True, available_now: bool = True,
-                         per_side: int = 20, max_files_per_trigger: int | None = None):
+                         per_side: int | None = None, max_files_per_trigger: int | None = None):
     """Start the stream; returns the StreamingQuery (call awaitTermination()).
 
-    `checkpoint` defaults to a folder under `spark.checkpoint.dir`.
+    `checkpoint`: the stream's own folder in shared storage. A restart with it
+    goes on where the stream stopped; no other stream may use it.
+    `models`: a stored table of player models (`quick_models`, `best_models`);
+    without it, `pipeline` ("quick" or "best") fits one from `games` first.
+    pipeline="context" needs `games` and takes no models.
     """
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/request_scoring"
-    reader = (spark.readStream.format("text").option("wholetext", "true")
+    if not checkpoint:
+        raise ValueError("a stream needs a checkpoint folder of its own")
+    if pipeline == "context":
+        if games is None or models is not None:
+            raise ValueError("the context pipeline fits per request: it needs games and takes no models")
+    elif models is None:
+        models = materialize(MODELS[pipeline](games), "stream-models")
+    reader = (spark.readStream.format("text").option("lineSep", RECORD_MARK)
               .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.load(in_dir).select("value", "_metadata")
-    score = PIPELINES[pipeline]
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_requests(batch, zero_based_month)
-        preds = score(games, requests_table(parsed), roster_table(parsed))
-        write_predictions(preds, f"{out_dir.rstrip('/')}/batch_id={batch_id}", per_side=per_side)
-
-    writer = raw.writeStream.foreachBatch(run_batch).option("checkpointLocation", ckpt)
+        parsed = parse_requests(batch, zero_based_month).persist()
+        try:
+            roster = roster_table(parsed)
+            preds = (PL.attach_models(models, roster) if models is not None
+                     else PL.predict_players_context(games, requests_table(parsed), roster))
+            write_predictions(preds, f"{out_dir.rstrip('/')}/batch_id={batch_id}", per_side=per_side)
+        finally:
+            parsed.unpersist()
+
+    writer = raw.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()

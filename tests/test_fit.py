@@ -111,3 +111,30 @@ def test_fitted_values(spark):
     fv = sorted((r.idx, r.fitted) for r in FT.fitted_values(m, pts, ["player"]).collect())
     assert fv == [(0, 3.0), (1, 9.0)]
     assert not math.isnan(fv[0][1])
+
+
+def test_null_and_fractional_points(spark):
+    """Every engine fits the points there are, fractions included."""
+    rows = [("a", k, 2.0 * k + 0.5 if k not in (3, 7) else None) for k in range(10)] + [("none", 0, None)]
+    df = spark.createDataFrame(rows, "player string, idx bigint, pts double")
+    full = {r.player: r for r in FT.fit_full(df, ["player"]).collect()}
+    assert (full["a"].n, full["a"].slope, full["a"].intercept) == (8, 2.0, 0.5) and full["none"].n == 0
+    assert FT.fit_split(df, ["player"], reg=0.0).where("player = 'a'").first().slope == 2.0
+    for engine, dense in (("sql", False), ("arrow", False), ("arrow", True)):
+        best = {r.player: r for r in FT.fit_best_of(df, ["player"], engine=engine, dense_index=dense).collect()}
+        assert (best["a"].n, best["a"].slope, best["a"].intercept, best["a"].prediction) == (8, 2.0, 0.5, 16.5)
+
+
+def test_prefix_fits_are_the_fits_of_the_prefixes(spark, monkeypatch):
+    monkeypatch.setattr(FT, "PREFIX_BUCKET", 7)
+    import random
+    rng = random.Random(1)
+    rows = [(p, k, rng.randint(0, 30)) for p in ("a", "b") for k in range(40)]
+    df = spark.createDataFrame(rows, "player string, idx bigint, pts int")
+    wanted = spark.createDataFrame([(p, n, 100 + n) for p in ("a", "b") for n in (1, 6, 7, 8, 23, 40)],
+                                   "player string, before bigint, request_id bigint")
+    got = {(r.player, r.request_id): r for r in FT.fit_split_as_of(df, ["player"], wanted).collect()}
+    for n in (1, 6, 7, 8, 23, 40):
+        for r in FT.fit_split(df.where(f"idx < {n}"), ["player"]).collect():
+            g = got[r.player, 100 + n]
+            assert (g.n, g.n_fit, g.slope, g.intercept, g.rmse, g.prediction) == (r.n, r.n_fit, r.slope, r.intercept, r.rmse, r.prediction)

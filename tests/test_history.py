@@ -116,3 +116,30 @@ def test_as_of_cuts_history_at_request_date(spark, small_games):
     assert all(g <= 6 for _, g in got)                             # games 7-9 are after 5 Jan 2013
     assert [g for s_, g in got if s_ == 1] == [1, 5, 6]
     assert sorted(r.idx for r in cut.collect()) == list(range(len(got)))
+
+
+def test_recent_games_as_of_are_the_newest_before_the_request(spark, make_games):
+    """51 games before the request and many after it: the last 26 before day 3 count."""
+    from conftest import game
+    gs = [game(k, str(dt.date(2012, 1, 1) + dt.timedelta(days=k)), "BOS", "NYK", [("Ann", k)], None) for k in range(200)]
+    games = make_games(gs)
+    requests, roster = _req(spark, 1, "2012-03-03", "BOS", "NYK", [("home", "Ann"), ("away", "Nobody")])
+    rp = H.request_players(requests, roster)
+    day = (dt.date(2012, 3, 3) - dt.date(2012, 1, 1)).days
+    got = sorted(r.game_id for r in H.recent_games(R.player_rows(games), rp, as_of=True).collect())
+    assert got == list(range(day - 26, day))
+    seg = PL.context_series(games, requests, roster, as_of=True).where("seg = 3")
+    assert sorted(r.game_id for r in seg.collect()) == got
+    before = {r.player: r.before for r in H.games_before(R.player_rows(games), rp).collect()}
+    assert before == {"Ann": day, "Nobody": 0}
+
+
+def test_predict_as_of_fits_the_games_before(spark, make_games):
+    from conftest import game
+    gs = [game(k, str(dt.date(2012, 1, 1) + dt.timedelta(days=k)), "BOS", "NYK", [("Ann", 2 * k if k < 50 else 0)], None)
+          for k in range(120)]
+    requests, roster = _req(spark, 1, "2012-02-20", "BOS", "NYK", [("home", "Ann")])
+    (r,) = PL.predict_players(make_games(gs), roster, reg=0.0, requests=requests, as_of=True).collect()
+    assert (r.n, r.slope, r.intercept, r.prediction) == (50, 2.0, 0.0, 100.0)
+    early, _ = _req(spark, 1, "2012-01-01", "BOS", "NYK", [("home", "Ann")])
+    assert PL.predict_players(make_games(gs), roster, requests=early, as_of=True).count() == 0

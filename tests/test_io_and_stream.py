@@ -2,6 +2,8 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from gamecast.functions import parse_ymd, round_half_up
@@ -53,7 +55,9 @@ def test_prediction_files_cap_and_roundtrip(spark):
                                    (F.col("id") + F.lit(0.5)).alias("prediction"))
     d = tempfile.mkdtemp(prefix="gc-pred-")
     for layout in ("bundle", "single"):
-        SK.write_predictions(preds, f"{d}/{layout}", layout=layout)
+        SK.write_predictions(preds, f"{d}/{layout}-all", layout=layout)
+        assert RQ.read_predictions(spark, f"{d}/{layout}-all").count() == 45          # no cap unless asked for
+        SK.write_predictions(preds, f"{d}/{layout}", layout=layout, per_side=20)
         back = RQ.read_predictions(spark, f"{d}/{layout}")
         counts = {r.side: r["count"] for r in back.groupBy("side").count().collect()}
         assert counts == {"home": 20, "away": 20}
@@ -80,10 +84,55 @@ def test_scalars(spark):
 
 
 def test_series_writer(spark):
-    hist = spark.createDataFrame([("home", 3), ("away", 4), ("home", 5)], "side string, pts int")
+    rows = [("home", 1, "A/B", 1, 5), ("away", 1, "C", 0, 4), ("home", 1, "A/B", 0, 3)]
+    hist = spark.createDataFrame(rows, "side string, request_id bigint, player string, idx bigint, pts int")
     d = tempfile.mkdtemp(prefix="gc-series-") + "/s"
     SK.write_series(hist, d)
     assert sorted(f for f in os.listdir(d) if not f.startswith(".")) == ["_SUCCESS", "side=away", "side=home"]
+    got = sorted((r.side, int(r.request_id), r.player, r.idx, int(r.pts)) for r in SK.read_series(spark, d).collect())
+    assert got == sorted(rows)
+
+
+def test_predictions_without_a_blank_line_need_the_roster(spark):
+    rows = [(1, "home", "A", 1.0), (1, "home", "Both", 2.0), (1, "away", "Both", 3.0), (1, "away", "Z", 4.0), (2, "away", "A", 5.0)]
+    preds = spark.createDataFrame(rows, "request_id bigint, side string, player string, prediction double")
+    d = tempfile.mkdtemp(prefix="gc-plain-") + "/p"
+    SK.write_predictions(preds, d, blank_line=False)
+    back = RQ.read_predictions(spark, d, preds.select("request_id", "side", "player"))
+    assert sorted(tuple(r)[:2] + (r.player, r.prediction) for r in back.collect()) == sorted(rows)
+    with pytest.raises(Exception, match="no blank line"):
+        RQ.read_predictions(spark, d).collect()
+
+
+def test_a_large_bundle_is_read_by_several_tasks(spark):
+    req = spark.range(3000).select(F.col("id").alias("request_id"), F.lit("2013-01-24").cast("timestamp_ntz").alias("rdate"),
+                                   F.lit("BOS").alias("home_abbr"), F.lit("NYK").alias("away_abbr"))
+    ros = req.select("request_id", F.lit("home").alias("side"), F.concat(F.lit("O'"), F.col("request_id").cast("string")).alias("player"))
+    d = tempfile.mkdtemp(prefix="gc-split-") + "/b"
+    RQ.write_requests(RQ.render_requests(req, ros).coalesce(1), d)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        raw = RQ._read_text(spark, d)
+        assert raw.rdd.getNumPartitions() > 3
+        p = RQ.read_requests(spark, d)
+        assert RQ.requests_table(p).distinct().count() == 3000
+        assert sorted(r.player for r in RQ.roster_table(p).collect()) == sorted(f"O'{k}" for k in range(3000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_stream_needs_a_checkpoint_and_takes_stored_models(spark, small_games):
+    from gamecast.plans.pipelines import quick_models
+    base = tempfile.mkdtemp(prefix="gc-models-")
+    _write(f"{base}/in", "r1.txt", "#101\nBOS\nNYK\nAnn\nCy\n2013-1-1")
+    with pytest.raises(ValueError):
+        score_request_stream(spark, f"{base}/in", small_games, f"{base}/out", checkpoint="")
+    quick_models(small_games).write.parquet(f"{base}/models")
+    q = score_request_stream(spark, f"{base}/in", None, f"{base}/out", checkpoint=f"{base}/ck",
+                             models=spark.read.parquet(f"{base}/models"))
+    q.awaitTermination()
+    assert sorted(r.player for r in RQ.read_predictions(spark, f"{base}/out").collect()) == ["Ann", "Cy"]
 
 
 def test_request_stream_is_idempotent_on_restart(spark, small_games):

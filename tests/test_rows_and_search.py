@@ -94,3 +94,18 @@ def test_search_games_batch(spark, small_games):
     assert sorted(by[1]) == [(1, 1), (2, 5), (3, 6)]
     assert sorted(by[2]) == [(1, 1), (2, 5), (3, 6)]      # capped at 3; game 8 is fourth
     assert 3 not in by                                      # 30 April is outside the window
+
+
+def test_seasons_come_from_the_games(spark, make_games):
+    from conftest import game
+    games = make_games([game(1, "2013-11-02", "BOS", "NYK", [("Ann", 1)], None), game(2, "1950-01-02", "BOS", "NYK", [("Ann", 1)], None)])
+    got = {r.season: (r.label, r.value, r.games) for r in S.season_games(games).collect()}
+    assert got == {2013: ("Temporada 13/14", "2013-2014", 1), 1949: ("Temporada 49/50", "1949-1950", 1)}
+    assert S.season_games(games, seasons_dim(spark)).count() == 0
+
+
+def test_batch_search_over_several_years(spark, small_games):
+    s = spark.createDataFrame([(1, "BOS", "NYK", "2011-06-01", "2013-06-01")], "search_id bigint, home string, away string, s string, e string")
+    s = s.select("search_id", "home", "away", F.col("s").cast("timestamp_ntz").alias("start"), F.col("e").cast("timestamp_ntz").alias("end"))
+    got = [r.game_id for r in sorted(S.search_games_batch(small_games, s).collect(), key=lambda r: r["rank"])]
+    assert got == [1, 5, 6, 8]
