@@ -6,6 +6,7 @@ few dense shares: repeated 3-word windows, words like the one before, repeated l
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections.abc import Iterator
@@ -126,8 +127,7 @@ class Sample:
         self.index = np.concatenate([np.frombuffer(r["at"], "<i4") for r in rows]) if rows else np.empty(0, np.int32)
         self.value = np.concatenate([np.frombuffer(r["value"], "<f4") for r in rows]) if rows else np.empty(0, np.float32)
         sizes = [len(r["at"]) // 4 for r in rows]
-        self.row = np.repeat(np.arange(len(rows)), sizes)
-        self.first = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64) if rows else np.empty(0, np.int64)
+        self.ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         # what a sampled row stands for, so that shares are those of all labelled rows
         self.weight = np.array([totals[q] / max(1, (self.label == q).sum()) for q in self.label])
 
@@ -135,11 +135,24 @@ class Sample:
         """Whether the chosen rows have both labels."""
         return len(set(self.label[rows].tolist())) == 2
 
+    def _blocks(self, rows: int = 256) -> Iterator[tuple[int, int, slice]]:
+        """Rows in blocks, so that what is computed from them stays small."""
+        for at in range(0, len(self.label), rows):
+            to = min(at + rows, len(self.label))
+            yield at, to, slice(self.ends[at], self.ends[to])
+
     def scores(self, weights: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(self.value * weights[self.index], self.first) if len(self.first) else np.empty(0)
+        out = np.empty(len(self.label))
+        for at, to, part in self._blocks():
+            out[at:to] = np.add.reduceat(self.value[part] * weights[self.index[part]], self.ends[at:to] - self.ends[at])
+        return out
 
     def gradient(self, by_row: np.ndarray) -> np.ndarray:
-        return np.bincount(self.index, self.value * by_row[self.row], DIM)
+        out = np.zeros(DIM)
+        for at, to, part in self._blocks():
+            each = np.repeat(by_row[at:to], np.diff(self.ends[at:to + 1]))
+            out += np.bincount(self.index[part], self.value[part] * each, DIM)
+        return out
 
 
 def fold_of(doc_id: str = "doc_id"):
@@ -174,7 +187,10 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, held_out: int = 2,
             .select("doc_id", "quality", "fold", "text")
             .mapInArrow(_sparse, "doc_id long, quality int, fold int, at binary, value binary")
             .orderBy(*order, "quality", "value").limit(2 * per_class))
-    return Sample(rows.collect(), totals)
+    sample = Sample(rows.collect(), totals)
+    gc.collect()
+    documents.sparkSession.sparkContext._jvm.System.gc()    # the collected rows' copies in the driver's JVM
+    return sample
 
 
 def descend(gradient, dim: int = DIM, steps: int = 120, rate: float = 0.1) -> np.ndarray:
