@@ -5,13 +5,14 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from test_near import brute_print, classes
 
 import corpus_pipeline
 from gamecast.llm import pairwise, rules
 from gamecast.llm.common import stored
 from gamecast.llm.textfeat import labelled_sample
 
+from .test_near import brute_print, classes
+
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
 
