@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from gamecast.llm.common import process_cache, shipped, text_or_empty
 
 MARK = "▁"
-CACHE_CHUNKS = 150_000
+CACHE_CHUNKS = 300_000
 
 
 class MergePieces(dict):
@@ -49,6 +49,9 @@ class MergePieces(dict):
                 self.score[piece], self.id[piece] = sp.get_score(i), i
         self.splits = not any(regex.search(f"[^{MARK}]{MARK}", p) for p in self.score)
         self.break_alone = self.splits and not any("\n" in p for p in self.score)
+        # characters that stand side by side in some piece; merges never cross the border between any others
+        self.beside = {p[k:k + 2] for p in self.score for k in range(len(p) - 1)}
+        self.tails: dict[str, tuple[int, ...]] = {}
         self.fresh: list[str] = []
         self.before: dict = {}
 
@@ -91,12 +94,28 @@ class MergePieces(dict):
     def __missing__(self, key: str) -> tuple[str, tuple[int, ...]]:
         kept = self.before.get(key)
         if kept is None:
-            ids = self.agenda("\n") + self.agenda(key[1:]) if key[:1] == "\n" else self.agenda(MARK + key)
-            kept = (",".join(map(str, ids)), tuple(ids))
+            end = len(key)
+            while end > 1 and not key[end - 1].isalnum():
+                end -= 1
+            if 1 < end < len(key) and key[end - 1:end + 1] not in self.beside:     # a word and what follows it
+                text, ids = self[key[:end]]
+                tail = self.tail(key[end:])
+                kept = (",".join((text, *map(str, tail))), ids + tail)
+            else:
+                ids = self.agenda("\n") + self.agenda(key[1:]) if key[:1] == "\n" else self.agenda(MARK + key)
+                kept = (",".join(map(str, ids)), tuple(ids))
             self.fresh.append(key)
         self[key] = kept
         return kept
 
+    def tail(self, text: str) -> tuple[int, ...]:
+        ids = self.tails.get(text)
+        if ids is None:
+            if len(self.tails) > 10_000:
+                self.tails.clear()
+            ids = self.tails[text] = tuple(self.agenda(text))
+        return ids
+
     def check(self) -> None:
         """Hold the chunks met since the last check against the library."""
         if self.fresh:
