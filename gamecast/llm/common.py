@@ -29,18 +29,20 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, path: str | None = None, sweep: bool = True) -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it back: cuts the lineage and survives lost executors.
 
-    The driver's garbage is collected afterwards, so that Spark drops the shuffle files the write no longer needs.
+    The driver's garbage is collected afterwards, so that Spark drops the shuffle files the write no longer needs
+    (`sweep=False` where they are small and the call is repeated).
     """
     spark = df.sparkSession
     path = path or shared_path(spark, name)
     schema = df.schema
     df.write.mode("overwrite").parquet(path)
     del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    if sweep:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
 

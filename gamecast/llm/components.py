@@ -28,7 +28,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     edges = links.where(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     path = shared_path(spark, name)
-    edges = stored(edges, name, path)
+    edges = stored(edges, name, path, sweep=False)
     mark = _mark(edges)
     while True:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
@@ -41,7 +41,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
                  .unionByName(down.select(F.col("u").alias("a"), F.col("m").alias("b")))
                  .where(F.col("a") != F.col("b")).distinct())
         new_path = shared_path(spark, name)
-        edges = stored(small, name, new_path)
+        edges = stored(small, name, new_path, sweep=False)
         new = _mark(edges)
         release(spark, path)
         path = new_path
