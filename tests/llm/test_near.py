@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -167,6 +168,24 @@ def test_line_dedup_keeps_one_line_a_class(spark, no_documents):
     assert digest[302].kept_sha256 == hashlib.sha256(b"\n \n").hexdigest() and digest[301].n_kept == 0
 
 
+@pytest.mark.parametrize("few, block", [(linededup.FEW, linededup.BLOCK), (8, 20)])
+def test_all_pairs_of_a_bucket_are_met(spark, monkeypatch, few, block):
+    """Three hundred template lines below the threshold in one bucket, and a few near copies far apart in it."""
+    monkeypatch.setattr(linededup, "FEW", few)
+    monkeypatch.setattr(linededup, "BLOCK", block)
+    monkeypatch.setattr(linededup, "band_rows", lambda signed: signed.select(F.lit(0).alias("key"), "h"))
+    rng = random.Random(6)
+    lines = ["copyright notice of the issue " + "".join(rng.choice("abcdefghij ") for _ in range(50)) + "." for _ in range(300)]
+    lines += [line[:-1] + c for line in lines[:6] for c in "!?;"] + ["one long common line of this group, number " + "x" * k for k in range(30)]
+    df = linededup.lines_of(spark.createDataFrame([(k, line) for k, line in enumerate(lines)], "doc_id long, text string"))
+    of = {r.h: r.line for r in df.collect()}
+    got = defaultdict(set)
+    for r in linededup.line_classes(df).collect():
+        got[r.component].add(of[r.node])
+    want = {g for g in classes(sorted(set(of.values())), similar) if len(g) > 1}
+    assert len(want) >= 7 and {frozenset(g) for g in got.values()} == want
+
+
 def test_verification_is_exact(spark):
     body = "the quick brown fox jumps over the lazy dog and runs into the deep dark wood "
     texts = {1: body * 3, 2: body * 2 + "something else entirely, it is another matter of fact " * 2,
