@@ -159,17 +159,34 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
 
 
+def by_id(far: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(each query's least distance to every different id, the position of its row), of distances to rows of `ids`."""
+    order = np.argsort(ids, kind="stable")
+    starts = np.flatnonzero(np.append(True, ids[order][1:] != ids[order][:-1]))
+    if len(starts) == len(ids):
+        return far, np.broadcast_to(np.arange(len(ids)), far.shape)
+    far = far[:, order]
+    least = np.minimum.reduceat(far, starts, axis=1)
+    first = far == np.repeat(least, np.diff(starts, append=len(ids)), axis=1)
+    return least, np.minimum.reduceat(np.where(first, order[None, :], len(ids)), starts, axis=1)
+
+
+def kth_distance(far: np.ndarray, k: int) -> np.ndarray:
+    """The k-th least of each row, infinite where there are fewer."""
+    return np.partition(far, k - 1, axis=1)[:, k - 1] if k <= far.shape[1] else np.full(len(far), np.inf)
+
+
 def nearest_of_sample(index: Index, ids: np.ndarray, raw: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(squared distance of each query's k-th nearest in the sample, itself left out; the positions of those k).
+    """(squared distance of each query's k-th nearest id in the sample, itself left out; the positions of those k).
 
-    The distance is never below that of the true k-th nearest; where the sample has fewer it is infinite.
+    The distance is never below that of the true k-th nearest; where the sample has fewer ids it is infinite.
     """
     far = 2 - 2 * (unit(raw).astype(np.float32) @ unit(index.sample).astype(np.float32).T)
     far[ids[:, None] == index.sample_ids[None, :]] = np.inf
-    k = min(k, far.shape[1])
+    far, at = by_id(far, index.sample_ids)
+    bound, k = kth_distance(far, k) + 1e-5, min(k, far.shape[1])
     near = np.argpartition(far, k - 1, axis=1)[:, :k]
-    far = np.take_along_axis(far, near, 1)
-    return far.max(1) + 1e-5, near, far
+    return bound, np.take_along_axis(at, near, 1), np.take_along_axis(far, near, 1)
 
 
 def _sampled(index: Index, k: int):
@@ -193,12 +210,12 @@ def scan(index: Index, ids: np.ndarray, raw: np.ndarray, query_ids: np.ndarray,
     """(query position, candidate position, cosine) of each query's k best of one chunk, as far as the tests let them."""
     dim = index.dim
     x, q = ((unit(m) @ index.rotation).astype(np.float32) for m in (raw, query_raw))
-    bound = nearest_of_sample(index, query_ids, query_raw, k)[0] if len(index.sample) > k else np.full(len(q), np.inf)
+    bound = nearest_of_sample(index, query_ids, query_raw, k)[0]
     if len(x) > 4 * k:      # the chunk's own first vectors tighten the bound
         head = min(len(x), 512)
         far = 2 - 2 * (q @ x[:head].T)
         far[query_ids[:, None] == ids[None, :head]] = np.inf
-        bound = np.minimum(bound, np.partition(far, k - 1, axis=1)[:, k - 1] + 1e-5)
+        bound = np.minimum(bound, kth_distance(by_id(far, ids[:head])[0], k) + 1e-5)
     blocks = [slice(at, min(at + COLUMNS, dim)) for at in range(0, dim, COLUMNS)]
     first = blocks[0]
     part = ((q[:, first] ** 2).sum(1)[:, None] + (x[:, first] ** 2).sum(1)[None, :] - 2 * (q[:, first] @ x[:, first].T))
@@ -211,22 +228,33 @@ def scan(index: Index, ids: np.ndarray, raw: np.ndarray, query_ids: np.ndarray,
         seen = block.stop
         alive = far * (dim / seen) <= _limit(bound, seen, dim)[at_q]
         at_q, at_x, far = at_q[alive], at_x[alive], far[alive]
-    order = np.lexsort([far, at_q])                       # a few more than k, as distances are single precision here
-    at_q, at_x, far = at_q[order], at_x[order], far[order]
-    starts = np.searchsorted(at_q, np.arange(len(q)))
-    rank = np.arange(len(at_q)) - starts[at_q]
+    # a few more than k ids, as distances are single precision here
+    one = _one_a_query(at_q, ids[at_x], far)
+    one = one[np.lexsort([far[one], at_q[one]])]
     kth = np.full(len(q), np.inf)
-    kth[at_q[rank == k - 1]] = far[rank == k - 1] + 1e-5
+    last = one[_ranks(at_q[one], len(q)) == k - 1]
+    kth[at_q[last]] = far[last] + 1e-5
     near = far <= kth[at_q]
     at_q, at_x = at_q[near], at_x[near]
     cosine = cosines(query_raw[at_q], raw[at_x])
-    order = np.lexsort([ids[at_x], -cosine, at_q])
-    at_q, at_x, cosine = at_q[order], at_x[order], cosine[order]
-    starts = np.searchsorted(at_q, np.arange(len(q)))
-    best = np.arange(len(at_q)) - starts[at_q] < k
+    one = _one_a_query(at_q, ids[at_x], -cosine)
+    one = one[np.lexsort([ids[at_x[one]], -cosine[one], at_q[one]])]
+    best = one[_ranks(at_q[one], len(q)) < k]
     return at_q[best], at_x[best], cosine[best]
 
 
+def _one_a_query(at_q: np.ndarray, ids: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Positions of the nearest row of each (query, id)."""
+    order = np.lexsort([far, ids, at_q])
+    q, i = at_q[order], ids[order]
+    return order[(np.diff(q, prepend=-1) != 0) | np.append(True, i[1:] != i[:-1])[:len(i)]]
+
+
+def _ranks(at_q: np.ndarray, n: int) -> np.ndarray:
+    """Places of rows, sorted by query, within their query."""
+    return np.arange(len(at_q)) - np.searchsorted(at_q, np.arange(n))[at_q]
+
+
 def _limit(bound: np.ndarray, seen: int, dim: int) -> np.ndarray:
     """Estimated squared distances above this reject 'nearer than the bound'; at full dimension the bound itself."""
     return bound if seen >= dim else bound * (1 + EPSILON / np.sqrt(seen)) ** 2

@@ -261,6 +261,23 @@ def test_search_of_few_vectors_is_exact(spark):
     assert only[0] == 7 and abs(only[1] - 1) < 1e-15
 
 
+def test_rows_of_one_id_are_one_candidate(spark):
+    """Every row up to six times, some ids with unlike vectors: bounds and cuts to k must count ids, not rows."""
+    rng = np.random.default_rng(3)
+    rows = [(k, rng.standard_normal(8).astype(np.float32).astype(float).tolist()) for k in range(300)]
+    near = [(1000 + k, (np.array(rows[50 * k][1]) * 2).tolist()) for k in range(6)]
+    unlike = [(k, rng.standard_normal(8).astype(np.float32).astype(float).tolist()) for k in range(1, 40) if k % 50]
+    got = run_search(spark, rows * 2 + near * 6 + unlike + rows[:30] * 4)
+    x = unit(np.array([v for _, v in rows + near + unlike]))
+    for q in range(0, 300, 50):
+        scores = defaultdict(lambda: -2.0)
+        for (i, _), s in zip(rows + near + unlike, x @ x[q]):
+            if i != q:
+                scores[i] = max(scores[i], float(s))
+        want = sorted(scores, key=lambda i: (-scores[i], i))[:5]
+        assert [i for i, _ in got[q]] == want and all(abs(s - scores[i]) < 1e-9 for i, s in got[q])
+
+
 def test_recall_and_salted_lists(spark, monkeypatch):
     """Random vectors, the hardest case, with one vector a third of all rows; lists and queries split over many rows."""
     monkeypatch.setattr(ann, "BOUND_ROWS", 256)
