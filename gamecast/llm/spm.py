@@ -8,7 +8,8 @@ is merged, the pairs with its new neighbours join the agenda, and pairs whose sy
 over. Symbols that are no piece become byte pieces, or the unknown id.
 
 Every chunk that a worker meets for the first time is also given to the sentencepiece library, together for an Arrow
-batch, and the ids have to be the same; `check_texts=True` holds every whole text against the library as well.
+batch, and the ids have to be the same. Texts whose chunks are not remembered (no word mark in front, marks in a row, a
+mark before a line break) are given to it whole each time; `check_texts=True` holds every whole text against the library as well.
 
 Defined cases: null and empty texts have no ids and decode to an empty text; repeated rows are each encoded; an empty
 table gives no rows; other columns are ignored; texts of any length are encoded whole.
@@ -53,6 +54,7 @@ class MergePieces(dict):
         self.beside = {p[k:k + 2] for p in self.score for k in range(len(p) - 1)}
         self.tails: dict[str, tuple[int, ...]] = {}
         self.fresh: list[str] = []
+        self.whole: list[tuple[str, list[int]]] = []
         self.before: dict = {}
 
     def agenda(self, text: str) -> list[int]:
@@ -117,7 +119,7 @@ class MergePieces(dict):
         return ids
 
     def check(self) -> None:
-        """Hold the chunks met since the last check against the library."""
+        """Hold the chunks, and the texts without such chunks, met since the last check against the library."""
         if self.fresh:
             mark = tuple(self.agenda(MARK))
             for key, ids in zip(self.fresh, self.library.encode(self.fresh, num_threads=1)):
@@ -125,6 +127,12 @@ class MergePieces(dict):
                 if (mark + mine if key[:1] == "\n" else mine) != tuple(ids) and key:
                     raise ValueError(f"ids of {key!r} differ from the library's")
             self.fresh.clear()
+        if self.whole:
+            texts, mine = zip(*self.whole)
+            self.whole.clear()
+            for text, ids, theirs in zip(texts, mine, self.library.encode(list(texts), num_threads=1)):
+                if ids != theirs:
+                    raise ValueError(f"ids of {text[:200]!r} differ from the library's")
         if len(self) > CACHE_CHUNKS:
             self.before = dict(self)
             self.clear()
@@ -136,6 +144,7 @@ class MergePieces(dict):
         if not self.splits or normal[0] != MARK or MARK + MARK in normal or MARK + "\n" in normal:
             chunks = regex.findall(f"{MARK}*[^{MARK}]+|{MARK}+$", normal) if self.splits else [normal]
             ids = list(chain.from_iterable(map(self.agenda, chunks)))
+            self.whole.append((text, ids))
             return ",".join(map(str, ids)), ids
         keys = normal[1:]
         if self.break_alone and "\n" in keys:

@@ -86,6 +86,18 @@ def test_agenda_matches_the_library(text):
     pieces.check()
 
 
+@pytest.mark.parametrize("text", ["two  blanks", "a break \nafter a blank", "\nfirst a break"])
+def test_a_wrong_id_of_an_irregular_text_is_noticed(vocab, text):
+    pieces = spm.MergePieces(vocab("piece_bpe_32k.model"))
+    pieces.encode(text)
+    pieces.check()
+    agenda = pieces.agenda
+    pieces.agenda = lambda chunk: agenda(chunk)[::-1] + [5]
+    pieces.encode(text)
+    with pytest.raises(ValueError):
+        pieces.check()
+
+
 def test_a_wrong_id_is_noticed(vocab):
     pieces = spm.MergePieces(vocab("piece_bpe_32k.model"))
     pieces.encode("some words")
