@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gamecast.llm import ann, arrowseq, chat, linededup, packing, pairwise, rules, simhash, spm, tokencount
-from gamecast.llm.common import table
+from gamecast.llm import (ann, arrowseq, chat, fim, linededup, lyndonruns, packing, pairwise, rules, secretscan, simhash, spm,
+                          tokencount)
+from gamecast.llm.common import shipped, table
 
 CONTROL_REPLY = "<|im_end|><|im_start|>assistant ok"
 
@@ -67,10 +70,41 @@ def op10_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digest(linededup.dedup_lines(documents))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text cut at line borders and written with sentinels, and rebuilt from that."""
+    return fim.digest(fim.transformed(table(spark, sf_dir, "documents")))
+
+
+def with_tiled_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Every tenth document (by hash of its id) gets a periodic tail of its own words."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    period = 1 + (n - a) // (3 + g % 8)
+    unit = words[a:a + period]
+    return words[:a] + (unit * (-(-(n - a) // period)))[:n - a]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document's words, after some documents got a periodic tail."""
+    found = lyndonruns.periodic_runs(table(spark, sf_dir, "documents"), prepare=with_tiled_tail)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's credentials: by base patterns, and by formats inferred from those."""
+    return secretscan.digest(secretscan.secret_scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_prefix_targets, op2_quality_ranking, op3_best_fit_packing, op4_quality_rules, op5_word_piece_counts,
     op6_sentencepiece, op7_simhash_near_duplicates, op8_adaptive_dimension_ann, op9_arrow_sequences,
-    op10_fuzzy_line_dedup)}
+    op10_fuzzy_line_dedup, op11_fill_in_middle, op12_periodic_runs, op13_secret_scan)}
 
 ORACLE = {
     "op1_chat_prefix_targets": r"""
@@ -91,4 +125,32 @@ SELECT conv_id, count(*) AS n_turns,
        count(*) FILTER (WHERE role = 'assistant') AS n_examples,
        CAST(coalesce(sum(end_at) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS example_chars
 FROM ends GROUP BY conv_id""",
+    "op11_fill_in_middle": r"""
+WITH hashed AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digits,
+           regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units
+    FROM documents),
+picked AS (
+    SELECT doc_id, text, units, len(units) AS n,
+           CAST('0x' || substr(digits, 1, 8) AS BIGINT) % (len(units) + 1) AS cut1,
+           CAST('0x' || substr(digits, 9, 8) AS BIGINT) % (len(units) + 1) AS cut2,
+           CAST('0x' || substr(digits, 17, 8) AS BIGINT) % 100 AS h3, CAST('0x' || substr(digits, 25, 8) AS BIGINT) % 100 AS h4
+    FROM hashed),
+cut AS (
+    SELECT doc_id, text, n,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 100 THEN 'plain'
+                WHEN h4 < 50 THEN 'spm' ELSE 'psm' END AS form,
+           array_to_string(units[1:least(cut1, cut2)], '') AS prefix,
+           array_to_string(units[least(cut1, cut2) + 1:greatest(cut1, cut2)], '') AS middle,
+           array_to_string(units[greatest(cut1, cut2) + 1:n], '') AS suffix
+    FROM picked)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+FROM cut""",
 }
+
+shipped(__name__)
