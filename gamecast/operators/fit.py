@@ -132,71 +132,23 @@ def fit_split(points: DataFrame, keys: Sequence[str], frac: float = 0.7, reg: fl
     return _finish(m, keys)
 
 
-PREFIX_BUCKET = 1 << 12   # places of a series whose running sums one window group holds
-
-
-def fit_split_as_of(points: DataFrame, keys: Sequence[str], wanted: DataFrame, frac: float = 0.7,
-                    reg: float = 0.001, rep: int = 0, x: str = "idx", y: str = "pts") -> DataFrame:
-    """M4 as of a place in the series: the fit on the first `before` points of it.
-
-    `points` has the 0..n-1 position x; `wanted` has the keys, `before` and any
-    further columns, which stay. Every point carries the sums of all points up
-    to it (in two levels, so a long series is spread over tasks), and a wanted
-    fit is the one row at x = before - 1: no join of requests with histories.
-    """
-    keys = list(keys)
-    flag = in_sample(row_hash(keys, x), F.lit(rep), frac)
-    xd, yd = _xy(x, y)
-    terms = {"n": F.lit(1), "sx": xd, "sy": yd, "sxx": xd * xd, "sxy": xd * yd, "syy": yd * yd}
-    cols = {f"{c}_a": t for c, t in terms.items()}
-    cols |= {f"{c}_s": F.when(flag, t).otherwise(F.lit(0)) for c, t in terms.items()}
-    p = points.select(*keys, x, F.floor(F.col(x) / PREFIX_BUCKET).alias("_b"), *[t.alias(c) for c, t in cols.items()])
-    inside = Window.partitionBy(*keys, "_b").orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    totals = p.groupBy(*keys, "_b").agg(*[F.sum(c).alias(c) for c in cols])
-    totals = totals.select(*keys, "_b", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_0") for c in cols])
-    running = p.select(*keys, x, "_b", *[F.sum(c).over(inside).alias(c) for c in cols])
-    at = running.join(totals, [*keys, "_b"]).select(
-        *keys, (F.col(x) + 1).alias("before"), *[(F.col(c) + F.col(f"{c}_0")).alias(c) for c in cols])
-    s = wanted.join(at, [*keys, "before"])
-    use = F.col("n_s") > 0
-    extra = [c for c in wanted.columns if c not in keys and c != "before"]
-    s = s.select(*keys, *extra, F.col("n_a").cast("bigint").alias("n_all"),
-                 *[F.when(use, F.col(f"{c}_s")).otherwise(F.col(f"{c}_a")).alias(c) for c in terms])
-    m = s.select(*keys, *extra, "n_all", F.col("n").cast("bigint").alias("n_fit"), *model_columns(reg))
-    return _finish(m, keys, extra)
-
-
 CHUNK = 1 << 14   # points per (series, chunk) group handed to one pre-aggregation run
 
 
-def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_size: int = CHUNK):
-    """Per-partition kernel for `rep_sums` (runs inside mapInPandas).
-
-    Rows arrive sorted by (keys, chunk, x); a run of equal (keys, chunk) may
-    span Arrow batches and is carried over until it ends. For each run the
-    sums of all reps come from one product: mask(reps x rows) @ terms(rows x 6),
-    with terms (1, x, y, x^2, xy, y^2); terms are whole numbers, so every sum
-    is exact. The mask uses exact integer arithmetic modulo the Mersenne prime
-    P (x mod P = (x & P) + (x >> 31), folded).
+def _kernel_tools(rep_ids: Sequence[int], threshold: int):
+    """(mask_of, can_win) over the columns of `rep_ids`; column 0 is the whole series.
 
-    With `dense` (x is the 0..n-1 position of the series), a chunk-0 run
-    shorter than CHUNK is the whole series, and only the reps that can still
-    win are emitted (with n_all = series length): those below every earlier
-    rep's RMSE and within a few rounding steps of the least. Other runs emit
-    their partial sums for every rep (n_all = count on rep 0), summed by Spark.
-    The winner is chosen by the same Spark expression for either.
+    Closures, so that Python workers receive them by value and need not import
+    this package. The mask uses exact integer arithmetic modulo the Mersenne
+    prime P (x mod P = (x & P) + (x >> 31), folded).
     """
     import numpy as np
-    import pandas as pd
 
-    r = np.arange(reps, dtype=np.int64)
+    reps = len(rep_ids)
+    r = np.array(rep_ids, dtype=np.int64)
     a = 1 + (r * A_MUL) % (P - 1)
     b = (r * B_MUL) % P
-    rep_col = r.astype(np.int32)
-
-    # Everything the kernel calls is defined in this closure, so Python workers
-    # receive it by value and need not import this package.
+    p, digits = P, DIGITS
     bufs: dict = {}
 
     def buf(name, rows, dtype):
@@ -210,15 +162,15 @@ def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_s
         t, lo = buf("t", len(h), np.int64), buf("lo", len(h), np.int64)
         np.multiply(h[:, None], a[None, :], out=t)           # < 2^62
         t += b[None, :]
-        np.bitwise_and(t, P, out=lo)
+        np.bitwise_and(t, p, out=lo)
         t >>= 31
         t += lo                                              # < 2^32 + 1
-        np.bitwise_and(t, P, out=lo)
+        np.bitwise_and(t, p, out=lo)
         t >>= 31
         t += lo                                              # <= P + 2
         m, m2 = buf("m", len(h), np.bool_), buf("m2", len(h), np.bool_)
         np.less(t, threshold, out=m)
-        np.greater_equal(t, P, out=m2)                       # t >= P: t - P in {0, 1, 2}
+        np.greater_equal(t, p, out=m2)                       # t >= P: t - P in {0, 1, 2}
         m |= m2
         m[:, 0] = True
         return m
@@ -236,7 +188,62 @@ def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_s
         earlier = np.minimum.accumulate(rmse, axis=1)
         first = np.ones_like(n, dtype=bool)
         first[:, 1:] = rmse[:, 1:] < earlier[:, :-1]
-        return first & (rmse <= earlier[:, -1:] + 2 * 10.0 ** -DIGITS)
+        return first & (rmse <= earlier[:, -1:] + 2 * 10.0 ** -digits)
+
+    return mask_of, can_win
+
+
+def _runs(keys: list[str], emit):
+    """Kernel (for mapInPandas) over rows sorted by (keys, _chunk): calls `emit(pdf, starts, ends)` with whole runs of
+    equal (keys, _chunk). A run may span batches and is held back until it ends; no frame is passed on for None."""
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+        pending = None
+        for pdf in batches:
+            if pending is not None:
+                pdf = pd.concat([pending, pdf], ignore_index=True)
+            if pdf.empty:
+                continue
+            change = np.ones(len(pdf), dtype=bool)
+            change[1:] = False
+            for c in keys + ["_chunk"]:
+                v = pdf[c].to_numpy()
+                change[1:] |= v[1:] != v[:-1]
+            starts = np.flatnonzero(change)
+            ends = np.append(starts[1:], len(pdf))
+            pending = pdf.iloc[starts[-1]:].reset_index(drop=True)
+            if len(starts) > 1 and (out := emit(pdf, starts[:-1], ends[:-1])) is not None:
+                yield out
+        if pending is not None and not pending.empty:
+            if (out := emit(pending, np.array([0]), np.array([len(pending)]))) is not None:
+                yield out
+    return run
+
+
+def _rep_kernel(keys: list[str], rep_ids: Sequence[int], threshold: int, dense: bool, chunk_size: int = CHUNK,
+                empty: bool = False):
+    """Per-partition kernel for `rep_sums` (runs inside mapInPandas).
+
+    Rows arrive sorted by (keys, chunk, x); a run of equal (keys, chunk) may
+    span Arrow batches and is carried over until it ends. For each run the
+    sums of all reps come from one product: mask(reps x rows) @ terms(rows x 6),
+    with terms (1, x, y, x^2, xy, y^2); terms are whole numbers, so every sum
+    is exact.
+
+    With `dense` (x is the 0..n-1 position of the series), a chunk-0 run
+    shorter than CHUNK is the whole series, and only the reps that can still
+    win are emitted (with n_all = series length): those below every earlier
+    rep's RMSE and within a few rounding steps of the least. Other runs emit
+    their partial sums for every rep (n_all = count on rep 0), summed by Spark.
+    The winner is chosen by the same Spark expression for either.
+    """
+    import numpy as np
+    import pandas as pd
+
+    reps = len(rep_ids)
+    rep_col = np.arange(reps, dtype=np.int32)
+    mask_of, can_win = _kernel_tools(rep_ids, threshold)
 
     def emit(pdf, starts, ends):
         h = pdf["_h"].to_numpy(dtype=np.int64)
@@ -261,7 +268,7 @@ def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_s
             d.update(rep=rep_col[pick], n_all=length[g].astype(np.int64),
                      n=sel[:, 0].astype(np.int64), sx=sel[:, 1], sy=sel[:, 2], sxx=sel[:, 3],
                      sxy=sel[:, 4], syy=sel[:, 5])
-            parts.append(pd.DataFrame(d))
+            parts.append(d)
         if (~whole).any():
             g = np.flatnonzero(~whole)
             sel = sums[g].reshape(-1, 6)
@@ -270,31 +277,10 @@ def _rep_kernel(keys: list[str], reps: int, threshold: int, dense: bool, chunk_s
             d.update(rep=reps_of, n_all=np.where(reps_of == 0, sel[:, 0], 0).astype(np.int64),
                      n=sel[:, 0].astype(np.int64),
                      sx=sel[:, 1], sy=sel[:, 2], sxx=sel[:, 3], sxy=sel[:, 4], syy=sel[:, 5])
-            df = pd.DataFrame(d)
-            parts.append(df[df["n"] > 0])
-        return pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
+            parts.append(d if empty else {c: v[d["n"] > 0] for c, v in d.items()})
+        return pd.DataFrame({c: np.concatenate([d[c] for d in parts]) for c in parts[0]})
 
-    def run(batches):
-        pending = None
-        for pdf in batches:
-            if pending is not None:
-                pdf = pd.concat([pending, pdf], ignore_index=True)
-            if pdf.empty:
-                continue
-            change = np.ones(len(pdf), dtype=bool)
-            change[1:] = False
-            for c in keys + ["_chunk"]:
-                v = pdf[c].to_numpy()
-                change[1:] |= v[1:] != v[:-1]
-            starts = np.flatnonzero(change)
-            ends = np.append(starts[1:], len(pdf))
-            # the last run may continue in the next batch: hold it back
-            pending = pdf.iloc[starts[-1]:].reset_index(drop=True)
-            if len(starts) > 1:
-                yield emit(pdf, starts[:-1], ends[:-1])
-        if pending is not None and not pending.empty:
-            yield emit(pending, np.array([0]), np.array([len(pending)]))
-    return run
+    return _runs(keys, emit)
 
 
 def rep_sums(points: DataFrame, keys: Sequence[str], reps: int = 100, frac: float = 0.7,
@@ -315,30 +301,46 @@ def rep_sums(points: DataFrame, keys: Sequence[str], reps: int = 100, frac: floa
     if engine == "sql":
         h = row_hash(keys, x)
         rep = F.col("rep")
-        ex = (points.select(*keys, x, y, h.alias("_h"),
+        ex = (points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, x, y, h.alias("_h"),
                             F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"))
               .where((rep == 0) | in_sample(F.col("_h"), rep, frac)))
         return ex.groupBy(*keys, "rep").agg(*sums(x, y))
-    part = _arrow_partials(points, keys, reps, frac, x, y, dense=False)
+    part = _arrow_partials(points, keys, range(reps), frac, x, y, dense=False)
     return part.groupBy(*keys, "rep").agg(
-        F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in ("sx", "sy", "sxx", "sxy", "syy")])
+        F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SUMS])
+
+
+SUMS = ("sx", "sy", "sxx", "sxy", "syy")
+
 
+def _sums_schema(key_fields: list, rep_type=ST.IntegerType()) -> ST.StructType:
+    return ST.StructType(key_fields + [
+        ST.StructField("rep", rep_type), ST.StructField("n_all", ST.LongType()), ST.StructField("n", ST.LongType())]
+        + [ST.StructField(c, ST.DoubleType()) for c in SUMS])
 
-def _arrow_partials(points: DataFrame, keys: list[str], reps: int, frac: float, x: str, y: str,
-                    dense: bool, chunk: int = CHUNK) -> DataFrame:
+
+def _arrow_partials(points: DataFrame, keys: list[str], rep_ids: Sequence[int], frac: float, x: str, y: str,
+                    dense: bool, chunk: int = CHUNK, extra: Sequence[str] = (), empty: bool = False) -> DataFrame:
+    """Sums of every chunk and rep; `extra` names key columns that are no part of the sample's hash; `empty`: also
+    of samples without a point in the chunk."""
     threshold = int(-(-frac * P // 1))
-    h = row_hash(keys, x)
+    h = row_hash([k for k in keys if k not in extra], x)
     pts = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
         *keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"),
         h.alias("_h"), F.floor(F.col(x) / F.lit(chunk)).cast("bigint").alias("_chunk"))
     pts = (pts.repartition(*[F.col(k) for k in keys], F.col("_chunk"))
            .sortWithinPartitions(*keys, "_chunk", "_x"))
     key_fields = [f for f in pts.schema.fields if f.name in keys]
-    schema = ST.StructType(key_fields + [
-        ST.StructField("rep", ST.IntegerType()),
-        ST.StructField("n_all", ST.LongType()), ST.StructField("n", ST.LongType())] + [
-        ST.StructField(c, ST.DoubleType()) for c in ("sx", "sy", "sxx", "sxy", "syy")])
-    return pts.mapInPandas(_rep_kernel(keys, reps, threshold, dense, chunk), schema)
+    return pts.mapInPandas(_rep_kernel(keys, rep_ids, threshold, dense, chunk, empty), _sums_schema(key_fields))
+
+
+def _choose(models: DataFrame, keys: Sequence[str], n_all: Column) -> DataFrame:
+    """The model of least RMSE (at 6 digits) of every key, the earliest rep on ties."""
+    return models.groupBy(*keys).agg(
+        n_all.alias("n_all"),
+        F.min(F.struct(F.round("rmse", DIGITS).alias("k"), "rep", F.col("n").alias("n_fit"),
+                       "slope", "intercept", "rmse", "r2")).alias("b")
+    ).select(*keys, "n_all", "b.rep", "b.n_fit", "b.slope", "b.intercept", "b.rmse", "b.r2")
 
 
 def fit_best_of(points: DataFrame, keys: Sequence[str], reps: int = 100, frac: float = 0.7,
@@ -354,24 +356,18 @@ def fit_best_of(points: DataFrame, keys: Sequence[str], reps: int = 100, frac: f
     rmse, r2, prediction.
     """
     keys = list(keys)
-    pick = lambda m, n_all: m.groupBy(*keys).agg(
-        n_all.alias("n_all"),
-        F.min(F.struct(F.round("rmse", DIGITS).alias("k"), "rep", F.col("n").alias("n_fit"),
-                       "slope", "intercept", "rmse", "r2")).alias("b")
-    ).select(*keys, "n_all", "b.rep", "b.n_fit", "b.slope", "b.intercept", "b.rmse", "b.r2")
     if engine == "sql":
         s = rep_sums(points, keys, reps, frac, x, y, engine)
-        best = pick(s.select(*keys, "rep", "n", *model_columns()),
-                    F.max(F.when(F.col("rep") == 0, F.col("n"))))
+        best = _choose(s.select(*keys, "rep", "n", *model_columns()), keys,
+                       F.max(F.when(F.col("rep") == 0, F.col("n"))))
         return _finish(best, keys, extra=["rep"])
     # One aggregation and one choice serve both kernel outputs: a whole series
     # arrives as the few reps that can win, with its length in n_all; a long
     # series as per-chunk partial rows for every rep (n_all = count on rep 0).
-    part = _arrow_partials(points, keys, reps, frac, x, y, dense=dense_index, chunk=chunk)
+    part = _arrow_partials(points, keys, range(reps), frac, x, y, dense=dense_index, chunk=chunk)
     s = part.groupBy(*keys, "rep").agg(
-        F.sum("n_all").alias("n_all"), F.sum("n").alias("n"),
-        *[F.sum(c).alias(c) for c in ("sx", "sy", "sxx", "sxy", "syy")])
-    best = pick(s.select(*keys, "rep", "n", "n_all", *model_columns()), F.max("n_all"))
+        F.sum("n_all").alias("n_all"), F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SUMS])
+    best = _choose(s.select(*keys, "rep", "n", "n_all", *model_columns()), keys, F.max("n_all"))
     return _finish(best, keys, extra=["rep"])
 
 

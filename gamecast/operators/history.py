@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .asof import AsOfSeries, as_of_series
 from .rows import PLAYER_ORDER
-from .sequence import time_bucket, with_sequence_index
 
 RECENT_BASE = 23      # fixed value: recent games taken = 30 - (7 - day) = 23 + day
 RECENT_DAY_LIMIT = 7  # fixed value: recent games only when day of month < 7
@@ -44,6 +44,15 @@ def request_players(requests: DataFrame, roster: DataFrame) -> DataFrame:
     return r.select(*cols)
 
 
+def request_players_of_games(rows: DataFrame) -> DataFrame:
+    """`request_players` where every game is a request for itself, from its player rows in one scan."""
+    date = F.col("date")
+    return rows.select(
+        F.col("game_id").alias("request_id"), "side", "player", date.alias("rdate"),
+        F.year(date).alias("ry"), F.month(date).alias("rm"), F.dayofmonth(date).alias("rd"),
+        F.when(F.col("side") == "home", F.col("away_abbr")).otherwise(F.col("home_abbr")).alias("opp")).distinct()
+
+
 def _points(rows: DataFrame) -> DataFrame:
     return rows.select("player", *_pcols(rows), "home_abbr", "away_abbr",
                        F.year("date").alias("y"), F.month("date").alias("m"),
@@ -139,41 +148,36 @@ def recent_games(rows: DataFrame, rp: DataFrame, as_of: bool = False) -> DataFra
 
 
 def games_before(rows: DataFrame, rp: DataFrame) -> DataFrame:
-    """(request_id, side, player, before): the player's games before the request's date.
+    """(request_id, side, player, before): the player's games before the request's date."""
+    return player_as_of(rows, rp).requests().select("request_id", "side", "player", "before")
+
+
+def player_as_of(rows: DataFrame, rp: DataFrame) -> AsOfSeries:
+    """Player rows and request players in one index: each point's game number, each request's games before its date."""
+    points = rows.select("player", *POINT_COLS, *[c for c in ("home_abbr", "away_abbr") if c in rows.columns])
+    return as_of_series(points, rp, ["player"], PLAYER_ORDER)
 
-    Games of earlier months come from a running sum over one row per player and
-    month; only the request's own month is joined game by game.
+
+def recent_places(rp: DataFrame) -> DataFrame:
+    """The last few places before each early request (at most RECENT_MAX rows a request), newest first.
+
+    `rp` has `before`; adds `rk` (1 = newest) and `idx`.
     """
-    month = lambda c: F.year(c) * 12 + F.month(c)
-    points = rows.select("player", "date", month("date").alias("ym"))
-    wanted = rp.select("request_id", "side", "player", "rdate", month("rdate").alias("ym"))
-    per_month = (points.groupBy("player", "ym").agg(F.count(F.lit(1)).alias("c"))
-                 .unionByName(wanted.select("player", "ym").distinct().withColumn("c", F.lit(0).cast("bigint")))
-                 .groupBy("player", "ym").agg(F.sum("c").alias("c")))
-    earlier = Window.partitionBy("player").orderBy("ym").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_month.select("player", "ym", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("off"))
-    keys = ["request_id", "side", "player"]
-    inside = (wanted.join(points, ["player", "ym"]).where(F.col("date") < F.col("rdate"))
-              .groupBy(*keys).agg(F.count(F.lit(1)).alias("c")))
-    return (wanted.join(offsets, ["player", "ym"]).join(inside, keys, "left")
-            .select(*keys, (F.col("off") + F.coalesce("c", F.lit(0))).alias("before")))
+    places = F.explode(F.expr(f"sequence(1, {RECENT_BASE} + rd)"))
+    return (rp.where(F.col("rd") < RECENT_DAY_LIMIT).select("*", places.alias("rk"))
+            .withColumn("idx", F.col("before") - F.col("rk")).where("idx >= 0").drop("before"))
 
 
 def _recent_before(rows: DataFrame, early: DataFrame) -> DataFrame:
-    """The newest games before each request: its last few places in the player's
-    series (at most RECENT_MAX rows a request), found by (player, index)."""
-    if "pidx" not in rows.columns:
-        rows = with_sequence_index(rows, ["player"], PLAYER_ORDER, bucket=[time_bucket("date")], name="pidx")
-    places = F.explode(F.expr(f"sequence(1, {RECENT_BASE} + rd)"))
-    wanted = (early.join(games_before(rows, early), ["request_id", "side", "player"])
-              .select("*", places.alias("rk")).withColumn("pidx", F.col("before") - F.col("rk"))
-              .where("pidx >= 0").drop("before"))
-    return wanted.join(rows.select("player", *_pcols(rows)), ["player", "pidx"])
+    """The newest games before each request: the last places before its cut, found by (player, index)."""
+    series = player_as_of(rows, early)
+    return recent_places(series.requests()).join(series.points().select("player", "idx", *POINT_COLS), ["player", "idx"]).drop("idx")
 
 
 def contextual_history(rows: DataFrame, rp: DataFrame, as_of: bool = False) -> DataFrame:
     """Same-month history (seg 0), versus opponent (1), month to date (2)
     and recent games (3), concatenated; a game in two segments counts twice.
+    (`context.context_points` also numbers them, without sorting them.)
 
     Segments 0-2 come from ONE equi-join: every point is keyed once per
     context it can serve (its month; its home and away team; its year and

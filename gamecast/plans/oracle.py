@@ -153,8 +153,32 @@ def fit_best_sql(src: str, keys: list[str], reps: int = 100, x: str = "idx", y:
     h = row_hash(keys, x)
     ex = (f"(SELECT * FROM (SELECT {k}, {x}, {y}, {h} AS _h, unnest(range(0, {reps})) AS rep FROM {src}) e "
           f"WHERE rep = 0 OR {in_sample('_h', 'rep')})")
-    agg = f"(SELECT {k}, rep, {sums(x, y)} FROM {ex} ex GROUP BY {k}, rep)"
-    m = model().format(src=agg)
+    return _best_of(f"(SELECT {k}, rep, {sums(x, y)} FROM {ex} ex GROUP BY {k}, rep)", k)
+
+
+def _best_of(sums_by_rep: str, k: str) -> str:
+    """The model of least RMSE (6 digits) of every key, the earliest rep on ties."""
+    m = model().format(src=sums_by_rep)
     ranked = (f"SELECT *, max(CASE WHEN rep = 0 THEN n END) OVER (PARTITION BY {k}) AS n_all, "
               f"row_number() OVER (PARTITION BY {k} ORDER BY round(rmse, 6), rep) AS _rk FROM ({m}) m0")
     return f"SELECT {finish(k, 'rep')} FROM (SELECT *, n AS n_fit FROM ({ranked}) r WHERE _rk = 1) m1"
+
+
+def fit_best_as_of_sql(requests: str, src: str, keys: list[str], out: list[str], reps: int = 100) -> str:
+    """Best-of fits on the points (`src`: keys, date, idx, pts) before each request's rdate, by running sums.
+
+    `out`: the columns of `requests` that name a request and its series.
+    """
+    k, o = ", ".join(keys), ", ".join(out)
+    same = " AND ".join(f"p.{c} = q.{c}" for c in keys)
+    cuts = (f"(SELECT {', '.join('q.' + c for c in out)}, COUNT(*) AS before FROM {requests} q JOIN {src} p "
+            f"ON {same} AND p.date < q.rdate GROUP BY {', '.join('q.' + c for c in out)})")
+    points = (f"(SELECT *, CAST(CASE WHEN rep = 0 OR {in_sample('_h', 'rep')} THEN 1 ELSE 0 END AS DOUBLE) AS f FROM ("
+              f"SELECT {k}, CAST(idx AS DOUBLE) AS x, CAST(pts AS DOUBLE) AS y, idx + 1 AS before, {row_hash(keys)} AS _h, "
+              f"unnest(range(0, {reps})) AS rep FROM {src}) e)")
+    terms = {"n": "f", "sx": "f * x", "sy": "f * y", "sxx": "f * x * x", "sxy": "f * x * y", "syy": "f * y * y"}
+    run = (f"(SELECT {k}, before, rep, " + ", ".join(f"SUM({t}) OVER w AS {c}" for c, t in terms.items())
+           + f" FROM {points} pt WINDOW w AS (PARTITION BY {k}, rep ORDER BY x))")
+    at = (f"(SELECT {o}, rep, CAST(n AS BIGINT) AS n, sx, sy, sxx, sxy, syy FROM {cuts} c JOIN {run} r "
+          f"USING ({k}, before) WHERE n > 0)")
+    return _best_of(at, o)

@@ -11,16 +11,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import round_half_up
-from ..operators.fit import fit_best_of, fit_split, fit_split_as_of
-from ..operators.history import SEG_RECENT, contextual_history, games_before, request_players
+from ..operators.asof import AsOfSeries, as_of_series, fit_best_as_of, fit_split_as_of
+from ..operators.context import context_points
+from ..operators.fit import fit_best_of, fit_split
+from ..operators.history import player_as_of, request_players
 from ..operators.rows import PLAYER_ORDER, TEAM_ORDER, player_rows, team_rows
-from ..operators.sequence import time_bucket, with_sequence_index
-from ..session import materialize
+from ..operators.sequence import with_sequence_index
 
 PLAYER_KEYS = ["request_id", "side", "player"]
 PRED_COLS = ["n", "n_fit", "rep", "slope", "intercept", "rmse", "r2", "prediction"]
 
 
+def _played(games: DataFrame, players: DataFrame | None) -> DataFrame:
+    rows = player_rows(games).where(F.col("pts").isNotNull())
+    if players is not None:
+        rows = rows.join(players.select("player").distinct(), "player", "left_semi")
+    return rows
+
+
 def player_series(games: DataFrame, players: DataFrame | None = None) -> DataFrame:
     """Each player's points in game order with idx = 0, 1, 2, ...
 
@@ -29,10 +37,7 @@ def player_series(games: DataFrame, players: DataFrame | None = None) -> DataFra
     before indexing (left-semi join; Spark picks broadcast at runtime when the
     list is small).
     """
-    rows = player_rows(games).where(F.col("pts").isNotNull())
-    if players is not None:
-        rows = rows.join(players.select("player").distinct(), "player", "left_semi")
-    return with_sequence_index(rows, ["player"], PLAYER_ORDER, bucket=[time_bucket("date")])
+    return with_sequence_index(_played(games, players), ["player"], PLAYER_ORDER)
 
 
 def team_series(games: DataFrame, abbrs: DataFrame | None = None) -> DataFrame:
@@ -40,7 +45,7 @@ def team_series(games: DataFrame, abbrs: DataFrame | None = None) -> DataFrame:
     rows = team_rows(games).where(F.col("score").isNotNull())
     if abbrs is not None:
         rows = rows.join(abbrs.select("abbreviation").distinct(), "abbreviation", "left_semi")
-    return with_sequence_index(rows, ["abbreviation"], TEAM_ORDER, bucket=[time_bucket("date")])
+    return with_sequence_index(rows, ["abbreviation"], TEAM_ORDER)
 
 
 def quick_models(games: DataFrame, players: DataFrame | None = None, reg: float = 0.001,
@@ -60,77 +65,80 @@ def attach_models(models: DataFrame, roster: DataFrame) -> DataFrame:
     return roster.select(*PLAYER_KEYS).join(m, "player").select(*PLAYER_KEYS, *PRED_COLS)
 
 
+def _cuts(games: DataFrame, roster: DataFrame, rp: DataFrame) -> AsOfSeries:
+    """One index over the points of the rostered players and their requests."""
+    return player_as_of(_played(games, roster), rp)
+
+
 def predict_players(games: DataFrame, roster: DataFrame, reg: float = 0.001, frac: float = 0.7,
-                    requests: DataFrame | None = None, as_of: bool = False) -> DataFrame:
+                    requests: DataFrame | None = None, as_of: bool = False, rp: DataFrame | None = None) -> DataFrame:
     """P1 (quick): one `frac` sample per player, L2 penalty `reg`, forecast next game.
 
-    With `as_of`, the model of a request (`requests` gives its date) is fitted
-    on the games before that date only; players without one vanish.
+    With `as_of`, the model of a request (`requests` gives its date, or `rp`, the
+    request players, all of it) is fitted on the games before that date only;
+    players without one vanish.
     """
     if not as_of:
         return attach_models(quick_models(games, roster, reg, frac), roster)
-    series = player_series(games, roster)
-    wanted = games_before(series, request_players(requests, roster)).where("before > 0")
-    models = fit_split_as_of(series, ["player"], wanted, frac=frac, reg=reg)
+    s = _cuts(games, roster, request_players(requests, roster) if rp is None else rp)
+    models = fit_split_as_of(s.points(), ["player"], s.requests(), frac=frac, reg=reg, stream=s.stream())
     return models.withColumn("rep", F.lit(0)).select(*PLAYER_KEYS, *PRED_COLS)
 
 
-def predict_players_best(games: DataFrame, roster: DataFrame, reps: int = 100,
-                         frac: float = 0.7) -> DataFrame:
-    """Best of the full fit and reps-1 samples per player."""
-    return attach_models(best_models(games, roster, reps, frac), roster)
-
-
-CONTEXT_BUCKET = 4096   # points of one segment per index bucket
-
-
-def context_series(games: DataFrame, requests: DataFrame, roster: DataFrame,
-                   as_of: bool = False, checkpoint: bool = True) -> DataFrame:
-    """J1 indexed per (request_id, side, player), ordered by segment.
-
-    Within a segment points follow the player's own game order (newest first
-    for recent games). That order is the player's series index `pidx`,
-    computed once per player, so the context index sorts one bigint and its
-    buckets are (segment, pidx // CONTEXT_BUCKET): a few per series, and a
-    long segment is still split every CONTEXT_BUCKET points.
-    """
-    rows = player_series(games, roster).withColumnRenamed("idx", "pidx")
-    # Every segment reads the indexed series: it is made once from one scan.
-    if checkpoint:
-        rows = materialize(rows, "player-series")
-    rp = request_players(requests, roster)
-    o = F.when(F.col("seg") == SEG_RECENT, -F.col("pidx")).otherwise(F.col("pidx"))
-    hist = (contextual_history(rows, rp, as_of)
-            .select(*PLAYER_KEYS, "seg", "game_id", "pts", o.alias("o")))
-    # The history feeds both levels of the index: write it once (Parquet in
-    # spark.checkpoint.dir), which also cuts the lineage.
-    hist = materialize(hist) if checkpoint else hist
-    return with_sequence_index(hist, PLAYER_KEYS, ["seg", "o"],
-                               bucket=[F.col("seg"), F.floor(F.col("o") / F.lit(CONTEXT_BUCKET))])
-
-
-def predict_players_context(games: DataFrame, requests: DataFrame, roster: DataFrame,
-                            reps: int = 100, frac: float = 0.7, as_of: bool = False) -> DataFrame:
+def predict_players_best(games: DataFrame, roster: DataFrame, reps: int = 100, frac: float = 0.7,
+                         requests: DataFrame | None = None, as_of: bool = False, rp: DataFrame | None = None) -> DataFrame:
+    """Best of the full fit and reps-1 samples per player; `as_of` as in P1, with the samples of the games before."""
+    if not as_of:
+        return attach_models(best_models(games, roster, reps, frac), roster)
+    s = _cuts(games, roster, request_players(requests, roster) if rp is None else rp)
+    models = fit_best_as_of(s.points(), ["player"], s.requests(), reps=reps, frac=frac, stream=s.stream())
+    return models.select(*PLAYER_KEYS, *PRED_COLS)
+
+
+def context_series(games: DataFrame, requests: DataFrame | None, roster: DataFrame, as_of: bool = False,
+                   rp: DataFrame | None = None) -> DataFrame:
+    """J1 indexed per (request_id, side, player): segment by segment, points in the player's own game order (newest
+    first for recent games). The numbers come from ranks (`operators.context`); context points are neither sorted nor
+    written."""
+    rp = request_players(requests, roster) if rp is None else rp
+    if as_of:
+        s = _cuts(games, roster, rp)
+        return context_points(s.points(), s.requests(), as_of=True)
+    return context_points(player_series(games, roster), rp)
+
+
+def predict_players_context(games: DataFrame, requests: DataFrame | None, roster: DataFrame, reps: int = 100,
+                            frac: float = 0.7, as_of: bool = False, rp: DataFrame | None = None) -> DataFrame:
     """Contextual history per request, best of reps fits, forecast."""
-    series = context_series(games, requests, roster, as_of)
+    series = context_series(games, requests, roster, as_of, rp)
     return fit_best_of(series, PLAYER_KEYS, reps=reps, frac=frac, dense_index=True).select(*PLAYER_KEYS, *PRED_COLS)
 
 
-def request_sides(requests: DataFrame) -> DataFrame:
-    """(request_id, side, abbreviation): the two teams of each request."""
-    s = requests.select("request_id", F.explode(F.array(
+def request_sides(requests: DataFrame, *more: str) -> DataFrame:
+    """(request_id, side, abbreviation, more columns of the request): the two teams of each request."""
+    s = requests.select("request_id", *more, F.explode(F.array(
         F.struct(F.lit("home").alias("side"), F.col("home_abbr").alias("abbreviation")),
         F.struct(F.lit("away").alias("side"), F.col("away_abbr").alias("abbreviation")))).alias("s"))
-    return s.select("request_id", "s.side", "s.abbreviation")
+    return s.select("request_id", *more, "s.side", "s.abbreviation")
 
 
-def predict_teams(games: DataFrame, requests: DataFrame, reps: int = 100,
-                  frac: float = 0.7) -> DataFrame:
-    """Best-of fit of each requested team's scores, forecast next game."""
+def predict_teams(games: DataFrame, requests: DataFrame, reps: int = 100, frac: float = 0.7,
+                  as_of: bool = False) -> DataFrame:
+    """Best-of fit of each requested team's scores, forecast next game.
+
+    With `as_of`, on the team's games before the request's date only; teams without one vanish.
+    """
+    cols = ["request_id", "side", "abbreviation", *PRED_COLS]
+    if as_of:
+        wanted = request_sides(requests, "rdate")
+        scores = team_rows(games).where(F.col("score").isNotNull()).select(
+            "abbreviation", *TEAM_ORDER, F.col("score").alias("pts"))
+        s = as_of_series(scores, wanted, ["abbreviation"], TEAM_ORDER)
+        return fit_best_as_of(s.points(), ["abbreviation"], s.requests(), reps=reps, frac=frac, stream=s.stream()).select(*cols)
     sides = request_sides(requests)
     series = team_series(games, sides).withColumnRenamed("score", "pts")
     models = fit_best_of(series, ["abbreviation"], reps=reps, frac=frac, dense_index=True)
-    return sides.join(models, "abbreviation").select("request_id", "side", "abbreviation", *PRED_COLS)
+    return sides.join(models, "abbreviation").select(*cols)
 
 
 def top_per_side(preds: DataFrame, k: int = 20, by: str = "player") -> DataFrame:

@@ -16,7 +16,7 @@ from ..operators import fit as fit_ops
 from ..operators import history as H
 from ..operators import search as S
 from ..operators import rows as rows_ops
-from ..operators.sequence import time_bucket, with_sequence_index
+from ..operators.sequence import with_sequence_index
 from ..sources import requests as RQ
 from ..sources import sinks as SK
 from ..sources import testbed
@@ -113,7 +113,7 @@ def fit_full_sparse(spark, sf_dir):
     """M2 with players who did not play (no points: every fifth line of a box) and fractional points."""
     rows = rows_ops.player_rows(_games(spark, sf_dir)).withColumn(
         "pts", F.when(F.col("ppos") % 5 != 4, F.col("pts") / F.lit(2.0))).where("pts is not null")
-    series = with_sequence_index(rows, ["player"], rows_ops.PLAYER_ORDER, bucket=[time_bucket("date")])
+    series = with_sequence_index(rows, ["player"], rows_ops.PLAYER_ORDER)
     return fit_ops.fit_full(series, ["player"])
 
 
@@ -215,8 +215,8 @@ def _summary(df: DataFrame, keys=("request_id", "side", "player")) -> DataFrame:
 
 
 def _context_inputs(spark, sf_dir):
-    games, requests, roster, _ = _requests(spark, sf_dir)
-    return rows_ops.player_rows(games), H.request_players(requests, roster)
+    rows = rows_ops.player_rows(_games(spark, sf_dir))
+    return rows, H.request_players_of_games(rows)
 
 
 @query("same_month_history", _seg_summary_sql(0))
@@ -268,8 +268,8 @@ _CTX = ",\n".join([_PH, "ctx AS (" + "\nUNION ALL\n".join(
     "FROM cs GROUP BY request_id, side, player, seg", _CTX))
 def contextual_history(spark, sf_dir):
     """The four context segments per request, indexed in series order."""
-    games, requests, roster, _ = _requests(spark, sf_dir)
-    s = PL.context_series(games, requests, roster)
+    rows, rp = _context_inputs(spark, sf_dir)
+    s = PL.context_series(_games(spark, sf_dir), None, rp, rp=rp)
     return s.groupBy("request_id", "side", "player", "seg").agg(
         F.count(F.lit(1)).alias("n"), F.sum("pts").cast("bigint").alias("pts_sum"),
         F.sum("idx").cast("bigint").alias("idx_sum"),
@@ -302,8 +302,16 @@ def predict_quick(spark, sf_dir):
     "JOIN ps ON ps.player = rp.player AND ps.date < rp.rdate)"))
 def predict_quick_as_of(spark, sf_dir):
     """P1 as of the request: fitted on the games before its date only."""
-    games, requests, roster, _ = _requests(spark, sf_dir)
-    return PL.predict_players(games, roster, requests=requests, as_of=True)
+    _, rp = _context_inputs(spark, sf_dir)
+    return PL.predict_players(_games(spark, sf_dir), rp, as_of=True, rp=rp)
+
+
+@query("predict_best_as_of", O.with_base(
+    f"SELECT {_PRED} FROM ({O.fit_best_as_of_sql('rp', 'ps', ['player'], ['request_id', 'side', 'player'])}) q"))
+def predict_best_as_of(spark, sf_dir):
+    """P2 as of the request: best-of-100 fit on the games before its date only."""
+    _, rp = _context_inputs(spark, sf_dir)
+    return PL.predict_players_best(_games(spark, sf_dir), rp, as_of=True, rp=rp)
 
 
 @query("predict_best", O.with_base(
@@ -319,8 +327,8 @@ def predict_best(spark, sf_dir):
     f"SELECT {_PRED} FROM ({O.fit_best_sql('cs', ['request_id', 'side', 'player'])}) q", _CTX))
 def predict_context(spark, sf_dir):
     """Contextual history per request, best-of-100 fit, forecast."""
-    games, requests, roster, _ = _requests(spark, sf_dir)
-    return PL.predict_players_context(games, requests, roster)
+    _, rp = _context_inputs(spark, sf_dir)
+    return PL.predict_players_context(_games(spark, sf_dir), None, rp, rp=rp)
 
 
 _SIDES = ("sd AS (SELECT request_id, 'home' AS side, home_abbr AS abbreviation FROM req "
@@ -337,6 +345,20 @@ def team_predict(spark, sf_dir):
     return PL.predict_teams(_games(spark, sf_dir), requests)
 
 
+_SIDES_AT = ("sda AS (SELECT request_id, rdate, 'home' AS side, home_abbr AS abbreviation FROM req "
+             "UNION ALL SELECT request_id, rdate, 'away', away_abbr FROM req), "
+             "tpa AS (SELECT abbreviation, date, idx, score AS pts FROM ts)")
+
+
+@query("team_predict_as_of", O.with_base(
+    "SELECT request_id, side, abbreviation, n, n_fit, CAST(rep AS INTEGER) AS rep, slope, intercept, rmse, r2, prediction "
+    f"FROM ({O.fit_best_as_of_sql('sda', 'tpa', ['abbreviation'], ['request_id', 'side', 'abbreviation'])}) m", _SIDES_AT))
+def team_predict_as_of(spark, sf_dir):
+    """P4 as of the request: best-of-100 fit of each team's scores before its date only."""
+    _, requests, _, _ = _requests(spark, sf_dir)
+    return PL.predict_teams(_games(spark, sf_dir), requests, as_of=True)
+
+
 @query("team_totals", O.with_base(
     f"SELECT request_id, side, CAST(SUM(floor(prediction + 0.5)) AS BIGINT) AS total, COUNT(*) AS players "
     f"FROM ({_QUICK_SQL}) q GROUP BY request_id, side"))

@@ -1,4 +1,5 @@
 import math
+import tempfile
 
 import pytest
 from pyspark.ml.feature import VectorAssembler
@@ -6,8 +7,10 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from gamecast.operators import asof as AO
 from gamecast.operators import fit as FT
-from gamecast.operators.sequence import time_bucket, with_sequence_index
+from gamecast.operators.sequence import with_sequence_index
+from gamecast.session import release
 
 
 def _points(spark, series):
@@ -99,7 +102,7 @@ def test_sequence_index_matches_row_number(spark):
     base = dt.datetime(2010, 1, 1)
     rows = [("p" if i % 3 else "q", base + dt.timedelta(days=(i * 7) % 400), i) for i in range(600)]
     df = spark.createDataFrame(rows, "player string, date timestamp_ntz, game_id bigint")
-    got = with_sequence_index(df, ["player"], ["date", "game_id"], bucket=[time_bucket("date")])
+    got = with_sequence_index(df, ["player"], ["date", "game_id"])
     ref = df.withColumn("ref", F.row_number().over(Window.partitionBy("player").orderBy("date", "game_id")) - 1)
     j = got.join(ref, ["player", "date", "game_id"])
     assert j.count() == 600 and j.where("idx != ref").count() == 0
@@ -125,16 +128,70 @@ def test_null_and_fractional_points(spark):
         assert (best["a"].n, best["a"].slope, best["a"].intercept, best["a"].prediction) == (8, 2.0, 0.5, 16.5)
 
 
-def test_prefix_fits_are_the_fits_of_the_prefixes(spark, monkeypatch):
-    monkeypatch.setattr(FT, "PREFIX_BUCKET", 7)
+def test_prefix_fits_are_the_fits_of_the_prefixes(spark):
     import random
     rng = random.Random(1)
     rows = [(p, k, rng.randint(0, 30)) for p in ("a", "b") for k in range(40)]
     df = spark.createDataFrame(rows, "player string, idx bigint, pts int")
     wanted = spark.createDataFrame([(p, n, 100 + n) for p in ("a", "b") for n in (1, 6, 7, 8, 23, 40)],
                                    "player string, before bigint, request_id bigint")
-    got = {(r.player, r.request_id): r for r in FT.fit_split_as_of(df, ["player"], wanted).collect()}
+    got = {(r.player, r.request_id): r for r in AO.fit_split_as_of(df, ["player"], wanted, chunk=7).collect()}
     for n in (1, 6, 7, 8, 23, 40):
         for r in FT.fit_split(df.where(f"idx < {n}"), ["player"]).collect():
             g = got[r.player, 100 + n]
             assert (g.n, g.n_fit, g.slope, g.intercept, g.rmse, g.prediction) == (r.n, r.n_fit, r.slope, r.intercept, r.rmse, r.prediction)
+
+
+def test_best_prefix_fits_are_the_best_fits_of_the_prefixes(spark, monkeypatch):
+    """Whatever the chunks and blocks, a cut's model is `fit_best_of` on the points before it."""
+    import random
+    monkeypatch.setattr(AO, "BLOCK", 5)
+    rng = random.Random(2)
+    rows = [(p, k, rng.randint(0, 30) if p != "gaps" or k % 4 else None) for p in ("a", "b", "gaps") for k in range(45)]
+    df = spark.createDataFrame(rows, "player string, idx bigint, pts int")
+    cuts = (0, 1, 2, 7, 8, 14, 29, 45)
+    wanted = spark.createDataFrame([(p, n, r) for p in ("a", "b", "gaps") for n in cuts for r in (n, 1000 + n)] + [("none", 3, 1)],
+                                   "player string, before bigint, request_id bigint")
+    for chunk in (7, 1 << 14):
+        got = {(r.player, r.request_id): r for r in AO.fit_best_as_of(df, ["player"], wanted, reps=20, chunk=chunk).collect()}
+        want = {}
+        for n in cuts[1:]:
+            for r in FT.fit_best_of(df.where(f"idx < {n}"), ["player"], reps=20, engine="sql").collect():
+                if r.n:
+                    want[r.player, n] = r
+        assert {(p, n % 1000) for p, n in got} == set(want) and len(got) == 2 * len(want)
+        for (p, n), g in got.items():
+            r = want[p, n % 1000]
+            assert (g.n, g.n_fit, g.rep, g.slope, g.intercept, g.rmse, g.r2, g.prediction) == (
+                r.n, r.n_fit, r.rep, r.slope, r.intercept, r.rmse, r.r2, r.prediction)
+
+
+def test_index_of_a_hot_team_month_is_spread(spark):
+    """90 % of the rows are one team's in one month: many partitions share them, and every place is right."""
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 10 > 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 700)).alias("team"),
+        F.expr("timestamp_ntz'2012-01-01 00:00:00' + make_interval(0, 0, 0, cast(id % 28 as int))").alias("date"),
+        (F.col("id") * 7919 % 20_000).alias("game_id"))
+    path = tempfile.mkdtemp(prefix="gc-index-") + "/t"
+    got = with_sequence_index(df, ["team"], ["date", "game_id"], path=path)
+    parts = {r._part: r["count"] for r in spark.read.parquet(path).where("team = 'hot'").groupBy("_part").count().collect()}
+    assert len(parts) >= 6 and max(parts.values()) < 6_000
+    ref = df.withColumn("ref", F.row_number().over(Window.partitionBy("team").orderBy("date", "game_id")) - 1)
+    j = got.join(ref, "game_id")
+    assert j.count() == 20_000 and j.where("idx <> ref").count() == 0
+    release(spark, path)
+
+
+def test_marks_count_the_rows_before_them(spark):
+    rows = [(None if k % 5 == 0 else f"p{k % 3}", (k * 37) % 500, k % 4 > 0) for k in range(500)]
+    df = spark.createDataFrame(rows, "player string, o int, real boolean")
+    got = with_sequence_index(df, ["player"], ["o"], counted="real")
+    for r in got.collect():
+        assert r.idx == sum(1 for p, o, real in rows if p == r.player and real and o < r.o)
+
+
+def test_full_fit_reads_its_points_once(spark, small_games):
+    from test_plans import plan
+    from gamecast.plans import pipelines as PL
+    p = plan(FT.fit_full(PL.player_series(small_games), ["player"]))
+    assert p.count("\nLocation:") == 1 and p.count("+- Exchange") <= 1

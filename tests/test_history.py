@@ -59,7 +59,7 @@ def test_recent_games_cap(spark, make_games):
 def test_contextual_history_counts_twice_and_orders(spark, small_games):
     games = small_games
     requests, roster = _req(spark, 1, "2013-01-05", "BOS", "NYK", [("home", "Ann")])
-    s = PL.context_series(games, requests, roster, checkpoint=False)
+    s = PL.context_series(games, requests, roster)
     segs = sorted((r.seg, r.game_id) for r in s.collect())
     # same month of earlier years up to day 5: g1, g2; vs NYK away: g1, g5, g6, g8;
     # month to date: g6; recent (day 5 < 7): all 9 of Ann's games
@@ -109,8 +109,8 @@ def test_top_per_side_caps_at_twenty(spark):
 
 def test_as_of_cuts_history_at_request_date(spark, small_games):
     requests, roster = _req(spark, 1, "2013-01-05", "BOS", "NYK", [("home", "Ann")])
-    plain = PL.context_series(small_games, requests, roster, checkpoint=False)
-    cut = PL.context_series(small_games, requests, roster, as_of=True, checkpoint=False)
+    plain = PL.context_series(small_games, requests, roster)
+    cut = PL.context_series(small_games, requests, roster, as_of=True)
     assert plain.where("seg = 3").count() == 9                    # recent games include later ones
     got = sorted((r.seg, r.game_id) for r in cut.collect())
     assert all(g <= 6 for _, g in got)                             # games 7-9 are after 5 Jan 2013
@@ -143,3 +143,69 @@ def test_predict_as_of_fits_the_games_before(spark, make_games):
     assert (r.n, r.slope, r.intercept, r.prediction) == (50, 2.0, 0.0, 100.0)
     early, _ = _req(spark, 1, "2012-01-01", "BOS", "NYK", [("home", "Ann")])
     assert PL.predict_players(make_games(gs), roster, requests=early, as_of=True).count() == 0
+
+
+def _numbered(rows, rp, as_of=False):
+    """J1 as the four joins say it, numbered by sorting: {(request, side, player, seg, game): [numbers]}."""
+    out = {}
+    pidx = {}
+    for r in sorted(rows.where("pts IS NOT NULL").collect(), key=lambda r: (r.player, r.date, r.game_id, r.bpos, r.ppos)):
+        pidx[r.player, r.game_id, r.bpos, r.ppos] = sum(1 for k in pidx if k[0] == r.player)
+    hist = {}
+    for r in H.contextual_history(rows.where("pts IS NOT NULL"), rp, as_of).collect():
+        place = pidx[r.player, r.game_id, r.bpos, r.ppos]
+        hist.setdefault((r.request_id, r.side, r.player), []).append((r.seg, -place if r.seg == H.SEG_RECENT else place, r.game_id))
+    for key, points in hist.items():
+        for n, (seg, _, game) in enumerate(sorted(points)):
+            out.setdefault((*key, seg, game), []).append(n)
+    return out
+
+
+def test_ranks_number_the_history_as_sorting_does(spark, make_games):
+    """Many requests over a few seasons: leap days, days 1 to 31, teams meeting twice a month, players on both sides."""
+    import random
+
+    from conftest import game
+    rng = random.Random(4)
+    teams, players = ["BOS", "NYK", "MIA"], ["Ann", "Bo", "Cy", "Dee"]
+    gs = []
+    for k in range(150):
+        home, away = rng.sample(teams, 2)
+        picked = rng.sample(players, 3)
+        day = dt.date(2010, 1, 1) + dt.timedelta(days=rng.choice([0, 365, 731, 1096]) + rng.randrange(70))
+        gs.append(game(k, str(day), home, away, [(picked[0], rng.choice([None, 3, 5, 9]) or 1)], [(p, rng.randrange(30)) for p in picked[1:]],
+                       home_first=k % 2 == 0))
+    games = make_games(gs)
+    rows = R.player_rows(games)
+    rp = H.request_players_of_games(rows)
+    for as_of in (False, True):
+        got = {}
+        for r in PL.context_series(games, None, rp, as_of=as_of, rp=rp).collect():
+            got.setdefault((r.request_id, r.side, r.player, r.seg, r.game_id), []).append(r.idx)
+        assert {k: sorted(v) for k, v in got.items()} == _numbered(rows, rp, as_of)
+
+
+def test_best_forecasts_as_of_requests(spark, make_games):
+    """P2 and P4 fit the games before a request only; teams and players without one vanish."""
+    from conftest import game
+    gs = [game(k, str(dt.date(2012, 1, 1) + dt.timedelta(days=k)), "BOS", "NYK", [("Ann", 2 * k if k < 50 else 0)], None)
+          for k in range(120)]
+    games = make_games(gs)
+    requests, roster = _req(spark, 1, "2012-02-20", "BOS", "NYK", [("home", "Ann"), ("away", "Nobody")])
+    (r,) = PL.predict_players_best(games, roster, requests=requests, as_of=True).collect()
+    assert (r.n, r.rep, r.slope, r.intercept, r.prediction) == (50, 0, 2.0, 0.0, 100.0)
+    teams = {t.abbreviation: t for t in PL.predict_teams(games, requests, as_of=True).collect()}
+    assert (teams["BOS"].n, teams["BOS"].prediction, teams["NYK"].n, teams["NYK"].prediction) == (50, 100.0, 50, 0.0)
+    early, _ = _req(spark, 1, "2012-01-01", "BOS", "NYK", [("home", "Ann")])
+    assert PL.predict_teams(games, early, as_of=True).count() == 0
+    assert PL.predict_players_best(games, roster, requests=early, as_of=True).count() == 0
+
+
+def test_as_of_plans_scan_the_written_series(spark, small_games):
+    from test_plans import plan
+    rows = R.player_rows(small_games)
+    rp = H.request_players_of_games(rows)
+    for p in (plan(PL.predict_players(small_games, rp, as_of=True, rp=rp)),
+              plan(PL.predict_players_best(small_games, rp, as_of=True, rp=rp)),
+              plan(H.recent_games(rows, rp, as_of=True))):
+        assert p.count("\nLocation:") <= 2

@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gamecast.operators import fit as FT
-from gamecast.operators.sequence import time_bucket, with_sequence_index
+from gamecast.operators.sequence import with_sequence_index
 
 SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -34,7 +34,7 @@ def test_two_level_index_equals_row_number(spark, days):
     base = dt.datetime(2001, 1, 1)
     rows = [(k, base + dt.timedelta(days=d), gid) for gid, (k, d) in enumerate(days)]
     df = spark.createDataFrame(rows, "player string, date timestamp_ntz, game_id bigint")
-    got = with_sequence_index(df, ["player"], ["date", "game_id"], bucket=[time_bucket("date")])
+    got = with_sequence_index(df, ["player"], ["date", "game_id"])
     ref = df.withColumn("ref", F.row_number().over(Window.partitionBy("player").orderBy("date", "game_id")) - 1)
     j = got.join(ref, ["player", "date", "game_id"])
     assert j.count() == len(rows) and j.where("idx != ref").count() == 0
