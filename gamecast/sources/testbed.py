@@ -94,13 +94,11 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     """Key of the tables as they are now: path, length and modification time of
     every file as Spark lists them (whatever the file system), and the build."""
     import hashlib
-    h = hashlib.sha1(f"{BUILD}:{sf_dir.rstrip('/')}".encode())
-    for name in ("orders", "lineitem", "customer", "supplier", "nation"):
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf_dir}/{name}.parquet")
-        row = files.agg(F.count("*"), F.sum("length"),
-                        F.bit_xor(F.xxhash64("path", "length", F.unix_micros("modificationTime")))).first()
-        h.update(f"{name}:{tuple(row)}".encode())
-    return h.hexdigest()[:16]
+    paths = [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("orders", "lineitem", "customer", "supplier", "nation")]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    row = files.agg(F.count("*"), F.sum("length"),
+                    F.bit_xor(F.xxhash64("path", "length", F.unix_micros("modificationTime")))).first()
+    return hashlib.sha1(f"{BUILD}:{paths}:{tuple(row)}".encode()).hexdigest()[:16]
 
 
 def stored_games(spark: SparkSession, sf_dir: str, core: bool = True) -> DataFrame:
@@ -109,9 +107,9 @@ def stored_games(spark: SparkSession, sf_dir: str, core: bool = True) -> DataFra
 
     Later queries read the nested table with column pruning instead of
     re-running the build; the written table also cuts the lineage. `core`
-    reads it with the narrow read schema (see `read_games`). Every build
-    writes its own folder and any completed one (with `_SUCCESS`) is reused,
-    so concurrent sessions never overwrite a table another one reads.
+    reads it with the narrow read schema (see `read_games`). Every build writes
+    its own folder, and notes it in a small table once it is complete; any noted
+    build is reused, so concurrent sessions never overwrite a table another one reads.
     """
     import uuid
 
@@ -121,13 +119,12 @@ def stored_games(spark: SparkSession, sf_dir: str, core: bool = True) -> DataFra
     from .games import read_games
     base = f"{checkpoint_dir(spark).rstrip('/')}/testbed_games/{_fingerprint(spark, sf_dir)}"
     try:
-        done = (spark.read.format("binaryFile").load(f"{base}/*/_SUCCESS")
-                .select("path").orderBy("path").limit(1).collect())
-    except AnalysisException:
+        done = spark.read.schema("path string").parquet(f"{base}/complete").orderBy("path").limit(1).collect()
+    except AnalysisException:        # no build yet
         done = []
     if done:
-        path = done[0]["path"].rsplit("/", 1)[0]
-    else:
-        path = f"{base}/{uuid.uuid4().hex}"
-        games(spark, sf_dir).write.mode("errorifexists").parquet(path)
+        return read_games(spark, done[0]["path"], core=core)
+    path = f"{base}/{uuid.uuid4().hex}"
+    games(spark, sf_dir).write.mode("errorifexists").parquet(path)
+    spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("append").parquet(f"{base}/complete")
     return read_games(spark, path, core=core)

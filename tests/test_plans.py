@@ -41,3 +41,8 @@ def test_no_cartesian_or_nested_loop_joins(spark, name):
     from gamecast.plans.queries import QUERIES
     p = plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_stored_games_are_built_once(spark):
+    from gamecast.sources.testbed import stored_games
+    assert sorted(stored_games(spark, SF).inputFiles()) == sorted(stored_games(spark, SF).inputFiles())
