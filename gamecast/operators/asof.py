@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
-from .fit import CHUNK, P, SUMS, _arrow_partials, _choose, _finish, _kernel_tools, _runs, _sums_schema, model_columns, row_hash
+from .fit import (CHUNK, EXACT, P, SUMS, _arrow_partials, _choose, _finish, _kernel_tools, _runs, _sums_schema, from_begin,
+                  model_columns, row_hash, run_columns, whole)
 from .sequence import with_sequence_index
 
 BLOCK = 1 << 10     # points whose running sums of all samples are in memory at once
@@ -67,10 +68,11 @@ def as_of_series(points: DataFrame, wanted: DataFrame, keys: Sequence[str], orde
     return AsOfSeries(indexed.select(*keys, "_p", "_w", "idx"), keys)
 
 
-def _cut_kernel(keys: list[str], rep_ids: Sequence[int], threshold: int, winners: bool, block: int):
-    """Kernel over (keys, _chunk)-sorted rows: sums of earlier chunks (_kind 0), points (1) and cuts (2) by place.
+def _cut_kernel(keys: list[str], rep_ids: Sequence[int], threshold: int, winners: bool, chunk: int, block: int):
+    """Kernel over runs of one (keys, _chunk) by place: sums of earlier chunks (_kind 0), points (1) and cuts (2).
 
-    Emits the sums of every cut (keys, before) and rep; with `winners` only those of reps that can still win.
+    Emits, of every cut (keys, before) and rep, the sums of the chunk's points before it, x counted from the chunk's
+    begin; with `winners` only of reps that can still win, counting the chunks before as well.
     """
     import numpy as np
     import pandas as pd
@@ -79,21 +81,20 @@ def _cut_kernel(keys: list[str], rep_ids: Sequence[int], threshold: int, winners
     mask_of, can_win = _kernel_tools(rep_ids, threshold)
     names = list(SUMS)
 
-    def sums_at(base, h, x, y, at):
-        """(cuts, reps, 6): the sums of the first `at[i]` points, and of earlier chunks."""
-        out = np.empty((len(at), reps, 6))
-        carry = base.copy()
-        out[at == 0] = carry
+    def sums_at(h, x, y, at):
+        """(cuts, reps, 6): the sums of the first `at[i]` points."""
+        out = np.zeros((len(at), reps, 6))
+        carry = np.zeros((reps, 6))
         for lo in range(0, len(x), block):
             hi = min(lo + block, len(x))
             mask = mask_of(h[lo:hi])
             here = np.flatnonzero((at > lo) & (at <= hi))
             xs, ys = x[lo:hi], y[lo:hi]
             for t, term in enumerate((np.ones_like(xs), xs, ys, xs * xs, xs * ys, ys * ys)):
-                running = np.cumsum(mask * term[:, None], axis=0)
-                running += carry[None, :, t]
-                out[here, :, t] = running[at[here] - lo - 1]
-                carry[:, t] = running[-1]
+                running = np.cumsum(mask * term[None, :], axis=1)
+                running += carry[:, t, None]
+                out[here, :, t] = running[:, at[here] - lo - 1].T
+                carry[:, t] = running[:, -1]
         return out
 
     def one(pdf):
@@ -101,60 +102,72 @@ def _cut_kernel(keys: list[str], rep_ids: Sequence[int], threshold: int, winners
         cut = np.flatnonzero(kind == 2)
         if not len(cut):
             return None
-        cut = cut[np.append(True, np.diff(pdf["_x"].to_numpy()[cut]) > 0)]        # requests of one place are one cut
+        x = pdf["_x"].to_numpy()
+        cut = cut[np.append(True, np.diff(x[cut]) > 0)]                           # requests of one place are one cut
+        number, begin = int(pdf["_chunk"].iloc[0]), int(pdf["_chunk"].iloc[0]) * chunk
         base = np.zeros((reps, 6))
         earlier = pdf[kind == 0]
         if len(earlier):
             base[earlier["rep"].to_numpy().astype(int)] = earlier[["n", *names]].to_numpy(dtype=float)
         point = kind == 1
         pts = pdf[point]
-        sums = sums_at(base, pts["_h"].to_numpy(dtype=np.int64), pts["_x"].to_numpy(dtype=float),
-                       pts["_y"].to_numpy(dtype=float), np.cumsum(point)[cut])
-        at, pick = np.nonzero(can_win(sums) if winners else np.ones(sums.shape[:2], bool))
-        sel = sums[at, pick]
-        d = {k: pdf[k].to_numpy()[cut[at]] for k in keys}
-        d.update(before=pdf["_x"].to_numpy()[cut[at]].astype(np.int64), rep=pick.astype(np.int32),
-                 n_all=sums[at, 0, 0].astype(np.int64), n=sel[:, 0].astype(np.int64),
+        local = sums_at(pts["_h"].to_numpy(dtype=np.int64), pts["_x"].to_numpy(dtype=float) - begin,
+                        pts["_y"].to_numpy(dtype=float), np.cumsum(point)[cut])
+        n, sx, sy, sxx, sxy, syy = (local[..., i] for i in range(6))
+        total = base + np.stack([n, sx + begin * n, sy, sxx + 2 * begin * sx + float(begin) ** 2 * n, sxy + begin * sy, syy], -1)
+        at, pick = np.nonzero(can_win(total) if winners else total[..., 0] > 0)
+        sel = local[at, pick]
+        d = {k: pdf[k].take(cut[at]).to_numpy() for k in keys}
+        d.update(_chunk=np.full(len(at), number), before=x[cut[at]].astype(np.int64), rep=pick.astype(np.int32),
+                 n_all=total[at, 0, 0].astype(np.int64), n=sel[:, 0].astype(np.int64),
                  **{c: sel[:, i + 1] for i, c in enumerate(names)})
         return d
 
-    columns = [*keys, "before", "rep", "n_all", "n", *names]
+    columns = [*keys, "_chunk", "before", "rep", "n_all", "n", *names]
 
     def emit(pdf, starts, ends):
         parts = [part for s, e in zip(starts, ends) if (part := one(pdf.iloc[s:e])) is not None]
         return pd.DataFrame({c: np.concatenate([d[c] for d in parts]) for c in columns}) if parts else None
-    return _runs(keys, emit)
+    return _runs(emit)
 
 
 def _sums_at_cuts(stream: DataFrame, keys: list[str], rep_ids: Sequence[int], frac: float, winners: bool,
                   chunk: int) -> DataFrame:
     """(keys, before, rep, n_all, n, sums) of every cut of `stream` (keys, x, y, cut)."""
-    threshold = int(-(-frac * P // 1))
+    threshold, exact = int(-(-frac * P // 1)), whole(stream, "x", "y")
     null = lambda kind: F.lit(None).cast(kind)
     place = F.when(F.col("cut"), F.col("x") - 1).otherwise(F.col("x"))      # a cut belongs to the chunk of the last point before it
     rows = (stream.where(F.when(F.col("cut"), F.col("x") > 0).otherwise(F.col("x").isNotNull() & F.col("y").isNotNull()))
             .select(*keys, F.floor(place / F.lit(chunk)).cast("bigint").alias("_chunk"), F.col("x").cast("double").alias("_x"),
                     F.when(F.col("cut"), 2).otherwise(1).alias("_kind"), F.col("y").cast("double").alias("_y"),
                     F.when(~F.col("cut"), row_hash(keys, "x")).alias("_h"),
-                    null("int").alias("rep"), null("bigint").alias("n"), *[null("double").alias(c) for c in SUMS]))
+                    null("int").alias("rep"), null("double").alias("n"), *[null("double").alias(c) for c in SUMS]))
     longest = stream.agg(F.max("x")).first()[0]
+    before = None
     if longest is not None and longest > chunk:
-        # Series of several chunks: each chunk starts from the sums of those before it.
-        points = stream.where(~F.col("cut"))
-        full = points.where(F.col("x") % chunk == chunk - 1).select(*keys, F.floor(F.col("x") / chunk).cast("bigint").alias("_c")).distinct()
-        whole = points.withColumn("_c", F.floor(F.col("x") / chunk).cast("bigint")).join(full, [*keys, "_c"], "left_semi")
-        part = _arrow_partials(whole, [*keys, "_c"], rep_ids, frac, "x", "y", dense=False, chunk=chunk, extra=["_c"], empty=True)
+        # Series of several chunks: the sums of all chunks before each one.
+        points = stream.where(~F.col("cut")).withColumn("_c", F.floor(F.col("x") / chunk).cast("bigint"))
+        full = points.where(F.col("x") % chunk == chunk - 1).select(*keys, "_c").distinct()
+        part = _arrow_partials(points.join(full, [*keys, "_c"], "left_semi"), [*keys, "_c"], rep_ids, frac, "x", "y",
+                               dense=False, chunk=chunk, extra=["_c"], empty=True)
         run = Window.partitionBy(*keys, "rep").orderBy("_c").rowsBetween(Window.unboundedPreceding, 0)
-        before = part.select(*keys, (F.col("_c") + 1).alias("_chunk"), null("double").alias("_x"), F.lit(0).alias("_kind"),
-                             null("double").alias("_y"), null("bigint").alias("_h"), "rep",
-                             F.sum("n").over(run).alias("n"), *[F.sum(c).over(run).alias(c) for c in SUMS])
-        rows = rows.unionByName(before)
-    # cuts of one place lie side by side; points come before the cut behind them
-    x = F.col("_x") - F.when(F.col("_kind") == 2, F.lit(0.5)).otherwise(F.lit(0.0))
-    rows = rows.repartition(*[F.col(k) for k in keys], F.col("_chunk")).sortWithinPartitions(*keys, "_chunk", x)
-    key_fields = [f for f in rows.schema.fields if f.name in keys] + [ST.StructField("before", ST.LongType())]
-    return rows.mapInPandas(_cut_kernel(keys, rep_ids, threshold, winners, BLOCK),
-                            _sums_schema(key_fields)).where("n > 0")
+        before = part.select(*keys, (F.col("_c") + 1).alias("_chunk"), "rep", F.sum("n").over(run).alias("n"),
+                             *[F.sum(c).over(run).alias(c) for c in SUMS])
+        rows = rows.unionByName(before.select(
+            *keys, "_chunk", null("double").alias("_x"), F.lit(0).alias("_kind"), null("double").alias("_y"), null("bigint").alias("_h"),
+            "rep", *[F.col(c).cast("double").alias(c) for c in ("n", *SUMS)]))
+    # Within a run: earlier chunks, then by place, points before the cut behind them.
+    by_place = F.col("_x") - F.when(F.col("_kind") == 2, F.lit(0.5)).otherwise(F.lit(0.0))
+    rows = rows.select("*", *run_columns(keys)).repartition("_g").sortWithinPartitions("_g", "_g2", by_place)
+    key_fields = [f for f in rows.schema.fields if f.name in [*keys, "_chunk"]] + [ST.StructField("before", ST.LongType())]
+    at = rows.mapInPandas(_cut_kernel(keys, rep_ids, threshold, winners, chunk, BLOCK), _sums_schema(key_fields))
+    at = at.select(*keys, "_chunk", "before", "rep", "n_all", "n", *from_begin(chunk, exact))
+    if before is not None:
+        add = lambda c: (F.col(c) + F.coalesce(F.col(f"{c}_0"), F.lit(0)))
+        kind = {"n": "bigint", **dict.fromkeys(SUMS, EXACT if exact else "double")}
+        at = (at.join(before.select(*keys, "_chunk", "rep", *[F.col(c).alias(f"{c}_0") for c in kind]), [*keys, "_chunk", "rep"], "left")
+              .select(*keys, "before", "rep", "n_all", *[add(c).cast(t).alias(c) for c, t in kind.items()]))
+    return at.where("n > 0").drop("_chunk")
 
 
 def _stream_of(points: DataFrame, keys: list[str], wanted: DataFrame, x: str, y: str) -> DataFrame:
@@ -181,7 +194,8 @@ def fit_split_as_of(points: DataFrame, keys: Sequence[str], wanted: DataFrame, f
     both = at.groupBy(*keys, "before").agg(F.max("n_all").alias("n_all"), side(0).alias("a"), side(1).alias("s"))
     use = F.when(F.col("s.n") > 0, F.col("s")).otherwise(F.col("a")).alias("u")      # an empty sample: the full fit
     s = both.select(*keys, "before", "n_all", use).select(*keys, "before", "n_all", "u.*")
-    return _wanted_models(wanted, s.select(*keys, "before", "n_all", F.col("n").alias("n_fit"), *model_columns(reg)), keys)
+    models = model_columns(reg, whole(stream, "x", "y"))
+    return _wanted_models(wanted, s.select(*keys, "before", "n_all", F.col("n").alias("n_fit"), *models), keys)
 
 
 def fit_best_as_of(points: DataFrame, keys: Sequence[str], wanted: DataFrame, reps: int = 100, frac: float = 0.7,
@@ -194,5 +208,6 @@ def fit_best_as_of(points: DataFrame, keys: Sequence[str], wanted: DataFrame, re
     keys = list(keys)
     stream = _stream_of(points, keys, wanted, x, y) if stream is None else stream
     at = _sums_at_cuts(stream, keys, range(reps), frac, True, chunk)
-    best = _choose(at.select(*keys, "before", "rep", "n", "n_all", *model_columns()), [*keys, "before"], F.max("n_all"))
+    models = model_columns(exact=whole(stream, "x", "y"))
+    best = _choose(at.select(*keys, "before", "rep", "n", "n_all", *models), [*keys, "before"], F.max("n_all"))
     return _wanted_models(wanted, best, keys, ["rep"])

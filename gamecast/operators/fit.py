@@ -4,9 +4,9 @@ Every fit is one least-squares line `pts ~ idx` per key. Nothing is collected:
 a series contributes six sums (n, Sx, Sy, Sxx, Sxy, Syy) through a partial +
 final aggregation, so a series of any length costs one hash-aggregate row per
 task. Points without x or y (a null: the player did not play) take no part in
-any sum. With whole x and y every partial sum is exact in a double while it is
-below 2^53 (some 300,000 points of a series), and then the result does not
-depend on the order of summation; beyond, and with fractions, it is rounded.
+any sum. Whole x and y are summed as DECIMAL(38, 0), so the sums, and the D..
+below, are exact for series of up to some 5 * 10^9 points, and results do not
+depend on the order of summation. Fractional y are summed as doubles.
 
 Closed forms (n points, D.. = n*S.. - S.*S.):
   slope     = Dxy / Dxx                           (0 when x or y has no spread)
@@ -48,24 +48,34 @@ def in_sample(h: Column, rep: Column, frac: float = 0.7) -> Column:
     return ((h * a + b) % P) < threshold
 
 
-def _xy(x: str, y: str) -> tuple[Column, Column]:
-    """x and y as doubles, both null where either is."""
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    return F.when(both, F.col(x).cast("double")), F.when(both, F.col(y).cast("double"))
+WHOLE = (ST.ByteType, ST.ShortType, ST.IntegerType, ST.LongType)
+EXACT = "decimal(38,0)"
 
 
-def sums(x: str = "idx", y: str = "pts") -> list[Column]:
-    xd, yd = _xy(x, y)
+def whole(df: DataFrame, *columns: str) -> bool:
+    """Whether the columns hold whole numbers, whose sums are kept exact."""
+    return all(isinstance(df.schema[c].dataType, WHOLE) for c in columns)
+
+
+def _xy(x: str, y: str, exact: bool) -> tuple[Column, Column]:
+    """x and y as numbers to multiply and sum, both null where either is."""
+    both, kind = F.col(x).isNotNull() & F.col(y).isNotNull(), "decimal(19,0)" if exact else "double"
+    return F.when(both, F.col(x).cast(kind)), F.when(both, F.col(y).cast(kind))
+
+
+def sums(x: str = "idx", y: str = "pts", exact: bool = False) -> list[Column]:
+    xd, yd = _xy(x, y, exact)
     return [F.count(yd).alias("n"), F.sum(xd).alias("sx"), F.sum(yd).alias("sy"),
             F.sum(xd * xd).alias("sxx"), F.sum(xd * yd).alias("sxy"), F.sum(yd * yd).alias("syy")]
 
 
-def model_columns(reg: float = 0.0) -> list[Column]:
-    """slope, intercept, rmse, r2 from the sums columns (n, sx, sy, sxx, sxy, syy)."""
+def model_columns(reg: float = 0.0, exact: bool = False) -> list[Column]:
+    """slope, intercept, rmse, r2 from the sums columns (n, sx, sy, sxx, sxy, syy); `exact`: the sums are decimals."""
     n = F.nullif(F.col("n"), F.lit(0)).cast("double")      # a series may have no points at all
-    dxx = n * F.col("sxx") - F.col("sx") * F.col("sx")
-    dxy = n * F.col("sxy") - F.col("sx") * F.col("sy")
-    dyy = n * F.col("syy") - F.col("sy") * F.col("sy")
+    col = (lambda c: F.col(c).cast(EXACT)) if exact else F.col
+    m = F.nullif(F.col("n"), F.lit(0)).cast(EXACT) if exact else n
+    dxx, dxy, dyy = ((m * col(ab) - col(a) * col(b)).cast("double")
+                     for ab, a, b in (("sxx", "sx", "sx"), ("sxy", "sx", "sy"), ("syy", "sy", "sy")))
     ols = F.when((dxx > 0) & (dyy > 0), dxy / dxx).otherwise(F.lit(0.0))
     if reg:
         slope = F.when((dxx > 0) & (dyy > 0),
@@ -75,7 +85,7 @@ def model_columns(reg: float = 0.0) -> list[Column]:
     sse = F.greatest((dyy - F.lit(2.0) * slope * dxy + slope * slope * dxx) / n, F.lit(0.0))
     return [
         slope.alias("slope"),
-        ((F.col("sy") - slope * F.col("sx")) / n).alias("intercept"),
+        ((F.col("sy").cast("double") - slope * F.col("sx").cast("double")) / n).alias("intercept"),
         F.sqrt(sse / n).alias("rmse"),
         F.when(dyy > 0, F.lit(1.0) - n * sse / dyy).alias("r2"),
     ]
@@ -96,8 +106,9 @@ def fit_full(points: DataFrame, keys: Sequence[str], x: str = "idx", y: str = "p
              reg: float = 0.0, digits: int | None = DIGITS) -> DataFrame:
     """M2 (and G4 with reg > 0): one fit per key on all of its points."""
     keys = list(keys)
-    s = points.groupBy(*keys).agg(*sums(x, y))
-    m = s.select(*keys, F.col("n").alias("n_all"), F.col("n").alias("n_fit"), *model_columns(reg))
+    exact = whole(points, x, y)
+    s = points.groupBy(*keys).agg(*sums(x, y, exact))
+    m = s.select(*keys, F.col("n").alias("n_all"), F.col("n").alias("n_fit"), *model_columns(reg, exact))
     return _finish(m, keys, digits=digits)
 
 
@@ -115,7 +126,8 @@ def fit_split(points: DataFrame, keys: Sequence[str], frac: float = 0.7, reg: fl
     """
     keys = list(keys)
     flag = in_sample(row_hash(keys, x), F.lit(rep), frac)
-    xd, yd = _xy(x, y)
+    exact = whole(points, x, y)
+    xd, yd = _xy(x, y, exact)
     inn = lambda c: F.when(flag, c)
     s = points.groupBy(*keys).agg(
         F.count(yd).alias("n_all"),
@@ -128,7 +140,7 @@ def fit_split(points: DataFrame, keys: Sequence[str], frac: float = 0.7, reg: fl
     pick = lambda c: F.when(use, F.col(f"{c}_s")).otherwise(F.col(f"{c}_a")).alias(c)
     s = s.select(*keys, "n_all", F.when(use, F.col("n_s")).otherwise(F.col("n_all")).alias("n"),
                  *[pick(c) for c in ("sx", "sy", "sxx", "sxy", "syy")])
-    m = s.select(*keys, "n_all", F.col("n").alias("n_fit"), *model_columns(reg))
+    m = s.select(*keys, "n_all", F.col("n").alias("n_fit"), *model_columns(reg, exact))
     return _finish(m, keys)
 
 
@@ -146,33 +158,32 @@ def _kernel_tools(rep_ids: Sequence[int], threshold: int):
 
     reps = len(rep_ids)
     r = np.array(rep_ids, dtype=np.int64)
-    a = 1 + (r * A_MUL) % (P - 1)
-    b = (r * B_MUL) % P
+    a = (1 + (r * A_MUL) % (P - 1))[:, None]
+    b = ((r * B_MUL) % P)[:, None]
     p, digits = P, DIGITS
     bufs: dict = {}
 
     def buf(name, rows, dtype):
         arr = bufs.get(name)
-        if arr is None or arr.shape[0] < rows:
-            arr = bufs[name] = np.empty((max(rows, 1 << 14), reps), dtype)
-        return arr[:rows]
+        if arr is None or arr.shape[1] < rows:
+            arr = bufs[name] = np.empty((reps, max(rows, 1 << 14)), dtype)
+        return arr[:, :rows]
 
     def mask_of(h):
-        """rows x reps membership; buffers are reused across batches."""
+        """reps x rows membership, as 0.0 and 1.0; the buffer is reused by the next call."""
         t, lo = buf("t", len(h), np.int64), buf("lo", len(h), np.int64)
-        np.multiply(h[:, None], a[None, :], out=t)           # < 2^62
-        t += b[None, :]
+        u, v = buf("u", len(h), np.uint32), buf("v", len(h), np.uint32)
+        np.multiply(a, h[None, :], out=t)                    # < 2^62
+        t += b
         np.bitwise_and(t, p, out=lo)
         t >>= 31
-        t += lo                                              # < 2^32 + 1
-        np.bitwise_and(t, p, out=lo)
-        t >>= 31
-        t += lo                                              # <= P + 2
-        m, m2 = buf("m", len(h), np.bool_), buf("m2", len(h), np.bool_)
-        np.less(t, threshold, out=m)
-        np.greater_equal(t, p, out=m2)                       # t >= P: t - P in {0, 1, 2}
-        m |= m2
-        m[:, 0] = True
+        np.add(t, lo, out=u, casting="unsafe")               # <= 2 P, so it fits 32 bits
+        for _ in range(2):                                   # minus P where that is not negative, else unchanged
+            np.subtract(u, np.uint32(p), out=v)
+            np.minimum(u, v, out=u)
+        m = buf("m", len(h), np.float64)
+        np.less(u, np.uint32(threshold), out=m, casting="unsafe")
+        m[0] = 1.0
         return m
 
     def can_win(sums):
@@ -193,31 +204,45 @@ def _kernel_tools(rep_ids: Sequence[int], threshold: int):
     return mask_of, can_win
 
 
-def _runs(keys: list[str], emit):
-    """Kernel (for mapInPandas) over rows sorted by (keys, _chunk): calls `emit(pdf, starts, ends)` with whole runs of
-    equal (keys, _chunk). A run may span batches and is held back until it ends; no frame is passed on for None."""
+def run_columns(keys: Sequence[str], chunk: str = "_chunk") -> list[Column]:
+    """Two hashes of (keys, chunk): rows are dealt out and sorted by the first, a single long, and told apart by both."""
+    cols = [*[F.col(k) for k in keys], F.col(chunk)]
+    return [F.xxhash64(*cols).alias("_g"), F.xxhash64(F.lit(1), *cols).alias("_g2")]
+
+
+def _runs(emit):
+    """Kernel (for mapInPandas) over rows sorted by `_g`: calls `emit(pdf, starts, ends)` with whole runs of equal
+    (_g, _g2), so of one series and chunk. A run may span batches and is held back until it ends; no frame is passed on
+    for None."""
     def run(batches):
         import numpy as np
         import pandas as pd
-        pending = None
+
+        def done(pdf):
+            g, g2 = pdf["_g"].to_numpy(), pdf["_g2"].to_numpy()
+            new, other = g[1:] != g[:-1], g2[1:] != g2[:-1]
+            if (other & ~new).any():                         # two runs under one hash: their rows may alternate
+                pdf = pdf.iloc[np.lexsort((g2, g))].reset_index(drop=True)
+                g, g2 = pdf["_g"].to_numpy(), pdf["_g2"].to_numpy()
+                new, other = g[1:] != g[:-1], g2[1:] != g2[:-1]
+            starts = np.flatnonzero(np.concatenate([[True], new | other]))
+            return emit(pdf, starts, np.append(starts[1:], len(pdf)))
+
+        pending: list = []                                   # frames of the last run so far
         for pdf in batches:
-            if pending is not None:
-                pdf = pd.concat([pending, pdf], ignore_index=True)
             if pdf.empty:
                 continue
-            change = np.ones(len(pdf), dtype=bool)
-            change[1:] = False
-            for c in keys + ["_chunk"]:
-                v = pdf[c].to_numpy()
-                change[1:] |= v[1:] != v[:-1]
-            starts = np.flatnonzero(change)
-            ends = np.append(starts[1:], len(pdf))
-            pending = pdf.iloc[starts[-1]:].reset_index(drop=True)
-            if len(starts) > 1 and (out := emit(pdf, starts[:-1], ends[:-1])) is not None:
-                yield out
-        if pending is not None and not pending.empty:
-            if (out := emit(pending, np.array([0]), np.array([len(pending)]))) is not None:
+            g = pdf["_g"].to_numpy()
+            if pending and pending[-1]["_g"].iloc[-1] == g[-1] and g[0] == g[-1]:
+                pending.append(pdf)                          # all of it goes on with that run
+                continue
+            last = int(np.flatnonzero(g != g[-1])[-1]) + 1 if g[0] != g[-1] else 0
+            head = pd.concat([*pending, pdf.iloc[:last]], ignore_index=True) if pending else pdf.iloc[:last]
+            pending = [pdf.iloc[last:]]
+            if len(head) and (out := done(head.reset_index(drop=True))) is not None:
                 yield out
+        if pending and (out := done(pd.concat(pending, ignore_index=True))) is not None:
+            yield out
     return run
 
 
@@ -225,11 +250,10 @@ def _rep_kernel(keys: list[str], rep_ids: Sequence[int], threshold: int, dense:
                 empty: bool = False):
     """Per-partition kernel for `rep_sums` (runs inside mapInPandas).
 
-    Rows arrive sorted by (keys, chunk, x); a run of equal (keys, chunk) may
-    span Arrow batches and is carried over until it ends. For each run the
+    Rows arrive in runs of one (keys, chunk), in any order within. For each run the
     sums of all reps come from one product: mask(reps x rows) @ terms(rows x 6),
-    with terms (1, x, y, x^2, xy, y^2); terms are whole numbers, so every sum
-    is exact.
+    with terms (1, x, y, x^2, xy, y^2) and x counted from the chunk's begin: they
+    are whole numbers and few, so every sum is exact (for |y| up to 700,000).
 
     With `dense` (x is the 0..n-1 position of the series), a chunk-0 run
     shorter than CHUNK is the whole series, and only the reps that can still
@@ -250,7 +274,7 @@ def _rep_kernel(keys: list[str], rep_ids: Sequence[int], threshold: int, dense:
         x = pdf["_x"].to_numpy(dtype=np.float64)
         y = pdf["_y"].to_numpy(dtype=np.float64)
         terms = np.column_stack([np.ones_like(x), x, y, x * x, x * y, y * y])
-        mt = mask_of(h).T.astype(np.float64)                 # reps x rows
+        mt = mask_of(h)
         sums = np.empty((len(starts), reps, 6))
         for g, (s0, s1) in enumerate(zip(starts, ends)):
             sums[g] = mt[:, s0:s1] @ terms[s0:s1]
@@ -258,29 +282,29 @@ def _rep_kernel(keys: list[str], rep_ids: Sequence[int], threshold: int, dense:
         chunk = pdf["_chunk"].to_numpy()[starts]
         whole = np.zeros(len(starts), dtype=bool)
         if dense:
-            whole = (chunk == 0) & (length < chunk_size) & (x[ends - 1] == length - 1)
+            whole = (chunk == 0) & (length < chunk_size) & (np.maximum.reduceat(x, starts) == length - 1)
         parts = []
         if whole.any():
             at, pick = np.nonzero(can_win(sums[whole]))
             g = np.flatnonzero(whole)[at]
             sel = sums[g, pick]
-            d = {c: pdf[c].to_numpy()[starts[g]] for c in keys}
-            d.update(rep=rep_col[pick], n_all=length[g].astype(np.int64),
+            d = {c: pdf[c].take(starts[g]).to_numpy() for c in keys}
+            d.update(_chunk=chunk[g], rep=rep_col[pick], n_all=length[g].astype(np.int64),
                      n=sel[:, 0].astype(np.int64), sx=sel[:, 1], sy=sel[:, 2], sxx=sel[:, 3],
                      sxy=sel[:, 4], syy=sel[:, 5])
             parts.append(d)
         if (~whole).any():
             g = np.flatnonzero(~whole)
             sel = sums[g].reshape(-1, 6)
-            d = {c: np.repeat(pdf[c].to_numpy()[starts[g]], reps) for c in keys}
+            d = {c: np.repeat(pdf[c].take(starts[g]).to_numpy(), reps) for c in keys}
             reps_of = np.tile(rep_col, len(g))
-            d.update(rep=reps_of, n_all=np.where(reps_of == 0, sel[:, 0], 0).astype(np.int64),
+            d.update(_chunk=np.repeat(chunk[g], reps), rep=reps_of, n_all=np.where(reps_of == 0, sel[:, 0], 0).astype(np.int64),
                      n=sel[:, 0].astype(np.int64),
                      sx=sel[:, 1], sy=sel[:, 2], sxx=sel[:, 3], sxy=sel[:, 4], syy=sel[:, 5])
             parts.append(d if empty else {c: v[d["n"] > 0] for c, v in d.items()})
         return pd.DataFrame({c: np.concatenate([d[c] for d in parts]) for c in parts[0]})
 
-    return _runs(keys, emit)
+    return _runs(emit)
 
 
 def rep_sums(points: DataFrame, keys: Sequence[str], reps: int = 100, frac: float = 0.7,
@@ -298,40 +322,51 @@ def rep_sums(points: DataFrame, keys: Sequence[str], reps: int = 100, frac: floa
     Same sums as the SQL formulation, several times faster.
     """
     keys = list(keys)
+    exact = whole(points, x, y)
     if engine == "sql":
         h = row_hash(keys, x)
         rep = F.col("rep")
         ex = (points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, x, y, h.alias("_h"),
                             F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"))
               .where((rep == 0) | in_sample(F.col("_h"), rep, frac)))
-        return ex.groupBy(*keys, "rep").agg(*sums(x, y))
+        return ex.groupBy(*keys, "rep").agg(*sums(x, y, exact))
     part = _arrow_partials(points, keys, range(reps), frac, x, y, dense=False)
-    return part.groupBy(*keys, "rep").agg(
-        F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SUMS])
+    return part.groupBy(*keys, "rep").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SUMS])
 
 
 SUMS = ("sx", "sy", "sxx", "sxy", "syy")
 
 
-def _sums_schema(key_fields: list, rep_type=ST.IntegerType()) -> ST.StructType:
+def _sums_schema(key_fields: list) -> ST.StructType:
     return ST.StructType(key_fields + [
-        ST.StructField("rep", rep_type), ST.StructField("n_all", ST.LongType()), ST.StructField("n", ST.LongType())]
+        ST.StructField("rep", ST.IntegerType()), ST.StructField("n_all", ST.LongType()), ST.StructField("n", ST.LongType())]
         + [ST.StructField(c, ST.DoubleType()) for c in SUMS])
 
 
+def from_begin(chunk: int, exact: bool) -> list[Column]:
+    """The sums columns of a chunk, whose x count from its begin, with x counted from the series' begin."""
+    kind = "decimal(20,0)" if exact else "double"
+    long = lambda c: (F.col(c).cast("bigint") if exact else F.col(c)).cast(kind)
+    n, o = long("n"), (F.col("_chunk") * F.lit(chunk)).cast(kind)
+    out = {"sx": long("sx") + o * n, "sy": long("sy"), "sxx": long("sxx") + F.lit(2).cast(kind) * o * long("sx") + o * o * n,
+           "sxy": long("sxy") + o * long("sy"), "syy": long("syy")}
+    return [(v.cast(EXACT) if exact else v).alias(c) for c, v in out.items()]
+
+
 def _arrow_partials(points: DataFrame, keys: list[str], rep_ids: Sequence[int], frac: float, x: str, y: str,
                     dense: bool, chunk: int = CHUNK, extra: Sequence[str] = (), empty: bool = False) -> DataFrame:
-    """Sums of every chunk and rep; `extra` names key columns that are no part of the sample's hash; `empty`: also
-    of samples without a point in the chunk."""
+    """(keys, rep, n_all, n, sums) of every chunk and rep; `extra` names key columns that are no part of the sample's
+    hash; `empty`: also of samples without a point in the chunk."""
     threshold = int(-(-frac * P // 1))
     h = row_hash([k for k in keys if k not in extra], x)
+    at = F.floor(F.col(x) / F.lit(chunk)).cast("bigint")
     pts = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
-        *keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"),
-        h.alias("_h"), F.floor(F.col(x) / F.lit(chunk)).cast("bigint").alias("_chunk"))
-    pts = (pts.repartition(*[F.col(k) for k in keys], F.col("_chunk"))
-           .sortWithinPartitions(*keys, "_chunk", "_x"))
-    key_fields = [f for f in pts.schema.fields if f.name in keys]
-    return pts.mapInPandas(_rep_kernel(keys, rep_ids, threshold, dense, chunk, empty), _sums_schema(key_fields))
+        *keys, (F.col(x) - at * F.lit(chunk)).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"),
+        h.alias("_h"), at.alias("_chunk"))
+    pts = pts.select("*", *run_columns(keys)).repartition("_g").sortWithinPartitions("_g")
+    key_fields = [f for f in pts.schema.fields if f.name in [*keys, "_chunk"]]
+    part = pts.mapInPandas(_rep_kernel(keys, rep_ids, threshold, dense, chunk, empty), _sums_schema(key_fields))
+    return part.select(*keys, "rep", "n_all", "n", *from_begin(chunk, whole(points, x, y)))
 
 
 def _choose(models: DataFrame, keys: Sequence[str], n_all: Column) -> DataFrame:
@@ -356,9 +391,10 @@ def fit_best_of(points: DataFrame, keys: Sequence[str], reps: int = 100, frac: f
     rmse, r2, prediction.
     """
     keys = list(keys)
+    exact = whole(points, x, y)
     if engine == "sql":
         s = rep_sums(points, keys, reps, frac, x, y, engine)
-        best = _choose(s.select(*keys, "rep", "n", *model_columns()), keys,
+        best = _choose(s.select(*keys, "rep", "n", *model_columns(exact=exact)), keys,
                        F.max(F.when(F.col("rep") == 0, F.col("n"))))
         return _finish(best, keys, extra=["rep"])
     # One aggregation and one choice serve both kernel outputs: a whole series
@@ -367,7 +403,7 @@ def fit_best_of(points: DataFrame, keys: Sequence[str], reps: int = 100, frac: f
     part = _arrow_partials(points, keys, range(reps), frac, x, y, dense=dense_index, chunk=chunk)
     s = part.groupBy(*keys, "rep").agg(
         F.sum("n_all").alias("n_all"), F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SUMS])
-    best = _choose(s.select(*keys, "rep", "n", "n_all", *model_columns()), keys, F.max("n_all"))
+    best = _choose(s.select(*keys, "rep", "n", "n_all", *model_columns(exact=exact)), keys, F.max("n_all"))
     return _finish(best, keys, extra=["rep"])
 
 
