@@ -93,8 +93,8 @@ def team_rows(games: DataFrame, abbrs: Iterable[str] | None = None) -> DataFrame
         F.col("t.won").alias("won"), other["abbreviation"].alias("opponent"))
 
 
-def game_summary(games: DataFrame) -> DataFrame:
-    """Flat per-game view: home/away abbreviations, scores, wins and roster sizes."""
+def game_summary(games: DataFrame, *more: Column) -> DataFrame:
+    """Flat per-game view: home/away abbreviations, scores, wins and roster sizes (and `more` columns)."""
     home_pos = F.when(F.get(F.col("teams"), 0)["home"], 0).otherwise(1)
     ht = F.get(F.col("teams"), home_pos)
     at = F.get(F.col("teams"), 1 - home_pos)
@@ -106,7 +106,7 @@ def game_summary(games: DataFrame) -> DataFrame:
         ht["score"].alias("home_score"), at["score"].alias("away_score"),
         ht["won"].alias("home_won"), at["won"].alias("away_won"),
         F.size(F.coalesce(hb["players"], F.array())).alias("home_lines"),
-        F.size(F.coalesce(ab["players"], F.array())).alias("away_lines"))
+        F.size(F.coalesce(ab["players"], F.array())).alias("away_lines"), *more)
 
 
 def scores_from_games(games: DataFrame) -> DataFrame:

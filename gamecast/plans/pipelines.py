@@ -15,7 +15,8 @@ from ..operators.asof import AsOfSeries, as_of_series, fit_best_as_of, fit_split
 from ..operators.context import context_points
 from ..operators.fit import fit_best_of, fit_split
 from ..operators.history import player_as_of, request_players
-from ..operators.rows import PLAYER_ORDER, TEAM_ORDER, player_rows, team_rows
+from ..operators.rows import PLAYER_ORDER, TEAM_ORDER, game_summary, player_rows, team_rows
+from ..operators.search import season_of
 from ..operators.sequence import with_sequence_index
 
 PLAYER_KEYS = ["request_id", "side", "player"]
@@ -176,6 +177,25 @@ def comparison_lists(compared: DataFrame) -> DataFrame:
     return compared.groupBy("request_id", "side").agg(F.array_sort(F.collect_list(line)).alias("players"))
 
 
+def comparison_text(compared: DataFrame) -> DataFrame:
+    """The comparison to show, a text per request and side: `player actual predicted` lines in the order of
+    `comparison_lists`; a player without a forecast has `-`."""
+    shown = lambda c: F.coalesce(c.cast("string"), F.lit("-"))
+    lines = F.transform("players", lambda p: F.concat_ws(" ", p["player"], shown(p["actual"]), shown(p["predicted"])))
+    return comparison_lists(compared).select("request_id", "side", F.array_join(lines, "\n").alias("lines"))
+
+
+def listed_games(games: DataFrame, teams: DataFrame, seasons: DataFrame) -> DataFrame:
+    """Every game with its teams' names and its season's label, null where `teams` (abbr, name) and `seasons`
+    (season, label) don't list them, and whether all three are listed."""
+    s = game_summary(games).select("game_id", "home_abbr", "away_abbr", season_of("date").alias("season"))
+    named = lambda side: teams.select(F.col("abbr").alias(f"{side}_abbr"), F.col("name").alias(f"{side}_name"))
+    j = (s.join(named("home"), "home_abbr", "left").join(named("away"), "away_abbr", "left")
+         .join(seasons.select("season", "label"), "season", "left"))
+    listed = F.col("home_name").isNotNull() & F.col("away_name").isNotNull() & F.col("label").isNotNull()
+    return j.select("game_id", "season", "label", "home_abbr", "home_name", "away_abbr", "away_name", listed.alias("listed"))
+
+
 def validate_requests(requests: DataFrame, teams: DataFrame) -> DataFrame:
     """Known-team flags per request, by exact membership in `teams(abbr)`.
 

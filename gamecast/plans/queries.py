@@ -17,6 +17,7 @@ from ..operators import history as H
 from ..operators import search as S
 from ..operators import rows as rows_ops
 from ..operators.sequence import with_sequence_index
+from ..schema import TEAMS, seasons_dim, teams_dim
 from ..sources import requests as RQ
 from ..sources import sinks as SK
 from ..sources import testbed
@@ -60,8 +61,8 @@ def games_scan(spark, sf_dir):
     "SELECT game_id, date, tpos, side, home, abbreviation, name, score, won, opponent FROM tr "
     "WHERE abbreviation IN ('NATION_3', 'NATION_7')"))
 def team_match(spark, sf_dir):
-    """Team rows of named teams, games filtered before the unnest."""
-    return rows_ops.team_rows(_games(spark, sf_dir), abbrs=["NATION_3", "NATION_7"])
+    """Team rows of named teams: their games come from the key table beside the games."""
+    return testbed.stored_season_games(spark, sf_dir).team_rows(["NATION_3", "NATION_7"])
 
 
 @query("player_rows", O.with_base(f"SELECT {PLAYER_ROW_COLS} FROM pr"))
@@ -73,8 +74,15 @@ def player_rows(spark, sf_dir):
 @query("player_match", O.with_base(
     f"SELECT {PLAYER_ROW_COLS} FROM pr WHERE player IN ('5', '17')"))
 def player_match(spark, sf_dir):
-    """Player rows of named players, filtered before and after each unnest."""
-    return rows_ops.player_rows(_games(spark, sf_dir), players=["5", "17"])
+    """Player rows of named players: their games come from the key table beside the games."""
+    return testbed.stored_season_games(spark, sf_dir).player_rows(["5", "17"])
+
+
+@query("player_match_unnested", O.with_base(
+    f"SELECT {PLAYER_ROW_COLS} FROM pr WHERE player IN ('3', '9')"))
+def player_match_unnested(spark, sf_dir):
+    """A2, D3, E1 without a key table: games filtered before and after each unnest."""
+    return rows_ops.player_rows(_games(spark, sf_dir), players=["3", "9"])
 
 
 @query("team_rows", O.with_base(
@@ -403,6 +411,17 @@ def actual_vs_predicted(spark, sf_dir):
     return PL.actual_vs_predicted(actual, PL.predict_players(games, roster))
 
 
+@query("comparison", O.with_base(
+    "SELECT r.request_id, r.side, string_agg(r.player || ' ' || CAST(r.pts AS VARCHAR) || ' ' || "
+    "coalesce(CAST(CAST(floor(q.prediction + 0.5) AS BIGINT) AS VARCHAR), '-'), chr(10) ORDER BY r.player) AS lines "
+    f"FROM ros r LEFT JOIN ({_QUICK_SQL}) q ON q.request_id = r.request_id AND q.side = r.side AND q.player = r.player "
+    "GROUP BY r.request_id, r.side"))
+def comparison(spark, sf_dir):
+    """The comparison of every request side as shown, its lines by player."""
+    games, _, roster, actual = _requests(spark, sf_dir)
+    return PL.comparison_text(PL.actual_vs_predicted(actual, PL.predict_players(games, roster)))
+
+
 @query("validate_requests", O.with_base(
     "SELECT request_id, home_abbr, away_abbr, home_abbr IN (SELECT n_name FROM nation) AS home_ok, "
     "away_abbr IN (SELECT n_name FROM nation) AS away_ok, "
@@ -519,6 +538,34 @@ def requests_parse_escaped(spark, sf_dir):
     return RQ.roster_table(parsed).join(RQ.requests_table(parsed), "request_id")
 
 
+@query("requests_parse_marked", O.with_base(
+    "SELECT r.request_id, r.side, '#' || r.player AS player, CAST(CAST(q.rdate AS DATE) AS TIMESTAMP) AS rdate, "
+    "'#' || q.home_abbr AS home_abbr, chr(30) || '#7' || q.away_abbr AS away_abbr FROM ros r JOIN req q ON q.request_id = r.request_id"))
+def requests_parse_marked(spark, sf_dir):
+    """A4: every request written in bundles and parsed back, where lines look like the begin of a record."""
+    _, requests, roster, _ = _requests(spark, sf_dir)
+    path = _scratch(spark, sf_dir, "requests")
+    roster = roster.withColumn("player", F.concat(F.lit("#"), "player"))
+    requests = requests.withColumns({"home_abbr": F.concat(F.lit("#"), "home_abbr"), "away_abbr": F.concat(F.lit("\x1e#7"), "away_abbr")})
+    RQ.write_requests(RQ.render_requests(requests, roster), path)
+    parsed = RQ.read_requests(spark, path)
+    return RQ.roster_table(parsed).join(RQ.requests_table(parsed), "request_id")
+
+
+_PLAIN_SQL = O.with_base(
+    "SELECT request_id, side, CAST(row_number() OVER (PARTITION BY request_id, side ORDER BY player) AS INTEGER) AS line, "
+    f"player, prediction, CAST(floor(prediction + 0.5) AS BIGINT) AS pts FROM ({_QUICK_SQL}) q")
+
+
+@query("predictions_roundtrip_count", _PLAIN_SQL)
+def predictions_roundtrip_count(spark, sf_dir):
+    """A5 by line count: the first lines, as many as the home roster has names, are home."""
+    games, _, roster, _ = _requests(spark, sf_dir)
+    path = _scratch(spark, sf_dir, "predictions")
+    SK.write_predictions(PL.predict_players(games, roster), path, blank_line=False)
+    return RQ.read_predictions(spark, path, roster, by="count")
+
+
 @query("predictions_roundtrip_plain", O.with_base(
     "SELECT request_id, side, CAST(row_number() OVER (PARTITION BY request_id, side ORDER BY player) AS INTEGER) AS line, "
     f"player, prediction, CAST(floor(prediction + 0.5) AS BIGINT) AS pts FROM ({_QUICK_SQL}) q"))
@@ -588,6 +635,18 @@ def stream_scoring(spark, sf_dir):
     return RQ.read_predictions(spark, f"{base}/out")
 
 
+@query("stream_models", O.with_base(f"SELECT *, 0::BIGINT AS late FROM ({O.fit_split_sql('ps', ['player'], reg=0.001)}) m"))
+def stream_models(spark, sf_dir):
+    """L1 with games that arrive: two batches of games, one run of the stream for each, give the models of a full fit."""
+    from ..streaming import latest_models, refresh_models_stream
+    games, base = _games(spark, sf_dir), _scratch(spark, sf_dir, "model_stream")
+    half = F.col("date") < F.lit("1995-06-01 00:00:00").cast("timestamp_ntz")
+    for part in (half, ~half):
+        games.where(part).write.mode("append").parquet(f"{base}/games")
+        refresh_models_stream(spark, f"{base}/games", f"{base}/models", checkpoint=f"{base}/checkpoint").awaitTermination()
+    return latest_models(spark, f"{base}/models")
+
+
 @query("season_search", O.with_base(
     "SELECT home, away, season, CAST(rank AS INTEGER) AS rank, game_id, date, home_score, away_score FROM ("
     "SELECT home_abbr AS home, away_abbr AS away, season, game_id, date, home_score, away_score, "
@@ -598,12 +657,54 @@ def stream_scoring(spark, sf_dir):
 def season_search(spark, sf_dir):
     """E7, E8, I3 for a table of searches: the first 20 games of every (home, away,
     season) pairing that occurs in the games."""
-    games = _games(spark, sf_dir)
-    s = rows_ops.game_summary(games).select(
+    s = rows_ops.game_summary(_games(spark, sf_dir)).select(
         F.col("home_abbr").alias("home"), F.col("away_abbr").alias("away"), S.season_of("date").alias("season"))
-    s = s.where(F.col("season").isNotNull()).distinct()
-    label = F.concat_ws("-", F.col("season").cast("string"), (F.col("season") + 1).cast("string"))
-    start, end = S.season_window(label)
-    searches = s.select("home", "away", "season", start.alias("start"), end.alias("end"))
-    found = S.search_games_batch(games, searches, keys=["home", "away", "season"])
+    searches = s.where(F.col("season").isNotNull()).distinct()
+    found = testbed.stored_season_games(spark, sf_dir).search_batch(searches, keys=["home", "away", "season"])
     return found.select("home", "away", "season", "rank", "game_id", "date", "home_score", "away_score")
+
+
+@query("window_search", O.with_base(
+    "SELECT q.request_id, CAST(x.rank AS INTEGER) AS rank, x.game_id, x.date FROM req q JOIN LATERAL ("
+    "SELECT game_id, date, row_number() OVER (ORDER BY date, game_id) AS rank FROM g "
+    "WHERE g.home_abbr = q.home_abbr AND g.away_abbr = q.away_abbr AND g.date >= q.rdate - INTERVAL 400 DAY AND g.date < q.rdate) x "
+    "ON x.rank <= 2"))
+def window_search(spark, sf_dir):
+    """E7 for a table of searches with date ranges of their own: of every game, the first two games of the same pairing in
+    the 400 days before it (a cap that binds)."""
+    games = _games(spark, sf_dir)
+    searches = rows_ops.game_summary(games).select(
+        F.col("game_id").alias("request_id"), F.col("home_abbr").alias("home"), F.col("away_abbr").alias("away"),
+        (F.col("date") - F.expr("INTERVAL 400 DAYS")).alias("start"), F.col("date").alias("end"))
+    found = S.search_games_batch(games, searches, keys=["request_id"], limit=2)
+    return found.select("request_id", "rank", "game_id", "date")
+
+
+@query("season_pairing", O.with_base(
+    f"SELECT * FROM ({_SUMMARY_SQL}) s WHERE home_abbr = 'NATION_7' AND away_abbr = 'NATION_3' "
+    "AND date >= TIMESTAMP '1994-10-01' AND date < TIMESTAMP '1995-04-30' ORDER BY date, game_id LIMIT 20"))
+def season_pairing(spark, sf_dir):
+    """A pairing's games of one season; only that season's folder is read."""
+    return testbed.stored_season_games(spark, sf_dir).search("NATION_7", "NATION_3", "1994-1995", project=rows_ops.game_summary)
+
+
+# Six nations play under listed abbreviations, so that some games are listed.
+_CODES = {f"NATION_{k}": t[0] for k, t in enumerate(TEAMS[:6])}
+_CODE_SQL = lambda c: "CASE " + c + " " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _CODES.items()) + f" ELSE {c} END"
+_TEAMS_SQL = "(VALUES " + ", ".join(f"('{a}', '{n}')" for a, n in TEAMS) + ") AS t(abbr, name)"
+
+
+@query("listed_games", O.with_base(
+    "SELECT game_id, season, CASE WHEN season BETWEEN 1984 AND 2012 THEN 'Temporada ' || lpad(CAST(season % 100 AS VARCHAR), 2, '0') "
+    "|| '/' || lpad(CAST((season + 1) % 100 AS VARCHAR), 2, '0') END AS label, home_abbr, ht.name AS home_name, away_abbr, vt.name AS away_name, "
+    "ht.name IS NOT NULL AND vt.name IS NOT NULL AND season IS NOT NULL AND season BETWEEN 1984 AND 2012 AS listed FROM ("
+    f"SELECT game_id, {_CODE_SQL('home_abbr')} AS home_abbr, {_CODE_SQL('away_abbr')} AS away_abbr, CAST(CASE WHEN month(date) >= 10 THEN year(date) "
+    "WHEN month(date) < 4 OR (month(date) = 4 AND day(date) < 30) THEN year(date) - 1 END AS INTEGER) AS season FROM g) x "
+    f"LEFT JOIN (SELECT * FROM {_TEAMS_SQL}) ht ON ht.abbr = x.home_abbr LEFT JOIN (SELECT * FROM {_TEAMS_SQL}) vt ON vt.abbr = x.away_abbr"))
+def listed_games(spark, sf_dir):
+    """Every game with its listed teams and season, and whether all are listed."""
+    codes = F.create_map(*[F.lit(x) for kv in _CODES.items() for x in kv])
+    code = lambda a: F.coalesce(codes[a], a)
+    games = _games(spark, sf_dir).withColumn(
+        "teams", F.transform("teams", lambda t: t.withField("abbreviation", code(t["abbreviation"]))))
+    return PL.listed_games(games, teams_dim(spark), seasons_dim(spark))

@@ -20,29 +20,51 @@ def _request_id_from_path(path: Column) -> Column:
     return F.when(found != "", found.cast("bigint")).otherwise(F.xxhash64(path))
 
 
-RECORD_MARK = "\n#"   # a bundle's records begin with "#<request_id>" on a line of its own
+RS = "\x1e"                    # the record separator character begins a record's first line in a bundle, and no other line
+RECORD_MARK = f"\n{RS}#"       # between the records of a bundle, each of which begins with RS, "#<request_id>" and a line break
+BAD_SINGLE = "a file of one request holds a line that begins with the record mark"
 
 
-def _records(raw: DataFrame) -> DataFrame:
+def _stuffed(text: Column) -> Column:
+    """Lines that begin with RS get one more, so that no line of a request can look like a record's begin."""
+    return F.substring(F.regexp_replace(F.concat(F.lit("\n"), text), f"\n{RS}", f"\n{RS}{RS}"), 2, 1 << 30)
+
+
+def _unstuffed(text: Column) -> Column:
+    return F.substring(F.regexp_replace(F.concat(F.lit("\n"), text), f"\n{RS}{RS}", f"\n{RS}"), 2, 1 << 30)
+
+
+def framed(request_id: Column, text: Column) -> Column:
+    """A bundle's record."""
+    return F.concat(F.lit(f"{RS}#"), request_id.cast("string"), F.lit("\n"), _stuffed(text))
+
+
+def _records(raw: DataFrame, least_lines: int) -> DataFrame:
     """Text rows split at `RECORD_MARK` -> (request_id, source, body), one row per request.
 
     Two layouts: a single request per file (the web form's file; the id comes
     from a `request_id=<n>` folder or a hash of the path), or a bundle: records
-    `#<request_id>` followed by the request's lines, many per file. A file is a
-    bundle if its first record shows the mark; the others of it have lost it.
+    (`framed`), many per file. A file is a bundle if its first record shows the
+    mark; the others of it have lost it. A file of one request may hold any
+    line, such as one that begins with `#`, but for one that begins with the
+    mark itself, which is refused. Bundles written before there was a mark
+    begin with a line `#<digits>` and have at least `least_lines` lines with
+    it, which no file of one request has; they are read too, each in one piece.
     """
     rows = raw.select(F.regexp_replace("value", "\r", "").alias("value"), F.col("_metadata.file_path").alias("source"))
-    bundles = rows.where(F.col("value").startswith("#")).select("source").distinct().withColumn("_bundle", F.lit(True))
-    x = rows.join(bundles, "source", "left")
-    rec = F.when(F.col("_bundle"), F.regexp_replace("value", "^#", "")).otherwise(F.col("value"))
-    x = x.select("source", "_bundle", rec.alias("_rec"))
-    head = F.substring_index("_rec", "\n", 1)
+    marked = F.col("value").startswith(f"{RS}#")
+    files = rows.groupBy("source").agg(F.max(marked).alias("_bundle"), F.count(F.lit(1)).alias("_rows"))
+    old = F.col("value").rlike(r"^#-?\d+\n") & (F.size(F.split(F.rtrim(F.col("value"), F.lit("\n")), "\n")) >= least_lines)
+    x = rows.join(files, "source").withColumn("_old", ~F.col("_bundle") & old)
+    one = F.when(F.col("_rows") > 1, F.raise_error(F.lit(BAD_SINGLE))).otherwise(F.col("value"))
+    recs = (F.when(F.col("_bundle"), F.array(F.regexp_replace("value", f"^{RS}#", "")))
+            .when(F.col("_old"), F.split(F.substring("value", 2, 1 << 30), "\n#")).otherwise(F.array(one)))
+    x = x.select("source", "_bundle", "_old", F.explode(recs).alias("_rec"))
+    has_id, head = F.col("_bundle") | F.col("_old"), F.substring_index("_rec", "\n", 1)
+    rest = F.expr("substr(_rec, length(substring_index(_rec, '\n', 1)) + 2)")
     return x.select(
-        F.when(F.col("_bundle"), F.trim(head).cast("bigint"))
-         .otherwise(_request_id_from_path(F.col("source"))).alias("request_id"),
-        "source",
-        F.when(F.col("_bundle"), F.expr("substr(_rec, length(substring_index(_rec, '\n', 1)) + 2)"))
-         .otherwise(F.col("_rec")).alias("body"))
+        F.when(has_id, F.trim(head).cast("bigint")).otherwise(_request_id_from_path(F.col("source"))).alias("request_id"),
+        "source", F.when(F.col("_bundle"), _unstuffed(rest)).when(F.col("_old"), rest).otherwise(F.col("_rec")).alias("body"))
 
 
 def _read_text(spark: SparkSession, path: str) -> DataFrame:
@@ -54,7 +76,7 @@ def _read_text(spark: SparkSession, path: str) -> DataFrame:
 def parse_requests(raw: DataFrame, zero_based_month: bool = True) -> DataFrame:
     """Parse text rows split at `RECORD_MARK` (`value`, `_metadata`) into (request_id,
     source, home_abbr, away_abbr, rdate, home_roster, away_roster)."""
-    r = _records(raw)
+    r = _records(raw, least_lines=6)
     lines = F.split("body", "\n")
     line = lambda i: F.coalesce(F.get(lines, i), F.lit(""))
     return r.select(
@@ -100,14 +122,13 @@ def write_requests(rendered: DataFrame, path: str, mode: str = "overwrite",
                    layout: str = "bundle", max_per_file: int = 100_000) -> None:
     """layout="single": one file per request under `path/request_id=<n>/`
     (the web form's format; fine for a handful of requests). layout="bundle":
-    records `#<request_id>` + the five lines, up to `max_per_file` per file;
-    the file count follows the partitions, not the requests."""
+    records (`framed`: the id, then the five lines), up to `max_per_file` per
+    file; the file count follows the partitions, not the requests."""
     if layout == "single":
         (rendered.repartition("request_id").write.mode(mode)
          .partitionBy("request_id").text(path))
         return
-    rec = F.concat(F.lit("#"), F.col("request_id").cast("string"), F.lit("\n"), F.col("text"))
-    (rendered.select(rec.alias("value")).write.mode(mode)
+    (rendered.select(framed(F.col("request_id"), F.col("text")).alias("value")).write.mode(mode)
      .option("maxRecordsPerFile", str(max_per_file)).text(path))
 
 
@@ -116,7 +137,7 @@ NO_SIDES = "a prediction record has no blank line between sides: pass the roster
 
 def _file_lines(spark: SparkSession, path: str) -> DataFrame:
     """(request_id, pos, text, block, cut): lines of prediction records; block 0 is before the first blank line."""
-    r = _records(_read_text(spark, path)).select("request_id", F.split("body", "\n").alias("ls"),
+    r = _records(_read_text(spark, path), least_lines=2).select("request_id", F.split("body", "\n").alias("ls"),
                                                  F.col("body").contains("\n\n").alias("cut"))
     r = r.select("request_id", "cut", F.array_position("ls", "").alias("blank"), F.posexplode("ls").alias("pos", "text"))
     return r.where(F.col("text") != "").select(
@@ -126,23 +147,36 @@ def _file_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def _sided(lines: DataFrame, roster: DataFrame) -> DataFrame:
     """`side` of each line by the roster. A name on both rosters is home where it comes first and away where it
-    comes again; a name on neither is left out."""
+    comes again; a name on neither has no side (null)."""
     home, away = (F.max(F.col("side") == s).alias(s) for s in ("home", "away"))
     sides = roster.groupBy("request_id", "player").agg(home, away)
     again = Window.partitionBy("request_id", "player").orderBy("pos")
-    j = lines.withColumn("again", F.row_number().over(again) > 1).join(sides, ["request_id", "player"])
-    return j.withColumn("side", F.when(F.col("home") & ~(F.col("away") & F.col("again")), "home").otherwise("away"))
+    j = lines.withColumn("again", F.row_number().over(again) > 1).join(sides, ["request_id", "player"], "left")
+    return j.withColumn("side", F.when(F.col("home") & ~(F.col("away") & F.col("again")), "home").when(F.col("away"), "away"))
+
+
+def _counted(lines: DataFrame, roster: DataFrame) -> DataFrame:
+    """`side` of each line by its number: the first lines, as many as the home roster has names, are home."""
+    n_home = roster.where("side = 'home'").groupBy("request_id").agg(F.count_distinct("player").alias("n_home"))
+    order = Window.partitionBy("request_id").orderBy("pos")           # bounded by the lines of a request
+    j = lines.withColumn("n", F.row_number().over(order)).join(n_home, "request_id", "left")
+    return j.withColumn("side", F.when(F.col("n") <= F.coalesce("n_home", F.lit(0)), "home").otherwise("away"))
 
 
-def read_predictions(spark: SparkSession, path: str, roster: DataFrame | None = None) -> DataFrame:
+def read_predictions(spark: SparkSession, path: str, roster: DataFrame | None = None, by: str = "name") -> DataFrame:
     """A5: prediction files (single or bundled; per request home lines, then
     away lines; each line `player/prediction`) ->
     (request_id, side, line, player, prediction, pts).
 
-    Sides are told apart by `roster` (request_id, side, player) if given, else
-    by the blank line between them; a record without one is refused then.
-    pts is the prediction rounded half up, as the web response shows it.
+    With `roster` (request_id, side, player) sides are told apart by name (a
+    name on neither roster keeps its line, with a null side), or with
+    by="count" by number: the first lines, as many as there are names on the
+    home roster, are home. Without a roster the blank line between sides tells
+    them apart; a record without one is refused then. pts is the prediction
+    rounded half up, as the web response shows it.
     """
+    if by not in ("name", "count"):
+        raise ValueError("by: 'name' or 'count'")
     pred = F.regexp_extract("text", r"/([^/]*)$", 1).try_cast("double")
     lines = _file_lines(spark, path).withColumn(
         "player", unescape_name(F.regexp_extract("text", r"^(.*)/[^/]*$", 1)))
@@ -151,7 +185,7 @@ def read_predictions(spark: SparkSession, path: str, roster: DataFrame | None =
                 .when(F.col("block") == 0, "home").otherwise("away"))
         lines = lines.withColumn("side", side)
     else:
-        lines = _sided(lines, roster)
+        lines = (_sided if by == "name" else _counted)(lines, roster)
     order = Window.partitionBy("request_id", "side").orderBy("pos")   # bounded by the lines of one side
     return lines.select("request_id", "side", F.row_number().over(order).alias("line"), "player",
                         pred.alias("prediction"), round_half_up(pred).alias("pts"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import round_half_up
+from .requests import framed
 
 
 def _per_request_text(lines: DataFrame, blank_line: bool) -> DataFrame:
@@ -36,8 +37,7 @@ def _write(out: DataFrame, path: str, mode: str, layout: str, max_per_file: int
     if layout == "single":
         out.repartition("request_id").write.mode(mode).partitionBy("request_id").text(path)
         return
-    rec = F.concat(F.lit("#"), F.col("request_id").cast("string"), F.lit("\n"), F.col("value"))
-    out.select(rec.alias("value")).write.mode(mode).option("maxRecordsPerFile", str(max_per_file)).text(path)
+    out.select(framed(F.col("request_id"), F.col("value")).alias("value")).write.mode(mode).option("maxRecordsPerFile", str(max_per_file)).text(path)
 
 
 def write_predictions(preds: DataFrame, path: str, per_side: int | None = None, blank_line: bool = True,
@@ -45,7 +45,7 @@ def write_predictions(preds: DataFrame, path: str, per_side: int | None = None,
     """B1: per request, `player/prediction` lines by player name, home side
     first, a blank line between sides (or none: then only a roster tells a
     reader the sides). `per_side` (20 in the surveyed files) caps a side.
-    layout="single": one file per request; "bundle": `#<request_id>` records."""
+    layout="single": one file per request; "bundle": records (`requests.framed`)."""
     lines = _ranked(preds, per_side, "player").select(
         "request_id", "side", "line",
         F.concat_ws("/", "player", F.col("prediction").cast("string")).alias("text"))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import GAME_SCHEMA, LINE_FIELDS, PLAYER_LINE
+from .layout import SeasonGames, read_season_games, write_season_games
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,20 +112,36 @@ def stored_games(spark: SparkSession, sf_dir: str, core: bool = True) -> DataFra
     its own folder, and notes it in a small table once it is complete; any noted
     build is reused, so concurrent sessions never overwrite a table another one reads.
     """
+    from .games import read_games
+
+    def build(path: str) -> None:
+        games(spark, sf_dir).write.mode("errorifexists").parquet(path)
+
+    return read_games(spark, _built_once(spark, f"testbed_games/{_fingerprint(spark, sf_dir)}", build), core=core)
+
+
+def stored_season_games(spark: SparkSession, sf_dir: str) -> SeasonGames:
+    """The testbed games on the season layout, written once as `stored_games` is."""
+    path = _built_once(spark, f"testbed_seasons/{_fingerprint(spark, sf_dir)}",
+                       lambda path: write_season_games(stored_games(spark, sf_dir, core=False), path))
+    return read_season_games(spark, path)
+
+
+def _built_once(spark: SparkSession, name: str, build) -> str:
+    """The path of a complete build of `name` in the checkpoint folder; `build(path)` makes one if there is none."""
     import uuid
 
     from pyspark.errors import AnalysisException
 
     from ..session import checkpoint_dir
-    from .games import read_games
-    base = f"{checkpoint_dir(spark).rstrip('/')}/testbed_games/{_fingerprint(spark, sf_dir)}"
+    base = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
     try:
         done = spark.read.schema("path string").parquet(f"{base}/complete").orderBy("path").limit(1).collect()
     except AnalysisException:        # no build yet
         done = []
     if done:
-        return read_games(spark, done[0]["path"], core=core)
+        return done[0]["path"]
     path = f"{base}/{uuid.uuid4().hex}"
-    games(spark, sf_dir).write.mode("errorifexists").parquet(path)
+    build(path)
     spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("append").parquet(f"{base}/complete")
-    return read_games(spark, path, core=core)
+    return path

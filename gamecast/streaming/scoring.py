@@ -17,6 +17,7 @@ from ..plans import pipelines as PL
 from ..session import materialize
 from ..sources.requests import RECORD_MARK, parse_requests, requests_table, roster_table
 from ..sources.sinks import write_predictions
+from .models import latest_models
 
 MODELS = {"quick": PL.quick_models, "best": PL.best_models}
 
@@ -24,13 +25,16 @@ MODELS = {"quick": PL.quick_models, "best": PL.best_models}
 def score_request_stream(spark: SparkSession, in_dir: str, games: DataFrame | None, out_dir: str, checkpoint: str,
                          pipeline: str = "quick", models: DataFrame | None = None,
                          zero_based_month: bool = True, available_now: bool = True,
-                         per_side: int | None = None, max_files_per_trigger: int | None = None):
+                         per_side: int | None = None, max_files_per_trigger: int | None = None,
+                         models_dir: str | None = None):
     """Start the stream; returns the StreamingQuery (call awaitTermination()).
 
     `checkpoint`: the stream's own folder in shared storage. A restart with it
     goes on where the stream stopped; no other stream may use it.
     `models`: a stored table of player models (`quick_models`, `best_models`);
     without it, `pipeline` ("quick" or "best") fits one from `games` first.
+    `models_dir`: where `refresh_models_stream` keeps P1's models; each
+    micro-batch then scores with the newest ones.
     pipeline="context" needs `games` and takes no models.
     """
     if not checkpoint:
@@ -38,7 +42,7 @@ def score_request_stream(spark: SparkSession, in_dir: str, games: DataFrame | No
     if pipeline == "context":
         if games is None or models is not None:
             raise ValueError("the context pipeline fits per request: it needs games and takes no models")
-    elif models is None:
+    elif models is None and models_dir is None:
         models = materialize(MODELS[pipeline](games), "stream-models")
     reader = (spark.readStream.format("text").option("lineSep", RECORD_MARK)
               .option("recursiveFileLookup", "true"))
@@ -50,7 +54,8 @@ def score_request_stream(spark: SparkSession, in_dir: str, games: DataFrame | No
         parsed = parse_requests(batch, zero_based_month).persist()
         try:
             roster = roster_table(parsed)
-            preds = (PL.attach_models(models, roster) if models is not None
+            current = latest_models(spark, models_dir) if models_dir else models
+            preds = (PL.attach_models(current, roster) if current is not None
                      else PL.predict_players_context(games, requests_table(parsed), roster))
             write_predictions(preds, f"{out_dir.rstrip('/')}/batch_id={batch_id}", per_side=per_side)
         finally:

@@ -159,3 +159,74 @@ def test_team_prediction_file_lines(spark):
              if f.startswith("part-") and not f.endswith(".crc")]
     text = "".join(open(f).read() for f in files)
     assert text.strip().split("\n") == ["BOS/99.0/8.0/NaN", "NYK/101.5/9.25/0.5"]
+
+
+def test_a_single_file_may_hold_lines_that_begin_with_a_hash(spark):
+    d = tempfile.mkdtemp(prefix="gc-hash-")
+    _write(os.path.join(d, "request_id=5"), "r.txt", "#BOS\n#76\n#Ann,#1\n#Cy\n2013-0-24")
+    (p,) = RQ.read_requests(spark, d).collect()
+    assert (p.request_id, p.home_abbr, p.away_abbr, p.home_roster, p.away_roster) == (5, "#BOS", "#76", ["#Ann", "#1"], ["#Cy"])
+    assert str(p.rdate) == "2013-01-24 00:00:00"
+    _write(os.path.join(d, "request_id=6"), "r.txt", "BOS\n\x1e#76\nAnn\nCy\n2013-0-24")
+    with pytest.raises(Exception, match="record mark"):
+        RQ.read_requests(spark, d).collect()
+
+
+def test_no_line_of_a_bundle_can_look_like_a_record(spark):
+    odd = ["#1", "\x1e#1", "\x1e\x1e#1", "\x1e", "#"]
+    req = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate((a, b) for a in odd for b in odd)],
+                                "request_id bigint, home_abbr string, away_abbr string")
+    req = req.withColumn("rdate", F.lit("2013-01-24").cast("timestamp_ntz"))
+    ros = req.select("request_id", F.lit("home").alias("side"), F.col("away_abbr").alias("player"))
+    d = tempfile.mkdtemp(prefix="gc-odd-") + "/b"
+    RQ.write_requests(RQ.render_requests(req, ros).coalesce(2), d)
+    parsed = RQ.read_requests(spark, d)
+    want = sorted((r.request_id, r.home_abbr, r.away_abbr, [r.away_abbr]) for r in req.collect())
+    assert sorted((r.request_id, r.home_abbr, r.away_abbr, r.home_roster) for r in parsed.collect()) == want
+
+
+def test_prediction_lines_of_unknown_names_and_by_count(spark):
+    d = tempfile.mkdtemp(prefix="gc-unknown-")
+    _write(os.path.join(d, "request_id=1"), "p.txt", "Ann/1.5\nGhost/2.0\nCy/3.25")
+    roster = spark.createDataFrame([(1, "home", "Ann"), (1, "home", "Bo"), (1, "away", "Cy")], "request_id bigint, side string, player string")
+    named = {r.player: r.side for r in RQ.read_predictions(spark, d, roster).collect()}
+    assert named == {"Ann": "home", "Ghost": None, "Cy": "away"}
+    counted = {r.player: (r.side, r.line) for r in RQ.read_predictions(spark, d, roster, by="count").collect()}
+    assert counted == {"Ann": ("home", 1), "Ghost": ("home", 2), "Cy": ("away", 1)}
+    with pytest.raises(ValueError):
+        RQ.read_predictions(spark, d, roster, by="guess")
+
+
+def test_models_follow_games_that_arrive(spark, small_games):
+    """Two batches of games, one of them again, one late: the models of a full fit of what is in order."""
+    from gamecast.plans.pipelines import quick_models
+    from gamecast.streaming import latest_models, refresh_models_stream
+    base = tempfile.mkdtemp(prefix="gc-arrive-")
+
+    def arrive(games):
+        games.coalesce(1).write.mode("append").parquet(f"{base}/games")
+        refresh_models_stream(spark, f"{base}/games", f"{base}/models", checkpoint=f"{base}/ck").awaitTermination()
+
+    def same(games):
+        cols = ["player", "n", "n_fit", "slope", "intercept", "rmse", "r2", "prediction"]
+        got = latest_models(spark, f"{base}/models").select(*cols).collect()
+        assert sorted(map(str, got)) == sorted(map(str, quick_models(games).select(*cols).collect()))
+
+    arrive(small_games.where("game_id <= 5"))
+    same(small_games.where("game_id <= 5"))
+    arrive(small_games.where("game_id > 5 AND game_id <> 8"))
+    same(small_games.where("game_id <> 8"))
+    arrive(small_games.where("game_id IN (8, 6)"))                    # 8 is late for some players, 6 came before
+    models = {r.player: r for r in latest_models(spark, f"{base}/models").collect()}
+    assert models["Ann"].n == 9 - 1 + 0 and models["Ann"].late == 2   # game 9 of Ann is later than game 8
+    assert models["Flat2"].n == 1 and models["Cy"].late == 1
+    before = len(os.listdir(f"{base}/models"))
+    refresh_models_stream(spark, f"{base}/games", f"{base}/models", checkpoint=f"{base}/ck").awaitTermination()
+    assert len(os.listdir(f"{base}/models")) == before                # nothing new, nothing written
+    with pytest.raises(ValueError):
+        refresh_models_stream(spark, f"{base}/games", f"{base}/models", checkpoint="")
+    # requests are scored with the newest models
+    _write(f"{base}/in", "r1.txt", "#101\nBOS\nNYK\nAnn\nCy\n2013-1-1")
+    score_request_stream(spark, f"{base}/in", None, f"{base}/out", checkpoint=f"{base}/ck2", models_dir=f"{base}/models").awaitTermination()
+    scored = {r.player: r.prediction for r in RQ.read_predictions(spark, f"{base}/out").collect()}
+    assert scored == {p: models[p].prediction for p in ("Ann", "Cy")}

@@ -109,3 +109,75 @@ def test_batch_search_over_several_years(spark, small_games):
     s = s.select("search_id", "home", "away", F.col("s").cast("timestamp_ntz").alias("start"), F.col("e").cast("timestamp_ntz").alias("end"))
     got = [r.game_id for r in sorted(S.search_games_batch(small_games, s).collect(), key=lambda r: r["rank"])]
     assert got == [1, 5, 6, 8]
+
+
+def _season_layout(spark, make_games):
+    """Forty seasons; each player is on the field in one of them."""
+    import tempfile
+
+    from conftest import game
+    from gamecast.sources.layout import read_season_games, write_season_games
+    gs = [game(10 * y + k, f"{1960 + y}-{month:02d}-05", "BOS" if y % 2 else "MIA", "NYK", [(f"P{y}", k + 1)], [("Ever", k)])
+          for y in range(40) for k, month in enumerate((10, 12, 3, 7))]
+    games = make_games(gs)
+    path = tempfile.mkdtemp(prefix="gc-seasons-") + "/g"
+    write_season_games(games, path)
+    return games, read_season_games(spark, path, core=False)
+
+
+def test_season_layout_reads_what_a_search_needs(spark, make_games):
+    from test_plans import plan
+    games, stored = _season_layout(spark, make_games)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    for names in (["P7"], ["P7", "P8", "nobody"], ["Ever"], ["nobody"]):
+        assert rows(stored.player_rows(names)) == rows(R.player_rows(games, players=names))
+    for abbrs in (["MIA"], ["BOS", "NYK"], ["XXX"]):
+        assert rows(stored.team_rows(abbrs)) == rows(R.team_rows(games, abbrs=abbrs))
+    assert _files_read(spark, stored.player_rows(["P7"])) <= 2 < _files_read(spark, R.player_rows(stored.games, players=["P7"]))
+    want = [r.game_id for r in S.search_games(games, "BOS", "NYK", season="1967-1968").collect()]
+    one = stored.search("BOS", "NYK", "1967-1968")
+    assert [r.game_id for r in one.collect()] == want == [70, 71]
+    assert _files_read(spark, one) == 1
+
+
+def _files_read(spark, df):
+    """Game files that running `df` reads, from the scan's metrics."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = df.select("*")
+        df.collect()
+        leaves, n = df._jdf.queryExecution().executedPlan().collectLeaves(), 0
+        for k in range(leaves.size()):
+            leaf = leaves.apply(k)
+            if "/games" in leaf.toString() and leaf.metrics().contains("numFiles"):
+                n += leaf.metrics().apply("numFiles").value()
+        return n
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_batch_search_prunes_seasons_at_run_time(spark, make_games):
+    from test_plans import plan
+    games, stored = _season_layout(spark, make_games)
+    searches = spark.createDataFrame([(1, "BOS", "NYK", 1967), (2, "MIA", "NYK", 1970), (3, "MIA", "NYK", 1800)],
+                                     "search_id bigint, home string, away string, season int")
+    found = stored.search_batch(searches, ["search_id"])
+    assert "dynamicpruning" in plan(found.where("search_id > 0")).lower()
+    start, end = S.season_window(F.concat_ws("-", F.col("season").cast("string"), (F.col("season") + 1).cast("string")))
+    ref = S.search_games_batch(games, searches.select("search_id", "home", "away", start.alias("start"), end.alias("end")))
+    pick = lambda df: sorted((r.search_id, r["rank"], r.game_id) for r in df.collect())
+    assert pick(found) == pick(ref) and len(pick(found)) >= 4
+
+
+def test_listed_games_and_comparison(spark, make_games):
+    from conftest import game
+    from gamecast.plans import pipelines as PL
+    from gamecast.schema import seasons_dim, teams_dim
+    games = make_games([game(1, "2012-11-02", "BOS", "NYK", [("Ann", 1)], None), game(2, "2013-11-02", "BOS", "NYK", [("Ann", 1)], None),
+                        game(3, "2012-07-02", "BOS", "NYK", [("Ann", 1)], None), game(4, "2012-11-02", "B", "NYK", [("Ann", 1)], None)])
+    got = {r.game_id: (r.label, r.home_name, r.away_name, r.listed) for r in PL.listed_games(games, teams_dim(spark), seasons_dim(spark)).collect()}
+    assert got == {1: ("Temporada 12/13", "Boston Celtics", "New York Knicks", True), 2: (None, "Boston Celtics", "New York Knicks", False),
+                   3: (None, "Boston Celtics", "New York Knicks", False), 4: ("Temporada 12/13", None, "New York Knicks", False)}
+    compared = spark.createDataFrame([(1, "home", "Zed", 3, 4), (1, "home", "Ann", 5, None), (1, "away", "Cy", 0, 2)],
+                                     "request_id bigint, side string, player string, actual bigint, predicted bigint")
+    assert {r.side: r.lines for r in PL.comparison_text(compared).collect()} == {"home": "Ann 5 -\nZed 3 4", "away": "Cy 0 2"}
