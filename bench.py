@@ -1,8 +1,9 @@
 """Bench: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
 Every query runs to completion into Spark's no-op sink (the full plan
-executes, nothing is collected). `games_build` is the one-off conversion of
-the driver tables into the nested games table the queries read.
+executes, nothing is collected). `games_build` and `season_build` are the one-off
+conversions of the driver tables into the nested games table the queries read
+and into the season layout that searches by name and season read.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "fit_full", "predict_quick", "predict_best", "team_predict", "contextual_history",
     "predict_context", "search_games", "season_games", "season_search", "actual_vs_predicted",
-    "stream_scoring",
+    "stream_scoring", "predict_quick_as_of", "predict_best_as_of", "team_predict_as_of", "recent_games_as_of",
+    "player_match",
 ]
 
 
@@ -37,6 +39,9 @@ def main() -> None:
     t0 = time.time()
     testbed.stored_games(spark, sf_dir).count()
     times["games_build"] = round(time.time() - t0, 2)
+    t0 = time.time()
+    testbed.stored_season_games(spark, sf_dir)
+    times["season_build"] = round(time.time() - t0, 2)
     for name in names:
         t0 = time.time()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

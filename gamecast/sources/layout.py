@@ -39,7 +39,7 @@ def write_season_games(games: DataFrame, path: str, mode: str = "errorifexists")
     spark = games.sparkSession
     placed = games.withColumn(SEASON, season_start())
     (placed.repartitionByRange(SEASON, "game_id").write.mode(mode).partitionBy(SEASON).parquet(f"{path}/games"))
-    written = read_season_games(spark, path).games
+    written = read_games(spark, f"{path}/games", core=True, extra=[SEASON])
     for name, rows, key in (("players", player_rows(written), "player"), ("teams", team_rows(written), "abbreviation")):
         keys = rows.select(key, season_start().alias(SEASON), "game_id").distinct()
         keys.repartitionByRange(key, SEASON, "game_id").sortWithinPartitions(key, SEASON).write.mode(mode).parquet(f"{path}/{name}")
@@ -99,9 +99,4 @@ def read_season_games(spark: SparkSession, path: str, core: bool = True) -> Seas
     """Games that `write_season_games` wrote."""
     games = read_games(spark, f"{path}/games", core=core, extra=[SEASON])
     keys = lambda name, column: spark.read.schema(f"{column} string, {SEASON} int, game_id bigint").parquet(f"{path}/{name}")
-    try:
-        return SeasonGames(games, keys("players", "player"), keys("teams", "abbreviation"))
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return SeasonGames(games, None, None)       # while it is being written
+    return SeasonGames(games, keys("players", "player"), keys("teams", "abbreviation"))
