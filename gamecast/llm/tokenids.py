@@ -4,20 +4,23 @@ Both public vocabularies used here cut a text before anything is merged, and nev
 last character and a single blank or line break. So the ids of a text are the ids of its words, one after another,
 each encoded by the library together with the blank or line break before it. A worker remembers the ids of words in a
 table of bounded size. A text in which such a border is not plain (blanks in a row, other white space beside one)
-goes to the library whole. Either way the ids are the library's own.
+goes to the library whole, and so does a text that holds the string of an added token (`<|endoftext|>` and the like).
+Either way the ids are the library's own, as it is loaded from its file.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 from array import array
 from collections.abc import Iterable, Iterator
+from os.path import commonprefix
 
 import regex
 
 from gamecast.llm.common import process_cache, shipped
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -43,7 +46,9 @@ class WordIds(dict):
         from tokenizers import Tokenizer
         super().__init__()
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True     # their strings inside a text are ordinary text
+        # strings that the library takes out of a text before it cuts it (special tokens); a text that may hold one is left to it
+        self.added = [t.content.lower() for t in self.library.get_added_tokens_decoder().values()]
+        self.mark = re.match(r"[^\w\s]*", commonprefix(self.added)).group()
         self.typecode = typecode
         if self.library.get_vocab_size() > 1 << 8 * array(typecode).itemsize:
             raise ValueError(f"{path}: ids do not fit type {typecode}")
@@ -72,6 +77,13 @@ class WordIds(dict):
         """The library's ids of a whole text or word."""
         return self.packed(self.library.encode(text, add_special_tokens=False).ids)
 
+    def holds_added(self, text: str) -> bool:
+        """Whether an added token's string may occur in the text."""
+        if self.mark not in text:
+            return False
+        low = text.lower()
+        return any(t in low for t in self.added)
+
     def merged(self, mapped: str) -> bytes:
         """Ids of one pre-token, given in the vocabulary's letters, from the library's merge model."""
         return self.packed([t.id for t in self.tokenize(mapped)])
@@ -112,7 +124,7 @@ class SpacedWordIds(WordIds):
             return b""
         words = ("\n" + text).replace("\n", " \n").split(" ")    # the first word as if after a line break
         try:
-            if text[0].isspace():
+            if text[0].isspace() or self.holds_added(text):
                 raise KeyError(text)
             return b"".join(map(self.__getitem__, words[1:]))[array(self.typecode).itemsize:]
         except KeyError:
@@ -134,6 +146,8 @@ class BareWordIds(WordIds):
         return self.cut(word.lower()) if self.PLAIN.fullmatch(word) else self.encoded(word)
 
     def text(self, text: str) -> bytes:
+        if self.holds_added(text):
+            return self.encoded(text)
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 

@@ -15,9 +15,7 @@ ALPHABET = "abcdeéüñßİΣ 日\U0001F600.,|'1²\n\t \x1c▁<>"
 
 
 def library_ids(path, text):
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +31,19 @@ def test_memoised_ids_are_the_librarys(loaded, text):
         assert np.frombuffer(words.text(text), "<u2").tolist() == words.library.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "|>", "endoftext", " ", "\n", "a", "word", "é"]),
+                max_size=8).map("".join))
+def test_added_tokens_inside_a_text_are_the_librarys(loaded, text):
+    for words in loaded.values():
+        assert np.frombuffer(words.text(text), "<u2").tolist() == words.library.encode(text, add_special_tokens=False).ids
+
+
+def test_the_end_token_is_one_id(loaded):
+    ids = np.frombuffer(loaded[tokenids.SpacedWordIds].text("a <|endoftext|> b"), "<u2").tolist()
+    assert ids == [64, 220, 50256, 275]
+
+
 def test_memo_tables_stay_bounded(loaded, monkeypatch):
     words = loaded[tokenids.SpacedWordIds]
     monkeypatch.setattr(tokenids, "CACHE_WORDS", 10)
