@@ -154,8 +154,14 @@ def packed_lists(listed: DataFrame, salts: int, rows: int) -> DataFrame:
             .mapInArrow(_pack(rows), PACKED))
 
 
+def in_range(x: np.ndarray) -> np.ndarray:
+    """Rows scaled by powers of two, which rounds nothing, so that squares neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, initial=0, keepdims=True))[1])
+
+
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of paired rows in double precision."""
+    a, b = in_range(a), in_range(b)
     return (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
 
 
