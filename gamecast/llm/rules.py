@@ -8,7 +8,8 @@ in Arrow batches, and a document stays if it passes the base rules and its proba
 
 Defined cases: null and empty texts have no words and fail the base rules; without labels of both classes there is no
 model, and the base rules alone decide; repeated rows are each judged; an empty table gives no rows; other columns
-are ignored (`keep_documents` passes them through).
+are ignored (`keep_documents` passes them through). Very long texts are judged whole; of the labelled ones the fit takes
+up to `textfeat.SAMPLE_BYTES` of features, in order of hash.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gamecast.llm.common import shipped, text_or_empty
-from gamecast.llm.textfeat import DIM, Sample, Text, descend, filtered, labelled_sample, linear_score, sigmoid
+from gamecast.llm.textfeat import DIM, Sample, Text, descend, filtered, fitted, linear_score, sigmoid
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 KEEP_AT = 0.5
@@ -72,6 +73,11 @@ def platt(scores: np.ndarray, label: np.ndarray, weight: np.ndarray, steps: int
     return float(theta[0] / spread), float(theta[1] - theta[0] * middle / spread)
 
 
+def learned(documents: DataFrame, labels: DataFrame) -> Model:
+    """`fit` on the labelled sample, in a task of its own."""
+    return Model(*fitted(documents, labels, fit))
+
+
 def judge(text: str, model: Model) -> tuple:
     t = Text(text)
     n, repeat, (dup, lines), symbols = len(t.words), t.repeat_words(), t.dup_lines(), t.symbols()
@@ -110,7 +116,7 @@ def keep_documents(documents: DataFrame, model: Model) -> DataFrame:
 
 def quality_rules(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Fit on the labelled rows, judge all documents."""
-    return judged(documents, fit(labelled_sample(documents, labels)))
+    return judged(documents, learned(documents, labels))
 
 
 shipped(__name__)

@@ -6,10 +6,9 @@ few dense shares: repeated 3-word windows, words like the one before, repeated l
 
 from __future__ import annotations
 
-import gc
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +23,7 @@ DENSE = ("repeated_windows", "repeated_neighbours", "repeated_lines", "distinct_
 DIM = len(GROUPS) * (1 << BITS) + len(DENSE)
 SCALE, DENSE_SCALE = 30.0, 10.0         # bring the shares of hashed groups and the dense ones to like sizes
 SAMPLE_ROWS = 2_000                     # labelled rows of each class that a model is fitted on, at most
+SAMPLE_BYTES = 256 << 20                # and bytes of their features (8 a feature): rows beyond, in order of hash, are left out
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 FOLDS = 4
 
@@ -118,7 +118,7 @@ def linear_score(t: Text, dense: np.ndarray, weights: np.ndarray) -> float:
 
 
 class Sample:
-    """Labelled feature rows in compressed form, on the driver; at most `2 * SAMPLE_ROWS` rows."""
+    """Labelled feature rows in compressed form; at most `2 * SAMPLE_ROWS` rows."""
 
     def __init__(self, rows: list, totals: dict[int, int]):
         rows = sorted(rows, key=lambda r: (r["doc_id"], r["quality"]))
@@ -168,11 +168,8 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                               names=["doc_id", "quality", "fold", "at", "value"])
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, held_out: int = 2, per_class: int = SAMPLE_ROWS) -> Sample:
-    """At most `per_class` labelled rows of each class, by hash of doc_id, outside the held-out fold.
-
-    Only the chosen rows' features reach the driver. Null doc_ids and labels other than 0 and 1 are left out.
-    """
+def _sample_rows(documents: DataFrame, labels: DataFrame, held_out: int, per_class: int) -> tuple[DataFrame, dict[int, int], list]:
+    """(the chosen rows' features, labelled rows of each class, their order)."""
     usable = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
               .where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
               .withColumn("fold", fold_of().cast("int")).where(F.col("fold") != held_out))
@@ -185,12 +182,51 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, held_out: int = 2,
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     rows = (texts.join(F.broadcast(chosen), "doc_id")          # the chosen rows are bounded by `per_class`
             .select("doc_id", "quality", "fold", "text")
-            .mapInArrow(_sparse, "doc_id long, quality int, fold int, at binary, value binary")
-            .orderBy(*order, "quality", "value").limit(2 * per_class))
-    sample = Sample(rows.collect(), totals)
-    gc.collect()
-    documents.sparkSession.sparkContext._jvm.System.gc()    # the collected rows' copies in the driver's JVM
-    return sample
+            .mapInArrow(_sparse, "doc_id long, quality int, fold int, at binary, value binary"))
+    return rows, totals, [*order, "quality", "value"]
+
+
+def _bounded(rows: Iterator[dict], most_rows: int, most_bytes: int) -> list[dict]:
+    """The first rows, up to either bound; at least one of each label if there are any."""
+    out, size = [], 0
+    for r in rows:
+        size += 2 * len(r["at"])
+        if len(out) >= most_rows or size > most_bytes and len({x["quality"] for x in out}) == 2:
+            break
+        out.append(r)
+    return out
+
+
+def labelled_sample(documents: DataFrame, labels: DataFrame, held_out: int = 2, per_class: int = SAMPLE_ROWS) -> Sample:
+    """At most `per_class` labelled rows of each class, by hash of doc_id, outside the held-out fold, here on the driver.
+
+    Null doc_ids and labels other than 0 and 1 are left out. `fitted` learns from the same rows in a task instead.
+    """
+    rows, totals, order = _sample_rows(documents, labels, held_out, per_class)
+    first = rows.orderBy(*order).limit(2 * per_class).toLocalIterator()
+    return Sample(_bounded((r.asDict() for r in first), 2 * per_class, SAMPLE_BYTES), totals)
+
+
+def fitted(documents: DataFrame, labels: DataFrame, fit: Callable[[Sample], object], held_out: int = 2,
+           per_class: int = SAMPLE_ROWS) -> tuple[np.ndarray | None, float, float]:
+    """(weights, two numbers) of the model that `fit` makes of the labelled sample, learned in one Spark task.
+
+    The task holds the sample (at most `SAMPLE_BYTES` of features); only the model comes to the driver.
+    """
+    rows, totals, order = _sample_rows(documents, labels, held_out, per_class)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        each = (r for batch in batches for r in batch.to_pylist())
+        weights, *numbers = vars(fit(Sample(_bounded(each, 2 * per_class, SAMPLE_BYTES), totals))).values()
+        raw = None if weights is None else np.asarray(weights, "<f4").tobytes()
+        yield pa.record_batch([pa.array([raw], pa.binary()), *(pa.array([float(v)]) for v in numbers)], names=["weights", "a", "b"])
+
+    small = rows.repartition(1).sortWithinPartitions(*order)
+    found = small.mapInArrow(learn, "weights binary, a double, b double").collect()
+    if not found:                                              # no labelled rows, no task
+        return tuple(vars(fit(Sample([], totals))).values())
+    weights = None if found[0]["weights"] is None else np.frombuffer(found[0]["weights"], "<f4")
+    return weights, found[0]["a"], found[0]["b"]
 
 
 def descend(gradient, dim: int = DIM, steps: int = 120, rate: float = 0.1) -> np.ndarray:

@@ -108,3 +108,18 @@ def test_quantile_cut_and_sample_bound(spark):
     sample = textfeat.labelled_sample(documents, labels, per_class=5)
     assert len(sample.label) <= 10 and set(sample.label.tolist()) == {0, 1} and 2 not in set(sample.fold.tolist())
     assert abs(sample.weight.sum() - sum(zlib.crc32(str(k).encode()) % 4 != 2 for k in range(60))) < 1e-6
+
+
+def test_a_model_learned_in_a_task_is_the_one_fitted_here(spark):
+    documents, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    sample = textfeat.labelled_sample(documents, labels)
+    for part in (rules, pairwise):
+        here, there = part.fit(sample), part.learned(documents, labels)
+        assert np.array_equal(here.weights, there.weights) and list(vars(here).values())[1:] == list(vars(there).values())[1:]
+
+
+def test_the_sample_is_bounded_in_bytes(spark, monkeypatch):
+    documents, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    monkeypatch.setattr(textfeat, "SAMPLE_BYTES", 200_000)
+    sample = textfeat.labelled_sample(documents, labels)
+    assert set(sample.label.tolist()) == {0, 1} and 8 * len(sample.index) < 600_000
