@@ -11,7 +11,7 @@ Spark range-partitions the documents by id and writes one file for each partitio
 come from a running sum over the manifest, one row a file. A task writes under a name of its own attempt and renames
 it, so a task that runs again, or twice at once, leaves one whole file.
 
-Defined cases: null texts are empty (only the end id); null ids come first; documents with equal ids are ordered by a
+Defined cases: a very long text is encoded whole and flows over as many sequences as it needs; null texts are empty (only the end id); null ids come first; documents with equal ids are ordered by a
 hash of the text, then the text; repeated rows all stay; an empty table gives no documents; other columns are ignored.
 """
 

@@ -7,8 +7,10 @@ larger one of another bin, a piece for two pieces, or moves a piece over, whenev
 fills. So room gathers in the emptiest bins until they are empty and go. As groups are large, what dealing costs is
 below one bin a group.
 
-Defined cases: null texts are empty (one piece: the end id); repeated rows are packed each; an empty table gives no
-rows; other columns are ignored; pieces longer than the capacity are refused.
+Defined cases: null texts are empty (one piece: the end id); repeated rows are packed each; pieces of equal length are
+taken in the order in which they were written; a very long text is encoded whole and cut into as many pieces as it needs,
+of which only the last is not full; an empty table gives no rows; other columns, also of clashing names, are ignored;
+pieces longer than the capacity are refused.
 """
 
 from __future__ import annotations

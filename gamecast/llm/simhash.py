@@ -15,7 +15,8 @@ breadth first, which gives a spanning forest. A run too long for a task's memory
 linked by its midpoints: two fingerprints are within 4 bits exactly if both are within 2 of some third one, so each
 joins the groups of all values within 2 bits of its own.
 
-Defined cases: null and empty texts have fingerprint zero, which links like any other; fewer words than a shingle are
+Defined cases: a very long text is hashed whole, a word at a time; a bit that is set in exactly half of the hashes is 0;
+null and empty texts have fingerprint zero, which links like any other; fewer words than a shingle are
 one shingle; repeated rows are in one component; a null doc_id is never a component's id (null where no member has an
 id); an empty table gives no rows; other columns are ignored (`keep_first` passes them through and keeps rows with a
 null doc_id).

@@ -294,3 +294,35 @@ def test_recall_and_salted_lists(spark, monkeypatch):
     assert recall >= 0.9
     hot = [q for q in want if q % 3 == 0]
     assert all([i for i, _ in got[q]] == [i for i, _ in want[q]] for q in hot)
+
+
+def test_cosines_of_large_and_tiny_vectors(spark):
+    rows = [(0, [1e200, 1e200, 0.0]), (1, [1e200, 0.0, 0.0]), (2, [1e-200, 1e-200, 0.0]), (3, [1.0, 0.5, 0.25]), (4, [0.0, 5e-324, 0.0]),
+            (50, [1.0, 1.0, 1.0]), (51, [1.0, 2.0]), (52, [0.0, 0.0, 0.0]), (53, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in ann.search(df, F.col("vec_id") % 50 == 0).collect()}
+    unit = {i: np.array(v) / np.abs(v).max() for i, v in rows[:6]}
+    want = {(q, i): float(unit[q] @ unit[i] / np.linalg.norm(unit[q]) / np.linalg.norm(unit[i])) for q in (0, 50) for i in unit if i != q}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_scaling_leaves_ordinary_cosines_as_they_are():
+    x, y = np.random.default_rng(1).standard_normal((2, 500, 16))
+    plain = (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1)))
+    assert np.array_equal(ann.cosines(x, y), plain)
+
+
+def test_search_over_an_empty_table(spark):
+    df = spark.createDataFrame([], "vec_id long, embedding array<double>")
+    assert ann.search(df, F.col("vec_id") % 50 == 0).collect() == []
+
+
+def test_classes_after_further_links_are_those_of_all_links(spark):
+    rng = random.Random(3)
+    pairs = lambda n: [(rng.randrange(80), rng.randrange(80)) for _ in range(n)]
+    first, more = pairs(30), pairs(25)
+    df = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    found = components(df(first))
+    got = {r.node: r.component for r in linededup.joined(found, df([p for p in more if p[0] != p[1]])).collect()}
+    want = {r.node: r.component for r in components(df(first + more)).collect()}
+    assert got == want

@@ -6,6 +6,8 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from gamecast.llm import pairwise, rules
 from gamecast.llm.common import stored
@@ -82,3 +84,34 @@ def test_empty_documents_pass_through(spark, no_documents):
     for _, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, SF), "test-empty")
         assert docs.count() == 0
+
+
+def test_odd_documents_pass_through_every_stage(spark, odd_documents):
+    """Nulls, empty and very long texts, repeated rows, columns of clashing names: all stages on one odd table."""
+    good = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 40")
+    docs = good.select("doc_id", "text", F.lit(0.5).alias("score"), F.lit("k").alias("Kept"), "lang").unionByName(
+        odd_documents.withColumn("lang", F.lit(None).cast("string")))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        new = stored(stage(spark, docs, SF), f"test-odd-{name}")
+        assert new.columns == columns and 0 < new.count() <= docs.count()
+        docs = new
+    packed = stored(corpus_pipeline.STAGES[-1][1](spark, docs, SF), "test-odd-packed").collect()
+    assert {r.doc_id for r in packed} == {r.doc_id for r in docs.collect()}
+    ends = defaultdict(list)
+    for r in packed:
+        ends[r.sequence_id].append((r.offset, r.length))
+    for parts in ends.values():       # gapless from 0, none longer than a sequence
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+
+
+def test_odd_rows_alone(spark, odd_documents):
+    """A table of odd rows only, which the quality stages may empty."""
+    docs = odd_documents
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, SF), f"test-odd-alone-{name}")
+        docs.count()
