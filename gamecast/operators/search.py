@@ -94,22 +94,29 @@ def season_games(games: DataFrame, seasons: DataFrame | None = None) -> DataFram
 
 
 def search_games_batch(games: DataFrame, searches: DataFrame, keys: list[str] | None = None,
-                       limit: int = 20) -> DataFrame:
+                       limit: int = 20, columns: list[str] | None = None) -> DataFrame:
     """E7 for a table of searches `(keys..., home, away, start, end)`: the first
-    `limit` games by date of each search, with their rank.
+    `limit` games by date of each search, with their rank (`columns` of `game_summary`, or all).
 
-    Games are matched on the (home, away, calendar year) equi-key (a search has
-    a row for each year it touches), then the half-open date range; the per-search cap is a constant-bounded row_number, which Spark
-    trims per task before the shuffle.
+    A pairing's games and the searches' starts share one index (`as_of_series`): a
+    search's games are the places from its start on, so it meets the `limit` games it
+    may list and never all games of its window.
     """
+    from .asof import as_of_series
     from .rows import game_summary
 
     keys = keys or ["search_id"]
     g = game_summary(games)
-    years = F.explode(F.sequence(F.year("start"), F.greatest(F.year("start"), F.year("end"))))
-    s = searches.withColumn("_year", years)
-    j = s.join(g, (g.home_abbr == s.home) & (g.away_abbr == s.away) & (F.year(g.date) == s["_year"])
-               & (g.date >= s.start) & (g.date < s.end)).drop("_year")
+    g = g.select(*columns) if columns is not None else g
+    points = game_summary(games).select(F.col("home_abbr").alias("home"), F.col("away_abbr").alias("away"), "date", "game_id",
+                                        F.struct(*g.columns).alias("g"))
+    given = F.col("start").isNotNull() & (F.col("end") > F.col("start"))     # others find nothing
+    wanted = searches.where(given).select("home", "away", "start", F.struct(*searches.columns).alias("s"))
+    both = as_of_series(points, wanted, ["home", "away"], ["date", "game_id"], at="start")
+    places = both.requests("first").select("home", "away", "s", F.explode(
+        F.expr(f"sequence(first, first + {limit - 1})")).alias("idx"))
+    found = (places.join(both.points().select("home", "away", "idx", "date", "g"), ["home", "away", "idx"])
+             .where(F.col("date") < F.col("s.end")).select("s.*", "g.*"))
     w = Window.partitionBy(*keys).orderBy("date", "game_id")
-    return (j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+    return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
             .drop("start", "end"))

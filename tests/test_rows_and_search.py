@@ -181,3 +181,21 @@ def test_listed_games_and_comparison(spark, make_games):
     compared = spark.createDataFrame([(1, "home", "Zed", 3, 4), (1, "home", "Ann", 5, None), (1, "away", "Cy", 0, 2)],
                                      "request_id bigint, side string, player string, actual bigint, predicted bigint")
     assert {r.side: r.lines for r in PL.comparison_text(compared).collect()} == {"home": "Ann 5 -\nZed 3 4", "away": "Cy 0 2"}
+
+
+def test_batch_search_meets_no_more_games_than_it_lists(spark, make_games):
+    """A search with many games in its window looks up the places it lists, by index, not the games of the window."""
+    from conftest import game
+    from test_plans import plan
+    games = make_games([game(k, f"2012-{1 + k % 12:02d}-{1 + k % 28:02d}", "BOS", "NYK", [("Ann", k)], None) for k in range(60)])
+    g = R.game_summary(games)
+    searches = g.select(F.col("game_id").alias("search_id"), F.col("home_abbr").alias("home"), F.col("away_abbr").alias("away"),
+                        F.lit("2012-01-01").cast("timestamp_ntz").alias("start"), F.col("date").alias("end"))
+    none = [(100, "BOS", "NYK", None, "2013-01-01"), (101, "BOS", "NYK", "2013-01-01", "2012-01-01"), (102, None, "NYK", "2012-01-01", "2013-01-01")]
+    none = spark.createDataFrame(none, "search_id bigint, home string, away string, start string, end string")
+    searches = searches.unionByName(none.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")}))
+    found = S.search_games_batch(games, searches, limit=2, columns=["game_id", "date"])
+    dated = sorted((r.date, r.game_id) for r in g.collect())
+    want = sorted((key, k + 1, i) for d, key in dated for k, (_, i) in enumerate([x for x in dated if x[0] < d][:2]))
+    assert sorted((r.search_id, r["rank"], r.game_id) for r in found.collect()) == want
+    assert any("idx" in line for line in plan(found).splitlines() if line.startswith("Left keys"))
