@@ -222,3 +222,16 @@ def test_runs_under_one_hash_are_kept_apart():
     frames = [pd.DataFrame(rows[a:b], columns=["_g", "_g2", "v"]) for a, b in ((0, 2), (2, 4), (4, 6), (6, 7), (7, 7))]
     assert list(FT._runs(emit)(frames)) == []
     assert seen == [(1, [0]), (7, [1, 3, 5]), (8, [2, 4]), (9, [6])]
+
+
+def test_pieces_give_the_fit_of_their_points(spark):
+    """Stretches of points, upwards and downwards and over chunk borders, are shuffled as arrays and fitted as their points."""
+    rows = [(k, at, step, [(7 * k + 5 * i) % 23 for i in range(n)])
+            for k in range(3) for at, step, n in ((0, 1, 5), (11, -1, 7), (12, 1, 9))]
+    pieces = spark.createDataFrame(rows, "k long, at long, step long, pts array<int>")
+    points = spark.createDataFrame([(k, at + step * i, p) for k, at, step, pts in rows for i, p in enumerate(pts)], "k long, idx long, pts int")
+    for chunk in (4, 1 << 14):
+        laid = FT.pieces_in_runs(pieces, ["k"], chunk=chunk)
+        assert sorted((r.k, r.idx, r.pts) for r in laid.collect()) == sorted(map(tuple, points.collect()))
+        got = FT.fit_best_of(laid, ["k"], reps=10, dense_index=True, chunk=chunk, in_runs=True)
+        assert sorted(got.collect()) == sorted(FT.fit_best_of(points, ["k"], reps=10, dense_index=True, chunk=chunk).collect())
