@@ -1,10 +1,10 @@
 """Chat formatting by prefix-target expansion.
 
 Every assistant turn becomes an example of its own: all turns before it are the context, and only its reply is
-trainable. Since the template renders a conversation turn by turn, the text of an example is a prefix of its
-conversation's rendered text. So the expansion stores each rendered turn **once** and gives an example as offsets:
-`example_chars` (the length of its prefix), `loss_start` and `loss_end`. The stored output is as large as the input
-however long a conversation is; `materialize_examples` writes the prefixes out where full strings are wanted.
+trainable. The expansion gives every turn a row with its rendered text, and an assistant turn's row its example: the
+full `text` of all turns up to this one, with `loss_start` and `loss_end` in it. The examples' size is quadratic in a
+conversation's turns, by what the method asks for. They stream out of the sorted turns, so only turns are shuffled, and
+a task holds one conversation's text and batches of about `BATCH_CHARS`.
 
 A turn renders as ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside texts ``<``, any backslashes and ``|`` get one
 backslash more, so that no text can hold a control string; `unescape` takes it away again. Roles also have
@@ -28,8 +28,9 @@ from gamecast.llm.common import shipped, text_or_empty
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 ASSISTANT = "assistant"
+BATCH_CHARS = 4 << 20       # characters of examples after which a batch is handed on
 SEGMENT = "conv_id long, turn_index long, role string, segment string, start long, segment_chars long"
-EXAMPLE = SEGMENT + ", example_id long, example_chars long, loss_start long, loss_end long"
+EXAMPLE = SEGMENT + ", example_id long, example_chars long, loss_start long, loss_end long, text string"
 
 
 def escape(text: str) -> str:
@@ -49,7 +50,7 @@ def unescape_role(role: str) -> str:
 
 
 def _ordered(rows: DataFrame, *order: str) -> DataFrame:
-    """A conversation's rows in one task, in order. Tasks stream them, so a long conversation takes no memory."""
+    """A conversation's rows in one task, in order."""
     return rows.repartition("conv_id").sortWithinPartitions("conv_id", *order)
 
 
@@ -75,65 +76,87 @@ def _render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
 
 
+def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rendered turns, and with every assistant turn the full text of its example."""
+    now, prefix, after = object(), "", []          # the last example's text, and the segments since
+    for batch in _render(batches):
+        texts, at, size = [], 0, 0
+        for conv, segment, example in zip(*(batch.column(k).to_pylist() for k in ("conv_id", "segment", "example_id"))):
+            if conv != now:
+                now, prefix, after = conv, "", []
+            after.append(segment)
+            if example is not None:
+                prefix, after = prefix + "".join(after), []
+                size += len(prefix)
+            texts.append(prefix if example is not None else None)
+            if size >= BATCH_CHARS:
+                yield _with_texts(batch.slice(at, len(texts)), texts)
+                texts, at, size = [], at + len(texts), 0
+        if texts:
+            yield _with_texts(batch.slice(at), texts)
+
+
+def _with_texts(batch: pa.RecordBatch, texts: list) -> pa.RecordBatch:
+    return pa.record_batch([*batch.columns, pa.array(texts, pa.large_string())], names=[*batch.schema.names, "text"])
+
+
 def expand_prefix_targets(conversations: DataFrame) -> DataFrame:
     """One row per turn, `EXAMPLE` columns; rows with an `example_id` are the examples.
 
-    Example e of a conversation has as text the segments of all rows up to and including its own (`example_chars`
-    characters), and `loss_start:loss_end` of that text is its only trainable part.
+    Example e of a conversation has as `text` the segments of all rows up to and including its own (`example_chars`
+    characters), and `loss_start:loss_end` of that text is its only trainable part. A task's rows are in order of
+    conversation and turn.
     """
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                                 text_or_empty("role").alias("role"), text_or_empty("text").alias("text"))
-    return _ordered(rows, "turn", "role", "text").mapInArrow(_render, EXAMPLE)
-
-
-def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    now, prefix = object(), ""
-    for batch in batches:
-        for conv, segment, example, start, end in zip(
-                *(batch.column(k).to_pylist() for k in ("conv_id", "segment", "example_id", "loss_start", "loss_end"))):
-            if conv != now:
-                now, prefix = conv, ""
-            prefix += segment
-            if example is not None:   # one example a batch: its text can be as long as the conversation
-                yield pa.record_batch([pa.array([conv], pa.int64()), pa.array([example], pa.int64()),
-                                       pa.array([prefix], pa.large_string()), pa.array([start], pa.int64()),
-                                       pa.array([end], pa.int64())],
-                                      names=["conv_id", "example_id", "text", "loss_start", "loss_end"])
+    return _ordered(rows, "turn", "role", "text").mapInArrow(_expand, EXAMPLE)
 
 
 def materialize_examples(expanded: DataFrame) -> DataFrame:
-    """The examples with their full texts. Its size is quadratic in a conversation's turns, by what is asked for."""
-    return _ordered(expanded, "turn_index").mapInArrow(
-        _prefixes, "conv_id long, example_id long, text string, loss_start long, loss_end long")
+    """The examples alone."""
+    return expanded.where(F.col("example_id").isNotNull()).select("conv_id", "example_id", "text", "loss_start", "loss_end")
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parse rendered turns and digest each conversation as it streams by."""
+    """Parse the examples and digest each conversation: an example is read on from where the one before it ended, and
+    the turns behind the last one are read as they were rendered."""
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_examples",
              "example_chars"]
     types = [pa.string() if n.endswith("sha256") else pa.int64() for n in names]
-    state = None
+    state, read, after = None, "", []              # digests so far, the last example's text, the segments since
+
+    def parse(text: str) -> None:
+        for turn in text.split(END)[:-1]:
+            role, _, said = turn[len(START):].partition("\n")
+            state[2].update(f"{unescape_role(role)}\n{unescape(said)}\n".encode())
+            state[1] += 1
+        state[5] += len(text)
+
     for batch in batches:
         done = []
-        cols = (batch.column(k).to_pylist() for k in ("conv_id", "segment", "start", "example_chars", "loss_start", "loss_end"))
-        for conv, segment, start, example, loss_start, loss_end in zip(*cols):
+        cols = (batch.column(k).to_pylist() for k in ("conv_id", "segment", "text", "loss_start", "loss_end"))
+        for conv, segment, text, loss_start, loss_end in zip(*cols):
             if state is None or state[0] != conv:
                 if state:
+                    parse("".join(after))
                     done.append(state)
-                state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0]
-            role, _, text = segment[len(START):-len(END)].partition("\n")
-            state[2].update(f"{unescape_role(role)}\n{unescape(text)}\n".encode())
-            state[1] += 1
-            state[5] += len(segment)
-            if loss_start is not None:
-                target = unescape(segment[loss_start - start:loss_end - start])
-                state[3] += len(target)
-                state[4].update(target.encode())
-                state[6] += 1
-                state[7] += example
+                state, read, after = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0], "", []
+            if text is None:
+                after.append(segment)
+                continue
+            if not text.startswith(read):
+                raise ValueError(f"example {state[6]} of conversation {conv} does not begin with the one before it")
+            parse(text[len(read):])
+            target = unescape(text[loss_start:loss_end])
+            state[3] += len(target)
+            state[4].update(target.encode())
+            state[6] += 1
+            state[7] += len(text)
+            read, after = text, []
         if done:
             yield _digests(done, names, types)
     if state:
+        parse("".join(after))
         yield _digests([state], names, types)
 
 
@@ -142,10 +165,13 @@ def _digests(done: list, names: list, types: list) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
-def read_back(expanded: DataFrame) -> DataFrame:
-    """Digests of each conversation parsed from the rendered turns: what was formatted, and what is trainable."""
-    rows = expanded.select("conv_id", "turn_index", "segment", "start", "example_chars", "loss_start", "loss_end")
-    return _ordered(rows, "turn_index").mapInArrow(
+def read_back(expanded: DataFrame, in_order: bool = False) -> DataFrame:
+    """Digests of each conversation parsed from its examples: what was formatted, and what is trainable.
+
+    `in_order`: `expanded` comes right from `expand_prefix_targets`, so its rows need no shuffle.
+    """
+    rows = expanded.select("conv_id", "turn_index", "segment", "text", "loss_start", "loss_end")
+    return (rows if in_order else _ordered(rows, "turn_index")).mapInArrow(
         _read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
                "formatted_chars long, n_examples long, example_chars long")
 

@@ -54,3 +54,26 @@ def test_escape_is_reversible_and_hides_control_strings(text):
 
 def test_empty_table(spark):
     assert chat.read_back(chat.expand_prefix_targets(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_the_expansion_makes_the_examples_and_they_are_what_is_read(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(chat, "BATCH_CHARS", 40)          # batches are cut within conversations
+    df = spark.createDataFrame([(*r, "clash") for r in ROWS], SCHEMA)
+    expanded = chat.expand_prefix_targets(df)
+    for r in expanded.where("example_id is not null").collect():
+        turns = [chat.unescape(t.partition("\n")[2]) for t in r.text.split(chat.END)[:-1]]
+        assert len(turns) == r.turn_index + 1 and r.text.endswith(r.segment) and len(r.text) == r.example_chars
+    assert expanded.where("example_id is null and text is not null").isEmpty()
+    read = {r.conv_id: r for r in chat.read_back(expanded, in_order=True).collect()}
+    assert {c: tuple(r)[1:5] for c, r in read.items()} == digest(ROWS)
+    assert read[1].n_examples == 2 and read[1].formatted_chars > read[1].example_chars / 2
+    changed = expanded.withColumn("text", F.replace("text", F.lit("hello"), F.lit("hallo")))
+    assert {r.conv_id: r.turns_sha256 for r in chat.read_back(changed).collect()}[1] != read[1].turns_sha256
+
+
+def test_a_conversation_of_many_turns(spark):
+    rows = [(1, k, "user" if k % 2 else "assistant", f"turn {k} " * 20, None) for k in range(1200)]
+    got = chat.read_back(chat.expand_prefix_targets(spark.createDataFrame(rows, SCHEMA)), in_order=True).collect()
+    assert {r.conv_id: tuple(r)[1:5] for r in got} == digest([r[:4] for r in rows])
+    assert got[0].n_examples == 600 and got[0].example_chars > 100 * got[0].formatted_chars
