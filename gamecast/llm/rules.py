@@ -1,15 +1,15 @@
 """Quality rules: base counts, and a hashed n-gram logistic regression with calibrated probabilities.
 
-The model is fitted on a bounded sample of labelled rows (`textfeat.SAMPLE_ROWS` of each class): L2-penalised logistic
-loss on hashed character and word n-grams and a few shares. One fold of the sample is kept from fitting and calibrates
-the probabilities (a logistic curve of the raw score, weighted to the classes' shares). All documents are then scored
+The model is fitted on all labelled rows outside the held-out fold: L2-penalised logistic loss on hashed character and
+word n-grams and a few shares, in blocks of rows whose weights are averaged (`textfeat.fitted`). One fold is kept from
+fitting and calibrates the probabilities (a logistic curve of all its rows' raw scores). All documents are then scored
 in Arrow batches, and a document stays if it passes the base rules and its probability of good quality is at least
 `KEEP_AT`.
 
 Defined cases: null and empty texts have no words and fail the base rules; without labels of both classes there is no
 model, and the base rules alone decide; repeated rows are each judged; an empty table gives no rows; other columns
-are ignored (`keep_documents` passes them through). Very long texts are judged whole; of the labelled ones the fit takes
-up to `textfeat.SAMPLE_BYTES` of features, in order of hash.
+are ignored (`keep_documents` passes them through). Very long texts are judged and learned from
+whole; a block of more than `textfeat.SAMPLE_BYTES` of features is fitted in parts.
 """
 
 from __future__ import annotations
@@ -22,11 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gamecast.llm.common import shipped, text_or_empty
-from gamecast.llm.textfeat import DIM, Sample, Text, descend, filtered, fitted, linear_score, sigmoid
+from gamecast.llm.textfeat import (DIM, Sample, Text, descend, filtered, fitted, fold_of, learning_scores, linear_score, raw_scores,
+                                    sigmoid)
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 KEEP_AT = 0.5
-CALIBRATION_FOLD = 3
+CALIBRATION_FOLD, HELD_OUT = 3, 2
 RESULT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
           "probability double, kept boolean")
 
@@ -74,8 +75,36 @@ def platt(scores: np.ndarray, label: np.ndarray, weight: np.ndarray, steps: int
 
 
 def learned(documents: DataFrame, labels: DataFrame) -> Model:
-    """`fit` on the labelled sample, in a task of its own."""
-    return Model(*fitted(documents, labels, fit))
+    """The model of all labelled rows."""
+    weights, numbers = fitted(documents, labels, fit)
+    if numbers is None:
+        of = lambda rows: learning_scores(raw_scores(documents.where(rows), weights), labels)
+        scores = of(fold_of() == CALIBRATION_FOLD)
+        if scores.select("quality").distinct().count() < 2:
+            scores = of(~fold_of().isin(CALIBRATION_FOLD, HELD_OUT))
+        numbers = calibrated(scores)
+    return Model(weights, *numbers)
+
+
+def calibrated(scores: DataFrame, steps: int = 50) -> tuple[float, float]:
+    """`platt` over all `scores` (raw, quality); every Newton step is one aggregation."""
+    r = scores.agg(F.count("*").alias("n"), F.sum("quality").alias("n1"), F.avg("raw").alias("middle"),
+                 F.stddev_pop("raw").alias("spread")).first()
+    n, n1, middle, spread = r["n"], r["n1"], round(r["middle"], 9), round(r["spread"], 9) + 1e-9
+    target = F.when(F.col("quality") == 1, (n1 + 1) / (n1 + 2)).otherwise(1 / (n - n1 + 2))
+    x = (F.col("raw") - middle) / spread
+    theta = np.zeros(2)
+    for _ in range(steps):
+        p = 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), x * float(theta[0]) + float(theta[1])))))
+        each = scores.select(x.alias("x"), (p * (1 - p)).alias("h"), (p - target).alias("g"))
+        hxx, hx, h, gx, g = (v / n for v in each.agg(F.sum(F.expr("h * x * x")), F.sum(F.expr("h * x")), F.sum("h"),
+                                                     F.sum(F.expr("g * x")), F.sum("g")).first())
+        step = np.linalg.solve(np.array([[hxx, hx], [hx, h]]) + 1e-6 * np.eye(2), np.array([gx, g]) + 1e-6 * theta)
+        theta -= np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-9:
+            break
+    # sums in any order give the same digits
+    return round(float(theta[0] / spread), 6), round(float(theta[1] - theta[0] * middle / spread), 6)
 
 
 def judge(text: str, model: Model) -> tuple:

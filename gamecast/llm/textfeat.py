@@ -1,4 +1,4 @@
-"""Features of a whole text for the learned quality operators, and the bounded sample they are fitted on.
+"""Features of a whole text for the learned quality operators, and the fit of a linear model on all labelled rows.
 
 A feature vector has hashed groups (character 3- and 4-grams, words, word pairs), each as shares of its group, and a
 few dense shares: repeated 3-word windows, words like the one before, repeated lines, distinct words, symbols, capitals, digits, punctuation.
@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gamecast.llm.common import fresh, shipped, text_or_empty
+from gamecast.llm.common import fresh, shipped, stored, text_or_empty
 
 BITS = 13                               # buckets of a hashed group, as a power of two
 GROUPS = ("chars3", "chars4", "words1", "words2")
@@ -22,8 +23,12 @@ DENSE = ("repeated_windows", "repeated_neighbours", "repeated_lines", "distinct_
          "stops")
 DIM = len(GROUPS) * (1 << BITS) + len(DENSE)
 SCALE, DENSE_SCALE = 30.0, 10.0         # bring the shares of hashed groups and the dense ones to like sizes
-SAMPLE_ROWS = 2_000                     # labelled rows of each class that a model is fitted on, at most
-SAMPLE_BYTES = 256 << 20                # and bytes of their features (8 a feature): rows beyond, in order of hash, are left out
+BLOCK_ROWS = 2_000                      # labelled rows that are fitted together, about
+BLOCK_STEPS = 60                        # steps of a block's fit: the mean of several needs less exact ones
+PARTNERS = 50                           # rows of the rarer class that a block has, about
+SLICE = 1_024                           # weights that are averaged together
+SAMPLE_ROWS = 2_000                     # labelled rows of each class that `labelled_sample` takes, at most
+SAMPLE_BYTES = 256 << 20                # bytes of features (8 a feature) of a sample, and of rows that are fitted together
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 FOLDS = 4
 
@@ -117,8 +122,13 @@ def linear_score(t: Text, dense: np.ndarray, weights: np.ndarray) -> float:
     return s
 
 
+def raw_score(text: str, weights: np.ndarray) -> float:
+    t = Text(text)
+    return linear_score(t, t.dense(t.repeat_words(), *t.dup_lines(), t.symbols()), weights)
+
+
 class Sample:
-    """Labelled feature rows in compressed form; at most `2 * SAMPLE_ROWS` rows."""
+    """Labelled feature rows in compressed form: those of a block, or a sample."""
 
     def __init__(self, rows: list, totals: dict[int, int]):
         rows = sorted(rows, key=lambda r: (r["doc_id"], r["quality"]))
@@ -168,19 +178,28 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                               names=["doc_id", "quality", "fold", "at", "value"])
 
 
+def _usable(labels: DataFrame, held_out: int) -> DataFrame:
+    """(doc_id, quality, fold) of the labels to learn from."""
+    return (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
+            .where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
+            .withColumn("fold", fold_of().cast("int")).where(F.col("fold") != held_out))
+
+
+def _texts(documents: DataFrame, held_out: int) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).where(
+        fold_of() != held_out)
+
+
 def _sample_rows(documents: DataFrame, labels: DataFrame, held_out: int, per_class: int) -> tuple[DataFrame, dict[int, int], list]:
     """(the chosen rows' features, labelled rows of each class, their order)."""
-    usable = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-              .where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
-              .withColumn("fold", fold_of().cast("int")).where(F.col("fold") != held_out))
+    usable = _usable(labels, held_out)
     totals = {r["quality"]: r["count"] for r in usable.groupBy("quality").count().collect()}
     order = [F.xxhash64("doc_id"), "doc_id"]
     chosen = None
     for q in (0, 1):
         part = usable.where(F.col("quality") == q).orderBy(*order).limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    rows = (texts.join(F.broadcast(chosen), "doc_id")          # the chosen rows are bounded by `per_class`
+    rows = (_texts(documents, held_out).join(F.broadcast(chosen), "doc_id")          # the chosen rows are bounded by `per_class`
             .select("doc_id", "quality", "fold", "text")
             .mapInArrow(_sparse, "doc_id long, quality int, fold int, at binary, value binary"))
     return rows, totals, [*order, "quality", "value"]
@@ -200,33 +219,129 @@ def _bounded(rows: Iterator[dict], most_rows: int, most_bytes: int) -> list[dict
 def labelled_sample(documents: DataFrame, labels: DataFrame, held_out: int = 2, per_class: int = SAMPLE_ROWS) -> Sample:
     """At most `per_class` labelled rows of each class, by hash of doc_id, outside the held-out fold, here on the driver.
 
-    Null doc_ids and labels other than 0 and 1 are left out. `fitted` learns from the same rows in a task instead.
+    Null doc_ids and labels other than 0 and 1 are left out. `fitted` learns from all labelled rows instead.
     """
     rows, totals, order = _sample_rows(documents, labels, held_out, per_class)
     first = rows.orderBy(*order).limit(2 * per_class).toLocalIterator()
     return Sample(_bounded((r.asDict() for r in first), 2 * per_class, SAMPLE_BYTES), totals)
 
 
+def _groups(rows: Iterator[dict], most_rows: int, most_bytes: int) -> Iterator[tuple[int, int, list[dict]]]:
+    """(block, number, rows) of what is fitted together: a block, or its parts where it is larger than both bounds allow.
+
+    Every part has both labels if its block has: a part that lacks one takes some rows of the part before it.
+    """
+    def partners(group: list[dict], before: list[dict]) -> list[dict]:
+        lacks = {0, 1} - {r["quality"] for r in group}
+        return group + [r for r in before if r["quality"] in lacks]
+
+    group, before, size, number = [], [], 0, 0
+    for r in rows:
+        new = bool(group) and r["block"] != group[-1]["block"]
+        full = (len(group) >= most_rows or size > most_bytes) and len({x["quality"] for x in group}) == 2
+        if new or full:
+            yield group[-1]["block"], number, partners(group, before)
+            before = [] if new else [r for q in (0, 1) for r in [x for x in group if x["quality"] == q][-PARTNERS:]]
+            number = 0 if new else number + 1
+            group, size = [], 0
+        group.append(r)
+        size += 2 * len(r["at"])
+    if group:
+        yield group[-1]["block"], number, partners(group, before)
+
+
 def fitted(documents: DataFrame, labels: DataFrame, fit: Callable[[Sample], object], held_out: int = 2,
-           per_class: int = SAMPLE_ROWS) -> tuple[np.ndarray | None, float, float]:
-    """(weights, two numbers) of the model that `fit` makes of the labelled sample, learned in one Spark task.
+           block_rows: int = BLOCK_ROWS) -> tuple[np.ndarray | None, tuple[float, float] | None]:
+    """(weights, two numbers) of a linear model learned from all labelled rows outside the held-out fold.
 
-    The task holds the sample (at most `SAMPLE_BYTES` of features); only the model comes to the driver.
+    The rows are dealt by hash to blocks of about `block_rows`, each with rows of both classes (a rare class is dealt to
+    several). `fit` makes a model of each block in a Spark task (in `BLOCK_STEPS` if there are several), and the weights
+    are the mean of the blocks' weights. The two numbers are those of `fit` if there is one block, else None: they are
+    found from all rows' `learning_scores`. Only models come to the driver.
     """
-    rows, totals, order = _sample_rows(documents, labels, held_out, per_class)
+    usable = _usable(labels, held_out)
+    counts = {r["quality"]: r for r in usable.groupBy("quality").agg(
+        F.count("*").alias("n"), F.count_distinct("doc_id").alias("ids")).collect()}
+    totals = {q: r["n"] for q, r in counts.items()}
+    blocks = max(1, -(-sum(totals.values()) // block_rows))
+    copies = {q: min(blocks, -(-PARTNERS * blocks // r["ids"])) for q, r in counts.items()}
+    spread = F.when(F.col("quality") == 1, copies.get(1, 1)).otherwise(copies.get(0, 1))
+    # there may be as many labels as documents: merged at any size, not sent to every task
+    rows = _texts(documents, held_out).join(usable.hint("merge"), "doc_id")
+    dealt = (rows.withColumn("block", F.explode(F.transform(F.sequence(F.lit(0), spread - 1), lambda k: F.pmod(
+                 F.xxhash64("doc_id") + k, F.lit(blocks)).cast("int"))))
+             .repartition("block").sortWithinPartitions("block", F.xxhash64("doc_id", F.lit(1)), "doc_id", "quality", F.xxhash64("text")))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        each = (r for batch in batches for r in batch.to_pylist())
-        weights, *numbers = vars(fit(Sample(_bounded(each, 2 * per_class, SAMPLE_BYTES), totals))).values()
-        raw = None if weights is None else np.asarray(weights, "<f4").tobytes()
-        yield pa.record_batch([pa.array([raw], pa.binary()), *(pa.array([float(v)]) for v in numbers)], names=["weights", "a", "b"])
-
-    small = rows.repartition(1).sortWithinPartitions(*order)
-    found = small.mapInArrow(learn, "weights binary, a double, b double").collect()
-    if not found:                                              # no labelled rows, no task
-        return tuple(vars(fit(Sample([], totals))).values())
-    weights = None if found[0]["weights"] is None else np.frombuffer(found[0]["weights"], "<f4")
-    return weights, found[0]["a"], found[0]["b"]
+        def features():
+            for batch in batches:
+                for r in zip(*(batch.column(k).to_pylist() for k in ("doc_id", "quality", "fold", "block", "text"))):
+                    at, value = sparse_row(r[4])
+                    yield {**dict(zip(("doc_id", "quality", "fold", "block"), r)),
+                           "at": at.astype("<i4").tobytes(), "value": value.astype("<f4").tobytes()}
+        for block, number, group in _groups(features(), 2 * block_rows, SAMPLE_BYTES):
+            own = totals if blocks == 1 else dict(Counter(r["quality"] for r in group))
+            weights, *two = vars(fit(Sample(group, own)) if blocks == 1 else fit(Sample(group, own), steps=BLOCK_STEPS)).values()
+            if weights is None:
+                continue
+            raw = np.asarray(weights, "<f4")
+            parts = [raw[k:k + SLICE].tobytes() for k in range(0, DIM, SLICE)]
+            n = len(parts)
+            yield pa.record_batch([pa.array([block] * n, pa.int32()), pa.array([number] * n, pa.int32()), pa.array([len(group)] * n, pa.int64()),
+                                   pa.array(range(n), pa.int32()), pa.array(parts, pa.binary()), *(pa.array([float(v)] * n) for v in two)],
+                                  names=["block", "number", "n", "slice", "part", "a", "b"])
+
+    models = stored(dealt.select("doc_id", "quality", "fold", "block", "text").mapInArrow(
+        learn, "block int, number int, n long, slice int, part binary, a double, b double"), "block-models", sweep=False)
+    found = models.where("slice = 0").agg(F.count("*").alias("groups"), F.min("a").alias("a"), F.min("b").alias("b")).first()
+    if not found["groups"]:                                    # no block with both labels
+        weights, *two = vars(fit(Sample([], totals))).values()
+        return weights, tuple(two)
+
+    def mean(part):
+        part = part.sort_values(["block", "number"])
+        each, n = np.stack([np.frombuffer(p, "<f4") for p in part["part"]]), part["n"].to_numpy()
+        whole = each[0] if len(each) == 1 else (n[:, None] * each.astype(float)).sum(0) / n.sum()
+        return part.iloc[:1][["slice"]].assign(part=[np.asarray(whole, "<f4").tobytes()])
+
+    means = models.groupBy("slice").applyInPandas(mean, "slice int, part binary").collect()
+    weights = np.concatenate([np.frombuffer(r["part"], "<f4") for r in sorted(means, key=lambda r: r["slice"])])
+    return weights, (found["a"], found["b"]) if found["groups"] == 1 else None    # one fit has seen all rows
+
+
+def raw_scores(documents: DataFrame, weights: np.ndarray, *keep: str) -> DataFrame:
+    """(doc_id, columns `keep`, raw): weights . features of every whole text."""
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = [raw_score(t.as_py(), weights) for t in batch.column("text")]
+            yield pa.record_batch([*(batch.column(k) for k in names), pa.array(raw, pa.float64())], names=[*names, "raw"])
+
+    names = ["doc_id", *keep]
+    rows = documents.select(*names, text_or_empty().alias("text"))
+    kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in names)
+    return rows.mapInArrow(kernel, f"{kinds}, raw double")
+
+
+def learning_scores(raws: DataFrame, labels: DataFrame, held_out: int = 2) -> DataFrame:
+    """(raw, quality, fold) of all labelled rows outside the held-out fold; `raws`: (doc_id, raw) of their documents."""
+    each = raws.select(F.col("doc_id").cast("long").alias("doc_id"), "raw")
+    return stored(each.join(_usable(labels, held_out), "doc_id").select("raw", "quality", "fold"), "learning-scores", sweep=False)
+
+
+def kth_lowest(scores: DataFrame, k: int, bins: int = 1_000) -> float:
+    """The k-th lowest `raw` (from 1), found by counting in ever narrower ranges."""
+    low, high = scores.agg(F.min("raw"), F.max("raw")).first()
+    while low < high:
+        place = F.least(F.floor((F.col("raw") - low) / F.lit(high - low) * bins), F.lit(bins - 1))
+        counted = (scores.where(F.col("raw").between(low, high)).groupBy(place.alias("bin"))
+                   .agg(F.count("*").alias("n"), F.min("raw").alias("low"), F.max("raw").alias("high")).orderBy("bin").collect())
+        for r in counted:
+            if k <= r["n"]:
+                break
+            k -= r["n"]
+        low, high = r["low"], r["high"]
+    return low
 
 
 def descend(gradient, dim: int = DIM, steps: int = 120, rate: float = 0.1) -> np.ndarray:

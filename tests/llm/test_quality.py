@@ -123,3 +123,68 @@ def test_the_sample_is_bounded_in_bytes(spark, monkeypatch):
     monkeypatch.setattr(textfeat, "SAMPLE_BYTES", 200_000)
     sample = textfeat.labelled_sample(documents, labels)
     assert set(sample.label.tolist()) == {0, 1} and 8 * len(sample.index) < 600_000
+
+
+def _texts(spark, n):
+    """Documents whose label only one word tells, a word of its own in every tenth."""
+    words = "alpha beta gamma delta epsilon zeta eta theta".split()
+    text = lambda k: " ".join(words[(k * 7 + j * (1 + k % 5)) % 8] for j in range(30)) + (
+        f" mark{k % 10} good good" if k % 3 else f" mark{k % 10} bad bad")
+    return (spark.createDataFrame([(k, text(k)) for k in range(n)], "doc_id long, text string"),
+            spark.createDataFrame([(k, int(k % 3 > 0), 0) for k in range(n)], "doc_id long, quality int, toxic int"))
+
+
+def test_every_labelled_row_is_learned_from(spark, monkeypatch):
+    """In blocks of a few rows all rows count: the blocks' sizes, the cut and the calibration are those of all rows."""
+    documents, labels = _texts(spark, 400)
+    learning = [k for k in range(400) if zlib.crc32(str(k).encode()) % 4 != 2]
+    monkeypatch.setattr(textfeat, "PARTNERS", 5)
+    monkeypatch.setattr(textfeat.fitted, "__defaults__", (2, 60))
+    seen = {}
+    for part, numbers in ((pairwise, "cut_and_slope"), (rules, "calibrated")):
+        own = getattr(part, numbers)
+
+        def look(scores, own=own, numbers=numbers):
+            seen[numbers] = sorted((r.quality, r.fold) for r in scores.collect())
+            return own(scores)
+        monkeypatch.setattr(part, numbers, look)
+    pairs = sorted((int(k % 3 > 0), zlib.crc32(str(k).encode()) % 4) for k in learning)
+    ranked = {r.doc_id: r for r in pairwise.quality_ranking(documents, labels).collect()}
+    assert len(ranked) == 400 and seen["cut_and_slope"] == pairs
+    assert np.mean([r.predicted == (k % 3 > 0) for k, r in ranked.items()]) > 0.75
+    model = pairwise.learned(documents, labels)
+    assert len(model.weights) == textfeat.DIM
+    assert all(r.score == pytest.approx(ranked[r.doc_id].score) for r in pairwise.scored(documents, model).collect())
+    judged = rules.quality_rules(documents, labels).collect()
+    assert seen["calibrated"] == [p for p in pairs if p[1] == rules.CALIBRATION_FOLD]
+    assert np.mean([(r.probability >= 0.5) == (r.doc_id % 3 > 0) for r in judged]) > 0.75
+
+
+def test_a_row_of_a_rare_class_meets_every_block(spark):
+    documents, labels = _texts(spark, 300)
+    rare = labels.where("quality = 1 or doc_id = 3")           # 3 is outside the held-out fold
+    assert zlib.crc32(b"3") % 4 != 2
+    weights, numbers = textfeat.fitted(documents, rare, lambda s, steps: pairwise.fit(s, steps=3), block_rows=30)
+    assert numbers is None and np.abs(weights).max() > 0
+
+
+def test_numbers_over_all_scores_are_those_of_a_sample(spark):
+    rng = np.random.default_rng(3)
+    label = (rng.random(500) < 0.7).astype(int)
+    raw = rng.normal(size=500) + 2 * label
+    scores = spark.createDataFrame([(float(x), int(q), k % 2 * 3) for k, (x, q) in enumerate(zip(raw, label))],
+                                   "raw double, quality int, fold int")
+    assert [textfeat.kth_lowest(scores, k, bins=7) for k in (1, 2, 250, 500)] == [np.sort(raw)[k - 1] for k in (1, 2, 250, 500)]
+    cut, slope = pairwise.cut_and_slope(scores)
+    assert cut == pytest.approx(pairwise.quantile_cut(raw, np.ones(500), (label == 0).mean()))
+    assert slope == pytest.approx(8 / (raw[label == 1].mean() - raw[label == 0].mean()))
+    odd = np.arange(500) % 2 == 1
+    assert rules.calibrated(scores.where("fold = 3")) == pytest.approx(rules.platt(raw[odd], label[odd], np.ones(odd.sum())), abs=1e-5)
+
+
+def test_a_large_block_is_fitted_in_parts_with_both_labels():
+    rows = [{"doc_id": k, "quality": int(k != 2), "fold": 0, "block": int(k > 20), "at": b"0" * 8} for k in range(24)]
+    groups = list(textfeat._groups(iter(rows), 5, 1 << 20))
+    assert [(b, n) for b, n, _ in groups] == [(0, 0), (0, 1), (1, 0)]
+    assert sorted({r["doc_id"] for _, _, g in groups for r in g}) == list(range(24))
+    assert all({r["quality"] for r in g} == {0, 1} for b, _, g in groups if b == 0)
