@@ -35,14 +35,15 @@ def season_start(date: str | Column = "date") -> Column:
 
 
 def write_season_games(games: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write the games and their key tables below `path`. A long season is cut over several tasks by game."""
+    """Write the games and their key tables below `path`. Every task writes its own games into the season folders, so no
+    game is shuffled and a long season is cut over the tasks."""
     spark = games.sparkSession
-    placed = games.withColumn(SEASON, season_start())
-    (placed.repartitionByRange(SEASON, "game_id").write.mode(mode).partitionBy(SEASON).parquet(f"{path}/games"))
+    games.withColumn(SEASON, season_start()).write.mode(mode).partitionBy(SEASON).parquet(f"{path}/games")
     written = read_games(spark, f"{path}/games", core=True, extra=[SEASON])
     for name, rows, key in (("players", player_rows(written), "player"), ("teams", team_rows(written), "abbreviation")):
-        keys = rows.select(key, season_start().alias(SEASON), "game_id").distinct()
-        keys.repartitionByRange(key, SEASON, "game_id").sortWithinPartitions(key, SEASON).write.mode(mode).parquet(f"{path}/{name}")
+        # equal rows meet in one range, so that they are told apart without a shuffle of their own
+        keys = rows.select(key, season_start().alias(SEASON), "game_id").repartitionByRange(key, SEASON, "game_id").distinct()
+        keys.sortWithinPartitions(key, SEASON).write.mode(mode).parquet(f"{path}/{name}")
 
 
 @dataclass

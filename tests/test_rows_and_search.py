@@ -199,3 +199,61 @@ def test_batch_search_meets_no_more_games_than_it_lists(spark, make_games):
     want = sorted((key, k + 1, i) for d, key in dated for k, (_, i) in enumerate([x for x in dated if x[0] < d][:2]))
     assert sorted((r.search_id, r["rank"], r.game_id) for r in found.collect()) == want
     assert any("idx" in line for line in plan(found).splitlines() if line.startswith("Left keys"))
+
+
+def test_season_layout_shuffles_no_game(spark, make_games):
+    """Every task writes its own games: four partitions of one season are four files; equal key rows are one."""
+    import glob
+    import tempfile
+
+    from conftest import game
+    from gamecast.sources.layout import read_season_games, write_season_games
+    gs = [game(k % 30, f"2012-11-{k % 30 + 1:02d}", "BOS", "NYK", [("Ann", k), ("Ann", k)], [("Cy", 1)]) for k in range(40)]
+    games, path = make_games(gs), tempfile.mkdtemp(prefix="gc-seasons-") + "/g"
+    write_season_games(games.repartition(4, "game_id"), path)
+    assert len(glob.glob(f"{path}/games/season=2012/*.parquet")) == 4
+    stored = read_season_games(spark, path, core=False)
+    assert sorted(map(str, stored.games.drop("season").collect())) == sorted(map(str, games.collect()))
+    assert sorted(tuple(r) for r in stored.players.collect()) == [(p, 2012, k) for p in ("Ann", "Cy") for k in range(30)]
+    assert stored.teams.count() == 60
+
+
+def test_games_build_moves_no_box_for_a_team(spark):
+    """Customers and suppliers too many to broadcast are joined to narrow rows, before the lines of an order are gathered."""
+    import datetime as dt
+    import tempfile
+
+    from gamecast.sources import testbed
+    d = tempfile.mkdtemp(prefix="gc-tables-")
+    tables = {
+        "nation": ([(0, "N0"), (1, "N1")], "n_nationkey int, n_name string"),
+        "customer": ([(1, 0), (2, 1), (None, 0)], "c_custkey bigint, c_nationkey int"),
+        "supplier": ([(7, 1), (8, 0)], "s_suppkey bigint, s_nationkey int"),
+        "orders": ([(k, c, dt.datetime(1995, 1, k)) for k, c in ((1, 1), (2, 2), (3, 9), (4, 1), (5, None))],
+                   "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz"),
+        "lineitem": ([(1, 8, 1, 5, 1.0, 3.0, "F"), (1, 7, 2, 5, 1.0, 4.0, "O"), (1, 8, 1, 4, 1.0, 9.0, "F"), (2, 8, 1, 5, 1.0, None, "F"),
+                      (2, None, 2, 5, 1.0, 2.0, "O"), (3, 7, 1, 5, 1.0, 1.0, "F"), (5, 7, 1, 5, 1.0, 1.0, "F"), (None, 7, 1, 5, 1.0, 1.0, "F")],
+                     "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_partkey bigint, l_extendedprice double, l_quantity double, l_linestatus string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{d}/{name}.parquet")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        games = testbed.games(spark, d)
+        lines = games._jdf.queryExecution().sparkPlan().toString().split("\n")
+        got = {r.game_id: r for r in games.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    joins = [k for k, line in enumerate(lines) if "Join" in line and ("o_custkey" in line or "away_supp" in line)]
+    assert len(joins) == 2
+    for k in joins:
+        below = next((i for i in range(k + 1, len(lines)) if depth(lines[i]) <= depth(lines[k])), len(lines))
+        assert not any("collect_list" in line for line in lines[k:below])
+    assert sorted(got) == [1, 2]
+    one, two = got[1], got[2]
+    assert [(t.abbreviation, t.home, t.score, t.won) for t in one.teams] == [("N1", False, 4, 0), ("N0", True, 12, 1)]
+    assert [[(p.player, p.pts, p.ast) for p in b.players] for b in one.box] == [[("7", 4, None)], [("8", 9, None), ("8", 3, None)]]
+    assert [(t.abbreviation, t.score) for t in two.teams] == [("N1", None), ("N0", 2)]
+    assert [[(p.player, p.pts) for p in b.players] for b in two.box] == [[("8", None)], [(None, 2)]]
