@@ -209,3 +209,16 @@ def test_as_of_plans_scan_the_written_series(spark, small_games):
               plan(PL.predict_players_best(small_games, rp, as_of=True, rp=rp)),
               plan(H.recent_games(rows, rp, as_of=True))):
         assert p.count("\nLocation:") <= 2
+
+
+def test_recent_games_of_a_request_move_as_two_rows(spark):
+    """29 places at most lie in two blocks: a request is never as many rows as it has recent games."""
+    cuts = [0, 1, 5, 26, 31, 32, 33, 63, 64, 200]
+    rp = spark.createDataFrame([(c, "Ann", c, rd) for c in cuts for rd in (1, 6, 7)], "request_id bigint, player string, before bigint, rd int")
+    got = {}
+    for r in H.recent_blocks(rp).collect():
+        got.setdefault((r.before, r.rd), []).append((r.low, r.block))
+    assert sorted(got) == sorted((c, rd) for c in cuts if c for rd in (1, 6))
+    for (before, rd), blocks in got.items():
+        low = max(before - 23 - rd, 0)
+        assert sorted(blocks) == [(low, b) for b in sorted({k // H.BLOCK_PLACES for k in range(low, before)})] and len(blocks) <= 2
