@@ -51,11 +51,15 @@ def _records(raw: DataFrame, least_lines: int) -> DataFrame:
     begin with a line `#<digits>` and have at least `least_lines` lines with
     it, which no file of one request has; they are read too, each in one piece.
     """
-    rows = raw.select(F.regexp_replace("value", "\r", "").alias("value"), F.col("_metadata.file_path").alias("source"))
+    rows = raw.select(F.translate("value", "\r", "").alias("value"), F.col("_metadata.file_path").alias("source"))
     marked = F.col("value").startswith(f"{RS}#")
     files = rows.groupBy("source").agg(F.max(marked).alias("_bundle"), F.count(F.lit(1)).alias("_rows"))
+    # one row per file of several records: few, where files of one request may be many, so that no text is shuffled by its file
+    files = files.where("_bundle or _rows > 1")
     old = F.col("value").rlike(r"^#-?\d+\n") & (F.size(F.split(F.rtrim(F.col("value"), F.lit("\n")), "\n")) >= least_lines)
-    x = rows.join(files, "source").withColumn("_old", ~F.col("_bundle") & old)
+    x = (rows.join(F.broadcast(files), "source", "left")
+         .withColumns({"_bundle": F.coalesce("_bundle", F.lit(False)), "_rows": F.coalesce("_rows", F.lit(1))})
+         .withColumn("_old", ~F.col("_bundle") & old))
     one = F.when(F.col("_rows") > 1, F.raise_error(F.lit(BAD_SINGLE))).otherwise(F.col("value"))
     recs = (F.when(F.col("_bundle"), F.array(F.regexp_replace("value", f"^{RS}#", "")))
             .when(F.col("_old"), F.split(F.substring("value", 2, 1 << 30), "\n#")).otherwise(F.array(one)))

@@ -230,3 +230,21 @@ def test_models_follow_games_that_arrive(spark, small_games):
     score_request_stream(spark, f"{base}/in", None, f"{base}/out", checkpoint=f"{base}/ck2", models_dir=f"{base}/models").awaitTermination()
     scored = {r.player: r.prediction for r in RQ.read_predictions(spark, f"{base}/out").collect()}
     assert scored == {p: models[p].prediction for p in ("Ann", "Cy")}
+
+
+def test_records_are_not_shuffled_by_file(spark):
+    """Bundles, files of one request and old bundles side by side, with no shuffle of their text."""
+    d = tempfile.mkdtemp(prefix="gc-mixed-")
+    _write(os.path.join(d, "request_id=42"), "request.txt", SAMPLE)
+    _write(d, "bundle.txt", "".join(f"{RQ.RS}#{k}\n{SAMPLE}\n" for k in (1, 2, 3)))
+    _write(d, "old.txt", f"#7\n{SAMPLE}\n#8\n{SAMPLE}\r\n")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parsed = RQ.read_requests(spark, d)
+        plan = parsed._jdf.queryExecution().sparkPlan().toString()
+        got = {r.request_id: (r.home_abbr, r.home_roster, str(r.rdate)[:10]) for r in parsed.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert got == {k: ("BOS", ["Ann", "Bo O'Neil", "Cy's Kid"], "2013-01-24") for k in (1, 2, 3, 7, 8, 42)}
