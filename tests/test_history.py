@@ -222,3 +222,16 @@ def test_recent_games_of_a_request_move_as_two_rows(spark):
     for (before, rd), blocks in got.items():
         low = max(before - 23 - rd, 0)
         assert sorted(blocks) == [(low, b) for b in sorted({k // H.BLOCK_PLACES for k in range(low, before)})] and len(blocks) <= 2
+
+
+def test_fits_index_only_what_they_read(spark, small_games, tmp_path):
+    """The index of a series writes the columns that go on, not those that only order it."""
+    from gamecast.operators.sequence import with_sequence_index
+    rows = R.player_rows(small_games)
+    path = str(tmp_path / "indexed")
+    whole = with_sequence_index(rows, ["player"], R.PLAYER_ORDER)
+    narrow = with_sequence_index(rows, ["player"], R.PLAYER_ORDER, path=path, keep=["pts", "game_id"])
+    assert set(spark.read.parquet(path).columns) == {"player", "pts", "game_id", "_part", "_at", "_upto"}
+    assert sorted(narrow.collect()) == sorted(whole.select("player", "pts", "game_id", "idx").collect())
+    assert whole.columns == [*rows.columns, "idx"]
+    assert PL.player_series(small_games, keep=["pts"]).columns == ["player", "pts", "idx"]
