@@ -235,3 +235,5 @@ def test_fits_index_only_what_they_read(spark, small_games, tmp_path):
     assert sorted(narrow.collect()) == sorted(whole.select("player", "pts", "game_id", "idx").collect())
     assert whole.columns == [*rows.columns, "idx"]
     assert PL.player_series(small_games, keep=["pts"]).columns == ["player", "pts", "idx"]
+    rp = H.request_players_of_games(rows)
+    assert PL._fit_cuts(small_games, rp, rp).points().columns == ["player", "pts", "idx"]
