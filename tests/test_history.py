@@ -224,6 +224,32 @@ def test_recent_games_of_a_request_move_as_two_rows(spark):
         assert sorted(blocks) == [(low, b) for b in sorted({k // H.BLOCK_PLACES for k in range(low, before)})] and len(blocks) <= 2
 
 
+def test_context_sums_are_those_of_the_points(spark, make_games):
+    """Long lists (several pieces), several games a day, days 1 to 31: sums by running sums are those of every point."""
+    import random
+
+    from conftest import game
+    rng = random.Random(9)
+    teams, players = ["BOS", "NYK", "MIA"], ["Ann", "Bo", "Cy"]
+    gs = []
+    for k in range(300):
+        home, away = rng.sample(teams, 2)
+        picked = rng.sample(players, 2)
+        day = dt.date(2010, 1, 1) + dt.timedelta(days=rng.choice([0, 365, 731]) + rng.randrange(45))
+        gs.append(game(k, str(day), home, away, [(picked[0], rng.randrange(30))], [(picked[1], rng.randrange(30))]))
+    games = make_games(gs)
+    rp = H.request_players_of_games(R.player_rows(games))
+    for as_of in (False, True):
+        want = {}
+        for r in PL.context_series(games, None, rp, as_of=as_of, rp=rp).collect():
+            s = want.setdefault((r.request_id, r.side, r.player, r.seg), [0, 0, 0, 0])
+            for i, v in enumerate((1, r.pts, r.idx, r.idx * r.pts)):
+                s[i] += v
+        sums = PL.context_series(games, None, rp, as_of=as_of, rp=rp, sums=True)
+        got = {(r.request_id, r.side, r.player, r.seg): [r.n, r.pts_sum, r.idx_sum, r.idx_pts] for r in sums.collect()}
+        assert got == want and any(n > 64 for n, *_ in want.values())
+
+
 def test_fits_index_only_what_they_read(spark, small_games, tmp_path):
     """The index of a series writes the columns that go on, not those that only order it."""
     from gamecast.operators.sequence import with_sequence_index
