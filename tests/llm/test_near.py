@@ -326,3 +326,50 @@ def test_classes_after_further_links_are_those_of_all_links(spark):
     got = {r.node: r.component for r in linededup.joined(found, df([p for p in more if p[0] != p[1]])).collect()}
     want = {r.node: r.component for r in components(df(first + more)).collect()}
     assert got == want
+
+
+def test_sketches_lose_no_similar_pair(spark):
+    """Lines with up to half of their characters changed, some of them long or full of repeats."""
+    rng = random.Random(9)
+    lines = set()
+    for size in (1, 7, 9, 40, 200, 900, 5000):
+        for base in ("".join(rng.choice("abcdefgh é\U0001F600") for _ in range(size)), "ab " * size):
+            lines.add(base)
+            for changes in (1, 2, size // 300 + 1, size // 150 + 1, size // 90 + 1, size // 40 + 1, size // 4 + 1):
+                out = list(base)
+                for _ in range(changes):
+                    out[rng.randrange(len(out))] = rng.choice("xyz")
+                lines.add("".join(out))
+    of = dict(enumerate(sorted(lines)))
+    df = spark.createDataFrame(list(of.items()), "h long, line string")
+    signed = linededup.signatures(df).join(linededup.sketches(linededup.coded(df)), "h")
+    pairs = [(a, b) for a in of for b in of if a < b and abs(len(of[a]) - len(of[b])) < 5]
+    kept = {(r.a, r.b) for r in linededup.likely(spark.createDataFrame(pairs, "a long, b long"), signed).collect()}
+    want = {(a, b) for a, b in pairs if similar(of[a], of[b])}
+    assert len(want) > 12 and want <= kept and len(kept) < len(pairs) / 2
+
+
+def test_lines_that_only_look_alike_are_not_verified_pair_by_pair(spark, monkeypatch):
+    """A bucket of notices with one long body and ends of their own, and three near copies of some."""
+    rng = random.Random(10)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    body = word(180)
+    lines = [body + word(100) for _ in range(120)]
+    lines += [line[:-1] + c for line in lines[:10] for c in "!?;"]
+    tried = []
+    exact = linededup.verified
+
+    def counted(pairs, texts):
+        tried.append(pairs.count())
+        return exact(pairs, texts)
+
+    monkeypatch.setattr(linededup, "verified", counted)
+    monkeypatch.setattr(linededup, "band_rows", lambda signed: signed.select(F.lit(0).alias("key"), "h"))
+    df = linededup.lines_of(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
+    of = {r.h: r.line for r in df.collect()}
+    got = defaultdict(set)
+    for r in linededup.line_classes(df).collect():
+        got[r.component].add(of[r.node])
+    want = {g for g in classes(sorted(set(of.values())), similar) if len(g) > 1}
+    assert len(want) == 10 and {frozenset(g) for g in got.values()} == want
+    assert sum(tried) < len(lines)        # all of the 11,000 pairs agree in some places of their signatures
