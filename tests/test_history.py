@@ -263,3 +263,49 @@ def test_fits_index_only_what_they_read(spark, small_games, tmp_path):
     assert PL.player_series(small_games, keep=["pts"]).columns == ["player", "pts", "idx"]
     rp = H.request_players_of_games(rows)
     assert PL._fit_cuts(small_games, rp, rp).points().columns == ["player", "pts", "idx"]
+
+
+def test_whole_histories_are_those_of_the_pieces(spark, make_games, monkeypatch):
+    """Players whose lists are one row, longer ones, and a request key in two rows: sums and fits are those of the points."""
+    import random
+
+    from conftest import game
+
+    from gamecast.operators import context as CX
+    from gamecast.operators import fit as FT
+    rng = random.Random(8)
+    teams, players = ["BOS", "NYK", "MIA"], ["Ann", "Bo", "Cy", "Dee"]
+    gs = []
+    for k in range(120):
+        home, away = rng.sample(teams, 2)
+        day = dt.date(2010, 1, 1) + dt.timedelta(days=rng.choice([0, 365, 731, 1096]) + rng.randrange(70))
+        picked = rng.sample(players, 2)
+        gs.append(game(k, str(day), home, away, [(picked[0], rng.randrange(30))], [(picked[1], rng.randrange(30))] + [("Eve", k)] * (k % 5 == 0)))
+    games = make_games(gs)
+    rp = H.request_players_of_games(R.player_rows(games)).where("request_id < 60")
+    twice = rp.where("request_id = 30").withColumn("rd", F.col("rd") + F.lit(1)).withColumn("opp", F.lit("MIA"))
+    rp = rp.unionByName(twice).unionByName(rp.limit(1).withColumn("player", F.lit(None).cast("string")))
+    rp = spark.createDataFrame(rp.collect(), rp.schema)
+    keys = CX.KEYS
+    points = CX.context_points(PL.player_series(games, rp), rp)
+    want = sorted(map(tuple, points.groupBy(*keys, "seg").agg(
+        F.count("*").alias("n"), F.sum("pts"), F.sum("idx"), F.sum(F.col("idx") * F.col("pts"))).collect()))
+    once = rp.groupBy(*keys).count().where("count = 1").select(*keys)
+    fits = {tuple(r) for r in FT.fit_best_of(points.join(once, keys), keys, reps=8).select(*keys, *PL.PRED_COLS).collect()}
+    for longest in (CX.LONGEST, 30, 0):
+        monkeypatch.setattr(CX, "LONGEST", longest)
+        sums = PL.context_series(games, None, rp, rp=rp, sums=True)
+        assert sorted(map(tuple, sums.select(*keys, "seg", "n", "pts_sum", "idx_sum", "idx_pts").collect())) == want
+        got = PL.predict_players_context(games, None, rp, reps=8, rp=rp).join(once, keys)
+        assert {tuple(r) for r in got.select(*keys, *PL.PRED_COLS).collect()} == fits
+
+
+def test_a_request_meets_its_history_in_one_join(spark, small_games):
+    """P3's points and J1's sums are not shuffled: of what depends on a request only itself and its sums move."""
+    rp = H.request_players_of_games(R.player_rows(small_games))
+    moved = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression")
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    sums = PL.context_series(small_games, None, rp, rp=rp, sums=True)
+    assert plan(sums).count("Join") <= 1 + plan(PL.player_series(small_games, rp)).count("Join") and moved(sums) <= 1
+    fits = PL.predict_players_context(small_games, None, rp, rp=rp)
+    assert moved(fits) == 2 and "_g, " not in fits._jdf.queryExecution().optimizedPlan().toString().split("MapInPandas")[0]
