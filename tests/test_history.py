@@ -309,3 +309,47 @@ def test_a_request_meets_its_history_in_one_join(spark, small_games):
     assert plan(sums).count("Join") <= 1 + plan(PL.player_series(small_games, rp)).count("Join") and moved(sums) <= 1
     fits = PL.predict_players_context(small_games, None, rp, rp=rp)
     assert moved(fits) == 2 and "_g, " not in fits._jdf.queryExecution().optimizedPlan().toString().split("MapInPandas")[0]
+
+
+def test_short_series_are_fitted_as_of_cuts_in_one_move(spark, make_games, monkeypatch):
+    """Points and requests of one moment, players without requests and without games, keys that repeat or are null, and a
+    player whose series goes by the index: the fits are those of the index."""
+    import random
+
+    from conftest import game
+
+    from gamecast.operators import asof as A
+    rng = random.Random(12)
+    gs = []
+    for k in range(90):
+        day = dt.date(2011, 1, 1) + dt.timedelta(days=rng.randrange(40))
+        a, b = rng.sample(["Ann", "Bo", "Cy", "Dee"], 2)
+        gs.append(game(k, str(day), "BOS", "NYK", [(a, rng.randrange(40)), ("Idle", 3)], [(b, rng.randrange(40))] + [("Eve", k)] * (k % 9 == 0)))
+    games = make_games(gs)
+    rp = H.request_players_of_games(R.player_rows(games)).where("player <> 'Idle' and request_id % 2 = 0")
+    odd = rp.where("request_id = 8")
+    rp = rp.unionByName(odd).unionByName(odd.withColumn("player", F.lit("Nobody"))).unionByName(odd.withColumn("player", F.lit(None).cast("string")))
+    rp = rp.unionByName(odd.withColumn("request_id", F.lit(None).cast("bigint")))
+    rp = spark.createDataFrame(rp.collect(), rp.schema)
+    s = PL._fit_cuts(games, rp, rp)
+    named = lambda df: sorted(map(str, df.select(*PL.PLAYER_KEYS, *PL.PRED_COLS).collect()))
+    want = named(A.fit_best_as_of(s.points(), ["player"], s.requests(), reps=12, stream=s.stream()))
+    assert len(want) > 60
+    for longest in (PL.LONGEST, 25, 0):
+        monkeypatch.setattr(PL, "LONGEST", longest)
+        assert named(PL.predict_players_best(games, rp, reps=12, as_of=True, rp=rp)) == want
+    monkeypatch.undo()
+    plan = PL.predict_players_best(games, rp, reps=12, as_of=True, rp=rp)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("Exchange hashpartitioning") <= 2 and "Join" not in plan.split("MapInPandas")[0]
+
+
+def test_short_series_of_fractional_and_missing_points(spark):
+    from gamecast.operators import asof as A
+    rows = [("a", k // 2, k, None if k % 7 == 3 else k * 1.5 + k % 3) for k in range(60)] + [("b", 5, 0, None), ("c", 1, 0, 2.0)]
+    points = spark.createDataFrame(rows, "k string, t int, n int, pts double")
+    wanted = spark.createDataFrame([(k, t, t) for k in "abcd" for t in (0, 1, 2, 9, 31)], "k string, rdate int, tag int")
+    indexed = A.as_of_series(points, wanted, ["k"], ["t", "n"])
+    want = A.fit_best_as_of(indexed.points(), ["k"], indexed.requests(), reps=9, stream=indexed.stream())
+    got = A.fit_best_as_of_short(points, ["k"], wanted, ["t", "n"], reps=9)
+    cols = [c for c in got.columns if c != "rdate"]
+    assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect())) and got.count() == 7
