@@ -266,7 +266,7 @@ def test_fits_index_only_what_they_read(spark, small_games, tmp_path):
 
 
 def test_whole_histories_are_those_of_the_pieces(spark, make_games, monkeypatch):
-    """Players whose lists are one row, longer ones, and a request key in two rows: sums and fits are those of the points."""
+    """Players whose lists are one row, longer ones, a game without a date, and a request key in two rows: sums and fits are those of the points."""
     import random
 
     from conftest import game
@@ -280,7 +280,8 @@ def test_whole_histories_are_those_of_the_pieces(spark, make_games, monkeypatch)
         home, away = rng.sample(teams, 2)
         day = dt.date(2010, 1, 1) + dt.timedelta(days=rng.choice([0, 365, 731, 1096]) + rng.randrange(70))
         picked = rng.sample(players, 2)
-        gs.append(game(k, str(day), home, away, [(picked[0], rng.randrange(30))], [(picked[1], rng.randrange(30))] + [("Eve", k)] * (k % 5 == 0)))
+        gs.append(game(k, None if k == 7 else str(day), home, away, [(picked[0], rng.randrange(30))],
+                       [(picked[1], rng.randrange(30))] + [("Eve", k)] * (k % 5 == 0)))
     games = make_games(gs)
     rp = H.request_players_of_games(R.player_rows(games)).where("request_id < 60")
     twice = rp.where("request_id = 30").withColumn("rd", F.col("rd") + F.lit(1)).withColumn("opp", F.lit("MIA"))
@@ -288,6 +289,7 @@ def test_whole_histories_are_those_of_the_pieces(spark, make_games, monkeypatch)
     rp = spark.createDataFrame(rp.collect(), rp.schema)
     keys = CX.KEYS
     points = CX.context_points(PL.player_series(games, rp), rp)
+    assert points.where("request_id = 7 and seg = 1").count() > 0       # a request without a date
     want = sorted(map(tuple, points.groupBy(*keys, "seg").agg(
         F.count("*").alias("n"), F.sum("pts"), F.sum("idx"), F.sum(F.col("idx") * F.col("pts"))).collect()))
     once = rp.groupBy(*keys).count().where("count = 1").select(*keys)
